@@ -77,6 +77,19 @@ def top_k_report(freq: DataFrame, est: DataFrame, K: int) -> DataFrame:
     return top.where(F.lit(K <= 20))
 
 
+def report_from(length: DataFrame, freq: DataFrame, sk: DataFrame, prm: S.SketchParams,
+                left: int | None, right: int | None, K: int) -> DataFrame:
+    """The stream report from its parts: ``length`` (one row
+    ``stream_length``), the interval's frequencies and the sketch."""
+    est = S.sketch_estimates(freq, sk, prm)
+    ilen = interval_length(freq)
+    head = length.select(
+        F.lit(prm.D).alias("D"), F.lit(prm.W).alias("W"), F.lit(left).cast("bigint").alias("left"),
+        F.lit(right).cast("bigint").alias("right"), F.lit(K).alias("K"), "stream_length")
+    return merge_single_rows(head, ilen, interval_distinct(freq), top_k_error(freq, est, K),
+                             second_moment(freq), second_moment_estimate(sk, ilen))
+
+
 def stream_report(items: DataFrame, prm: S.SketchParams, left: int, right: int, K: int) -> DataFrame:
     """One row: ``D, W, left, right, K, stream_length, interval_length,
     interval_distinct, top_k_error, f2, f2_estimate``.
@@ -85,13 +98,7 @@ def stream_report(items: DataFrame, prm: S.SketchParams, left: int, right: int,
     any shuffle."""
     freq = I.running_frequencies(I.in_interval(items, left, right))
     sk = S.count_sketch(freq, prm, weight="freq")
-    est = S.sketch_estimates(freq, sk, prm)
-    length = interval_length(freq)
-    head = I.stream_length(items).select(
-        F.lit(prm.D).alias("D"), F.lit(prm.W).alias("W"), F.lit(left).cast("bigint").alias("left"),
-        F.lit(right).cast("bigint").alias("right"), F.lit(K).alias("K"), "stream_length")
-    return merge_single_rows(head, length, interval_distinct(freq), top_k_error(freq, est, K),
-                             second_moment(freq), second_moment_estimate(sk, length))
+    return report_from(I.stream_length(items), freq, sk, prm, left, right, K)
 
 
 def distinct_report(items: DataFrame) -> DataFrame:
