@@ -34,8 +34,14 @@ def edge_count(edges: DataFrame) -> DataFrame:
 def undirected(edges: DataFrame, *keys: str) -> DataFrame:
     """Symmetric, loop-free view: ``(keys..., u, v)`` with ``u < v``, each pair
     once per key group."""
+    # ``u <> v`` already rules out NULL ends; the coalesce only tells Catalyst
+    # so.  Without it the triangle joins infer an extra ``isnotnull`` filter
+    # on one copy of this subtree, the copies stop being equal, and the
+    # dedupe shuffle runs twice instead of being reused.
+    lo = F.coalesce(F.least("u", "v"), F.lit(0).cast("bigint"))
+    hi = F.coalesce(F.greatest("u", "v"), F.lit(0).cast("bigint"))
     return (edges.where(F.col("u") != F.col("v"))
-            .select(*keys, F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+            .select(*keys, lo.alias("u"), hi.alias("v"))
             .dropDuplicates([*keys, "u", "v"]))
 
 

@@ -37,8 +37,7 @@ def _before(d1: Column, n1: Column, d2: Column, n2: Column) -> Column:
 def orient(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """``(keys..., s, t, dt)``: each edge from lower to higher rank, with deg(t)."""
     keys = list(keys)
-    ends = (edges.select(*keys, F.col("u").alias("n"))
-            .unionByName(edges.select(*keys, F.col("v").alias("n"))))
+    ends = edges.select(*keys, F.explode(F.array("u", "v")).alias("n"))
     deg = ends.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("d"))
     du = deg.select(*keys, F.col("n").alias("u"), F.col("d").alias("du"))
     dv = deg.select(*keys, F.col("n").alias("v"), F.col("d").alias("dv"))
@@ -55,7 +54,13 @@ def orient(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def list_triangles(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row ``(keys..., s, x, y)`` per triangle, ``s`` its lowest-ranked node."""
     keys = list(keys)
-    o = orient(edges, keys)
+    # The wedge join multiplies rows (8.8 M wedges from 0.6 M edges at sf0.1),
+    # which AQE cannot see: left alone it coalesces the small oriented table
+    # into one partition and runs the whole explosion in one task.  A fixed
+    # hash partitioning on the join key keeps the configured parallelism,
+    # and both sides of the self-join reuse it without another shuffle.
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    o = orient(edges, keys).repartition(parts, *keys, "s")
     left = o.select(*keys, "s", F.col("t").alias("x"), F.col("dt").alias("dx"))
     right = o.select(*keys, "s", F.col("t").alias("y"), F.col("dt").alias("dy"))
     wedges = (left.join(right, [*keys, "s"])
