@@ -1,6 +1,8 @@
 """Graph operators: exact and estimated triangle counts over an edge table.
 
-Edges are ``(u BIGINT, v BIGINT)`` ordered pairs.  Estimates thin the graph
+Edges are ``(u BIGINT, v BIGINT)`` ordered pairs.  The triangle operators
+accept repeated pairs: they make edges undirected and distinct after the
+colour or bucket is chosen, and a repeated pair always gets the same one.  Estimates thin the graph
 by hashing nodes to ``C`` colours (keep monochromatic edges) or ordered pairs
 to ``C`` buckets, count triangles per colour / bucket, and scale by ``C^2``.
 Every per-colour, per-run and per-bucket count is one keyed triangle join
@@ -34,14 +36,17 @@ def edge_count(edges: DataFrame) -> DataFrame:
 def undirected(edges: DataFrame, *keys: str) -> DataFrame:
     """Symmetric, loop-free view: ``(keys..., u, v)`` with ``u < v``, each pair
     once per key group."""
-    # ``u <> v`` already rules out NULL ends; the coalesce only tells Catalyst
+    # ``u <> v`` already rules out NULL ends; the coalesces only tell Catalyst
     # so.  Without it the triangle joins infer an extra ``isnotnull`` filter
     # on one copy of this subtree, the copies stop being equal, and the
     # dedupe shuffle runs twice instead of being reused.
+    # Keys are never NULL here (hashes of non-NULL ids, run numbers).
     lo = F.coalesce(F.least("u", "v"), F.lit(0).cast("bigint"))
     hi = F.coalesce(F.greatest("u", "v"), F.lit(0).cast("bigint"))
+    types = dict(edges.dtypes)
+    ks = [F.coalesce(F.col(k), F.lit(0).cast(types[k])).alias(k) for k in keys]
     return (edges.where(F.col("u") != F.col("v"))
-            .select(*keys, lo.alias("u"), hi.alias("v"))
+            .select(*ks, lo.alias("u"), hi.alias("v"))
             .dropDuplicates([*keys, "u", "v"]))
 
 
@@ -214,12 +219,13 @@ def triangle_report(edges: DataFrame, C: int, hs: Sequence[H.Affine], method: st
     run; every run gives the same number).
     """
     ed = distinct_edges(edges)
+    # the estimates dedupe after colouring / bucketing themselves
     if method == "color":
-        est = approx_triangles_color_median(ed, C, hs)
+        est = approx_triangles_color_median(edges, C, hs)
     elif method == "partition":
-        est = approx_triangles_partition(ed, C, hb)
+        est = approx_triangles_partition(edges, C, hb)
     elif method == "exact":
-        est = exact_triangles_color(ed, C, hs[-1])
+        est = exact_triangles_color(edges, C, hs[-1])
     else:
         raise ValueError(f"unknown method {method!r}")
     est = est.select(F.col("triangles").cast("double").alias("triangles"))

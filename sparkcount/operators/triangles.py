@@ -60,12 +60,14 @@ def list_triangles(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     # hash partitioning on the join key keeps the configured parallelism,
     # and both sides of the self-join reuse it without another shuffle.
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    o = orient(edges, keys).repartition(parts, *keys, "s")
-    left = o.select(*keys, "s", F.col("t").alias("x"), F.col("dt").alias("dx"))
-    right = o.select(*keys, "s", F.col("t").alias("y"), F.col("dt").alias("dy"))
+    o = orient(edges, keys)
+    by_source = o.repartition(parts, *keys, "s")
+    left = by_source.select(*keys, "s", F.col("t").alias("x"), F.col("dt").alias("dx"))
+    right = by_source.select(*keys, "s", F.col("t").alias("y"), F.col("dt").alias("dy"))
     wedges = (left.join(right, [*keys, "s"])
               .where(_before(F.col("dx"), F.col("x"), F.col("dy"), F.col("y")))
               .select(*keys, "s", "x", "y"))
+    # the closing side is joined on (keys, x, y): it needs no source partitioning
     closing = o.select(*keys, F.col("s").alias("x"), F.col("t").alias("y"))
     return wedges.join(closing, [*keys, "x", "y"]).select(*keys, "s", "x", "y")
 
