@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -51,32 +51,69 @@ def orient(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def list_triangles(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+# A source with more out-edges than this has its wedges split over tasks.
+SPLIT_ABOVE = 2048
+
+
+def _wedges(o: DataFrame, keys: list[str], parts: int, split_above: int) -> DataFrame:
+    """``(keys..., s, x, y)``: pairs of out-edges ``s->x``, ``s->y`` with
+    ``rank(x) < rank(y)``.
+
+    ``o`` is hash-partitioned on ``(keys, s)`` once; a window over that same
+    partitioning counts each source's out-degree without another shuffle.
+    Light sources (out-degree <= ``split_above``) pair their edges in place.
+    A heavy source's out-edges are cut into ``B = ceil(d / split_above)``
+    chunks by a hash of the target; chunk ``i`` meets chunk ``j`` under the
+    key ``(s, i, j)``, so each of the ``B^2`` chunk pairs is its own join
+    group of at most ``split_above^2`` wedges, spread over tasks.  Only the
+    heavy sources' edges are copied (``B`` times) and shuffled again.
+    """
+    by_source = o.repartition(parts, *keys, "s")
+    w = Window.partitionBy(*keys, "s")
+    counted = by_source.withColumn("deg_out", F.count(F.lit(1)).over(w))
+    ordered = _before(F.col("dx"), F.col("x"), F.col("dy"), F.col("y"))
+
+    light = counted.where(F.col("deg_out") <= split_above)
+    left = light.select(*keys, "s", F.col("t").alias("x"), F.col("dt").alias("dx"))
+    right = light.select(*keys, "s", F.col("t").alias("y"), F.col("dt").alias("dy"))
+    out = left.join(right, [*keys, "s"]).where(ordered).select(*keys, "s", "x", "y")
+
+    heavy = (counted.where(F.col("deg_out") > split_above)
+             .withColumn("B", F.ceil(F.col("deg_out") / F.lit(split_above)).cast("int"))
+             .withColumn("c", F.pmod(F.xxhash64("t"), F.col("B")).cast("int")))
+    every = F.explode(F.sequence(F.lit(0), F.col("B") - 1))
+    hl = heavy.select(*keys, "s", F.col("c").alias("ci"), every.alias("cj"),
+                      F.col("t").alias("x"), F.col("dt").alias("dx"))
+    hr = heavy.select(*keys, "s", every.alias("ci"), F.col("c").alias("cj"),
+                      F.col("t").alias("y"), F.col("dt").alias("dy"))
+    jk = [*keys, "s", "ci", "cj"]
+    split = (hl.repartition(parts, *jk).join(hr.repartition(parts, *jk), jk)
+             .where(ordered).select(*keys, "s", "x", "y"))
+    return out.unionByName(split)
+
+
+def list_triangles(edges: DataFrame, keys: Sequence[str] = (),
+                   split_above: int = SPLIT_ABOVE) -> DataFrame:
     """One row ``(keys..., s, x, y)`` per triangle, ``s`` its lowest-ranked node."""
     keys = list(keys)
     # The wedge join multiplies rows (8.8 M wedges from 0.6 M edges at sf0.1),
     # which AQE cannot see: left alone it coalesces the small oriented table
     # into one partition and runs the whole explosion in one task.  A fixed
-    # hash partitioning on the join key keeps the configured parallelism,
-    # and both sides of the self-join reuse it without another shuffle.
+    # hash partitioning on the join key keeps the configured parallelism.
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     o = orient(edges, keys)
-    by_source = o.repartition(parts, *keys, "s")
-    left = by_source.select(*keys, "s", F.col("t").alias("x"), F.col("dt").alias("dx"))
-    right = by_source.select(*keys, "s", F.col("t").alias("y"), F.col("dt").alias("dy"))
-    wedges = (left.join(right, [*keys, "s"])
-              .where(_before(F.col("dx"), F.col("x"), F.col("dy"), F.col("y")))
-              .select(*keys, "s", "x", "y"))
+    wedges = _wedges(o, keys, parts, split_above)
     # the closing side is joined on (keys, x, y): it needs no source partitioning
     closing = o.select(*keys, F.col("s").alias("x"), F.col("t").alias("y"))
     return wedges.join(closing, [*keys, "x", "y"]).select(*keys, "s", "x", "y")
 
 
-def count_triangles(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def count_triangles(edges: DataFrame, keys: Sequence[str] = (),
+                    split_above: int = SPLIT_ABOVE) -> DataFrame:
     """``(keys..., triangles)`` for groups with at least one triangle; with no
     keys, a single row (0 when there is none)."""
     keys = list(keys)
-    tri = list_triangles(edges, keys)
+    tri = list_triangles(edges, keys, split_above)
     if not keys:
         return tri.agg(F.count(F.lit(1)).alias("triangles"))
     return tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))

@@ -207,3 +207,28 @@ def test_read_edges_text(spark, scratch):
         f.write("1,x\n")
     with pytest.raises(Exception):
         read_edges(spark, bad).collect()
+
+
+@pytest.mark.parametrize("split_above", [1, 2, 5])
+def test_heavy_source_split_matches_brute_force(spark, split_above):
+    from sparkcount.operators.triangles import count_triangles
+    rng = random.Random(split_above)
+    # a dense core plus a hub: many sources exceed the tiny split threshold
+    pairs = [(a, b) for a in range(12) for b in range(a + 1, 12) if rng.random() < 0.7]
+    pairs += [(100, n) for n in range(40)]
+    und = G.undirected(edges(spark, pairs))
+    assert one(count_triangles(und, split_above=split_above)) == brute(pairs)
+    keyed = und.withColumn("g", (und.u % 2).cast("bigint"))
+    got = {r.g: r.triangles for r in count_triangles(keyed, ["g"], split_above).collect()}
+    want = {}
+    for g in (0, 1):
+        sub = [(u, v) for u, v in set((min(a, b), max(a, b)) for a, b in pairs if a != b) if u % 2 == g]
+        if brute(sub):
+            want[g] = brute(sub)
+    assert got == want
+
+
+def test_sf0001_with_split(spark):
+    from sparkcount.operators.triangles import count_triangles
+    und = G.undirected(edge_list(spark, SF001))
+    assert one(count_triangles(und, split_above=3)) == 7852
