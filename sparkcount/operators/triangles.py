@@ -35,7 +35,8 @@ def _before(d1: Column, n1: Column, d2: Column, n2: Column) -> Column:
 
 
 def orient(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """``(keys..., s, t, dt)``: each edge from lower to higher rank, with deg(t)."""
+    """``(keys..., s, t, ds, dt)``: each edge from lower to higher rank, with
+    the degrees of both ends."""
     keys = list(keys)
     ends = edges.select(*keys, F.explode(F.array("u", "v")).alias("n"))
     deg = ends.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("d"))
@@ -47,6 +48,7 @@ def orient(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         *keys,
         F.when(fwd, F.col("u")).otherwise(F.col("v")).alias("s"),
         F.when(fwd, F.col("v")).otherwise(F.col("u")).alias("t"),
+        F.when(fwd, F.col("du")).otherwise(F.col("dv")).alias("ds"),
         F.when(fwd, F.col("dv")).otherwise(F.col("du")).alias("dt"),
     )
 
@@ -59,9 +61,11 @@ def _wedges(o: DataFrame, keys: list[str], parts: int, split_above: int) -> Data
     """``(keys..., s, x, y)``: pairs of out-edges ``s->x``, ``s->y`` with
     ``rank(x) < rank(y)``.
 
-    ``o`` is hash-partitioned on ``(keys, s)`` once; a window over that same
-    partitioning counts each source's out-degree without another shuffle.
-    Light sources (out-degree <= ``split_above``) pair their edges in place.
+    ``o`` is hash-partitioned on ``(keys, s)`` once.  A source's out-degree
+    is at most its degree, so only sources of degree above ``split_above``
+    have their out-degree counted, by a window over the same partitioning (no
+    further shuffle).  Light sources (out-degree <= ``split_above``) pair
+    their edges in place.
     A heavy source's out-edges are cut into ``B = ceil(d / split_above)``
     chunks by a hash of the target; chunk ``i`` meets chunk ``j`` under the
     key ``(s, i, j)``, so each of the ``B^2`` chunk pairs is its own join
@@ -69,26 +73,35 @@ def _wedges(o: DataFrame, keys: list[str], parts: int, split_above: int) -> Data
     heavy sources' edges are copied (``B`` times) and shuffled again.
     """
     by_source = o.repartition(parts, *keys, "s")
-    w = Window.partitionBy(*keys, "s")
-    counted = by_source.withColumn("deg_out", F.count(F.lit(1)).over(w))
     ordered = _before(F.col("dx"), F.col("x"), F.col("dy"), F.col("y"))
-
-    light = counted.where(F.col("deg_out") <= split_above)
+    # out-degree <= degree: only sources of degree above the limit need counting
+    sure = by_source.where(F.col("ds") <= split_above)
+    w = Window.partitionBy(*keys, "s")
+    cand = (by_source.where(F.col("ds") > split_above)
+            .withColumn("deg_out", F.count(F.lit(1)).over(w)))
+    # both pieces keep the (keys, s) hash partitioning, so the union does too
+    light = sure.unionByName(cand.where(F.col("deg_out") <= split_above).drop("deg_out"))
     left = light.select(*keys, "s", F.col("t").alias("x"), F.col("dt").alias("dx"))
     right = light.select(*keys, "s", F.col("t").alias("y"), F.col("dt").alias("dy"))
     out = left.join(right, [*keys, "s"]).where(ordered).select(*keys, "s", "x", "y")
 
-    heavy = (counted.where(F.col("deg_out") > split_above)
+    heavy = (cand.where(F.col("deg_out") > split_above)
              .withColumn("B", F.ceil(F.col("deg_out") / F.lit(split_above)).cast("int"))
              .withColumn("c", F.pmod(F.xxhash64("t"), F.col("B")).cast("int")))
-    every = F.explode(F.sequence(F.lit(0), F.col("B") - 1))
-    hl = heavy.select(*keys, "s", F.col("c").alias("ci"), every.alias("cj"),
-                      F.col("t").alias("x"), F.col("dt").alias("dx"))
-    hr = heavy.select(*keys, "s", every.alias("ci"), F.col("c").alias("cj"),
-                      F.col("t").alias("y"), F.col("dt").alias("dy"))
+    # one exchange for both join roles: copy k < B is the left copy for chunk
+    # pair (c, k), copy k >= B the right copy for (k - B, c)
+    k = F.explode(F.sequence(F.lit(0), F.col("B") * 2 - 1))
+    tagged = heavy.select(*keys, "s", "t", "dt", "B", "c", k.alias("k"))
+    is_left = F.col("k") < F.col("B")
+    tagged = tagged.select(
+        *keys, "s", "t", "dt", is_left.alias("is_left"),
+        F.when(is_left, F.col("c")).otherwise(F.col("k") - F.col("B")).alias("ci"),
+        F.when(is_left, F.col("k")).otherwise(F.col("c")).alias("cj"))
     jk = [*keys, "s", "ci", "cj"]
-    split = (hl.repartition(parts, *jk).join(hr.repartition(parts, *jk), jk)
-             .where(ordered).select(*keys, "s", "x", "y"))
+    pairs = tagged.repartition(parts, *jk)
+    hl = pairs.where(F.col("is_left")).select(*jk, F.col("t").alias("x"), F.col("dt").alias("dx"))
+    hr = pairs.where(~F.col("is_left")).select(*jk, F.col("t").alias("y"), F.col("dt").alias("dy"))
+    split = hl.join(hr, jk).where(ordered).select(*keys, "s", "x", "y")
     return out.unionByName(split)
 
 
