@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,19 +9,15 @@ from pyspark.sql import functions as F
 def merge_single_rows(*frames: DataFrame) -> DataFrame:
     """Put the columns of several one-row aggregates side by side.
 
-    Each frame contributes its own columns and NULL for the others; the union
-    is then folded with ``max`` (NULLs ignored).  No join: every input is
-    already a single row, and the fold is one tiny final aggregate.
-    """
-    names = [c for f in frames for c in f.columns]
-    types = {f.name: f.dataType for fr in frames for f in fr.schema.fields}
-    parts = []
-    for fr in frames:
-        own = set(fr.columns)
-        parts.append(fr.select(*[F.col(n) if n in own else F.lit(None).cast(types[n]).alias(n)
-                                 for n in names]))
-    both = reduce(DataFrame.unionByName, parts)
-    return both.agg(*[F.max(n).alias(n) for n in names])
+    Each frame becomes one scalar subquery returning its row as a struct, and
+    the structs are expanded: no join and no union, and one SQL statement, so
+    the inputs' plans are analysed once.  Spark runs the subqueries as
+    separate small jobs."""
+    spark = frames[0].sparkSession
+    names = {f"f{i}": fr for i, fr in enumerate(frames)}
+    inner = ", ".join(f"(SELECT struct(*) FROM {{{n}}}) AS {n}" for n in names)
+    outer = ", ".join(f"{n}.*" for n in names)
+    return spark.sql(f"SELECT {outer} FROM (SELECT {inner})", **names)
 
 
 def replicate(params: list[dict]) -> Column:
@@ -31,10 +25,11 @@ def replicate(params: list[dict]) -> Column:
 
     Copies each row once per parameter set (``R`` runs, ``D`` sketch rows, a
     sweep grid) inside the same stage - no join, no shuffle; the array's size
-    is the number of parameter sets, fixed by the caller.
-    """
-    structs = [F.struct(*[F.lit(v).alias(k) for k, v in p.items()]) for p in params]
-    return F.explode(F.array(*structs))
+    is the number of parameter sets, fixed by the caller.  Built as one SQL
+    expression (integer parameters only)."""
+    def one(p):
+        return "named_struct(" + ", ".join(f"'{k}', {int(v)}" for k, v in p.items()) + ")"
+    return F.expr("explode(array(" + ", ".join(one(p) for p in params) + "))")
 
 
 def ratio(num: Column, den: Column, places: int = 9) -> Column:

@@ -3,10 +3,11 @@
 ``h(x) = ((a*x + b) mod p) mod m`` with ``a`` in ``[1, p-1]``, ``b`` in
 ``[0, p-1]``.  The argument is reduced modulo ``p`` first, so ``a * x`` never
 overflows BIGINT (ANSI mode raises on overflow) and the value equals the plain
-integer formula for every ``x``, negative ones included (``pmod``).
+integer formula for every ``x``, negative ones included (``((x % p) + p) % p``).
 
-The same expressions are rendered as SQL text so the DuckDB oracle can carry
-the exact literals drawn from a seed.
+The expressions are written once, as SQL text: Spark parses each into a
+single Column, and the DuckDB oracle runs the same text with the same
+literals drawn from a seed.
 """
 
 from __future__ import annotations
@@ -51,36 +52,32 @@ def draw_edge_bucket(seed: int, p: int = P) -> EdgeBucket:
     return EdgeBucket(rng.randint(1, p - 1), rng.randint(1, p - 1), rng.randint(0, p - 1), p)
 
 
-def _c(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
+def affine(x: str, a, b, p: int = P) -> Column:
+    """``(a*x + b) mod p``; ``x``, ``a``, ``b`` are SQL expressions (column
+    names, struct fields) or integers."""
+    return F.expr(sql_affine(x, a, b, p))
 
 
-def affine(x: Column, a, b, p: int = P) -> Column:
-    """``(a*x + b) mod p`` with ``a``, ``b`` literals or columns."""
-    pl = F.lit(p).cast("bigint")
-    return F.pmod(F.pmod(_c(x).cast("bigint"), pl) * _c(a) + _c(b), pl)
-
-
-def color(x: Column, a, b, m, p: int = P) -> Column:
+def color(x: str, a, b, m, p: int = P) -> Column:
     """Colour / column index ``((a*x + b) mod p) mod m`` in ``[0, m)``."""
-    return affine(x, a, b, p) % _c(m)
+    return F.expr(sql_color(x, a, b, m, p))
 
 
-def sign(x: Column, a, b, p: int = P) -> Column:
+def sign(x: str, a, b, p: int = P) -> Column:
     """Sign ``2*(((a*x + b) mod p) mod 2) - 1`` in ``{-1, +1}``."""
-    return (affine(x, a, b, p) % 2) * 2 - 1
+    return F.expr(sql_sign(x, a, b, p))
 
 
-def edge_bucket(u: Column, v: Column, h: EdgeBucket, m) -> Column:
+def edge_bucket(u: str, v: str, h: EdgeBucket, m) -> Column:
     """Bucket of the ordered pair ``(u, v)`` in ``[0, m)``."""
-    pl = F.lit(h.p).cast("bigint")
-    return F.pmod(F.pmod(u, pl) * h.a + F.pmod(v, pl) * h.b + h.c, pl) % _c(m)
+    return F.expr(sql_edge_bucket(u, v, h, m))
 
 
-# ---- the same formulas as SQL text (DuckDB and Spark SQL agree on these) ----
+# ---- the formulas as SQL text: Spark parses them into one expression each
+# (no per-operator Python round trips), and DuckDB runs the same text ----
 
 def sql_pmod(x: str, p: int = P) -> str:
-    return f"((({x}) % {p}) + {p}) % {p}"
+    return f"(((CAST({x} AS BIGINT)) % {p}) + {p}) % {p}"
 
 
 def sql_affine(x: str, a, b, p: int = P) -> str:

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkcount.functions import hashing as H
-from sparkcount.functions.frames import merge_single_rows, replicate
-from sparkcount.operators.triangles import count_triangles, list_triangles
+from sparkcount.functions.frames import replicate
+from sparkcount.operators.triangles import count_triangles, triangles_query
 
 
 # ---- G2-G5 -----------------------------------------------------------------
@@ -61,84 +61,87 @@ def color_nodes(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     """``(node, color)`` for every node that appears in an edge."""
     nodes = (edges.select(F.col("u").alias("node"))
              .unionByName(edges.select(F.col("v").alias("node"))).distinct())
-    return nodes.select("node", H.color(F.col("node"), h.a, h.b, C, h.p).alias("color"))
+    return nodes.select("node", H.color("node", h.a, h.b, C, h.p).alias("color"))
 
 
 def monochromatic_edges(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     """``(color, u, v)`` for edges whose two ends share a colour (loops too)."""
-    cu = H.color(F.col("u"), h.a, h.b, C, h.p)
-    cv = H.color(F.col("v"), h.a, h.b, C, h.p)
+    cu = H.color("u", h.a, h.b, C, h.p)
+    cv = H.color("v", h.a, h.b, C, h.p)
     return (edges.select(cu.alias("color"), cv.alias("cv"), "u", "v")
             .where(F.col("color") == F.col("cv")).select("color", "u", "v"))
 
 
-def _per_key_with_zeros(present: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return (present.join(counts, list(keys), "left")
-            .select(*keys, F.coalesce(F.col("triangles"), F.lit(0)).cast("bigint").alias("triangles")))
-
-
 def triangles_per_color(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     """``(color, triangles)`` for every colour that has a monochromatic edge."""
     mono = monochromatic_edges(edges, C, h)
-    counts = count_triangles(undirected(mono, "color"), ["color"])
-    return _per_key_with_zeros(mono.select("color").distinct(), counts, ["color"])
+    return triangles_query(undirected(mono, "color"), ["color"], """
+SELECT color, CAST(coalesce(t.n, 0) AS BIGINT) AS triangles
+FROM (SELECT DISTINCT color FROM {mono}) p
+LEFT JOIN (SELECT color, count(1) AS n FROM triangles GROUP BY color) t USING (color)""",
+                           mono=mono)
 
 
 def approx_triangles_color(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     """One row ``triangles`` = ``C^2 * sum of per-colour counts``."""
     mono = monochromatic_edges(edges, C, h)
-    counts = count_triangles(undirected(mono, "color"), ["color"])
-    return counts.agg((F.coalesce(F.sum("triangles"), F.lit(0)) * (C * C))
-                      .cast("bigint").alias("triangles"))
+    return triangles_query(undirected(mono, "color"), ["color"],
+                           f"SELECT CAST(count(1) * {C * C} AS BIGINT) AS triangles FROM triangles")
 
 
-def approx_triangles_color_runs(edges: DataFrame, C: int, hs: Sequence[H.Affine]) -> DataFrame:
-    """``(run, triangles)``: the colour estimate for each hash in ``hs``, all
-    runs in one job.  Each edge is copied once per run inside its stage
-    (explode of the parameter array) and filtered at once, so about ``R/C`` of
-    the edges reach the shuffle; a run with no triangle gives 0."""
+def _runs_sql(C: int, R: int) -> str:
+    return f"""
+SELECT CAST(r.id AS INT) AS run, CAST(coalesce(t.n, 0) * {C * C} AS BIGINT) AS triangles
+FROM range({R}) r
+LEFT JOIN (SELECT run, count(1) AS n FROM triangles GROUP BY run) t ON t.run = r.id"""
+
+
+def _mono_runs(edges: DataFrame, C: int, hs: Sequence[H.Affine]) -> DataFrame:
     params = [{"run": i, "a": h.a, "b": h.b} for i, h in enumerate(hs)]
     p = hs[0].p
     rows = edges.select("u", "v", replicate(params).alias("prm"))
-    cu = H.color(F.col("u"), F.col("prm.a"), F.col("prm.b"), C, p)
-    cv = H.color(F.col("v"), F.col("prm.a"), F.col("prm.b"), C, p)
+    cu = H.color("u", "prm.a", "prm.b", C, p)
+    cv = H.color("v", "prm.a", "prm.b", C, p)
     mono = (rows.select(F.col("prm.run").alias("run"), cu.alias("color"), cv.alias("cv"), "u", "v")
             .where(F.col("color") == F.col("cv")))
-    counts = count_triangles(undirected(mono, "run", "color"), ["run", "color"])
-    per_run = counts.groupBy("run").agg((F.sum("triangles") * (C * C)).alias("triangles"))
-    runs = edges.sparkSession.range(len(hs)).select(F.col("id").cast("int").alias("run"))
-    return _per_key_with_zeros(runs, per_run, ["run"])
+    return undirected(mono, "run", "color")
+
+
+def approx_triangles_color_runs(edges: DataFrame, C: int, hs: Sequence[H.Affine]) -> DataFrame:
+    """``(run, triangles)``: the colour estimate for each hash in ``hs``, all
+    runs in one job.  Each edge is copied once per run inside its stage
+    (explode of the parameter array) and filtered at once, so about ``R/C`` of
+    the edges reach the shuffle; a run with no triangle gives 0."""
+    return triangles_query(_mono_runs(edges, C, hs), ["run", "color"], _runs_sql(C, len(hs)))
 
 
 def approx_triangles_color_median(edges: DataFrame, C: int, hs: Sequence[H.Affine]) -> DataFrame:
     """One row ``triangles`` (DOUBLE): median over runs of the colour estimate."""
-    return (approx_triangles_color_runs(edges, C, hs)
-            .agg(F.median("triangles").cast("double").alias("triangles")))
+    return triangles_query(
+        _mono_runs(edges, C, hs), ["run", "color"],
+        f"SELECT CAST(median(triangles) AS DOUBLE) AS triangles FROM ({_runs_sql(C, len(hs))})")
 
 
 # ---- G11-G13: edge buckets -------------------------------------------------
 
 def partition_edges(edges: DataFrame, C: int, hb: H.EdgeBucket) -> DataFrame:
     """``(u, v, part)``: bucket of each ordered pair in ``[0, C)``."""
-    return edges.select("u", "v", H.edge_bucket(F.col("u"), F.col("v"), hb, C).alias("part"))
+    return edges.select("u", "v", H.edge_bucket("u", "v", hb, C).alias("part"))
 
 
 def triangles_per_partition(edges: DataFrame, C: int, hb: H.EdgeBucket) -> DataFrame:
     """``(part, triangles)`` for every bucket ``0..C-1``; edges are made
     undirected inside each bucket, after the bucket is chosen."""
-    parts = partition_edges(edges, C, hb)
-    counts = count_triangles(undirected(parts, "part"), ["part"])
-    buckets = edges.sparkSession.range(C).select(F.col("id").cast("int").alias("part"))
-    return _per_key_with_zeros(buckets, counts.withColumn("part", F.col("part").cast("int")),
-                               ["part"])
+    return triangles_query(undirected(partition_edges(edges, C, hb), "part"), ["part"], f"""
+SELECT CAST(r.id AS INT) AS part, CAST(coalesce(t.n, 0) AS BIGINT) AS triangles
+FROM range({C}) r
+LEFT JOIN (SELECT part, count(1) AS n FROM triangles GROUP BY part) t ON t.part = r.id""")
 
 
 def approx_triangles_partition(edges: DataFrame, C: int, hb: H.EdgeBucket) -> DataFrame:
     """One row ``triangles`` = ``C^2 * sum of per-bucket counts``."""
-    parts = partition_edges(edges, C, hb)
-    counts = count_triangles(undirected(parts, "part"), ["part"])
-    return counts.agg((F.coalesce(F.sum("triangles"), F.lit(0)) * (C * C))
-                      .cast("bigint").alias("triangles"))
+    return triangles_query(undirected(partition_edges(edges, C, hb), "part"), ["part"],
+                           f"SELECT CAST(count(1) * {C * C} AS BIGINT) AS triangles FROM triangles")
 
 
 # ---- G14-G16: colour triples (exact) -----------------------------------------
@@ -152,8 +155,8 @@ def _sorted3(a, b, c):
 def replicate_by_color_triple(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     """``(c1, c2, c3, u, v)``: every edge once per ``i`` in ``0..C-1`` under the
     key ``sorted(h(u), h(v), i)``."""
-    cu = H.color(F.col("u"), h.a, h.b, C, h.p)
-    cv = H.color(F.col("v"), h.a, h.b, C, h.p)
+    cu = H.color("u", h.a, h.b, C, h.p)
+    cv = H.color("v", h.a, h.b, C, h.p)
     rows = edges.select("u", "v", cu.alias("cu"), cv.alias("cv"),
                         F.explode(F.sequence(F.lit(0), F.lit(C - 1))).alias("i"))
     c1, c2, c3 = _sorted3(F.col("cu"), F.col("cv"), F.col("i").cast("bigint"))
@@ -163,14 +166,43 @@ def replicate_by_color_triple(edges: DataFrame, C: int, h: H.Affine) -> DataFram
 def _triple_keys(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     """Keys the replication produces: from the at most ``C^2`` colour pairs of
     the edges (loops included), without copying the edges."""
-    cu = H.color(F.col("u"), h.a, h.b, C, h.p)
-    cv = H.color(F.col("v"), h.a, h.b, C, h.p)
+    cu = H.color("u", h.a, h.b, C, h.p)
+    cv = H.color("v", h.a, h.b, C, h.p)
     pairs = edges.select(F.least(cu, cv).alias("x"), F.greatest(cu, cv).alias("y")).distinct()
     rows = pairs.select("x", "y", F.explode(F.sequence(F.lit(0), F.lit(C - 1))).alias("i"))
     c1, c2, c3 = _sorted3(F.col("x"), F.col("y"), F.col("i").cast("bigint"))
     return rows.select(c1.alias("c1"), c2.alias("c2"), c3.alias("c3")).distinct()
 
 
+def _per_triple_sql(C: int, h: H.Affine, method: str) -> str:
+    """Per-key counts: every key of ``{triple_keys}`` left-joined with the triangles
+    whose sorted colour triple equals it (0 when there is none)."""
+    cs, cx, cy = (H.sql_color(n, h.a, h.b, C, h.p) for n in ("s", "x", "y"))
+    lo, hi = f"least({cs}, {cx}, {cy})", f"greatest({cs}, {cx}, {cy})"
+    mid = f"({cs} + {cx} + {cy} - {lo} - {hi})"
+    if method == "direct":
+        grouped = (f"SELECT {lo} AS c1, {mid} AS c2, {hi} AS c3, count(1) AS n "
+                   f"FROM triangles GROUP BY 1, 2, 3")
+    else:
+        grouped = (f"SELECT c1, c2, c3, count(1) AS n FROM triangles "
+                   f"WHERE c1 = {lo} AND c2 = {mid} AND c3 = {hi} GROUP BY c1, c2, c3")
+    return f"""
+SELECT k.c1, k.c2, k.c3, CAST(coalesce(t.n, 0) AS BIGINT) AS triangles
+FROM {{triple_keys}} k
+LEFT JOIN ({grouped}) t ON t.c1 = k.c1 AND t.c2 = k.c2 AND t.c3 = k.c3"""
+
+
+def _triple_query(edges: DataFrame, C: int, h: H.Affine, method: str, wrap: str) -> DataFrame:
+    if method == "direct":
+        und, keys = undirected(edges), []
+    elif method == "replicate":
+        und, keys = undirected(replicate_by_color_triple(edges, C, h), "c1", "c2", "c3"), ["c1", "c2", "c3"]
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    tail = wrap.format(per=_per_triple_sql(C, h, method))
+    return triangles_query(und, keys, tail, triple_keys=_triple_keys(edges, C, h))
+
+
 def triangles_per_color_triple(edges: DataFrame, C: int, h: H.Affine,
                                method: str = "direct") -> DataFrame:
     """``(c1, c2, c3, triangles)`` for every key the replication produces.
@@ -181,30 +213,14 @@ def triangles_per_color_triple(edges: DataFrame, C: int, h: H.Affine,
     ``replicate`` plan keeps the copy: triangles inside each group, then the
     colour filter.
     """
-    keys = ["c1", "c2", "c3"]
-    if method == "direct":
-        tri = list_triangles(undirected(edges))
-        col = [H.color(F.col(n), h.a, h.b, C, h.p) for n in ("s", "x", "y")]
-        c1, c2, c3 = _sorted3(*col)
-        counts = (tri.select(c1.alias("c1"), c2.alias("c2"), c3.alias("c3"))
-                  .groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles")))
-    elif method == "replicate":
-        rep = replicate_by_color_triple(edges, C, h)
-        tri = list_triangles(undirected(rep, *keys), keys)
-        col = [H.color(F.col(n), h.a, h.b, C, h.p) for n in ("s", "x", "y")]
-        c1, c2, c3 = _sorted3(*col)
-        counts = (tri.where((F.col("c1") == c1) & (F.col("c2") == c2) & (F.col("c3") == c3))
-                  .groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles")))
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    return _per_key_with_zeros(_triple_keys(edges, C, h), counts, keys)
+    return _triple_query(edges, C, h, method, "{per}")
 
 
 def exact_triangles_color(edges: DataFrame, C: int, h: H.Affine, method: str = "direct") -> DataFrame:
     """One row ``triangles``: the sum over colour triples - the exact count,
     whatever ``C`` and ``h``."""
-    per = triangles_per_color_triple(edges, C, h, method)
-    return per.agg(F.coalesce(F.sum("triangles"), F.lit(0)).cast("bigint").alias("triangles"))
+    return _triple_query(edges, C, h, method,
+                         "SELECT CAST(coalesce(sum(triangles), 0) AS BIGINT) AS triangles FROM ({per})")
 
 
 # ---- G17 -------------------------------------------------------------------
@@ -228,8 +244,8 @@ def triangle_report(edges: DataFrame, C: int, hs: Sequence[H.Affine], method: st
         est = exact_triangles_color(edges, C, hs[-1])
     else:
         raise ValueError(f"unknown method {method!r}")
-    est = est.select(F.col("triangles").cast("double").alias("triangles"))
-    info = edge_count(ed).select(
-        "n_edges", F.lit(C).alias("colors"), F.lit(len(hs)).alias("runs"),
-        F.lit(method).alias("method"))
-    return merge_single_rows(info, est)
+    # two scalar subqueries, no join: both inputs are single rows
+    return edges.sparkSession.sql(f"""
+SELECT (SELECT count(1) FROM {{ed}}) AS n_edges, {int(C)} AS colors, {len(hs)} AS runs,
+       '{method}' AS method, (SELECT CAST(triangles AS DOUBLE) FROM {{est}}) AS triangles""",
+                                  ed=ed, est=est)

@@ -45,12 +45,11 @@ class SketchParams:
 def _cells(df: DataFrame, prm: SketchParams, keep: list[str]) -> DataFrame:
     """``(keep..., j, k, g)``: the cell and sign of every row in each sketch row."""
     r = df.select(*keep, replicate(prm.as_dicts()).alias("prm"))
-    x = F.col("item")
     return r.select(
         *keep,
         F.col("prm.j").alias("j"),
-        H.color(x, F.col("prm.a"), F.col("prm.b"), prm.W, prm.p).alias("k"),
-        H.sign(x, F.col("prm.a2"), F.col("prm.b2"), prm.p).alias("g"),
+        H.color("item", "prm.a", "prm.b", prm.W, prm.p).alias("k"),
+        H.sign("item", "prm.a2", "prm.b2", prm.p).alias("g"),
     )
 
 

@@ -135,8 +135,8 @@ def accuracy_sweep(items: DataFrame, grid: list[dict], D: int, seed: int = 0) ->
     cells = (freq.select("item", "freq", replicate(rows).alias("q"))
              .where(x.between(F.col("q.lo"), F.col("q.hi")))
              .select("item", "freq", F.col("q.cfg").alias("cfg"), F.col("q.j").alias("j"),
-                     H.color(x, F.col("q.a"), F.col("q.b"), F.col("q.W")).alias("k"),
-                     H.sign(x, F.col("q.a2"), F.col("q.b2")).alias("g")))
+                     H.color("item", "q.a", "q.b", "q.W").alias("k"),
+                     H.sign("item", "q.a2", "q.b2").alias("g")))
     sketch = cells.groupBy("cfg", "j", "k").agg(F.sum(F.col("g") * F.col("freq")).alias("c"))
     # at most sum over settings of D * W rows: a bound fixed by the grid
     est = (cells.join(F.broadcast(sketch), ["cfg", "j", "k"])

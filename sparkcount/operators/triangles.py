@@ -12,121 +12,156 @@ Plan:
    and splits a hub's partition when it is not);
 3. wedges: pairs of out-edges sharing their source, ``rank(x) < rank(y)``;
 4. close: keep wedges whose ``x -> y`` edge exists (equi-join on
-   ``(keys, x, y)``, no skew: the key is a pair).
+   ``(keys, x, y)``).
 
 Every triangle is listed once, at its lowest-ranked node.  Orienting by
 degree bounds every out-degree by ``sqrt(2m)``, so a hub - which would make
 ``deg^2`` wedges under id order - has its edges pointing *into* it and makes
 almost none; the wedge count is ``O(m^1.5)`` whatever the skew.  On the sf0.1
 edge list this is 8.8 M wedges against 16.8 M for the id order.
+
+Wedge join.  Its output is many times its input, which AQE cannot see: left
+alone it coalesces the small oriented table into one partition and runs the
+whole explosion in one task.  The oriented edges are therefore hash
+partitioned on ``(keys, s)`` to ``spark.sql.shuffle.partitions`` once
+(``REPARTITION`` hint, which AQE keeps), and both sides of the self-join
+reuse that partitioning.  A source's out-degree is at most its degree, so
+only sources of degree above ``split_above`` have their out-degree counted,
+by a window over the same partitioning.  Sources with at most
+``split_above`` out-edges pair their edges in place.  A heavier source's
+out-edges are cut into ``B = ceil(d / split_above)`` chunks by a hash of the
+target; chunk ``i`` meets chunk ``j`` under the key ``(s, i, j)``, so each of
+the ``B^2`` chunk pairs is its own join group of at most ``split_above^2``
+wedges.  Only those sources' edges are copied (``2B`` times, both join roles
+through one exchange).
+
+The plan is one parameterised SQL query over the edge DataFrame: it is
+parsed and analysed once, instead of one Python round trip per operator.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+# A source with more out-edges than this has its wedges split over tasks.
+SPLIT_ABOVE = 2048
 
-def _before(d1: Column, n1: Column, d2: Column, n2: Column) -> Column:
-    """Rank order: by degree, ties by node id."""
-    return (d1 < d2) | ((d1 == d2) & (n1 < n2))
 
+def _ctes(keys: Sequence[str], parts: int, split_above: int) -> str:
+    k = "".join(f"{c}, " for c in keys)
+
+    def on(a: str, b: str, extra: str) -> str:
+        return " AND ".join([f"{a}.{c} = {b}.{c}" for c in keys] + [extra])
+
+    def ks(alias: str) -> str:
+        return "".join(f"{alias}.{c}, " for c in keys)
+
+    before = "(l.dx < r.dy OR (l.dx = r.dy AND l.x < r.y))"
+    return f"""
+WITH deg AS (
+  SELECT {k}n, count(1) AS d
+  FROM (SELECT {k}explode(array(u, v)) AS n FROM {{edges}})
+  GROUP BY {k}n
+),
+ranked AS (
+  SELECT {ks('e')}e.u, e.v, du.d AS du, dv.d AS dv,
+         (du.d < dv.d OR (du.d = dv.d AND e.u < e.v)) AS fwd
+  FROM {{edges}} e
+  JOIN deg du ON {on('du', 'e', 'du.n = e.u')}
+  JOIN deg dv ON {on('dv', 'e', 'dv.n = e.v')}
+),
+o AS (
+  SELECT {k}IF(fwd, u, v) AS s, IF(fwd, v, u) AS t,
+         IF(fwd, du, dv) AS ds, IF(fwd, dv, du) AS dt
+  FROM ranked
+),
+by_source AS (
+  SELECT /*+ REPARTITION({parts}, {k}s) */ * FROM o
+),
+cand AS (
+  SELECT *, count(1) OVER (PARTITION BY {k}s) AS deg_out
+  FROM by_source WHERE ds > {split_above}
+),
+light AS (
+  SELECT {k}s, t, dt FROM by_source WHERE ds <= {split_above}
+  UNION ALL
+  SELECT {k}s, t, dt FROM cand WHERE deg_out <= {split_above}
+),
+light_wedges AS (
+  SELECT {ks('l')}l.s, l.x, r.y
+  FROM (SELECT {k}s, t AS x, dt AS dx FROM light) l
+  JOIN (SELECT {k}s, t AS y, dt AS dy FROM light) r ON {on('l', 'r', 'l.s = r.s')}
+  WHERE {before}
+),
+heavy AS (
+  SELECT {k}s, t, dt, B, CAST(pmod(xxhash64(t), B) AS INT) AS c
+  FROM (SELECT *, CAST(ceil(deg_out / {split_above}) AS INT) AS B
+        FROM cand WHERE deg_out > {split_above})
+),
+tagged AS (
+  SELECT /*+ REPARTITION({parts}, {k}s, ci, cj) */
+         {k}s, t, dt, k < B AS is_left,
+         IF(k < B, c, k - B) AS ci, IF(k < B, k, c) AS cj
+  FROM heavy LATERAL VIEW explode(sequence(0, 2 * B - 1)) q AS k
+),
+heavy_wedges AS (
+  SELECT {ks('l')}l.s, l.x, r.y
+  FROM (SELECT {k}s, ci, cj, t AS x, dt AS dx FROM tagged WHERE is_left) l
+  JOIN (SELECT {k}s, ci, cj, t AS y, dt AS dy FROM tagged WHERE NOT is_left) r
+    ON {on('l', 'r', 'l.s = r.s AND l.ci = r.ci AND l.cj = r.cj')}
+  WHERE {before}
+),
+wedges AS (
+  SELECT * FROM light_wedges UNION ALL SELECT * FROM heavy_wedges
+),
+triangles AS (
+  SELECT {ks('w')}w.s, w.x, w.y
+  FROM wedges w
+  JOIN o c ON {on('c', 'w', 'c.s = w.x AND c.t = w.y')}
+)
+"""
 
-def orient(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """``(keys..., s, t, ds, dt)``: each edge from lower to higher rank, with
-    the degrees of both ends."""
-    keys = list(keys)
-    ends = edges.select(*keys, F.explode(F.array("u", "v")).alias("n"))
-    deg = ends.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("d"))
-    du = deg.select(*keys, F.col("n").alias("u"), F.col("d").alias("du"))
-    dv = deg.select(*keys, F.col("n").alias("v"), F.col("d").alias("dv"))
-    e = edges.join(du, [*keys, "u"]).join(dv, [*keys, "v"])
-    fwd = _before(F.col("du"), F.col("u"), F.col("dv"), F.col("v"))
-    return e.select(
-        *keys,
-        F.when(fwd, F.col("u")).otherwise(F.col("v")).alias("s"),
-        F.when(fwd, F.col("v")).otherwise(F.col("u")).alias("t"),
-        F.when(fwd, F.col("du")).otherwise(F.col("dv")).alias("ds"),
-        F.when(fwd, F.col("dv")).otherwise(F.col("du")).alias("dt"),
-    )
 
+def _run(edges: DataFrame, keys: Sequence[str], split_above: int, tail: str,
+         **frames: DataFrame) -> DataFrame:
+    spark = edges.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.sql(_ctes(list(keys), parts, split_above) + tail, edges=edges, **frames)
 
-# A source with more out-edges than this has its wedges split over tasks.
-SPLIT_ABOVE = 2048
 
+def triangles_query(edges: DataFrame, keys: Sequence[str], tail: str,
+                    split_above: int = SPLIT_ABOVE, **frames: DataFrame) -> DataFrame:
+    """Run the SQL ``tail`` after the triangle listing, in the same statement.
 
-def _wedges(o: DataFrame, keys: list[str], parts: int, split_above: int) -> DataFrame:
-    """``(keys..., s, x, y)``: pairs of out-edges ``s->x``, ``s->y`` with
-    ``rank(x) < rank(y)``.
-
-    ``o`` is hash-partitioned on ``(keys, s)`` once.  A source's out-degree
-    is at most its degree, so only sources of degree above ``split_above``
-    have their out-degree counted, by a window over the same partitioning (no
-    further shuffle).  Light sources (out-degree <= ``split_above``) pair
-    their edges in place.
-    A heavy source's out-edges are cut into ``B = ceil(d / split_above)``
-    chunks by a hash of the target; chunk ``i`` meets chunk ``j`` under the
-    key ``(s, i, j)``, so each of the ``B^2`` chunk pairs is its own join
-    group of at most ``split_above^2`` wedges, spread over tasks.  Only the
-    heavy sources' edges are copied (``B`` times) and shuffled again.
-    """
-    by_source = o.repartition(parts, *keys, "s")
-    ordered = _before(F.col("dx"), F.col("x"), F.col("dy"), F.col("y"))
-    # out-degree <= degree: only sources of degree above the limit need counting
-    sure = by_source.where(F.col("ds") <= split_above)
-    w = Window.partitionBy(*keys, "s")
-    cand = (by_source.where(F.col("ds") > split_above)
-            .withColumn("deg_out", F.count(F.lit(1)).over(w)))
-    # both pieces keep the (keys, s) hash partitioning, so the union does too
-    light = sure.unionByName(cand.where(F.col("deg_out") <= split_above).drop("deg_out"))
-    left = light.select(*keys, "s", F.col("t").alias("x"), F.col("dt").alias("dx"))
-    right = light.select(*keys, "s", F.col("t").alias("y"), F.col("dt").alias("dy"))
-    out = left.join(right, [*keys, "s"]).where(ordered).select(*keys, "s", "x", "y")
-
-    heavy = (cand.where(F.col("deg_out") > split_above)
-             .withColumn("B", F.ceil(F.col("deg_out") / F.lit(split_above)).cast("int"))
-             .withColumn("c", F.pmod(F.xxhash64("t"), F.col("B")).cast("int")))
-    # one exchange for both join roles: copy k < B is the left copy for chunk
-    # pair (c, k), copy k >= B the right copy for (k - B, c)
-    k = F.explode(F.sequence(F.lit(0), F.col("B") * 2 - 1))
-    tagged = heavy.select(*keys, "s", "t", "dt", "B", "c", k.alias("k"))
-    is_left = F.col("k") < F.col("B")
-    tagged = tagged.select(
-        *keys, "s", "t", "dt", is_left.alias("is_left"),
-        F.when(is_left, F.col("c")).otherwise(F.col("k") - F.col("B")).alias("ci"),
-        F.when(is_left, F.col("k")).otherwise(F.col("c")).alias("cj"))
-    jk = [*keys, "s", "ci", "cj"]
-    pairs = tagged.repartition(parts, *jk)
-    hl = pairs.where(F.col("is_left")).select(*jk, F.col("t").alias("x"), F.col("dt").alias("dx"))
-    hr = pairs.where(~F.col("is_left")).select(*jk, F.col("t").alias("y"), F.col("dt").alias("dy"))
-    split = hl.join(hr, jk).where(ordered).select(*keys, "s", "x", "y")
-    return out.unionByName(split)
+    ``tail`` reads the CTE ``triangles (keys..., s, x, y)`` and any DataFrame
+    passed in ``frames`` as ``{name}``.  Finishing a count inside the one
+    statement keeps the (large) plan from being re-analysed once per
+    follow-up DataFrame operation."""
+    return _run(edges, keys, split_above, tail, **frames)
 
 
 def list_triangles(edges: DataFrame, keys: Sequence[str] = (),
                    split_above: int = SPLIT_ABOVE) -> DataFrame:
     """One row ``(keys..., s, x, y)`` per triangle, ``s`` its lowest-ranked node."""
-    keys = list(keys)
-    # The wedge join multiplies rows (8.8 M wedges from 0.6 M edges at sf0.1),
-    # which AQE cannot see: left alone it coalesces the small oriented table
-    # into one partition and runs the whole explosion in one task.  A fixed
-    # hash partitioning on the join key keeps the configured parallelism.
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    o = orient(edges, keys)
-    wedges = _wedges(o, keys, parts, split_above)
-    # the closing side is joined on (keys, x, y): it needs no source partitioning
-    closing = o.select(*keys, F.col("s").alias("x"), F.col("t").alias("y"))
-    return wedges.join(closing, [*keys, "x", "y"]).select(*keys, "s", "x", "y")
+    k = "".join(f"{c}, " for c in keys)
+    return _run(edges, keys, split_above, f"SELECT {k}s, x, y FROM triangles")
 
 
 def count_triangles(edges: DataFrame, keys: Sequence[str] = (),
                     split_above: int = SPLIT_ABOVE) -> DataFrame:
     """``(keys..., triangles)`` for groups with at least one triangle; with no
     keys, a single row (0 when there is none)."""
-    keys = list(keys)
-    tri = list_triangles(edges, keys, split_above)
     if not keys:
-        return tri.agg(F.count(F.lit(1)).alias("triangles"))
-    return tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
+        return _run(edges, keys, split_above, "SELECT count(1) AS triangles FROM triangles")
+    k = ", ".join(keys)
+    return _run(edges, keys, split_above,
+                f"SELECT {k}, count(1) AS triangles FROM triangles GROUP BY {k}")
+
+
+def orient(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys..., s, t, ds, dt)``: each edge from lower to higher rank, with
+    the degrees of both ends."""
+    k = "".join(f"{c}, " for c in keys)
+    return _run(edges, keys, SPLIT_ABOVE, f"SELECT {k}s, t, ds, dt FROM o")
