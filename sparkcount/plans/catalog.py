@@ -119,6 +119,13 @@ def stream_queries() -> dict[str, Query]:
         "top_k_report": lambda s, d: K.top_k_report(_freq(s, d), _sketch_and_est(s, d)[2], Kt),
         "stream_report": lambda s, d: K.stream_report(_items(s, d), prm, P.LEFT, P.RIGHT, Kt),
         "distinct_report": lambda s, d: K.distinct_report(_items(s, d)),
+        # the same report over the two other item fixtures: one item holding
+        # about 39 % of the stream, and near-uniform items (the hard case for
+        # the F2 estimate)
+        "stream_report_skewed": lambda s, d: K.stream_report(
+            src.items(s, d, "skewed"), prm, P.LEFT_SKEWED, P.RIGHT_SKEWED, Kt),
+        "stream_report_flat": lambda s, d: K.stream_report(
+            src.items(s, d, "flat"), prm, P.LEFT_FLAT, P.RIGHT_FLAT, Kt),
         "sketch_accuracy_sweep":
             lambda s, d: K.accuracy_sweep(_items(s, d), P.SWEEP_GRID, P.SWEEP_D, P.SWEEP_SEED),
     }

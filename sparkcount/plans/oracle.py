@@ -159,6 +159,11 @@ IN_ITEMS = f"SELECT * FROM ({ITEMS}) WHERE item BETWEEN {P.LEFT} AND {P.RIGHT}"
 FREQ = f"SELECT item, count(*) AS freq FROM ({IN_ITEMS}) GROUP BY item"
 
 
+def _freq_of(kind: str, left: int, right: int) -> str:
+    return (f"SELECT item, count(*) AS freq FROM ({sql_items(kind)}) "
+            f"WHERE item BETWEEN {left} AND {right} GROUP BY item")
+
+
 def _prm_values(prm: SketchParams) -> str:
     vals = ", ".join(f"({j}, {a}, {b}, {a2}, {b2})" for j, (a, b, a2, b2) in enumerate(prm.rows))
     return f"(VALUES {vals}) q(j, a, b, a2, b2)"
@@ -170,35 +175,46 @@ def _cells(prm: SketchParams, freq: str = FREQ) -> str:
     return f"SELECT f.item AS item, f.freq AS freq, q.j AS j, {k} AS k, {g} AS g FROM ({freq}) f, {_prm_values(prm)}"
 
 
-def _sketch(prm: SketchParams) -> str:
-    return f"SELECT j, k, CAST(sum(g * freq) AS BIGINT) AS c FROM ({_cells(prm)}) GROUP BY j, k"
+def _sketch(prm: SketchParams, freq: str = FREQ) -> str:
+    return f"SELECT j, k, CAST(sum(g * freq) AS BIGINT) AS c FROM ({_cells(prm, freq)}) GROUP BY j, k"
 
 
-def _est(prm: SketchParams) -> str:
+def _est(prm: SketchParams, freq: str = FREQ) -> str:
     return (f"SELECT cl.item AS item, CAST(median(coalesce(s.c, 0) * cl.g) AS DOUBLE) AS est "
-            f"FROM ({_cells(prm)}) cl LEFT JOIN ({_sketch(prm)}) s ON s.j = cl.j AND s.k = cl.k "
-            f"GROUP BY cl.item")
+            f"FROM ({_cells(prm, freq)}) cl LEFT JOIN ({_sketch(prm, freq)}) s "
+            f"ON s.j = cl.j AND s.k = cl.k GROUP BY cl.item")
 
 
-def _top(K: int) -> str:
+def _top(K: int, freq: str = FREQ) -> str:
     return (f"SELECT item, freq FROM (SELECT item, freq, row_number() OVER "
-            f"(ORDER BY freq DESC, item ASC) AS r FROM ({FREQ})) WHERE r <= {K}")
+            f"(ORDER BY freq DESC, item ASC) AS r FROM ({freq})) WHERE r <= {K}")
 
 
-def _f2() -> str:
+def _f2(freq: str = FREQ) -> str:
     return (f"SELECT round(CAST(sum(CAST(freq AS HUGEINT) * freq) AS DOUBLE) / "
-            f"CAST(sum(freq) * sum(freq) AS DOUBLE), 9) AS f2 FROM ({FREQ})")
+            f"CAST(sum(freq) * sum(freq) AS DOUBLE), 9) AS f2 FROM ({freq})")
 
 
-def _f2_est(prm: SketchParams) -> str:
-    sq = f"SELECT j, sum(CAST(c AS HUGEINT) * c) AS s FROM ({_sketch(prm)}) GROUP BY j"
+def _f2_est(prm: SketchParams, freq: str = FREQ) -> str:
+    sq = f"SELECT j, sum(CAST(c AS HUGEINT) * c) AS s FROM ({_sketch(prm, freq)}) GROUP BY j"
     return (f"SELECT round((SELECT median(CAST(s AS DOUBLE)) FROM ({sq})) / "
-            f"(CAST((SELECT sum(freq) FROM ({FREQ})) AS DOUBLE) ^ 2), 9) AS f2_estimate")
+            f"(CAST((SELECT sum(freq) FROM ({freq})) AS DOUBLE) ^ 2), 9) AS f2_estimate")
 
 
-def _top_err(prm: SketchParams, K: int) -> str:
+def _top_err(prm: SketchParams, K: int, freq: str = FREQ) -> str:
     return (f"SELECT round(sum(abs(t.freq - e.est) / t.freq) / count(*), 9) AS top_k_error "
-            f"FROM ({_top(K)}) t LEFT JOIN ({_est(prm)}) e USING (item)")
+            f"FROM ({_top(K, freq)}) t LEFT JOIN ({_est(prm, freq)}) e USING (item)")
+
+
+def _report(prm: SketchParams, K: int, kind: str, left: int, right: int) -> str:
+    items, freq = sql_items(kind), _freq_of(kind, left, right)
+    return (f"SELECT {prm.D} AS D, {prm.W} AS W, CAST({left} AS BIGINT) AS \"left\", "
+            f"CAST({right} AS BIGINT) AS \"right\", {K} AS K, "
+            f"(SELECT count(*) FROM ({items})) AS stream_length, "
+            f"(SELECT CAST(coalesce(sum(freq), 0) AS BIGINT) FROM ({freq})) AS interval_length, "
+            f"(SELECT count(*) FROM ({freq})) AS interval_distinct, "
+            f"({_top_err(prm, K, freq)}) AS top_k_error, ({_f2(freq)}) AS f2, "
+            f"({_f2_est(prm, freq)}) AS f2_estimate")
 
 
 def _cutoff(threshold: int) -> str:
@@ -272,16 +288,12 @@ def stream_sql() -> dict[str, str]:
         "top_k_error": _top_err(prm, K),
         "top_k_report": (f"SELECT t.item, t.freq, e.est FROM ({_top(K)}) t LEFT JOIN ({_est(prm)}) e "
                          f"USING (item) WHERE {str(K <= 20).upper()}"),
-        "stream_report": (f"SELECT {prm.D} AS D, {prm.W} AS W, CAST({P.LEFT} AS BIGINT) AS \"left\", "
-                          f"CAST({P.RIGHT} AS BIGINT) AS \"right\", {K} AS K, "
-                          f"(SELECT count(*) FROM ({ITEMS})) AS stream_length, "
-                          f"(SELECT CAST(coalesce(sum(freq), 0) AS BIGINT) FROM ({FREQ})) AS interval_length, "
-                          f"(SELECT count(*) FROM ({FREQ})) AS interval_distinct, "
-                          f"({_top_err(prm, K)}) AS top_k_error, ({_f2()}) AS f2, "
-                          f"({_f2_est(prm)}) AS f2_estimate"),
+        "stream_report": _report(prm, K, "value", P.LEFT, P.RIGHT),
         "distinct_report": (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
                             f"max(item) AS largest_item FROM ({ITEMS})"),
         "sketch_accuracy_sweep": _sweep(),
+        "stream_report_skewed": _report(prm, K, "skewed", P.LEFT_SKEWED, P.RIGHT_SKEWED),
+        "stream_report_flat": _report(prm, K, "flat", P.LEFT_FLAT, P.RIGHT_FLAT),
     }
 
 

@@ -23,6 +23,9 @@ LEFT, RIGHT = 1, 300
 K_TOP = 10
 SKETCH = SketchParams.draw(D=5, W=30, seed=7)
 THRESHOLD = 6000
+# intervals for the skewed (floor(value / 25)) and flat (user_id) items
+LEFT_SKEWED, RIGHT_SKEWED = 0, 15
+LEFT_FLAT, RIGHT_FLAT = 1, 1000
 
 # Accuracy sweep, shaped like the recorded one: W at K=30, K at W=100, and
 # the interval's right end at W=30, K=10; D=9, one repeat each.

@@ -59,6 +59,7 @@ class ItemStreamRun:
         self.root = f"{(root or shared_dir(spark)).rstrip('/')}/{name}"
         self.stop_event = threading.Event()
         self.query = None
+        self._sizes: dict[int, int] | None = None
 
     # ---- paths ----
     def _path(self, table: str, batch_id: int | None = None) -> str:
@@ -72,11 +73,16 @@ class ItemStreamRun:
         return fs.exists(hpath)
 
     def _length_before(self, batch_id: int) -> int:
-        if not self._exists("ledger"):
-            return 0
-        row = (self.spark.read.parquet(self._path("ledger"))
-               .where(F.col("batch_id") < batch_id).agg(F.sum("n")).first())
-        return int(row[0] or 0)
+        """Items in the batches before ``batch_id``.  The ledger is read once
+        (a restart resumes from it); after that the per-batch counts - one
+        number per batch - are kept here, so a long stream does not re-list
+        a growing folder every second."""
+        if self._sizes is None:
+            self._sizes = {}
+            if self._exists("ledger"):
+                for r in self.spark.read.parquet(self._path("ledger")).select("batch_id", "n").collect():
+                    self._sizes[int(r.batch_id)] = int(r.n)
+        return sum(n for b, n in self._sizes.items() if b < batch_id)
 
     # ---- per micro-batch ----
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -99,6 +105,7 @@ class ItemStreamRun:
                      .write.mode("overwrite").parquet(self._path("sketch", batch_id)))
             (self.spark.createDataFrame([(n, kept)], "n BIGINT, kept BOOLEAN")
              .write.mode("overwrite").parquet(self._path("ledger", batch_id)))
+            self._sizes[batch_id] = n
         finally:
             items.unpersist()
 
