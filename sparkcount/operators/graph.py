@@ -59,8 +59,7 @@ def triangle_count(edges: DataFrame) -> DataFrame:
 
 def color_nodes(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     """``(node, color)`` for every node that appears in an edge."""
-    nodes = (edges.select(F.col("u").alias("node"))
-             .unionByName(edges.select(F.col("v").alias("node"))).distinct())
+    nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     return nodes.select("node", H.color("node", h.a, h.b, C, h.p).alias("color"))
 
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from sparkcount.operators import items as I
 from sparkcount.operators import sketch as S
@@ -134,3 +135,26 @@ def test_top_k_report_empty_above_20(spark):
     est = S.sketch_estimates(f, S.count_sketch(f, prm, "freq"), prm)
     assert K.top_k_report(f, est, 21).count() == 0
     assert K.top_k_report(f, est, 20).count() == 20
+
+
+def test_merge_single_rows_keeps_columns_and_nulls(spark):
+    from sparkcount.functions.frames import merge_single_rows
+    a = spark.range(5).agg(F.count(F.lit(1)).alias("n"))
+    b = spark.range(5).where("id > 10").agg(F.max("id").alias("m"), F.lit("x").alias("s"))
+    row = merge_single_rows(a, b).collect()
+    assert [tuple(r) for r in row] == [(5, None, "x")]
+    assert merge_single_rows(a, b).columns == ["n", "m", "s"]
+
+
+def test_read_items_parquet_stream(spark, scratch):
+    from sparkcount.sources.stream import read_items
+    src = items_table(spark, SF001).select("item")
+    src.write.mode("overwrite").parquet(f"{scratch}/in")
+    s = read_items(spark, "parquet", f"{scratch}/in", column="item", schema="item BIGINT")
+    q = (I.running_frequencies(s).writeStream.outputMode("complete").format("memory")
+         .queryName("pq_items").option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = {r.item: r.freq for r in spark.table("pq_items").collect()}
+    want = {r.item: r.freq for r in I.running_frequencies(src).collect()}
+    assert got == want
