@@ -20,7 +20,11 @@ itself.  When the length reaches the threshold the callback only sets an
 event; the caller's thread stops the query once the running batch is done.
 
 Final statistics are ordinary batch queries over the partials, which stay
-distributed: nothing but the ledger's running total reaches the driver.
+distributed: nothing but the per-batch item counts reaches the driver.
+
+Every ``compact_every`` batches the partials of committed batches are folded
+into one base snapshot (``base/upto=<id>``), so a stream that runs for days
+keeps a bounded number of folders.
 """
 
 from __future__ import annotations
@@ -37,6 +41,13 @@ from sparkcount.functions.frames import merge_single_rows
 from sparkcount.session import shared_dir
 
 
+_SCHEMA = {
+    "freq": "item BIGINT, n BIGINT, batch_id BIGINT",
+    "sketch": "j INT, k BIGINT, c BIGINT, batch_id BIGINT",
+    "ledger": "n BIGINT, kept BOOLEAN, batch_id BIGINT",
+}
+
+
 class ItemStreamRun:
     """One run of the item-statistics stream.
 
@@ -48,7 +59,8 @@ class ItemStreamRun:
 
     def __init__(self, spark: SparkSession, name: str, prm: S.SketchParams | None = None,
                  left: int | None = None, right: int | None = None,
-                 threshold: int = 10_000_000, on_stop: str = "drop", root: str | None = None):
+                 threshold: int = 10_000_000, on_stop: str = "drop", root: str | None = None,
+                 compact_every: int = 200):
         if on_stop not in ("drop", "keep"):
             raise ValueError(f"unknown on_stop {on_stop!r}")
         self.spark = spark
@@ -60,29 +72,109 @@ class ItemStreamRun:
         self.stop_event = threading.Event()
         self.query = None
         self._sizes: dict[int, int] | None = None
+        self._base_len = 0
+        self.compact_every = compact_every
 
     # ---- paths ----
     def _path(self, table: str, batch_id: int | None = None) -> str:
         p = f"{self.root}/{table}"
         return p if batch_id is None else f"{p}/batch_id={batch_id}"
 
-    def _exists(self, table: str) -> bool:
+    def _fs(self, path: str):
         jvm = self.spark._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(self._path(table))
-        fs = hpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), hpath
+
+    def _exists(self, table: str) -> bool:
+        fs, hpath = self._fs(self._path(table))
         return fs.exists(hpath)
 
+    def _read(self, table: str) -> DataFrame:
+        """A partial table; empty when no batch wrote to it (or all were folded)."""
+        if not self._exists(table):
+            return self.spark.createDataFrame([], _SCHEMA[table])
+        return self.spark.read.schema(_SCHEMA[table]).parquet(self._path(table))
+
+    # ---- base snapshot of folded batches ----
+    def _base(self) -> int | None:
+        """Latest ``upto`` whose snapshot is complete (has its ``_DONE`` mark)."""
+        fs, hpath = self._fs(f"{self.root}/base")
+        if not fs.exists(hpath):
+            return None
+        done = []
+        for st in fs.listStatus(hpath):
+            name = st.getPath().getName()
+            if name.startswith("upto=") and fs.exists(
+                    self._fs(f"{self.root}/base/{name}/_DONE")[1]):
+                done.append(int(name.split("=", 1)[1]))
+        return max(done) if done else None
+
+    def _base_table(self, table: str, upto: int | None, schema: str) -> DataFrame:
+        if upto is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/base/upto={upto}/{table}")
+
     def _length_before(self, batch_id: int) -> int:
         """Items in the batches before ``batch_id``.  The ledger is read once
         (a restart resumes from it); after that the per-batch counts - one
         number per batch - are kept here, so a long stream does not re-list
         a growing folder every second."""
         if self._sizes is None:
+            upto = self._base()
             self._sizes = {}
-            if self._exists("ledger"):
-                for r in self.spark.read.parquet(self._path("ledger")).select("batch_id", "n").collect():
-                    self._sizes[int(r.batch_id)] = int(r.n)
-        return sum(n for b, n in self._sizes.items() if b < batch_id)
+            self._base_len = 0
+            if upto is not None:
+                self._base_len = int(self._base_table("length", upto, "n BIGINT").first()[0])
+            for r in self._read("ledger").where(F.col("batch_id") > (upto if upto is not None else -1)) \
+                    .select("batch_id", "n").collect():
+                self._sizes[int(r.batch_id)] = int(r.n)
+        return self._base_len + sum(n for b, n in self._sizes.items() if b < batch_id)
+
+    def compact(self, upto: int) -> None:
+        """Fold the partials of batches ``<= upto`` into one base snapshot.
+
+        Only batches the streaming query has already committed may be folded
+        (when batch ``b`` runs, every batch before it is committed and will
+        not be replayed).  The new snapshot is written beside the old one and
+        marked done last; the folded per-batch folders and the old snapshot are
+        deleted after that, and readers ignore anything the mark does not
+        cover, so a crash at any point leaves a consistent state."""
+        old = self._base()
+        lo = old if old is not None else -1
+        if upto <= lo:
+            return
+        dest = f"{self.root}/base/upto={upto}"
+        kept = self._read("ledger").where((F.col("batch_id") > lo) & (F.col("batch_id") <= upto))
+        done = kept.where(F.col("kept")).select("batch_id")
+
+        def window(table):
+            part = self._read(table).where((F.col("batch_id") > lo) & (F.col("batch_id") <= upto))
+            return part.join(done, "batch_id", "left_semi").drop("batch_id")
+
+        freq = (self._base_table("freq", old, "item BIGINT, n BIGINT").unionByName(window("freq"))
+                .groupBy("item").agg(F.sum("n").cast("bigint").alias("n")))
+        freq.write.mode("overwrite").parquet(f"{dest}/freq")
+        sk = (self._base_table("sketch", old, "j INT, k BIGINT, c BIGINT").unionByName(window("sketch"))
+              .groupBy("j", "k").agg(F.sum("c").cast("bigint").alias("c")))
+        sk.write.mode("overwrite").parquet(f"{dest}/sketch")
+        length = (self._base_table("length", old, "n BIGINT")
+                  .unionByName(kept.select("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
+        length.write.mode("overwrite").parquet(f"{dest}/length")
+        fs, mark = self._fs(f"{dest}/_DONE")
+        fs.create(mark, True).close()
+        # the snapshot is complete: drop what it covers
+        for table in ("freq", "sketch", "ledger"):
+            fs_t, tpath = self._fs(self._path(table))
+            if fs_t.exists(tpath):
+                for st in fs_t.listStatus(tpath):
+                    name = st.getPath().getName()
+                    if name.startswith("batch_id=") and lo < int(name.split("=", 1)[1]) <= upto:
+                        fs_t.delete(st.getPath(), True)
+        if old is not None:
+            fs.delete(self._fs(f"{self.root}/base/upto={old}")[1], True)
+        if self._sizes is not None:
+            folded = [b for b in self._sizes if b <= upto]
+            self._base_len += sum(self._sizes.pop(b) for b in folded)
 
     # ---- per micro-batch ----
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -106,6 +198,9 @@ class ItemStreamRun:
             (self.spark.createDataFrame([(n, kept)], "n BIGINT, kept BOOLEAN")
              .write.mode("overwrite").parquet(self._path("ledger", batch_id)))
             self._sizes[batch_id] = n
+            # batches before this one are committed by the query: fold them
+            if self.compact_every and len(self._sizes) > self.compact_every:
+                self.compact(batch_id - 1)
         finally:
             items.unpersist()
 
@@ -143,30 +238,32 @@ class ItemStreamRun:
 
     # ---- results (batch queries over the partials) ----
     def stream_length(self) -> DataFrame:
-        if not self._exists("ledger"):
-            return self.spark.createDataFrame([(0,)], "stream_length BIGINT")
-        return (self.spark.read.parquet(self._path("ledger"))
-                .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("stream_length")))
+        upto = self._base()
+        lo = upto if upto is not None else -1
+        rows = (self._base_table("length", upto, "n BIGINT")
+                .unionByName(self._read("ledger").where(F.col("batch_id") > lo).select("n")))
+        return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("stream_length"))
 
-    def _committed(self, table: str) -> DataFrame:
-        """Partials of the batches committed in the ledger as kept."""
-        done = (self.spark.read.parquet(self._path("ledger"))
-                .where(F.col("kept")).select("batch_id"))
-        return self.spark.read.parquet(self._path(table)).join(done, "batch_id", "left_semi")
+    def _committed(self, table: str, lo: int) -> DataFrame:
+        """Partials of the batches after ``lo`` committed in the ledger as kept."""
+        done = self._read("ledger").where(F.col("kept") & (F.col("batch_id") > lo)).select("batch_id")
+        return (self._read(table).where(F.col("batch_id") > lo)
+                .join(done, "batch_id", "left_semi").drop("batch_id"))
 
     def frequencies(self) -> DataFrame:
-        """``(item, freq)`` over the kept batches."""
-        if not (self._exists("freq") and self._exists("ledger")):
-            return self.spark.createDataFrame([], "item BIGINT, freq BIGINT")
-        return (self._committed("freq")
-                .groupBy("item").agg(F.sum("n").cast("bigint").alias("freq")))
+        """``(item, freq)`` over the kept batches (snapshot + newer partials)."""
+        upto = self._base()
+        lo = upto if upto is not None else -1
+        rows = self._base_table("freq", upto, "item BIGINT, n BIGINT").unionByName(self._committed("freq", lo))
+        return rows.groupBy("item").agg(F.sum("n").cast("bigint").alias("freq"))
 
     def sketch(self) -> DataFrame:
-        """``(j, k, c)`` over the kept batches."""
-        if not (self._exists("sketch") and self._exists("ledger")):
-            return self.spark.createDataFrame([], "j INT, k BIGINT, c BIGINT")
-        return (self._committed("sketch")
-                .groupBy("j", "k").agg(F.sum("c").cast("bigint").alias("c")))
+        """``(j, k, c)`` over the kept batches (snapshot + newer partials)."""
+        upto = self._base()
+        lo = upto if upto is not None else -1
+        rows = (self._base_table("sketch", upto, "j INT, k BIGINT, c BIGINT")
+                .unionByName(self._committed("sketch", lo)))
+        return rows.groupBy("j", "k").agg(F.sum("c").cast("bigint").alias("c"))
 
     def report(self, K_top: int) -> DataFrame:
         """The stream report (K9) from the partials."""
