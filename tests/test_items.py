@@ -158,3 +158,14 @@ def test_read_items_parquet_stream(spark, scratch):
     got = {r.item: r.freq for r in spark.table("pq_items").collect()}
     want = {r.item: r.freq for r in I.running_frequencies(src).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("threshold", [1, 3000, 6000, 10 ** 9])
+def test_length_splits_into_interval_outside_and_dropped(spark, threshold):
+    d = items_table(spark, SF01)
+    n = I.stream_length(d).collect()[0][0]
+    kept = I.kept_batches(d, threshold, "drop")
+    inside = K.interval_length(I.running_frequencies(I.in_interval(kept, 1, 300))).collect()[0][0]
+    outside = kept.where(~F.col("item").between(1, 300)).count()
+    dropped = d.count() - kept.count()
+    assert n == inside + outside + dropped
