@@ -52,8 +52,15 @@ def kept_batches(items: DataFrame, threshold: int, on_stop: str = "drop") -> Dat
         return items
     if on_stop != "drop":
         raise ValueError(f"unknown on_stop {on_stop!r}")
-    kept = running_sizes(batch_sizes(items)).where(F.col("running") < threshold).select("batch_id")
-    return items.join(kept, "batch_id", "left_semi")
+    # Lengths only grow, so the kept batches are those before the first batch
+    # that reaches the threshold: one number, applied as a scalar subquery -
+    # the items are filtered where they are read, never joined or shuffled.
+    ledger = running_sizes(batch_sizes(items))
+    return items.sparkSession.sql(
+        f"""SELECT * FROM {{items}} WHERE batch_id < coalesce(
+              (SELECT min(batch_id) FROM {{ledger}} WHERE running >= {int(threshold)}),
+              9223372036854775807)""",
+        items=items, ledger=ledger)
 
 
 def in_interval(items: DataFrame, left: int, right: int) -> DataFrame:
