@@ -125,7 +125,7 @@ def approx_triangles_color_median(edges: DataFrame, C: int, hs: Sequence[H.Affin
 
 def partition_edges(edges: DataFrame, C: int, hb: H.EdgeBucket) -> DataFrame:
     """``(u, v, part)``: bucket of each ordered pair in ``[0, C)``."""
-    return edges.select("u", "v", H.edge_bucket("u", "v", hb, C).alias("part"))
+    return edges.select("u", "v", H.edge_bucket("u", "v", hb, C).cast("int").alias("part"))
 
 
 def triangles_per_partition(edges: DataFrame, C: int, hb: H.EdgeBucket) -> DataFrame:

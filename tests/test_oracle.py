@@ -32,3 +32,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["triangles"]
     assert df.collect()[0][0] == 7852
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_types_match_oracle(spark, con, name):
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in QUERIES[name](spark, SF001).schema.fields}
+    rel = con.sql(SQL[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert spark_types == duck_types
