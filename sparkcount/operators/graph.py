@@ -2,11 +2,14 @@
 
 Edges are ``(u BIGINT, v BIGINT)`` ordered pairs.  The triangle operators
 accept repeated pairs: they make edges undirected and distinct after the
-colour or bucket is chosen, and a repeated pair always gets the same one.  Estimates thin the graph
-by hashing nodes to ``C`` colours (keep monochromatic edges) or ordered pairs
-to ``C`` buckets, count triangles per colour / bucket, and scale by ``C^2``.
-Every per-colour, per-run and per-bucket count is one keyed triangle join
-(``triangles.count_triangles``), so ``R`` runs or ``C`` buckets are one job.
+colour or bucket is chosen, and a repeated pair always gets the same one.
+
+Estimates thin the graph by hashing nodes to ``C`` colours (keep
+monochromatic edges) or ordered pairs to ``C`` buckets, count triangles per
+colour / bucket, and scale by ``C^2``.  Every per-colour, per-run and
+per-bucket count is one keyed triangle listing (``triangles``), so ``R`` runs
+or ``C`` buckets are one job, and the finishing aggregate is SQL run in the
+same statement (``triangles.triangles_query``).
 """
 
 from __future__ import annotations
