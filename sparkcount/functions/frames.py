@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 def merge_single_rows(*frames: DataFrame) -> DataFrame:
     """Put the columns of several one-row aggregates side by side.
 
-    Each frame becomes one scalar subquery returning its row as a struct, and
-    the structs are expanded: no join and no union, and one SQL statement, so
-    the inputs' plans are analysed once.  Spark runs the subqueries as
-    separate small jobs."""
+    Each frame contributes its own columns and NULL for the others; the
+    ``UNION ALL`` is folded with ``max`` (NULLs ignored).  No join, and all
+    inputs stay in one plan tree, so a table they share (the frequency table
+    of a stream report, say) is scanned and shuffled once - Spark reuses the
+    identical exchange.  Written as one SQL statement, analysed once."""
     spark = frames[0].sparkSession
     names = {f"f{i}": fr for i, fr in enumerate(frames)}
-    inner = ", ".join(f"(SELECT struct(*) FROM {{{n}}}) AS {n}" for n in names)
-    outer = ", ".join(f"{n}.*" for n in names)
-    return spark.sql(f"SELECT {outer} FROM (SELECT {inner})", **names)
+    cols = [(f.name, f.dataType.simpleString()) for fr in frames for f in fr.schema.fields]
+    branches = []
+    for i, fr in enumerate(frames):
+        own = set(fr.columns)
+        sel = ", ".join(f"`{c}`" if c in own else f"CAST(NULL AS {t}) AS `{c}`" for c, t in cols)
+        branches.append(f"SELECT {sel} FROM {{f{i}}}")
+    folded = ", ".join(f"max(`{c}`) AS `{c}`" for c, _ in cols)
+    return spark.sql(f"SELECT {folded} FROM ({' UNION ALL '.join(branches)})", **names)
 
 
 def replicate(params: list[dict]) -> Column:

@@ -72,10 +72,14 @@ def sketch_estimates(freq: DataFrame, sketch: DataFrame, prm: SketchParams) -> D
     The sketch (at most ``D * W`` rows) is broadcast; the items are never
     shuffled for the join, only once for the per-item median.
     """
-    cells = _cells(freq.select("item"), prm, ["item"])
+    # ``freq`` rides along as a grouping key (it is a function of ``item``):
+    # the frequency table then stays the same plan everywhere it is used, so
+    # Spark computes it once instead of once per pruned variant.
+    cells = _cells(freq, prm, ["item", "freq"])
     joined = cells.join(F.broadcast(sketch), ["j", "k"], "left")
-    return (joined.select("item", (F.coalesce(F.col("c"), F.lit(0)) * F.col("g")).alias("e"))
-            .groupBy("item").agg(F.median("e").cast("double").alias("est")))
+    return (joined.select("item", "freq", (F.coalesce(F.col("c"), F.lit(0)) * F.col("g")).alias("e"))
+            .groupBy("item", "freq").agg(F.median("e").cast("double").alias("est"))
+            .select("item", "est"))
 
 
 def row_squares(sketch: DataFrame) -> DataFrame:
