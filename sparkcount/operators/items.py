@@ -30,7 +30,10 @@ def running_sizes(sizes: DataFrame, block: int = _BLOCK) -> DataFrame:
     window partitioned by block, and each block is offset by the total of the
     blocks before it (a window over one row per block).
     """
-    blk = F.floor(F.col("batch_id") / block)
+    # non-NULL by declaration (batch ids are never NULL): otherwise the join
+    # below infers an ``isnotnull`` filter on one branch only, the two uses of
+    # ``sizes`` stop being equal plans, and the items are scanned twice
+    blk = F.coalesce(F.floor(F.col("batch_id") / block), F.lit(0).cast("bigint"))
     b = sizes.withColumn("blk", blk)
     inside = Window.partitionBy("blk").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumn("local", F.sum("n").over(inside))
