@@ -15,6 +15,9 @@ from sparkcount.functions.frames import merge_single_rows, ratio
 from sparkcount.operators import items as I
 from sparkcount.operators import sketch as S
 
+# Fixed value: the per-item top-K rows are reported only for K up to this.
+REPORT_K_MAX = 20
+
 
 def interval_length(freq: DataFrame) -> DataFrame:
     return freq.agg(F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("interval_length"))
@@ -76,9 +79,9 @@ def top_k_error(freq: DataFrame, est: DataFrame, K: int) -> DataFrame:
 
 
 def top_k_report(freq: DataFrame, est: DataFrame, K: int) -> DataFrame:
-    """``(item, freq, est)`` for the top ``K``; empty when ``K > 20``."""
+    """``(item, freq, est)`` for the top ``K``; empty when ``K > REPORT_K_MAX``."""
     top = top_k(freq, K).join(est, "item", "left").select("item", "freq", "est")
-    return top.where(F.lit(K <= 20))
+    return top.where(F.lit(K <= REPORT_K_MAX))
 
 
 def report_from(length: DataFrame, freq: DataFrame, sk: DataFrame, prm: S.SketchParams,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from sparkcount.functions import hashing as H
 from sparkcount.operators.sketch import SketchParams
+from sparkcount.operators.stats import REPORT_K_MAX
 from sparkcount.plans import params as P
 from sparkcount.sources.tables import SQL_EDGE_LIST, sql_items
 
@@ -287,7 +288,7 @@ def stream_sql() -> dict[str, str]:
         "top_k_items": _top(K),
         "top_k_error": _top_err(prm, K),
         "top_k_report": (f"SELECT t.item, t.freq, e.est FROM ({_top(K)}) t LEFT JOIN ({_est(prm)}) e "
-                         f"USING (item) WHERE {str(K <= 20).upper()}"),
+                         f"USING (item) WHERE {str(K <= REPORT_K_MAX).upper()}"),
         "stream_report": _report(prm, K, "value", P.LEFT, P.RIGHT),
         "distinct_report": (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
                             f"max(item) AS largest_item FROM ({ITEMS})"),

@@ -41,6 +41,9 @@ from sparkcount.functions.frames import merge_single_rows
 from sparkcount.session import shared_dir
 
 
+# Fixed value: default stream length at which the run stops.
+DEFAULT_THRESHOLD = 10_000_000
+
 _SCHEMA = {
     "freq": "item BIGINT, n BIGINT, batch_id BIGINT",
     "sketch": "j INT, k BIGINT, c BIGINT, batch_id BIGINT",
@@ -59,7 +62,7 @@ class ItemStreamRun:
 
     def __init__(self, spark: SparkSession, name: str, prm: S.SketchParams | None = None,
                  left: int | None = None, right: int | None = None,
-                 threshold: int = 10_000_000, on_stop: str = "drop", root: str | None = None,
+                 threshold: int = DEFAULT_THRESHOLD, on_stop: str = "drop", root: str | None = None,
                  compact_every: int = 200):
         if on_stop not in ("drop", "keep"):
             raise ValueError(f"unknown on_stop {on_stop!r}")
