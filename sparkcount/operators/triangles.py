@@ -124,8 +124,16 @@ triangles AS (
 """
 
 
+# Column names the plan uses internally; key columns must not reuse them.
+_RESERVED = {"u", "v", "n", "d", "du", "dv", "fwd", "s", "t", "ds", "dt", "deg_out", "x",
+             "y", "dx", "dy", "B", "c", "k", "ci", "cj", "is_left", "triangles"}
+
+
 def _run(edges: DataFrame, keys: Sequence[str], split_above: int, tail: str,
          **frames: DataFrame) -> DataFrame:
+    clash = {k.lower() for k in keys} & {r.lower() for r in _RESERVED}
+    if clash:
+        raise ValueError(f"key columns {sorted(clash)} clash with names the triangle plan uses")
     spark = edges.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return spark.sql(_ctes(list(keys), parts, split_above) + tail, edges=edges, **frames)

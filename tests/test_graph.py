@@ -2,6 +2,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 
 from sparkcount.functions.hashing import Affine, EdgeBucket, draw_affine, draw_edge_bucket
@@ -232,3 +233,10 @@ def test_sf0001_with_split(spark):
     from sparkcount.operators.triangles import count_triangles
     und = G.undirected(edge_list(spark, SF001))
     assert one(count_triangles(und, split_above=3)) == 7852
+
+
+def test_reserved_key_names_are_refused(spark):
+    from sparkcount.operators.triangles import count_triangles
+    und = G.undirected(edges(spark, TRI)).withColumn("s", F.lit(1))
+    with pytest.raises(ValueError):
+        count_triangles(und, ["s"])
