@@ -233,8 +233,8 @@ def triangle_report(edges: DataFrame, C: int, hs: Sequence[H.Affine], method: st
 
     ``edges`` are raw ordered pairs; they are deduplicated once.  ``method``
     is ``color`` (median of the runs), ``partition`` (one run over ``hb``) or
-    ``exact`` (colour triples, hash ``hs[-1]`` - the reference reports its last
-    run; every run gives the same number).
+    ``exact`` (colour triples with the last hash ``hs[-1]``; every hash gives
+    the same number).
     """
     ed = distinct_edges(edges)
     # the estimates dedupe after colouring / bucketing themselves

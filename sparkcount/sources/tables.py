@@ -18,7 +18,7 @@ def edge_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered pairs ``(u, v)`` = ``(l_partkey, l_suppkey)``, repeats kept.
 
     Parts and suppliers share one id space, so this is a graph with
-    triangles; ``distinct_edges`` applies the reference's dedupe.
+    triangles; ``distinct_edges`` drops repeated ordered pairs.
     """
     li = table(spark, sf_dir, "lineitem")
     return li.select(F.col("l_partkey").cast("bigint").alias("u"),
