@@ -24,11 +24,13 @@ Wedge join.  Its output is many times its input, which AQE cannot see: left
 alone it coalesces the small oriented table into one partition and runs the
 whole explosion in one task.  The oriented edges are therefore hash
 partitioned on ``(keys, s)`` to ``spark.sql.shuffle.partitions`` once
-(``REPARTITION`` hint, which AQE keeps), and both sides of the self-join
-reuse that partitioning.  A source's out-degree is at most its degree, so
-only sources of degree above ``split_above`` have their out-degree counted,
-by a window over the same partitioning.  Sources with at most
-``split_above`` out-edges pair their edges in place.  A heavier source's
+(``REPARTITION`` hint, which AQE keeps).  A source's out-degree is at most
+its degree, so only sources of degree above ``split_above`` have their
+out-degree counted, by a window over the same partitioning.  A source with at
+most ``split_above`` out-edges - a bounded list - collects them sorted by rank
+on that partitioning (no further shuffle) and pairs them by position:
+exactly ``d(d-1)/2`` wedges, no self-join and no half-discarded pairs.  A
+heavier source's
 out-edges are cut into ``B = ceil(d / split_above)`` chunks by a hash of the
 target; chunk ``i`` meets chunk ``j`` under the key ``(s, i, j)``, so each of
 the ``B^2`` chunk pairs is its own join group of at most ``split_above^2``
@@ -89,11 +91,15 @@ light AS (
   UNION ALL
   SELECT {k}s, t, dt FROM cand WHERE deg_out <= {split_above}
 ),
+light_lists AS (
+  SELECT {k}s, array_sort(collect_list(named_struct('dt', dt, 't', t))) AS outs
+  FROM light GROUP BY {k}s
+),
 light_wedges AS (
-  SELECT {ks('l')}l.s, l.x, r.y
-  FROM (SELECT {k}s, t AS x, dt AS dx FROM light) l
-  JOIN (SELECT {k}s, t AS y, dt AS dy FROM light) r ON {on('l', 'r', 'l.s = r.s')}
-  WHERE {before}
+  SELECT {k}s, a.t AS x, b.t AS y
+  FROM light_lists
+  LATERAL VIEW posexplode(outs) p AS i, a
+  LATERAL VIEW explode(slice(outs, i + 2, size(outs) - i - 1)) q AS b
 ),
 heavy AS (
   SELECT {k}s, t, dt, B, CAST(pmod(xxhash64(t), B) AS INT) AS c

@@ -25,9 +25,9 @@ def test_edge_scan_reads_two_columns(spark):
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in p
 
 
-def test_wedge_join_has_fixed_partitioning(spark):
+def test_wedge_pairs_have_fixed_partitioning(spark):
     p = plan(QUERIES["triangle_count"](spark, SF001))
-    # light wedges and heavy-source chunk pairs: one forced exchange each
+    # light sources' lists and heavy-source chunk pairs: one forced exchange each
     assert p.count("REPARTITION_BY_NUM") >= 2
 
 
