@@ -28,11 +28,15 @@ LEFT_SKEWED, RIGHT_SKEWED = 0, 15
 LEFT_FLAT, RIGHT_FLAT = 1, 1000
 
 # Accuracy sweep, shaped like the recorded one: W at K=30, K at W=100, and
-# the interval's right end at W=30, K=10; D=9, one repeat each.
+# the interval's right end at W=30, K=10; D=9, three repeats of each setting
+# (each repeat draws its own hashes).
 SWEEP_D = 9
 SWEEP_SEED = 100
 SWEEP_GRID = (
-    [{"W": w, "K": 30, "left": 1, "right": 10000, "rep": 1} for w in (15, 20, 50, 100)]
-    + [{"W": 100, "K": k, "left": 1, "right": 10000, "rep": 1} for k in (10, 50, 100, 200)]
-    + [{"W": 30, "K": 10, "left": 1, "right": r, "rep": 1} for r in (1000, 5000, 10000, 15000)]
+    [{"W": w, "K": 30, "left": 1, "right": 10000, "rep": r}
+     for w in (15, 20, 50, 100) for r in (1, 2, 3)]
+    + [{"W": 100, "K": k, "left": 1, "right": 10000, "rep": r}
+       for k in (10, 50, 100, 200) for r in (1, 2, 3)]
+    + [{"W": 30, "K": 10, "left": 1, "right": right, "rep": r}
+       for right in (1000, 5000, 10000, 15000) for r in (1, 2, 3)]
 )
