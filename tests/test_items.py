@@ -169,3 +169,12 @@ def test_length_splits_into_interval_outside_and_dropped(spark, threshold):
     outside = kept.where(~F.col("item").between(1, 300)).count()
     dropped = d.count() - kept.count()
     assert n == inside + outside + dropped
+
+
+def test_top_k_error_is_null_for_k_zero(spark):
+    d = items_table(spark, SF001)
+    f = I.running_frequencies(d)
+    prm = S.SketchParams.draw(3, 20, 1)
+    est = S.sketch_estimates(f, S.count_sketch(f, prm, "freq"), prm)
+    assert K.top_k_error(f, est, 0).collect()[0][0] is None
+    assert K.top_k_items(f, 0).count() == 0 if hasattr(K, "top_k_items") else K.top_k(f, 0).count() == 0
