@@ -177,4 +177,4 @@ def test_top_k_error_is_null_for_k_zero(spark):
     prm = S.SketchParams.draw(3, 20, 1)
     est = S.sketch_estimates(f, S.count_sketch(f, prm, "freq"), prm)
     assert K.top_k_error(f, est, 0).collect()[0][0] is None
-    assert K.top_k_items(f, 0).count() == 0 if hasattr(K, "top_k_items") else K.top_k(f, 0).count() == 0
+    assert K.top_k(f, 0).count() == 0
