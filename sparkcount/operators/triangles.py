@@ -30,12 +30,11 @@ out-degree counted, by a window over the same partitioning.  A source with at
 most ``split_above`` out-edges - a bounded list - collects them sorted by rank
 on that partitioning (no further shuffle) and pairs them by position:
 exactly ``d(d-1)/2`` wedges, no self-join and no half-discarded pairs.  A
-heavier source's
-out-edges are cut into ``B = ceil(d / split_above)`` chunks by a hash of the
-target; chunk ``i`` meets chunk ``j`` under the key ``(s, i, j)``, so each of
-the ``B^2`` chunk pairs is its own join group of at most ``split_above^2``
-wedges.  Only those sources' edges are copied (``2B`` times, both join roles
-through one exchange).
+heavier source's out-edges are cut into ``B = ceil(d / split_above)`` chunks
+by a hash of the target; chunk ``i`` meets chunk ``j`` under the key
+``(s, i, j)``, so each of the ``B^2`` chunk pairs is its own join group of
+about ``split_above^2`` wedges.  Only those sources' edges are copied (``2B``
+times, both join roles through one exchange).
 
 The plan is one parameterised SQL query over the edge DataFrame: it is
 parsed and analysed once, instead of one Python round trip per operator.
