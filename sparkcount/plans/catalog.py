@@ -73,6 +73,10 @@ def graph_queries() -> dict[str, Query]:
         "triangles_per_color_triple": lambda s, d: G.triangles_per_color_triple(_pairs(s, d), C, h),
         "exact_triangles_color": lambda s, d: G.exact_triangles_color(_pairs(s, d), C, h),
         "triangle_report": lambda s, d: G.triangle_report(src.edge_list(s, d), C, P.RUNS, "color"),
+        "triangle_report_partition": lambda s, d: G.triangle_report(
+            src.edge_list(s, d), C, P.RUNS[:1], "partition", P.BUCKET),
+        "triangle_report_exact": lambda s, d: G.triangle_report(
+            src.edge_list(s, d), C, P.RUNS, "exact"),
     }
 
 

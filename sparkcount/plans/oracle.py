@@ -126,6 +126,14 @@ def graph_sql() -> dict[str, str]:
                             f"{len(P.RUNS)} AS runs, 'color' AS method, "
                             f"(SELECT CAST(median(triangles) AS DOUBLE) FROM ({_runs(P.RUNS, C)})) "
                             f"AS triangles"),
+        "triangle_report_partition": (
+            f"SELECT (SELECT count(*) FROM ({EDGES})) AS n_edges, {C} AS colors, 1 AS runs, "
+            f"'partition' AS method, (SELECT CAST(sum(triangles) * {C * C} AS DOUBLE) "
+            f"FROM ({_per_part(P.BUCKET, C)})) AS triangles"),
+        "triangle_report_exact": (
+            f"SELECT (SELECT count(*) FROM ({EDGES})) AS n_edges, {C} AS colors, "
+            f"{len(P.RUNS)} AS runs, 'exact' AS method, (SELECT CAST(sum(triangles) AS DOUBLE) "
+            f"FROM ({_per_triple(P.RUNS[-1], C)})) AS triangles"),
     }
 
 
