@@ -72,6 +72,11 @@ def graph_queries() -> dict[str, Query]:
         "edges_by_color_triple": lambda s, d: G.replicate_by_color_triple(_edges(s, d), C, h),
         "triangles_per_color_triple": lambda s, d: G.triangles_per_color_triple(_pairs(s, d), C, h),
         "exact_triangles_color": lambda s, d: G.exact_triangles_color(_pairs(s, d), C, h),
+        # the copy-per-group plan (each edge under C colour-triple keys)
+        "triangles_per_color_triple_replicated": lambda s, d: G.triangles_per_color_triple(
+            _pairs(s, d), C, h, "replicate"),
+        "exact_triangles_color_replicated": lambda s, d: G.exact_triangles_color(
+            _pairs(s, d), C, h, "replicate"),
         "triangle_report": lambda s, d: G.triangle_report(src.edge_list(s, d), C, P.RUNS, "color"),
         "triangle_report_partition": lambda s, d: G.triangle_report(
             src.edge_list(s, d), C, P.RUNS[:1], "partition", P.BUCKET),

@@ -122,6 +122,9 @@ def graph_sql() -> dict[str, str]:
         "triangles_per_color_triple": _per_triple(h, C),
         "exact_triangles_color": (f"SELECT CAST(coalesce(sum(triangles), 0) AS BIGINT) AS triangles "
                                   f"FROM ({_per_triple(h, C)})"),
+        "triangles_per_color_triple_replicated": _per_triple(h, C),
+        "exact_triangles_color_replicated": (f"SELECT CAST(coalesce(sum(triangles), 0) AS BIGINT) "
+                                             f"AS triangles FROM ({_per_triple(h, C)})"),
         "triangle_report": (f"SELECT (SELECT count(*) FROM ({EDGES})) AS n_edges, {C} AS colors, "
                             f"{len(P.RUNS)} AS runs, 'color' AS method, "
                             f"(SELECT CAST(median(triangles) AS DOUBLE) FROM ({_runs(P.RUNS, C)})) "
