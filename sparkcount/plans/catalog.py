@@ -109,6 +109,9 @@ def stream_queries() -> dict[str, Query]:
         "batch_sizes": lambda s, d: I.batch_sizes(_items(s, d)),
         "stream_cutoff": lambda s, d: I.kept_batches(_items(s, d), P.THRESHOLD, "drop")
         .select("event_id", "batch_id", "item"),
+        "stream_cutoff_keep": lambda s, d: I.kept_batches(_items(s, d), P.THRESHOLD, "keep")
+        .select("event_id", "batch_id", "item"),
+        "stream_ledger": lambda s, d: I.running_sizes(I.batch_sizes(_items(s, d))),
         "interval_filter": lambda s, d: I.in_interval(_items(s, d), P.LEFT, P.RIGHT),
         "batch_frequencies":
             lambda s, d: I.batch_frequencies(I.in_interval(_items(s, d), P.LEFT, P.RIGHT)),

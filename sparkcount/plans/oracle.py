@@ -283,6 +283,10 @@ def stream_sql() -> dict[str, str]:
         "stream_batches": f"SELECT event_id, batch_id FROM ({ITEMS})",
         "batch_sizes": f"SELECT batch_id, count(*) AS n FROM ({ITEMS}) GROUP BY batch_id",
         "stream_cutoff": _cutoff(P.THRESHOLD),
+        "stream_cutoff_keep": f"SELECT event_id, batch_id, item FROM ({ITEMS})",
+        "stream_ledger": (f"SELECT batch_id, n, CAST(sum(n) OVER (ORDER BY batch_id ROWS BETWEEN "
+                          f"UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running FROM "
+                          f"(SELECT batch_id, count(*) AS n FROM ({ITEMS}) GROUP BY batch_id)"),
         "interval_filter": f"SELECT event_id, batch_id, item FROM ({IN_ITEMS})",
         "batch_frequencies": f"SELECT batch_id, item, count(*) AS n FROM ({IN_ITEMS}) GROUP BY batch_id, item",
         "running_frequencies": FREQ,
