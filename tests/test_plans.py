@@ -45,3 +45,10 @@ def test_sketch_estimates_broadcast_the_bounded_sketch(spark):
 def test_word_count_aggregates_before_the_shuffle(spark):
     p = plan(QUERIES["word_count_salted_map"](spark, SF001))
     assert p.count("partial_count") >= 1 and p.count("partial_sum") >= 1
+
+
+def test_building_queries_leaves_no_temp_views(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    for f in QUERIES.values():
+        f(spark, SF001)
+    assert {t.name for t in spark.catalog.listTables()} == before
