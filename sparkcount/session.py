@@ -39,23 +39,19 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The cluster's shared folder: the value of ``spark.checkpoint.dir`` itself.
 
-    On a cluster this is set by the operator and must be a shared file system
-    (unset there is an error); it is only filled in here when unset in local
-    mode, as in tests.
+    The same setting gives the same folder in every application, so named
+    state below it is found again after a driver restart.  On a cluster the
+    setting must name a shared file system (unset there is an error); it is
+    only filled in here when unset in local mode, as in tests.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    current = spark.conf.get(_CHECKPOINT_KEY, None)
     if not current:
-        current = spark.conf.get(_CHECKPOINT_KEY, None)
-        if not current:
-            if not sc.master.startswith("local"):
-                raise RuntimeError(
-                    "spark.checkpoint.dir is not set: on a cluster it must name a shared "
-                    "folder (a machine-local temporary folder would lose state with its executor)")
-            current = tempfile.mkdtemp(prefix="sparkcount-ckpt-")
-            spark.conf.set(_CHECKPOINT_KEY, current)
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
-    return current.replace("file:", "", 1) if current.startswith("file:/") else current
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a shared "
+                "folder (a machine-local temporary folder would lose state with its executor)")
+        current = tempfile.mkdtemp(prefix="sparkcount-ckpt-")
+        spark.conf.set(_CHECKPOINT_KEY, current)
+    return current

@@ -41,9 +41,6 @@ from sparkcount.functions.frames import merge_single_rows
 from sparkcount.session import shared_dir
 
 
-# Fixed value: default stream length at which the run stops.
-DEFAULT_THRESHOLD = 10_000_000
-
 _SCHEMA = {
     "freq": "item BIGINT, n BIGINT, batch_id BIGINT",
     "sketch": "j INT, k BIGINT, c BIGINT, batch_id BIGINT",
@@ -55,14 +52,15 @@ class ItemStreamRun:
     """One run of the item-statistics stream.
 
     ``left``/``right``: interval of interest (``None`` keeps every item).
-    ``threshold``: stop once the stream length reaches it.  ``on_stop``:
+    ``threshold``: stop once the stream length reaches it (``None``, the
+    default: no stop rule).  ``on_stop``:
     ``drop`` - the batch that reaches the threshold and later ones only add
     to the length; ``keep`` - they are processed as well.
     """
 
     def __init__(self, spark: SparkSession, name: str, prm: S.SketchParams | None = None,
                  left: int | None = None, right: int | None = None,
-                 threshold: int = DEFAULT_THRESHOLD, on_stop: str = "drop", root: str | None = None,
+                 threshold: int | None = None, on_stop: str = "drop", root: str | None = None,
                  compact_every: int = 200):
         if on_stop not in ("drop", "keep"):
             raise ValueError(f"unknown on_stop {on_stop!r}")
@@ -76,6 +74,7 @@ class ItemStreamRun:
         self.query = None
         self._sizes: dict[int, int] | None = None
         self._base_len = 0
+        self._carried = 0
         self.compact_every = compact_every
 
     # ---- paths ----
@@ -118,19 +117,20 @@ class ItemStreamRun:
         return self.spark.read.schema(schema).parquet(f"{self.root}/base/upto={upto}/{table}")
 
     def _length_before(self, batch_id: int) -> int:
-        """Items in the batches before ``batch_id``.  The ledger is read once
-        (a restart resumes from it); after that the per-batch counts - one
-        number per batch - are kept here, so a long stream does not re-list
-        a growing folder every second."""
+        """Items in the batches before ``batch_id``.  What earlier applications
+        left is summed once, in Spark (a restart resumes from it); after that
+        the per-batch counts - one number per batch since the last snapshot -
+        are kept here, so a long stream does not re-list a growing folder."""
         if self._sizes is None:
             upto = self._base()
             self._sizes = {}
-            self._base_len = 0
             if upto is not None:
                 self._base_len = int(self._base_table("length", upto, "n BIGINT").first()[0])
-            for r in self._read("ledger").where(F.col("batch_id") > (upto if upto is not None else -1)) \
-                    .select("batch_id", "n").collect():
-                self._sizes[int(r.batch_id)] = int(r.n)
+            before = self._read("ledger").where(
+                (F.col("batch_id") > (upto if upto is not None else -1)) & (F.col("batch_id") < batch_id))
+            n, rows = before.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
+            self._base_len += int(n)
+            self._carried = int(rows)
         return self._base_len + sum(n for b, n in self._sizes.items() if b < batch_id)
 
     def compact(self, upto: int) -> None:
@@ -171,13 +171,17 @@ class ItemStreamRun:
             if fs_t.exists(tpath):
                 for st in fs_t.listStatus(tpath):
                     name = st.getPath().getName()
-                    if name.startswith("batch_id=") and lo < int(name.split("=", 1)[1]) <= upto:
+                    if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= upto:
                         fs_t.delete(st.getPath(), True)
-        if old is not None:
-            fs.delete(self._fs(f"{self.root}/base/upto={old}")[1], True)
+        # earlier snapshots, also what a crash during an earlier fold left behind
+        for st in fs.listStatus(self._fs(f"{self.root}/base")[1]):
+            name = st.getPath().getName()
+            if name.startswith("upto=") and int(name.split("=", 1)[1]) < upto:
+                fs.delete(st.getPath(), True)
         if self._sizes is not None:
             folded = [b for b in self._sizes if b <= upto]
             self._base_len += sum(self._sizes.pop(b) for b in folded)
+            self._carried = 0
 
     # ---- per micro-batch ----
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -186,7 +190,8 @@ class ItemStreamRun:
             n = items.count()
             if n == 0:
                 return
-            reached = self._length_before(batch_id) + n >= self.threshold
+            length = self._length_before(batch_id) + n
+            reached = self.threshold is not None and length >= self.threshold
             if reached:
                 self.stop_event.set()
             kept = not (reached and self.on_stop == "drop")
@@ -202,7 +207,7 @@ class ItemStreamRun:
              .write.mode("overwrite").parquet(self._path("ledger", batch_id)))
             self._sizes[batch_id] = n
             # batches before this one are committed by the query: fold them
-            if self.compact_every and len(self._sizes) > self.compact_every:
+            if self.compact_every and len(self._sizes) + self._carried > self.compact_every:
                 self.compact(batch_id - 1)
         finally:
             items.unpersist()
@@ -220,10 +225,11 @@ class ItemStreamRun:
         return self.query
 
     def run(self, items: DataFrame, trigger: dict | None = None, poll: float = 0.5,
-            timeout: float | None = None) -> None:
+            timeout: float | None = None, settle_timeout: float | None = None) -> None:
         """Start, then wait on this thread until the stop event, the end of
         the input (``availableNow``) or ``timeout``; let the running batch
-        finish, then stop the query."""
+        finish, however long it takes, then stop the query.  A batch that is
+        still running after ``settle_timeout`` seconds (if given) is an error."""
         q = self.start(items, trigger)
         waited = 0.0
         while q.isActive and not self.stop_event.is_set():
@@ -232,7 +238,11 @@ class ItemStreamRun:
             if timeout is not None and waited >= timeout:
                 break
         settle = 0.0
-        while q.isActive and q.status.get("isTriggerActive") and settle < 60:
+        while q.isActive and q.status.get("isTriggerActive"):
+            if settle_timeout is not None and settle >= settle_timeout:
+                q.stop()
+                raise TimeoutError(f"the running batch did not end in {settle_timeout} s; "
+                                   "it is not in the ledger")
             q.awaitTermination(0.2)
             settle += 0.2
         q.stop()
