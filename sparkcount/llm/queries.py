@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkcount.llm.storage import Work
 from sparkcount.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,9 +50,28 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+def byte_bpe() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op08_dac as op
+    path = f"{Work(spark, 'dac').root}/segments"
+    op.write_segments(table(spark, sf_dir, "documents"), path, byte_bpe(), end_id=0)
+    return op.document_index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op09_best_fit as op
+    return op.best_fit_packing(table(spark, sf_dir, "documents"), byte_bpe(), end_id=2, capacity=1024)
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_token_codes": op8_token_codes,
+    "op9_best_fit": op9_best_fit,
 }
 
 ORACLE: dict[str, str] = {
