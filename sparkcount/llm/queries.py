@@ -67,14 +67,36 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.best_fit_packing(table(spark, sf_dir, "documents"), byte_bpe(), end_id=2, capacity=1024)
 
 
+def op10_spherical_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op10_spherical_dedup as op
+    return op.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+SQL_OP10 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(id, other) AS (SELECT vec_id, vec_id FROM v
+  UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a),
+comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.vec_id) AS n_links, component_id,
+  v.vec_id = component_id AS kept
+FROM v JOIN comp ON comp.id = v.vec_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_token_codes": op8_token_codes,
     "op9_best_fit": op9_best_fit,
+    "op10_spherical_dedup": op10_spherical_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op1_chat_format": SQL_OP1,
     "op4_exact_dedup": SQL_OP4,
+    "op10_spherical_dedup": SQL_OP10,
 }
