@@ -50,6 +50,15 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+def op7_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op07_language_spans as op
+    docs = table(spark, sf_dir, "documents")
+    out = op.held_out(F.col("doc_id"), 3, 1)
+    found = op.predict_language(docs, ~out)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score",
+                        F.size("spans").alias("n_spans"))
+
+
 def byte_bpe() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -90,6 +99,7 @@ FROM v JOIN comp ON comp.id = v.vec_id
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_language_spans": op7_language_spans,
     "op8_token_codes": op8_token_codes,
     "op9_best_fit": op9_best_fit,
     "op10_spherical_dedup": op10_spherical_dedup,
