@@ -50,6 +50,19 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op06_ctw as op
+    from sparkcount.llm.op07_language_spans import held_out
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 7, 2)
+    # rows that lie together in a file; independent of how the file is split
+    part = F.xxhash64("_metadata.file_path", F.expr("_metadata.row_index div 8192"))
+    scored = op.score(docs.select("doc_id", "text", part.alias("part")), ~out, F.col("part"))
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "n_bytes",
+                         (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))
+
+
 def op7_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkcount.llm import op07_language_spans as op
     docs = table(spark, sf_dir, "documents")
@@ -99,6 +112,7 @@ FROM v JOIN comp ON comp.id = v.vec_id
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_context_tree": op6_context_tree,
     "op7_language_spans": op7_language_spans,
     "op8_token_codes": op8_token_codes,
     "op9_best_fit": op9_best_fit,
