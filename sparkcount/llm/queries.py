@@ -38,6 +38,31 @@ FROM c GROUP BY conv_id
 """
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op03_ngram_join as op
+    return op.classes(table(spark, sf_dir, "documents"), k=5, num=80, den=100)
+
+
+SQL_OP3 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+sized AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, s FROM s),
+node AS (SELECT min(doc_id) AS node, n_shingles, list_sort(s) AS s FROM sized WHERE n_shingles > 0 GROUP BY ALL),
+post AS (SELECT node, n_shingles AS n, hash(unnest(s)) AS h FROM node),
+common AS (SELECT a.node AS a, b.node AS b, a.n AS na, b.n AS nb, count(*) AS c FROM post a JOIN post b
+    ON a.h = b.h AND a.node < b.node AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n GROUP BY ALL),
+link AS (SELECT a, b FROM common WHERE 100 * c >= 80 * (na + nb - c)),
+sym AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(id, other) AS (SELECT node, node FROM node UNION SELECT reach.id, sym.b FROM reach JOIN sym ON reach.other = sym.a),
+comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT sized.doc_id, sized.n_shingles, coalesce(comp.component_id, sized.doc_id) AS component_id
+FROM sized LEFT JOIN node ON node.n_shingles = sized.n_shingles AND node.s = list_sort(sized.s)
+LEFT JOIN comp ON comp.id = node.node
+"""
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkcount.llm import op04_block_naming as op
     return op.exact_dedup(table(spark, sf_dir, "documents")).select(
@@ -111,6 +136,7 @@ FROM v JOIN comp ON comp.id = v.vec_id
 
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
+    "op3_ngram_join": op3_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_context_tree": op6_context_tree,
     "op7_language_spans": op7_language_spans,
@@ -121,6 +147,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op1_chat_format": SQL_OP1,
+    "op3_ngram_join": SQL_OP3,
     "op4_exact_dedup": SQL_OP4,
     "op10_spherical_dedup": SQL_OP10,
 }
