@@ -465,20 +465,59 @@ def _dealt_by(sets: DataFrame, chosen: DataFrame, block: int) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
             num: int = NUM, den: int = DEN, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: the smallest id that
-    its links reach."""
+    """``doc_id, n_shingles, component_id, node, root`` of every row: the smallest
+    id that its links reach, the name of its set, and that of its class."""
     members, links, work = jaccard_join(docs, id_col, text_col, k, num, den, block)
     comp = connected_components(links.select("a", "b"), work)
     rooted = work.cut(members.join(comp.withColumnRenamed("id", "node"), "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).alias("root")), "rooted")
+        "doc_id", "n_shingles", "node", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).alias("root")), "rooted")
     least = work.cut(rooted.where("root is not null").groupBy("root").agg(
         F.min("doc_id").alias("component_id")), "least")
     return rooted.join(least, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node",
+        "root")
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with all its columns, one document of each class (the smallest id)."""
-    kept = classes(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+def _with_node(docs: DataFrame, text_col: str, k: int) -> DataFrame:
+    """``docs`` and, as ``__node`` and ``__n``, the name and size of each row's set."""
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def read(batches):
+        for batch in batches:
+            for i, j, data, offsets in K.text_slices(batch.column(batch.schema.get_field_index(text_col))):
+                h, row = shingle_sets(data, offsets, k)
+                n = K.row_counts(row, j - i)
+                full = np.flatnonzero(n)
+                node = np.zeros(j - i, np.uint64)
+                if len(h):
+                    node[full] = np.add.reduceat(K.mix(h ^ _U(0x5851F42D4C957F2D)), (np.cumsum(n) - n)[full])
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(node.view(np.int64)), pa.array(n)],
+                                                 [*part.schema.names, "__node", "__n"])
+
+    return docs.mapInArrow(read, f"{fields}, __node bigint, __n bigint")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
+                    num: int = NUM, den: int = DEN) -> DataFrame:
+    """``docs`` with all its columns: one document of each class (the smallest
+    id), and every document that has no words."""
+    work = Work(docs.sparkSession, "ngram-kept")
+    found = classes(docs, id_col, text_col, k, num, den).where("n_shingles > 0")
+    # the smallest (id, set) of a class, and how many rows have both
+    kept = work.cut(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
+        "root", "component_id", "node").agg(F.count("*").alias("rows")).groupBy("root").agg(
+        F.min(F.struct("component_id", "node", "rows")).alias("m")).select("m.*"), "rows")
+    marked = _with_node(docs, text_col, k)
+    names = kept.select(F.col("component_id").alias("__id"), F.col("node").alias("__kept"), "rows")
+
+    def rows(of: DataFrame, how: str) -> DataFrame:
+        return marked.join(of, marked[id_col].eqNullSafe(of["__id"]) & (F.col("__node") == of["__kept"])
+                           & (F.col("__n") > 0), how)
+
+    out = rows(names.where("rows = 1"), "left_semi").select(*docs.columns).unionByName(
+        marked.where("__n = 0").select(*docs.columns))
+    repeated = names.where("rows > 1")
+    if not repeated.isEmpty():
+        out = out.unionByName(rows(repeated, "inner").dropDuplicates(["__id", "__kept"]).select(*docs.columns))
+    return out

@@ -122,11 +122,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all its columns, one row of each group of equal texts."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")).distinct()
+    work = Work(docs.sparkSession, "block-naming")
+    kept = work.cut(exact_dedup(docs, id_col, text_col).groupBy("doc_id", "text_sha256").agg(
+        F.max("kept").alias("kept"), F.count("*").alias("copies")).where("kept").select(
+        F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"), "copies"), "kept")
     sha = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
-    marked = docs.withColumn("__row_sha", sha)
-    stay = marked.join(kept, marked[id_col].eqNullSafe(F.col("__id"))
-                       & (F.col("__row_sha") == F.col("__sha")))
-    # rows repeated with the same id and text: one stays
-    return stay.dropDuplicates(["__id", "__sha"]).select(*docs.columns)
+
+    def rows(of: DataFrame, how: str) -> DataFrame:
+        return docs.join(of, docs[id_col].eqNullSafe(of["__id"]) & (sha == of["__sha"]), how)
+
+    out = rows(kept.where("copies = 1"), "left_semi").select(*docs.columns)
+    repeated = kept.where("copies > 1")
+    if not repeated.isEmpty():  # rows repeated with the same id and text: one stays
+        out = out.unionByName(rows(repeated, "inner").dropDuplicates(["__id", "__sha"]).select(*docs.columns))
+    return out

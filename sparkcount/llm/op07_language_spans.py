@@ -292,3 +292,21 @@ def predict_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", tex
                      lang_col: str = "lang", max_docs: int = MAX_DOCS, switch: float = SWITCH) -> DataFrame:
     """Fit on the rows of ``docs`` where ``learn`` holds and label all rows."""
     return identify(docs, fit(docs.where(learn), id_col, text_col, lang_col, max_docs), id_col, text_col, switch)
+
+
+def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_col: str = "text",
+                    switch: float = SWITCH) -> DataFrame:
+    """``docs`` with all its columns, without the rows that have no letter or no
+    language with ``min_score`` of the letters."""
+    Work(docs.sparkSession, "language")
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
+    room = max(1 << 16, K.SLICE_BYTES * 4 // max(4, len(model.langs)))
+
+    def keep(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            for i, j, data, offsets in K.text_slices(texts, room):
+                lang, share, _ = label_slice(model, data, offsets, switch)
+                yield batch.slice(i, j - i).filter(pa.array((lang >= 0) & (share >= min_score)))
+
+    return docs.mapInArrow(keep, fields)

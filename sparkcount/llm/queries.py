@@ -40,7 +40,8 @@ FROM c GROUP BY conv_id
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkcount.llm import op03_ngram_join as op
-    return op.classes(table(spark, sf_dir, "documents"), k=5, num=80, den=100)
+    return op.classes(table(spark, sf_dir, "documents"), k=5, num=80, den=100).select(
+        "doc_id", "n_shingles", "component_id")
 
 
 SQL_OP3 = r"""
