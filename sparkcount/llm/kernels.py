@@ -76,14 +76,58 @@ def text_slices(col, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, n
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of every ``data[start:end]``; equal bytes, equal hash."""
-    up, down = _POWERS.upto(len(data) + 1)
-    total = np.empty(len(data) + 1, np.uint64)
+    return value_hashes(_BYTE[data], starts, ends)
+
+
+def value_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of every span of 64-bit values."""
+    up, down = _POWERS.upto(len(values) + 1)
+    total = np.empty(len(values) + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE[data] * up[:len(data)], out=total[1:])
+    np.cumsum(values * up[:len(values)], out=total[1:])
     h = (total[ends] - total[starts]) * down[starts]
     return mix(h + (ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
+class Memo:
+    """Ids of the keys seen so far; forgets all of them beyond ``most`` keys."""
+
+    def __init__(self, most: int = 1_000_000):
+        self.most = most
+        self.clear()
+
+    def clear(self):
+        self.keys = np.zeros(0, np.uint64)
+        self.slot = np.zeros(0, np.int64)
+        self.first = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def missing(self, uniq: np.ndarray) -> np.ndarray:
+        """Positions in the sorted keys ``uniq`` that are not known yet."""
+        if len(self.keys) and len(self.keys) + len(uniq) > self.most:
+            self.clear()
+        if not len(self.keys):
+            return np.arange(len(uniq))
+        at = np.minimum(np.searchsorted(self.keys, uniq), len(self.keys) - 1)
+        return np.flatnonzero(self.keys[at] != uniq)
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """New sorted keys with their ids, one key's after another's."""
+        base = len(self.first) - 1
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
+        self.ids = np.concatenate([self.ids, ids])
+        at = np.searchsorted(self.keys, keys)
+        self.slot = np.insert(self.slot, at, base + np.arange(len(keys)))
+        self.keys = np.insert(self.keys, at, keys)
+
+    def gather(self, uniq: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the keys ``uniq[inverse]`` in that order, and how many each has."""
+        slot = self.slot[np.searchsorted(self.keys, uniq)][inverse]
+        first = self.first[slot]
+        lengths = self.first[slot + 1] - first
+        return self.ids[ragged(first, lengths)], lengths
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray):
     """Words ``[^\\x20\\x09-\\x0D]+`` of each row: ``starts, ends, row``."""
     n = len(data)

@@ -38,6 +38,13 @@ FROM c GROUP BY conv_id
 """
 
 
+def op2_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from sparkcount.llm import op02_merge_dropout as op
+    return op.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                         dropout=0.1, seed=17)
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkcount.llm import op03_ngram_join as op
     return op.classes(table(spark, sf_dir, "documents"), k=5, num=80, den=100).select(
@@ -76,6 +83,11 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+def op5_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op05_warc_derive as op
+    return op.summary(table(spark, sf_dir, "pages"))
+
+
 def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkcount.llm import op06_ctw as op
     from sparkcount.llm.op07_language_spans import held_out
@@ -137,8 +149,10 @@ FROM v JOIN comp ON comp.id = v.vec_id
 
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
+    "op2_merge_dropout": op2_merge_dropout,
     "op3_ngram_join": op3_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_warc_derive": op5_warc_derive,
     "op6_context_tree": op6_context_tree,
     "op7_language_spans": op7_language_spans,
     "op8_token_codes": op8_token_codes,

@@ -12,12 +12,13 @@ directly; all others go through the whole tokenizer.
 
 from __future__ import annotations
 
+import functools
+import os
+
 import numpy as np
 
 from sparkcount.llm import kernels as K
 
-MAX_PIECES = 1_000_000
-
 # Bytes that are, or begin, white space of the pre-tokenizer's pattern.
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
@@ -82,27 +83,25 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Encoder:
-    """One tokenizer with the ids of the pieces seen so far (a bounded memo)."""
+@functools.lru_cache(maxsize=2)
+def load(path: str):
+    """The tokenizer of a file, once per Python worker."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
 
-    def __init__(self, path: str, max_pieces: int = MAX_PIECES):
-        import os
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    return tok
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+class Encoder:
+    """One tokenizer with the ids of the pieces seen so far (a bounded memo)."""
+
+    def __init__(self, path: str, max_pieces: int = 1_000_000):
+        self.tok = load(path)
         self.model = self.tok.model
         self.alphabet = {b: c for b, c in _byte_alphabet().items() if b != 10}
-        self.max_pieces = max_pieces
-        self._clear()
-
-    def _clear(self):
-        self.keys = np.zeros(0, np.uint64)
-        self.slot = np.zeros(0, np.int64)
-        self.first = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.memo = K.Memo(max_pieces)
 
     def _pieces(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, single: np.ndarray):
         """Ids and numbers of ids of pieces; ``single`` marks those of one pre-token."""
@@ -132,14 +131,7 @@ class Encoder:
         ends = np.append(starts[1:], len(data))
         h = K.span_hashes(data, starts, ends)
         uniq, at, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.keys) + len(uniq) > self.max_pieces and len(self.keys):
-            self._clear()
-        pos = np.searchsorted(self.keys, uniq)
-        known = np.zeros(len(uniq), bool)
-        if len(self.keys):
-            inside = np.minimum(pos, len(self.keys) - 1)
-            known = self.keys[inside] == uniq
-        new = np.flatnonzero(~known)
+        new = self.memo.missing(uniq)
         if len(new):
             s, e = starts[at[new]], ends[at[new]]
             # after a leading space, all bytes of one class
@@ -150,15 +142,7 @@ class Encoder:
                 np.cumsum(cls == k, out=of[1:])
                 single |= (of[e] - of[inner] == e - inner) & (e > inner)
             ids, lengths = self._pieces(data.tobytes(), s, e, single)
-            base = len(self.first) - 1
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
-            self.ids = np.concatenate([self.ids, ids])
-            self.slot = np.insert(self.slot, pos[new], base + np.arange(len(new)))
-            self.keys = np.insert(self.keys, pos[new], uniq[new])
-            pos = np.searchsorted(self.keys, uniq)
-        slot = self.slot[pos][inverse]
-        first = self.first[slot]
-        lengths = self.first[slot + 1] - first
+            self.memo.add(uniq[new], ids, lengths)
+        ids, lengths = self.memo.gather(uniq, inverse)
         row = np.searchsorted(offsets, starts, side="right") - 1
-        counts = np.bincount(row, weights=lengths, minlength=len(offsets) - 1).astype(np.int64)
-        return self.ids[K.ragged(first, lengths)], counts
+        return ids, np.bincount(row, weights=lengths, minlength=len(offsets) - 1).astype(np.int64)
