@@ -78,7 +78,7 @@ def fold(events: DataFrame, by_row: bool = False) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("pos", "role", "text"))).alias("p")).select(
         "conv_id", "turn", F.col("turn").cast("long").alias("ord"),
         # the first part that names a role gives the turn's
-        F.coalesce(F.expr("filter(p, x -> x.role <> '')[0].role"), F.lit("")).alias("role"),
+        F.coalesce(F.expr("get(filter(p, x -> x.role <> ''), 0).role"), F.lit("")).alias("role"),
         F.expr("array_join(transform(p, x -> x.text), '')").alias("text"))
 
 

@@ -96,7 +96,7 @@ def response(page_id, url: str | None, body: str | None, date: str) -> tuple[str
 
 
 def plain_text(page: str) -> str:
-    text = _TAG.sub("", _BLOCK.sub("\n", _GONE.sub("\n", page)))
+    text = _TAG.sub("", _BLOCK.sub("\n", _GONE.sub("", page)))
     lines = (" ".join(x.split()) for x in html.unescape(text).split("\n"))
     return "\n".join(x for x in lines if x)
 

@@ -71,7 +71,7 @@ def script_bits(data: np.ndarray) -> np.ndarray:
     n = len(data)
     nxt = np.zeros((3, n + 3), np.int64)
     for k in (1, 2):
-        nxt[k, :n - k] = data[k:] & 63
+        nxt[k, :max(n - k, 0)] = data[k:] & 63
     two, three = (data >= 0xC2) & (data < 0xE0), (data >= 0xE0) & (data < 0xF0)
     cp = np.where(two, (cp & 31) << 6 | nxt[1, :n], cp)
     cp = np.where(three, (data.astype(np.int64) & 15) << 12 | nxt[1, :n] << 6 | nxt[2, :n], cp)
