@@ -101,6 +101,8 @@ LEFT JOIN (SELECT run, count(1) AS n FROM triangles GROUP BY run) t ON t.run = r
 def _mono_runs(edges: DataFrame, C: int, hs: Sequence[H.Affine]) -> DataFrame:
     params = [{"run": i, "a": h.a, "b": h.b} for i, h in enumerate(hs)]
     p = hs[0].p
+    if any(h.p != p for h in hs):
+        raise ValueError("the runs of one job share their modulus p")
     rows = edges.select("u", "v", replicate(params).alias("prm"))
     cu = H.color("u", "prm.a", "prm.b", C, p)
     cv = H.color("v", "prm.a", "prm.b", C, p)
@@ -251,3 +253,15 @@ def triangle_report(edges: DataFrame, C: int, hs: Sequence[H.Affine], method: st
 SELECT (SELECT count(1) FROM {{ed}}) AS n_edges, {int(C)} AS colors, {len(hs)} AS runs,
        '{method}' AS method, (SELECT CAST(triangles AS DOUBLE) FROM {{est}}) AS triangles""",
                                   ed=ed, est=est)
+
+
+def triangle_report_both(edges: DataFrame, C: int, hs: Sequence[H.Affine], hb: H.EdgeBucket) -> DataFrame:
+    """One row: ``n_edges, colors, runs, color_triangles, partition_triangles`` -
+    the median colour estimate and the partition estimate of the same edges."""
+    return edges.sparkSession.sql(f"""
+SELECT (SELECT count(1) FROM {{ed}}) AS n_edges, {int(C)} AS colors, {len(hs)} AS runs,
+       (SELECT triangles FROM {{by_color}}) AS color_triangles,
+       (SELECT CAST(triangles AS DOUBLE) FROM {{by_part}}) AS partition_triangles""",
+                                  ed=distinct_edges(edges),
+                                  by_color=approx_triangles_color_median(edges, C, hs),
+                                  by_part=approx_triangles_partition(edges, C, hb))

@@ -8,7 +8,7 @@ Spark's built-in ``count_min_sketch`` is unsigned and brings its own hashes,
 so the sketch is written as the aggregate it is: each item (or item
 frequency) is copied once per row ``j`` inside its stage, then
 ``groupBy(j, k).sum``.  The result has at most ``D * W`` rows whatever the
-data size, which is what makes broadcasting it in ``sketch_estimates`` safe.
+data size, which is what makes handing it to every task in ``sketch_estimates`` safe.
 """
 
 from __future__ import annotations
@@ -65,21 +65,38 @@ def count_sketch(df: DataFrame, prm: SketchParams, weight: str | None = None) ->
     return cells.groupBy("j", "k").agg(F.sum(amount).cast("bigint").alias("c"))
 
 
-def sketch_estimates(freq: DataFrame, sketch: DataFrame, prm: SketchParams) -> DataFrame:
-    """``(item, est)``: per item, the median over rows ``j`` of
-    ``c[j][h_j(item)] * g_j(item)`` (DOUBLE).
-
-    The sketch (at most ``D * W`` rows) is broadcast; the items are never
-    shuffled for the join, only once for the per-item median.
-    """
-    # ``freq`` rides along as a grouping key (it is a function of ``item``):
-    # the frequency table then stays the same plan everywhere it is used, so
-    # Spark computes it once instead of once per pruned variant.
-    cells = _cells(freq, prm, ["item", "freq"])
-    joined = cells.join(F.broadcast(sketch), ["j", "k"], "left")
-    return (joined.select("item", "freq", (F.coalesce(F.col("c"), F.lit(0)) * F.col("g")).alias("e"))
-            .groupBy("item", "freq").agg(F.median("e").cast("double").alias("est"))
-            .select("item", "est"))
+def dense_cells(sketch: DataFrame, D: int, W: int) -> DataFrame:
+    """One row ``cells``: ``c[j][k]`` at position ``j * W + k``, absent cells 0
+    (``D * W`` numbers: a bound fixed by the parameters)."""
+    return sketch.agg(F.expr(
+        f"transform(sequence(0, {D * W - 1}), i -> coalesce(try_element_at("
+        f"map_from_entries(collect_list(struct(CAST(j * {W} + k AS INT) AS i, c))), i), 0L)) AS cells"))
+
+
+def sql_row_median(cells: str, item: str, prm: SketchParams) -> str:
+    """SQL: median over rows ``j`` of ``c[j][h_j(item)] * g_j(item)`` (DOUBLE)."""
+    e = ", ".join(
+        f"{cells}[CAST({j * prm.W} + ({H.sql_color(item, a, b, prm.W, prm.p)}) AS INT)]"
+        f" * {H.sql_sign(item, a2, b2, prm.p)}" for j, (a, b, a2, b2) in enumerate(prm.rows))
+    lo, hi = (prm.D - 1) // 2, prm.D // 2
+    s = f"array_sort(array({e}))"
+    if lo == hi:
+        return f"CAST({s}[{lo}] AS DOUBLE)"
+    return f"(({s}[{lo}] + {s}[{hi}]) / 2.0D)"
+
+
+def sketch_estimates(freq: DataFrame, sketch: DataFrame, prm: SketchParams,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(item, keep..., est)``: per item of ``freq``, the median over rows ``j``
+    of ``c[j][h_j(item)] * g_j(item)`` (DOUBLE).
+
+    The sketch reaches the rows as one array of ``D * W`` numbers (a scalar
+    subquery) and each row computes its own median: no join, no shuffle."""
+    cols = ", ".join(["item", *keep])
+    return freq.sparkSession.sql(
+        f"SELECT {cols}, {sql_row_median('cells', 'item', prm)} AS est FROM "
+        f"(SELECT {cols}, (SELECT cells FROM {{dense}}) AS cells FROM {{freq}})",
+        freq=freq, dense=dense_cells(sketch, prm.D, prm.W))
 
 
 def row_squares(sketch: DataFrame) -> DataFrame:

@@ -11,13 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkcount.functions import hashing as H
 from sparkcount.functions.frames import merge_single_rows, ratio
 from sparkcount.operators import items as I
 from sparkcount.operators import sketch as S
 
-# Fixed value: the per-item top-K rows are reported only for K up to this.
-REPORT_K_MAX = 20
-
 
 def interval_length(freq: DataFrame) -> DataFrame:
     return freq.agg(F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("interval_length"))
@@ -54,122 +52,133 @@ def top_k(freq: DataFrame, K: int) -> DataFrame:
     return freq.orderBy(F.desc("freq"), F.asc("item")).limit(K).select("item", "freq")
 
 
-def top_k_per_group(df: DataFrame, groups: list[str], K, shards: int = 64) -> DataFrame:
+def top_k_per_group(df: DataFrame, group: str, K, most: int) -> DataFrame:
     """Rows ranked ``<= K`` by ``(freq desc, item)`` within each group, with
-    their ``rank``.  ``K`` is an int or the name of a column holding it.
-
-    Two rounds so that no group is ranked whole in one task: first within
-    ``(group, hash(item) mod shards)``, then among the at most ``shards * K``
-    survivors of each group."""
+    their ``rank``.  ``K`` is an int or the name of a column, ``most`` a literal
+    bound of it: Spark keeps the best ``most`` rows of a group in every task
+    (a group limit below the shuffle), so no group is shuffled or ranked whole."""
+    w = Window.partitionBy(group).orderBy(F.desc("freq"), F.asc("item"))
     limit = F.col(K) if isinstance(K, str) else F.lit(K)
-    order = [F.desc("freq"), F.asc("item")]
-    sharded = df.withColumn("_shard", F.pmod(F.xxhash64("item"), F.lit(shards)))
-    w1 = Window.partitionBy(*groups, "_shard").orderBy(*order)
-    first = (sharded.withColumn("_r", F.row_number().over(w1))
-             .where(F.col("_r") <= limit).drop("_r", "_shard"))
-    w2 = Window.partitionBy(*groups).orderBy(*order)
-    return first.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= limit)
-
-
-def top_k_error(freq: DataFrame, est: DataFrame, K: int) -> DataFrame:
-    """One row ``top_k_error``: mean of ``|f - f_est| / f`` over the top ``K``."""
-    top = top_k(freq, K).join(est, "item", "left")
+    ranked = df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
+    return ranked.where(F.col("rank") <= limit)
+
+
+def top_k_error(freq: DataFrame, sketch: DataFrame, prm: S.SketchParams, K: int) -> DataFrame:
+    """One row ``top_k_error``: mean of ``|f - f_est| / f`` over the top ``K``;
+    only those ``K`` items are estimated."""
+    top = S.sketch_estimates(top_k(freq, K), sketch, prm, ("freq",))
     e = F.abs(F.col("freq") - F.col("est")) / F.col("freq")
     return top.agg(ratio(F.sum(e), F.count(F.lit(1))).alias("top_k_error"))
 
 
-def top_k_report(freq: DataFrame, est: DataFrame, K: int) -> DataFrame:
-    """``(item, freq, est)`` for the top ``K``; empty when ``K > REPORT_K_MAX``."""
-    top = top_k(freq, K).join(est, "item", "left").select("item", "freq", "est")
-    return top.where(F.lit(K <= REPORT_K_MAX))
+def top_k_report(freq: DataFrame, sketch: DataFrame, prm: S.SketchParams, K: int,
+                 max_rows: int | None = None) -> DataFrame:
+    """``(item, freq, est)`` for the top ``K``, all of them; a caller that prints
+    the table may bound it with ``max_rows``."""
+    top = top_k(freq, K if max_rows is None else min(K, max_rows))
+    return S.sketch_estimates(top, sketch, prm, ("freq",))
 
 
 def report_from(length: DataFrame, freq: DataFrame, sk: DataFrame, prm: S.SketchParams,
                 left: int | None, right: int | None, K: int) -> DataFrame:
     """The stream report from its parts: ``length`` (one row
     ``stream_length``), the interval's frequencies and the sketch."""
-    est = S.sketch_estimates(freq, sk, prm)
     ilen = interval_length(freq)
     head = length.select(
         F.lit(prm.D).alias("D"), F.lit(prm.W).alias("W"), F.lit(left).cast("bigint").alias("left"),
         F.lit(right).cast("bigint").alias("right"), F.lit(K).alias("K"), "stream_length")
-    return merge_single_rows(head, ilen, interval_distinct(freq), top_k_error(freq, est, K),
+    return merge_single_rows(head, ilen, interval_distinct(freq), top_k_error(freq, sk, prm, K),
                              second_moment(freq), second_moment_estimate(sk, ilen))
 
 
-def stream_report(items: DataFrame, prm: S.SketchParams, left: int, right: int, K: int) -> DataFrame:
+def stream_report(items: DataFrame, prm: S.SketchParams, left: int, right: int, K: int,
+                  threshold: int | None = None) -> DataFrame:
     """One row: ``D, W, left, right, K, stream_length, interval_length,
     interval_distinct, top_k_error, f2, f2_estimate``.
 
     ``items`` are all items received; the interval filter is applied before
-    any shuffle."""
+    any shuffle.  With ``threshold`` the stop rule holds (``drop``): the length
+    is that of all items, the statistics are over the kept batches only."""
     # Two passes over the items: a plain count (no shuffle) for the length,
     # and the interval's frequency table, which every other statistic shares
     # (the operators keep its plan identical so Spark reuses its exchange).
-    freq = I.running_frequencies(I.in_interval(items, left, right))
+    kept = items if threshold is None else I.kept_batches(items, threshold, "drop")
+    freq = I.running_frequencies(I.in_interval(kept, left, right))
     sk = S.count_sketch(freq, prm, weight="freq")
     return report_from(I.stream_length(items), freq, sk, prm, left, right, K)
 
 
-def distinct_report(items: DataFrame) -> DataFrame:
-    """One row: ``n_items, n_distinct, largest_item`` in a single aggregate."""
+def distinct_report(items: DataFrame, threshold: int | None = None) -> DataFrame:
+    """One row: ``n_items, n_distinct, largest_item`` in a single aggregate.  With
+    ``threshold`` the stream stops after the batch that reaches it (``keep``)."""
+    if threshold is not None:
+        items = I.batches_until(items, threshold)
     return items.agg(F.count(F.lit(1)).alias("n_items"),
                      F.count_distinct("item").alias("n_distinct"),
                      F.max("item").alias("largest_item"))
 
 
-def accuracy_sweep(items: DataFrame, grid: list[dict], D: int, seed: int = 0) -> DataFrame:
+def accuracy_sweep(items: DataFrame, grid: list[dict], D: int, seed: int = 0, p: int = H.P) -> DataFrame:
     """Sketch accuracy for a grid of settings, all in one job.
 
     ``grid``: dicts with ``W``, ``K``, ``left``, ``right`` and ``rep`` (repeat
-    number).  Each setting ``cfg`` gets its own sketch hashes, drawn from
-    ``seed + cfg``.  Output, one row per setting: ``cfg, D, W, K, left, right,
-    rep, interval_length, top_k_error, f2, f2_estimate``.
-
-    The frequency table is computed once; each distinct item is copied to the
-    settings whose interval holds it and to their ``D`` sketch rows inside
-    one stage, then every per-setting quantity is an ordinary keyed
-    aggregate.  The grid (a few dozen settings) is the only thing replicated.
+    number).  Each setting ``cfg`` gets its own sketch hashes modulo ``p``, drawn
+    from ``seed + cfg``.  Output, one row per setting: ``cfg, D, W, K, left,
+    right, rep, interval_length, top_k_error, f2, f2_estimate``.
+
+    Items outside every interval go before the shuffle.  Each distinct item is
+    copied to the settings whose interval holds it; a copy computes its ``D``
+    cells in the row.  The sketches are summed once and folded into one array
+    per setting (``D * W`` numbers, a bound fixed by the grid); only the top
+    ``K`` items of a setting are estimated, each in its own row.
     """
-    from sparkcount.functions import hashing as H
-    from sparkcount.functions.frames import replicate
-
-    rows = []
+    structs = []
     for cfg, g in enumerate(grid):
-        prm = S.SketchParams.draw(D, g["W"], seed + cfg)
-        for j, (a, b, a2, b2) in enumerate(prm.rows):
-            rows.append({"cfg": cfg, "j": j, "W": g["W"], "K": g["K"], "lo": g["left"],
-                         "hi": g["right"], "rep": g["rep"], "a": a, "b": b, "a2": a2, "b2": b2})
-    freq = I.running_frequencies(items)
-    x = F.col("item")
-    cells = (freq.select("item", "freq", replicate(rows).alias("q"))
-             .where(x.between(F.col("q.lo"), F.col("q.hi")))
-             .select("item", "freq", F.col("q.cfg").alias("cfg"), F.col("q.j").alias("j"),
-                     H.color("item", "q.a", "q.b", "q.W").alias("k"),
-                     H.sign("item", "q.a2", "q.b2").alias("g")))
-    sketch = cells.groupBy("cfg", "j", "k").agg(F.sum(F.col("g") * F.col("freq")).alias("c"))
-    # at most sum over settings of D * W rows: a bound fixed by the grid
-    est = (cells.join(F.broadcast(sketch), ["cfg", "j", "k"])
-           .groupBy("cfg", "item").agg(F.first("freq").alias("freq"),
-                                       F.median(F.col("c") * F.col("g")).alias("est")))
-    settings = est.sparkSession.createDataFrame(
+        prm = S.SketchParams.draw(D, g["W"], seed + cfg, p)
+        a, b, a2, b2 = (", ".join(f"{v}L" for v in col) for col in zip(*prm.rows))
+        structs.append(f"named_struct('cfg', {cfg}, 'W', {g['W']}, 'K', {g['K']}, 'lo', {g['left']}L, "
+                       f"'hi', {g['right']}L, 'a', array({a}), 'b', array({b}), 'a2', array({a2}), 'b2', array({b2}))")
+    least, most = min(g["left"] for g in grid), max(g["right"] for g in grid)
+    freq = I.running_frequencies(I.in_interval(items, least, most))
+    cells = f"""transform(sequence(0, {D - 1}), j -> named_struct(
+        'i', CAST(j * q.W + (({H.sql_pmod('item', p)}) * q.a[j] + q.b[j]) % {p} % q.W AS INT),
+        'g', (({H.sql_pmod('item', p)}) * q.a2[j] + q.b2[j]) % {p} % 2 * 2 - 1))"""
+    copies = (freq.select("item", "freq", F.expr(f"explode(array({', '.join(structs)}))").alias("q"))
+              .where("item BETWEEN q.lo AND q.hi")
+              .select(F.col("q.cfg").alias("cfg"), F.col("q.K").alias("K"), "item", "freq",
+                      F.expr(cells).alias("cells")))
+    sketch = (copies.select("cfg", "freq", F.explode("cells").alias("x"))
+              .groupBy("cfg", F.col("x.i").alias("i")).agg(F.sum(F.col("x.g") * F.col("freq")).alias("c")))
+    settings = items.sparkSession.createDataFrame(
         [(i, g["W"], g["K"], g["left"], g["right"], g["rep"]) for i, g in enumerate(grid)],
         "cfg INT, W INT, K INT, left BIGINT, right BIGINT, rep INT")
+    # one row per setting: its cells by position and the squares of its rows
+    sums = (sketch.groupBy("cfg").agg(F.collect_list(F.struct("i", "c")).alias("cs"))
+            .join(F.broadcast(settings.select("cfg", "W")), "cfg")
+            .select("cfg", F.map_from_entries("cs").alias("m"), F.expr(
+                f"transform(sequence(0, {D - 1}), j -> aggregate(filter(cs, x -> x.i div W = j), "
+                "CAST(0 AS DECIMAL(38,0)), (s, x) -> CAST(s + CAST(x.c AS DECIMAL(18,0)) * CAST(x.c AS DECIMAL(18,0)) "
+                "AS DECIMAL(38,0))))").alias("squares"), "W")
+            .select("cfg", F.expr(f"transform(sequence(0, {D} * W - 1), i -> coalesce(try_element_at(m, i), 0L))")
+                    .alias("dense"),
+                    _middle(F.array_sort("squares"), D).alias("m")))
     f = F.col("freq").cast("decimal(38,0)")
-    # one row per (setting, item): the j = 0 copy (reading ``est`` here would
-    # let Catalyst prune the sketch join and plan the frequency table twice)
-    per_item = cells.where(F.col("j") == 0)
-    true = per_item.groupBy("cfg").agg(F.sum("freq").cast("bigint").alias("interval_length"),
-                                       ratio(F.sum(f * f), F.sum(f) * F.sum(f)).alias("f2"))
-    sq = (sketch.groupBy("cfg", "j")
-          .agg(F.sum(F.col("c").cast("decimal(38,0)") * F.col("c").cast("decimal(38,0)")).alias("s"))
-          .groupBy("cfg").agg(F.median(F.col("s").cast("double")).alias("m")))
-    top = top_k_per_group(est.join(F.broadcast(settings.select("cfg", "K")), "cfg"), ["cfg"], "K")
-    err = top.groupBy("cfg").agg(
+    true = copies.groupBy("cfg").agg(F.sum("freq").cast("bigint").alias("interval_length"),
+                                     ratio(F.sum(f * f), F.sum(f) * F.sum(f)).alias("f2"))
+    top = top_k_per_group(copies, "cfg", "K", max(g["K"] for g in grid))
+    est = top.join(F.broadcast(sums.select("cfg", "dense")), "cfg").select(
+        "cfg", "freq", _middle(F.expr("array_sort(transform(cells, x -> dense[x.i] * x.g))"), D).alias("est"))
+    err = est.groupBy("cfg").agg(
         ratio(F.sum(F.abs(F.col("freq") - F.col("est")) / F.col("freq")), F.count(F.lit(1)))
         .alias("top_k_error"))
-    out = (settings.join(true, "cfg", "left").join(sq, "cfg", "left").join(err, "cfg", "left"))
+    out = settings.join(true, "cfg", "left").join(sums.select("cfg", "m"), "cfg", "left").join(err, "cfg", "left")
     L = F.col("interval_length").cast("double")
     return out.select("cfg", F.lit(D).alias("D"), "W", "K", "left", "right", "rep",
                       F.coalesce(F.col("interval_length"), F.lit(0)).cast("bigint").alias("interval_length"),
                       "top_k_error", "f2", ratio(F.col("m"), L * L).alias("f2_estimate"))
+
+
+def _middle(ordered, D: int):
+    """Median of a sorted array of ``D`` numbers, as DOUBLE."""
+    lo, hi = (ordered[(D - 1) // 2].cast("double"), ordered[D // 2].cast("double"))
+    return lo if D % 2 else (lo + hi) / 2

@@ -12,9 +12,12 @@ same ``(word, n)`` table:
 * ``word_count_salted`` ``per_document_word``: a salt in ``[0, K)`` is hashed
   from ``(doc_id, word)`` when the text is split; sum per ``(salt, word)``,
   then per word;
-* ``word_count_salted`` ``on_the_fly``: per-document counts first, the salt is
-  hashed from each ``(doc_id, word, n)`` row by the grouping step;
+* ``word_count_salted`` ``on_the_fly``: the text is split unsalted; the salt of a
+  document's word is hashed by the grouping step (its partial aggregate is the
+  per-document count), then per word: two shuffles;
 * ``word_count_partitioned``: sum inside each Spark partition, then per word.
+  The map-side partial aggregate is exactly the sum inside a partition, so this
+  is one ``groupBy(word)`` with one shuffle - the plan of ``word_count``.
 
 Salts are hashes of the row, not ``rand()``: a retried task draws the same
 salt, so a lost executor cannot move a row between groups.
@@ -28,9 +31,9 @@ from pyspark.sql import functions as F
 from sparkcount.functions.frames import merge_single_rows, ratio
 
 
-def _words(docs: DataFrame) -> DataFrame:
-    """``(doc_id, word)``: one row per blank-separated piece of every text."""
-    return docs.select("doc_id", F.explode(F.split(F.col("text"), " ", -1)).alias("word"))
+def _words(docs: DataFrame, *ids: str) -> DataFrame:
+    """``(ids..., word)``: one row per blank-separated piece of every text."""
+    return docs.select(*ids, F.explode(F.split(F.col("text"), " ", -1)).alias("word"))
 
 
 def document_count(docs: DataFrame) -> DataFrame:
@@ -39,7 +42,7 @@ def document_count(docs: DataFrame) -> DataFrame:
 
 def words_per_document(docs: DataFrame) -> DataFrame:
     """``(doc_id, word, n)``: occurrences of each word within each document."""
-    return _words(docs).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    return _words(docs, "doc_id").groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_count(docs: DataFrame) -> DataFrame:
@@ -51,34 +54,32 @@ def word_count_salted(docs: DataFrame, K: int, salt: str = "per_document_word",
                       seed: int = 0) -> DataFrame:
     """``(word, n)`` in two rounds over ``K`` salt groups."""
     if salt == "per_document_word":
-        pairs = (_words(docs)
-                 .withColumn("salt", F.pmod(F.xxhash64("doc_id", "word", F.lit(seed)), F.lit(K)))
-                 .groupBy("salt", "word").agg(F.count(F.lit(1)).alias("n")))
+        salted = _words(docs, "doc_id").withColumn(
+            "salt", F.pmod(F.xxhash64("doc_id", "word", F.lit(seed)), F.lit(K)))
+        pairs = salted.groupBy("salt", "word")
     elif salt == "on_the_fly":
-        per_doc = words_per_document(docs)
-        pairs = (per_doc
-                 .groupBy(F.pmod(F.xxhash64("doc_id", "word", "n", F.lit(seed)), F.lit(K)).alias("salt"),
-                          "word")
-                 .agg(F.sum("n").alias("n")))
+        # another member of the hash family than the split-time salt
+        pairs = _words(docs, "doc_id").groupBy(
+            F.pmod(F.xxhash64(F.lit(seed), "doc_id", "word"), F.lit(K)).alias("salt"), "word")
     else:
         raise ValueError(f"unknown salt {salt!r}")
-    return pairs.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
+    return pairs.agg(F.count(F.lit(1)).alias("n")).groupBy("word").agg(
+        F.sum("n").cast("bigint").alias("n"))
 
 
 def word_count_partitioned(docs: DataFrame) -> DataFrame:
-    """``(word, n)``: totals per Spark partition first, then per word.
-
-    The partition id depends only on the input split, so a retried task
-    reproduces it."""
-    per_part = (_words(docs).withColumn("pid", F.spark_partition_id())
-                .groupBy("pid", "word").agg(F.count(F.lit(1)).alias("n")))
-    return per_part.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
+    """``(word, n)``: totals per Spark partition first (the partial aggregate
+    below the shuffle), then per word."""
+    return _words(docs).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_word_count(docs: DataFrame, K: int = 4) -> DataFrame:
-    """One row: the number of distinct words found by each of the four counts."""
+    """One row: per count method its distinct words and, as ``<method>_total``,
+    the sum of its counts.  The sums keep every method's own rounds in the plan:
+    a bare row count would let Catalyst drop them."""
     def n(df, name):
-        return df.agg(F.count(F.lit(1)).alias(name))
+        return df.agg(F.count_if(F.col("n") > 0).alias(name),
+                      F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias(f"{name}_total"))
     return merge_single_rows(
         n(word_count(docs), "one_round"),
         n(word_count_salted(docs, K, "per_document_word"), "salted_map"),

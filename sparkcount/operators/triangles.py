@@ -11,8 +11,9 @@ Plan:
    (two equi-joins with the degree table; AQE broadcasts it when it is small
    and splits a hub's partition when it is not);
 3. wedges: pairs of out-edges sharing their source, ``rank(x) < rank(y)``;
-4. close: keep wedges whose ``x -> y`` edge exists (equi-join on
-   ``(keys, x, y)``).
+4. close: keep wedges whose ends are an edge (equi-join with the edge table on
+   ``(keys, u, v)``, the columns its dedupe shuffle is partitioned by - the
+   orientation is not computed a second time).
 
 Every triangle is listed once, at its lowest-ranked node.  Orienting by
 degree bounds every out-degree by ``sqrt(2m)``, so a hub - which would make
@@ -124,7 +125,7 @@ wedges AS (
 triangles AS (
   SELECT {ks('w')}w.s, w.x, w.y
   FROM wedges w
-  JOIN o c ON {on('c', 'w', 'c.s = w.x AND c.t = w.y')}
+  JOIN {{edges}} c ON {on('c', 'w', 'c.u = least(w.x, w.y) AND c.v = greatest(w.x, w.y)')}
 )
 """
 
@@ -171,10 +172,3 @@ def count_triangles(edges: DataFrame, keys: Sequence[str] = (),
     k = ", ".join(keys)
     return _run(edges, keys, split_above,
                 f"SELECT {k}, count(1) AS triangles FROM triangles GROUP BY {k}")
-
-
-def orient(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """``(keys..., s, t, ds, dt)``: each edge from lower to higher rank, with
-    the degrees of both ends."""
-    k = "".join(f"{c}, " for c in keys)
-    return _run(edges, keys, SPLIT_ABOVE, f"SELECT {k}s, t, ds, dt FROM o")

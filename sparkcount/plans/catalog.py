@@ -7,9 +7,11 @@ oracle SQL in ``plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkcount.operators import graph as G
 from sparkcount.operators import items as I
@@ -18,6 +20,9 @@ from sparkcount.operators import stats as K
 from sparkcount.operators import text as T
 from sparkcount.plans import params as P
 from sparkcount.sources import tables as src
+from sparkcount.sources.stream import read_items
+from sparkcount.sources.text import line_documents, parse_edges
+from sparkcount.streaming.runner import ItemStreamRun
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,10 +38,25 @@ def _pairs(spark, d):
     return src.edge_list(spark, d)
 
 
+def _edge_lines(spark, d):
+    """``lineitem`` as the lines of an edge file."""
+    li = src.table(spark, d, "lineitem")
+    return li.select(F.concat_ws(",", "l_partkey", "l_suppkey").alias("value"))
+
+
 def _docs(spark, d):
     return src.documents(spark, d)
 
 
+def _streamed(spark, d, **kw):
+    """``events`` read as a stream to its end through ``ItemStreamRun``, into a
+    fresh run below the shared folder."""
+    run = ItemStreamRun(spark, f"runs/{uuid.uuid4().hex}", root=None, **kw)
+    run.run(read_items(spark, "parquet", f"{d.rstrip('/')}/events.parquet*", column="value",
+                       schema="value DOUBLE", how="floor"), trigger={"availableNow": True})
+    return run
+
+
 def _items(spark, d):
     return src.items(spark, d, "value")
 
@@ -45,16 +65,15 @@ def _freq(spark, d):
     return I.running_frequencies(I.in_interval(_items(spark, d), P.LEFT, P.RIGHT))
 
 
-def _sketch_and_est(spark, d):
+def _freq_sketch(spark, d):
     freq = _freq(spark, d)
-    sk = S.count_sketch(freq, P.SKETCH, weight="freq")
-    return freq, sk, S.sketch_estimates(freq, sk, P.SKETCH)
+    return freq, S.count_sketch(freq, P.SKETCH, weight="freq")
 
 
 def graph_queries() -> dict[str, Query]:
     C, h = P.C, P.H1
     return {
-        "edges_read": lambda s, d: src.edge_list(s, d),
+        "edges_read": lambda s, d: parse_edges(_edge_lines(s, d)),
         "edges_distinct": _edges,
         "edge_count": lambda s, d: G.edge_count(_edges(s, d)),
         "edges_undirected": lambda s, d: G.undirected(_edges(s, d)),
@@ -80,6 +99,8 @@ def graph_queries() -> dict[str, Query]:
         "triangle_report": lambda s, d: G.triangle_report(src.edge_list(s, d), C, P.RUNS, "color"),
         "triangle_report_partition": lambda s, d: G.triangle_report(
             src.edge_list(s, d), C, P.RUNS[:1], "partition", P.BUCKET),
+        "triangle_report_both": lambda s, d: G.triangle_report_both(
+            src.edge_list(s, d), C, P.RUNS, P.BUCKET),
         "triangle_report_exact": lambda s, d: G.triangle_report(
             src.edge_list(s, d), C, P.RUNS, "exact"),
     }
@@ -87,7 +108,7 @@ def graph_queries() -> dict[str, Query]:
 
 def text_queries() -> dict[str, Query]:
     return {
-        "documents_read": _docs,
+        "documents_read": lambda s, d: line_documents(_docs(s, d), "doc_id", column="text"),
         "document_count": lambda s, d: T.document_count(_docs(s, d)),
         "words_per_document": lambda s, d: T.words_per_document(_docs(s, d)),
         "word_count": lambda s, d: T.word_count(_docs(s, d)),
@@ -104,8 +125,13 @@ def text_queries() -> dict[str, Query]:
 def stream_queries() -> dict[str, Query]:
     prm, Kt = P.SKETCH, P.K_TOP
     return {
-        "stream_source": lambda s, d: _items(s, d).select("event_id", "item"),
-        "stream_batches": lambda s, d: _items(s, d).select("event_id", "batch_id"),
+        # a streaming read of ``events`` to its end: its items, and what the
+        # micro-batch ledger says about them
+        "stream_source": lambda s, d: _streamed(s, d).frequencies(),
+        "stream_batches": lambda s, d: _streamed(s, d).ledger_totals(),
+        "stream_run_report": lambda s, d: _streamed(
+            s, d, prm=prm, left=P.LEFT, right=P.RIGHT).report(Kt),
+        "stream_run_distinct": lambda s, d: _streamed(s, d, on_stop="keep").distinct_report(),
         "batch_sizes": lambda s, d: I.batch_sizes(_items(s, d)),
         "stream_cutoff": lambda s, d: I.kept_batches(_items(s, d), P.THRESHOLD, "drop")
         .select("event_id", "batch_id", "item"),
@@ -124,13 +150,18 @@ def stream_queries() -> dict[str, Query]:
         "interval_length": lambda s, d: K.interval_length(_freq(s, d)),
         "interval_distinct": lambda s, d: K.interval_distinct(_freq(s, d)),
         "second_moment": lambda s, d: K.second_moment(_freq(s, d)),
-        "sketch_estimates": lambda s, d: _sketch_and_est(s, d)[2],
+        "sketch_estimates": lambda s, d: S.sketch_estimates(*_freq_sketch(s, d), prm),
         "second_moment_estimate": lambda s, d: _f2_est(s, d),
         "top_k_items": lambda s, d: K.top_k(_freq(s, d), Kt),
-        "top_k_error": lambda s, d: K.top_k_error(_freq(s, d), _sketch_and_est(s, d)[2], Kt),
-        "top_k_report": lambda s, d: K.top_k_report(_freq(s, d), _sketch_and_est(s, d)[2], Kt),
+        "top_k_error": lambda s, d: K.top_k_error(*_freq_sketch(s, d), prm, Kt),
+        "top_k_report": lambda s, d: K.top_k_report(*_freq_sketch(s, d), prm, Kt),
+        "top_k_report_k50": lambda s, d: K.top_k_report(*_freq_sketch(s, d), prm, 50),
         "stream_report": lambda s, d: K.stream_report(_items(s, d), prm, P.LEFT, P.RIGHT, Kt),
+        # the length of all items, the statistics of the kept batches only
+        "stream_report_cutoff": lambda s, d: K.stream_report(
+            _items(s, d), prm, P.LEFT, P.RIGHT, Kt, threshold=P.THRESHOLD),
         "distinct_report": lambda s, d: K.distinct_report(_items(s, d)),
+        "distinct_report_keep": lambda s, d: K.distinct_report(_items(s, d), threshold=P.THRESHOLD),
         # the same report over the two other item fixtures: one item holding
         # about 39 % of the stream, and near-uniform items (the hard case for
         # the F2 estimate)
@@ -144,7 +175,7 @@ def stream_queries() -> dict[str, Query]:
 
 
 def _f2_est(spark, d):
-    freq, sk, _ = _sketch_and_est(spark, d)
+    freq, sk = _freq_sketch(spark, d)
     return K.second_moment_estimate(sk, K.interval_length(freq))
 
 

@@ -2,17 +2,46 @@
 
 Written the plain way - triangles by a three-way self-join in id order, top-K
 by ``ROW_NUMBER``, medians by ``median`` - with the same literals as the Spark
-plans (``plans.params``).  Sums are cast back to BIGINT (DuckDB widens them to
+plans (``plans.params``).    Sums are cast back to BIGINT (DuckDB widens them to
 HUGEINT) and ratios are rounded to 9 places, as on the Spark side.
 """
 
 from __future__ import annotations
 
-from sparkcount.functions import hashing as H
 from sparkcount.operators.sketch import SketchParams
-from sparkcount.operators.stats import REPORT_K_MAX
 from sparkcount.plans import params as P
-from sparkcount.sources.tables import SQL_EDGE_LIST, sql_items
+
+# Inputs and hash formulas are written out here, not taken from the engine, so
+# that a slip on either side shows.
+SQL_EDGE_LIST = "SELECT CAST(l_partkey AS BIGINT) AS u, CAST(l_suppkey AS BIGINT) AS v FROM lineitem"
+
+
+def sql_items(kind: str) -> str:
+    item = {"value": "floor(value)", "skewed": "floor(value / 25)", "flat": "user_id"}[kind]
+    return ("SELECT event_id, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS batch_id, "
+            f"CAST({item} AS BIGINT) AS item FROM events")
+
+
+def _mod(x: str, p: int) -> str:
+    """``x`` modulo ``p`` in ``[0, p)``."""
+    return f"(CAST({x} AS BIGINT) - {p} * CAST(floor(CAST({x} AS DECIMAL(38, 0)) / {p}) AS BIGINT))"
+
+
+def _affine(x: str, a, b, p: int) -> str:
+    return f"(({a} * {_mod(x, p)} + {b}) % {p})"
+
+
+def _hash(x: str, a, b, m, p: int = 8191) -> str:
+    return f"({_affine(x, a, b, p)} % {m})"
+
+
+def _sign(x: str, a, b, p: int = 8191) -> str:
+    return f"CASE WHEN {_affine(x, a, b, p)} % 2 = 1 THEN 1 ELSE -1 END"
+
+
+def _bucket(u: str, v: str, h, m) -> str:
+    return f"(({h.a} * {_mod(u, h.p)} + {h.b} * {_mod(v, h.p)} + {h.c}) % {h.p} % {m})"
+
 
 EDGES = f"SELECT DISTINCT u, v FROM ({SQL_EDGE_LIST})"
 
@@ -32,8 +61,8 @@ def _tri_rows(und: str, keys: list[str] = ()) -> str:
             f"JOIN ({und}) c ON {on_c}")
 
 
-def _col(x: str, h: H.Affine, m) -> str:
-    return H.sql_color(x, h.a, h.b, m, h.p)
+def _col(x: str, h, m) -> str:
+    return _hash(x, h.a, h.b, m, h.p)
 
 
 def _sorted3(a: str, b: str, c: str) -> tuple[str, str, str]:
@@ -44,12 +73,12 @@ def _sorted3(a: str, b: str, c: str) -> tuple[str, str, str]:
 
 # ---- graph -------------------------------------------------------------------
 
-def _mono(h: H.Affine, C: int) -> str:
+def _mono(h, C: int) -> str:
     return (f"SELECT {_col('u', h, C)} AS color, u, v FROM ({EDGES}) "
             f"WHERE {_col('u', h, C)} = {_col('v', h, C)}")
 
 
-def _per_color(h: H.Affine, C: int) -> str:
+def _per_color(h, C: int) -> str:
     mono = _mono(h, C)
     tri = _tri_rows(_und(mono, "color"), ["color"])
     return (f"SELECT p.color, CAST(coalesce(t.n, 0) AS BIGINT) AS triangles "
@@ -60,8 +89,8 @@ def _per_color(h: H.Affine, C: int) -> str:
 def _runs(hs, C: int) -> str:
     vals = ", ".join(f"({i}, {h.a}, {h.b})" for i, h in enumerate(hs))
     p = hs[0].p
-    cu = H.sql_color("e.u", "r.a", "r.b", C, p)
-    cv = H.sql_color("e.v", "r.a", "r.b", C, p)
+    cu = _hash("e.u", "r.a", "r.b", C, p)
+    cv = _hash("e.v", "r.a", "r.b", C, p)
     mono = (f"SELECT r.run AS run, {cu} AS color, e.u AS u, e.v AS v FROM ({EDGES}) e, "
             f"(VALUES {vals}) r(run, a, b) WHERE {cu} = {cv}")
     und = (f"SELECT DISTINCT run, color, least(u, v) AS u, greatest(u, v) AS v "
@@ -72,23 +101,23 @@ def _runs(hs, C: int) -> str:
             f"LEFT JOIN (SELECT run, count(*) AS n FROM ({tri}) GROUP BY run) t ON t.run = r.range")
 
 
-def _part_edges(hb: H.EdgeBucket, C: int) -> str:
-    return f"SELECT u, v, CAST({H.sql_edge_bucket('u', 'v', hb, C)} AS INTEGER) AS part FROM ({EDGES})"
+def _part_edges(hb, C: int) -> str:
+    return f"SELECT u, v, CAST({_bucket('u', 'v', hb, C)} AS INTEGER) AS part FROM ({EDGES})"
 
 
-def _per_part(hb: H.EdgeBucket, C: int) -> str:
+def _per_part(hb, C: int) -> str:
     tri = _tri_rows(_und(_part_edges(hb, C), "part"), ["part"])
     return (f"SELECT CAST(r.range AS INTEGER) AS part, CAST(coalesce(t.n, 0) AS BIGINT) AS triangles "
             f"FROM range({C}) r LEFT JOIN (SELECT part, count(*) AS n FROM ({tri}) GROUP BY part) t "
             f"ON t.part = r.range")
 
 
-def _replicated(h: H.Affine, C: int) -> str:
+def _replicated(h, C: int) -> str:
     c1, c2, c3 = _sorted3(_col("u", h, C), _col("v", h, C), "i.range")
     return (f"SELECT {c1} AS c1, {c2} AS c2, {c3} AS c3, u, v FROM ({EDGES}), range({C}) i")
 
 
-def _per_triple(h: H.Affine, C: int) -> str:
+def _per_triple(h, C: int) -> str:
     tri = _tri_rows(_und(EDGES))
     c1, c2, c3 = _sorted3(_col("x", h, C), _col("y", h, C), _col("z", h, C))
     counts = (f"SELECT c1, c2, c3, count(*) AS n FROM (SELECT {c1} AS c1, {c2} AS c2, {c3} AS c3 "
@@ -133,6 +162,11 @@ def graph_sql() -> dict[str, str]:
             f"SELECT (SELECT count(*) FROM ({EDGES})) AS n_edges, {C} AS colors, 1 AS runs, "
             f"'partition' AS method, (SELECT CAST(sum(triangles) * {C * C} AS DOUBLE) "
             f"FROM ({_per_part(P.BUCKET, C)})) AS triangles"),
+        "triangle_report_both": (
+            f"SELECT (SELECT count(*) FROM ({EDGES})) AS n_edges, {C} AS colors, {len(P.RUNS)} AS runs, "
+            f"(SELECT CAST(median(triangles) AS DOUBLE) FROM ({_runs(P.RUNS, C)})) AS color_triangles, "
+            f"(SELECT CAST(sum(triangles) * {C * C} AS DOUBLE) FROM ({_per_part(P.BUCKET, C)})) "
+            f"AS partition_triangles"),
         "triangle_report_exact": (
             f"SELECT (SELECT count(*) FROM ({EDGES})) AS n_edges, {C} AS colors, "
             f"{len(P.RUNS)} AS runs, 'exact' AS method, (SELECT CAST(sum(triangles) AS DOUBLE) "
@@ -147,17 +181,19 @@ WORD_COUNT = f"SELECT word, count(*) AS n FROM ({WORDS}) GROUP BY word"
 
 
 def text_sql() -> dict[str, str]:
-    n = f"(SELECT count(*) FROM ({WORD_COUNT}))"
+    n = f"(SELECT count(DISTINCT word) FROM ({WORDS}))"
+    total = f"(SELECT count(*) FROM ({WORDS}))"
     return {
-        "documents_read": "SELECT doc_id, text FROM documents",
+        "documents_read": "SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents",
         "document_count": "SELECT count(*) AS n_documents FROM documents",
         "words_per_document": f"SELECT doc_id, word, count(*) AS n FROM ({WORDS}) GROUP BY doc_id, word",
         "word_count": WORD_COUNT,
         "word_count_salted_map": WORD_COUNT,
         "word_count_salted_group": WORD_COUNT,
         "word_count_partitioned": WORD_COUNT,
-        "distinct_word_count": (f"SELECT {n} AS one_round, {n} AS salted_map, {n} AS salted_group, "
-                                f"{n} AS partitioned"),
+        "distinct_word_count": "SELECT " + ", ".join(
+            f"{n} AS {m}, {total} AS {m}_total"
+            for m in ("one_round", "salted_map", "salted_group", "partitioned")),
         "average_word_length": (f"SELECT count(*) AS n_words, "
                                 f"round(CAST(sum(length(word)) AS DOUBLE) / count(*), 9) AS avg_length "
                                 f"FROM ({WORD_COUNT})"),
@@ -171,9 +207,9 @@ IN_ITEMS = f"SELECT * FROM ({ITEMS}) WHERE item BETWEEN {P.LEFT} AND {P.RIGHT}"
 FREQ = f"SELECT item, count(*) AS freq FROM ({IN_ITEMS}) GROUP BY item"
 
 
-def _freq_of(kind: str, left: int, right: int) -> str:
+def _freq_of(kind: str, left: int, right: int, kept: str = "true") -> str:
     return (f"SELECT item, count(*) AS freq FROM ({sql_items(kind)}) "
-            f"WHERE item BETWEEN {left} AND {right} GROUP BY item")
+            f"WHERE item BETWEEN {left} AND {right} AND {kept} GROUP BY item")
 
 
 def _prm_values(prm: SketchParams) -> str:
@@ -182,8 +218,8 @@ def _prm_values(prm: SketchParams) -> str:
 
 
 def _cells(prm: SketchParams, freq: str = FREQ) -> str:
-    k = H.sql_color("f.item", "q.a", "q.b", prm.W, prm.p)
-    g = H.sql_sign("f.item", "q.a2", "q.b2", prm.p)
+    k = _hash("f.item", "q.a", "q.b", prm.W, prm.p)
+    g = _sign("f.item", "q.a2", "q.b2", prm.p)
     return f"SELECT f.item AS item, f.freq AS freq, q.j AS j, {k} AS k, {g} AS g FROM ({freq}) f, {_prm_values(prm)}"
 
 
@@ -218,8 +254,8 @@ def _top_err(prm: SketchParams, K: int, freq: str = FREQ) -> str:
             f"FROM ({_top(K, freq)}) t LEFT JOIN ({_est(prm, freq)}) e USING (item)")
 
 
-def _report(prm: SketchParams, K: int, kind: str, left: int, right: int) -> str:
-    items, freq = sql_items(kind), _freq_of(kind, left, right)
+def _report(prm: SketchParams, K: int, kind: str, left: int, right: int, kept: str = "true") -> str:
+    items, freq = sql_items(kind), _freq_of(kind, left, right, kept)
     return (f"SELECT {prm.D} AS D, {prm.W} AS W, CAST({left} AS BIGINT) AS \"left\", "
             f"CAST({right} AS BIGINT) AS \"right\", {K} AS K, "
             f"(SELECT count(*) FROM ({items})) AS stream_length, "
@@ -229,12 +265,23 @@ def _report(prm: SketchParams, K: int, kind: str, left: int, right: int) -> str:
             f"({_f2_est(prm, freq)}) AS f2_estimate")
 
 
-def _cutoff(threshold: int) -> str:
+def _distinct(items: str) -> str:
+    return (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
+            f"max(item) AS largest_item FROM ({items})")
+
+
+def _batches(threshold: int, length: str) -> str:
+    """Batches whose ``length`` (of ``running``, the stream's after the batch, and
+    ``n``, the batch's) is below the threshold."""
     sizes = f"SELECT batch_id, count(*) AS n FROM ({ITEMS}) GROUP BY batch_id"
-    run = (f"SELECT batch_id, sum(n) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING "
+    run = (f"SELECT batch_id, n, sum(n) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING "
            f"AND CURRENT ROW) AS running FROM ({sizes})")
+    return f"SELECT batch_id FROM ({run}) WHERE {length} < {threshold}"
+
+
+def _cutoff(threshold: int) -> str:
     return (f"SELECT event_id, batch_id, item FROM ({ITEMS}) WHERE batch_id IN "
-            f"(SELECT batch_id FROM ({run}) WHERE running < {threshold})")
+            f"({_batches(threshold, 'running')})")
 
 
 def _sweep() -> str:
@@ -246,8 +293,8 @@ def _sweep() -> str:
                         f"{a}, {b}, {a2}, {b2})")
     grid = f"(VALUES {', '.join(rows)}) q(cfg, j, W, K, lo, hi, rep, a, b, a2, b2)"
     freq = f"SELECT item, count(*) AS freq FROM ({ITEMS}) GROUP BY item"
-    k = H.sql_color("f.item", "q.a", "q.b", "q.W")
-    g = H.sql_sign("f.item", "q.a2", "q.b2")
+    k = _hash("f.item", "q.a", "q.b", "q.W")
+    g = _sign("f.item", "q.a2", "q.b2")
     cells = (f"SELECT q.cfg AS cfg, q.j AS j, f.item AS item, f.freq AS freq, {k} AS k, {g} AS g "
              f"FROM ({freq}) f, {grid} WHERE f.item BETWEEN q.lo AND q.hi")
     sketch = f"SELECT cfg, j, k, sum(g * freq) AS c FROM cells GROUP BY cfg, j, k"
@@ -279,8 +326,10 @@ def _sweep() -> str:
 def stream_sql() -> dict[str, str]:
     prm, K = P.SKETCH, P.K_TOP
     return {
-        "stream_source": f"SELECT event_id, item FROM ({ITEMS})",
-        "stream_batches": f"SELECT event_id, batch_id FROM ({ITEMS})",
+        "stream_source": f"SELECT item, count(*) AS freq FROM ({ITEMS}) GROUP BY item",
+        "stream_batches": f"SELECT count(*) AS n_items, count(*) AS n_kept FROM ({ITEMS})",
+        "stream_run_report": _report(prm, K, "value", P.LEFT, P.RIGHT),
+        "stream_run_distinct": _distinct(ITEMS),
         "batch_sizes": f"SELECT batch_id, count(*) AS n FROM ({ITEMS}) GROUP BY batch_id",
         "stream_cutoff": _cutoff(P.THRESHOLD),
         "stream_cutoff_keep": f"SELECT event_id, batch_id, item FROM ({ITEMS})",
@@ -303,10 +352,15 @@ def stream_sql() -> dict[str, str]:
         "top_k_items": _top(K),
         "top_k_error": _top_err(prm, K),
         "top_k_report": (f"SELECT t.item, t.freq, e.est FROM ({_top(K)}) t LEFT JOIN ({_est(prm)}) e "
-                         f"USING (item) WHERE {str(K <= REPORT_K_MAX).upper()}"),
+                         f"USING (item)"),
+        "top_k_report_k50": (f"SELECT t.item, t.freq, e.est FROM ({_top(50)}) t LEFT JOIN ({_est(prm)}) e "
+                             f"USING (item)"),
         "stream_report": _report(prm, K, "value", P.LEFT, P.RIGHT),
-        "distinct_report": (f"SELECT count(*) AS n_items, count(DISTINCT item) AS n_distinct, "
-                            f"max(item) AS largest_item FROM ({ITEMS})"),
+        "stream_report_cutoff": _report(prm, K, "value", P.LEFT, P.RIGHT,
+                                        f"batch_id IN ({_batches(P.THRESHOLD, 'running')})"),
+        "distinct_report": _distinct(ITEMS),
+        "distinct_report_keep": _distinct(
+            f"SELECT * FROM ({ITEMS}) WHERE batch_id IN ({_batches(P.THRESHOLD, 'running - n')})"),
         "sketch_accuracy_sweep": _sweep(),
         "stream_report_skewed": _report(prm, K, "skewed", P.LEFT_SKEWED, P.RIGHT_SKEWED),
         "stream_report_flat": _report(prm, K, "flat", P.LEFT_FLAT, P.RIGHT_FLAT),

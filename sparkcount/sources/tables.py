@@ -54,18 +54,3 @@ def items(spark: SparkSession, sf_dir: str, kind: str = "value") -> DataFrame:
         raise ValueError(f"unknown item kind {kind!r}")
     return ev.select("event_id", hour_index(F.col("ts")).alias("batch_id"),
                      item.cast("bigint").alias("item"))
-
-
-# SQL text of the same inputs, for the oracle.
-SQL_EDGE_LIST = "SELECT CAST(l_partkey AS BIGINT) AS u, CAST(l_suppkey AS BIGINT) AS v FROM lineitem"
-
-SQL_ITEM_EXPR = {
-    "value": "CAST(floor(value) AS BIGINT)",
-    "skewed": "CAST(floor(value / 25) AS BIGINT)",
-    "flat": "CAST(user_id AS BIGINT)",
-}
-
-
-def sql_items(kind: str = "value") -> str:
-    return ("SELECT event_id, CAST(datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) * 24"
-            f" + hour(ts) AS BIGINT) AS batch_id, {SQL_ITEM_EXPR[kind]} AS item FROM events")

@@ -257,6 +257,14 @@ class ItemStreamRun:
                 .unionByName(self._read("ledger").where(F.col("batch_id") > lo).select("n")))
         return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("stream_length"))
 
+    def ledger_totals(self) -> DataFrame:
+        """One row: ``n_items`` of all batches and ``n_kept`` of the processed ones.
+
+        Only what a run of any batch sizes agrees on; the ledger itself has a row
+        per micro-batch until it is folded into a snapshot."""
+        kept = self.frequencies().agg(F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("n_kept"))
+        return merge_single_rows(self.stream_length().withColumnRenamed("stream_length", "n_items"), kept)
+
     def _committed(self, table: str, lo: int) -> DataFrame:
         """Partials of the batches after ``lo`` committed in the ledger as kept."""
         done = self._read("ledger").where(F.col("kept") & (F.col("batch_id") > lo)).select("batch_id")

@@ -203,11 +203,29 @@ def test_read_edges_text(spark, scratch):
     e = read_edges(spark, path)
     assert sorted(tuple(r) for r in e.collect()) == [(1, 2), (1, 3), (2, 3), (3, 1)]
     assert one(G.triangle_count(G.distinct_edges(e))) == 1
-    bad = f"{scratch}/bad.txt"
-    with open(bad, "w") as f:
-        f.write("1,x\n")
-    with pytest.raises(Exception):
-        read_edges(spark, bad).collect()
+
+
+@pytest.mark.parametrize("line", ["1,x", "1,", ",1", "", '"2","3"', "1,2,3", "7", "1.5,2", "1,2 3"])
+def test_read_edges_is_strict(spark, scratch, line):
+    path = f"{scratch}/bad.txt"
+    with open(path, "w") as f:
+        f.write(f"1,2\n{line}\n3,4\n")
+    for action in ("collect", "count"):
+        with pytest.raises(Exception, match="not an edge"):
+            getattr(read_edges(spark, path), action)()
+
+
+def test_two_estimates_of_the_same_edges(spark):
+    raw, hs, hb = edge_list(spark, SF001), draw_affine(1, 3), draw_edge_bucket(2)
+    both = G.triangle_report_both(raw, 4, hs, hb).collect()[0]
+    assert both.color_triangles == G.triangle_report(raw, 4, hs, "color").collect()[0].triangles
+    assert both.partition_triangles == G.triangle_report(raw, 4, hs, "partition", hb).collect()[0].triangles
+    assert both.n_edges == 1905
+
+
+def test_runs_of_one_job_share_their_prime(spark):
+    with pytest.raises(ValueError):
+        G.approx_triangles_color_median(edges(spark, TRI), 2, [Affine(1, 2), Affine(1, 2, 31)])
 
 
 @pytest.mark.parametrize("split_above", [1, 2, 5])

@@ -40,7 +40,7 @@ def test_top_k_per_group_matches_top_k(spark):
     d = items_table(spark, SF01)
     f = I.running_frequencies(d)
     want = [(r.item, r.freq) for r in K.top_k(f, 25).collect()]
-    got = K.top_k_per_group(f.withColumn("g", f.item * 0), ["g"], 25, shards=7).orderBy("rank").collect()
+    got = K.top_k_per_group(f.withColumn("g", f.item * 0), "g", 25, 25).orderBy("rank").collect()
     assert [(r.item, r.freq) for r in got] == want
 
 
@@ -128,13 +128,60 @@ def test_distinct_report(spark):
     assert (r.n_items, r.n_distinct, r.largest_item) == (1000, 170, 327)
 
 
-def test_top_k_report_empty_above_20(spark):
-    d = items_table(spark, SF001)
-    f = I.running_frequencies(d)
+def test_top_k_report_returns_all_k_rows(spark):
+    f = I.running_frequencies(items_table(spark, SF001))
     prm = S.SketchParams.draw(3, 20, 1)
-    est = S.sketch_estimates(f, S.count_sketch(f, prm, "freq"), prm)
-    assert K.top_k_report(f, est, 21).count() == 0
-    assert K.top_k_report(f, est, 20).count() == 20
+    sk = S.count_sketch(f, prm, "freq")
+    assert K.top_k_report(f, sk, prm, 20).count() == 20
+    assert K.top_k_report(f, sk, prm, 21).count() == 21
+    assert K.top_k_report(f, sk, prm, 10 ** 6).count() == 170
+    assert K.top_k_report(f, sk, prm, 50, max_rows=20).count() == 20
+
+
+@pytest.mark.parametrize("D", [1, 2, 4, 5])
+def test_row_median_of_the_sketch(spark, D):
+    import statistics
+    data = [3] * 5 + [8] * 2 + [-2, 9000, 8194, 17]
+    prm = S.SketchParams.draw(D, 4, D)
+    f = I.running_frequencies(items(spark, [(0, x) for x in data]))
+    sk = S.count_sketch(f, prm, "freq")
+    cells = {(r.j, r.k): r.c for r in sk.collect()}
+    for r in S.sketch_estimates(f, sk, prm).collect():
+        e = [cells[j, (a * r.item + b) % 8191 % 4] * (2 * ((a2 * r.item + b2) % 8191 % 2) - 1)
+             for j, (a, b, a2, b2) in enumerate(prm.rows)]
+        assert r.est == statistics.median(e)
+
+
+def test_sweep_settings_differ_and_take_another_prime(spark):
+    d = items_table(spark, SF001)
+    grid = [{"W": 20, "K": 5, "left": 1, "right": r, "rep": 1} for r in (20, 80, 400)]
+    rows = K.accuracy_sweep(d, grid, 5, 3).orderBy("cfg").collect()
+    for g, r in zip(grid, rows):
+        prm = S.SketchParams.draw(5, 20, 3 + r.cfg)
+        one = K.stream_report(d, prm, g["left"], g["right"], 5).collect()[0]
+        assert (r.interval_length, r.top_k_error, r.f2, r.f2_estimate) == (
+            one.interval_length, one.top_k_error, one.f2, one.f2_estimate)
+    assert len({r.interval_length for r in rows}) == 3
+    large = K.accuracy_sweep(d, grid, 5, 3, p=2 ** 31 - 1).orderBy("cfg").collect()
+    assert [r.f2 for r in large] == [r.f2 for r in rows]
+    assert [r.f2_estimate for r in large] != [r.f2_estimate for r in rows]
+
+
+def test_stop_rule_reports(spark):
+    rows = [(0, 1)] * 3 + [(2, 2)] * 3 + [(3, 3)] * 3
+    df = items(spark, rows)
+    prm = S.SketchParams.draw(3, 10, 1)
+    r = K.stream_report(df, prm, 0, 9, 2, threshold=6).collect()[0]
+    assert (r.stream_length, r.interval_length, r.interval_distinct) == (9, 3, 1)
+    r = K.distinct_report(df, threshold=6).collect()[0]
+    assert (r.n_items, r.n_distinct, r.largest_item) == (6, 2, 2)
+
+
+def test_running_sizes_of_sparse_ids(spark):
+    ids = [-5, 0, 3, 4096, 4097, 10 ** 9, 1_700_000_000_000, 1_700_000_000_001]
+    sizes = spark.createDataFrame([(b, i + 1) for i, b in enumerate(ids)], "batch_id BIGINT, n BIGINT")
+    got = {r.batch_id: r.running for r in I.running_sizes(sizes).collect()}
+    assert [got[b] for b in ids] == [1, 3, 6, 10, 15, 21, 28, 36]
 
 
 def test_merge_single_rows_keeps_columns_and_nulls(spark):
@@ -175,6 +222,5 @@ def test_top_k_error_is_null_for_k_zero(spark):
     d = items_table(spark, SF001)
     f = I.running_frequencies(d)
     prm = S.SketchParams.draw(3, 20, 1)
-    est = S.sketch_estimates(f, S.count_sketch(f, prm, "freq"), prm)
-    assert K.top_k_error(f, est, 0).collect()[0][0] is None
+    assert K.top_k_error(f, S.count_sketch(f, prm, "freq"), prm, 0).collect()[0][0] is None
     assert K.top_k(f, 0).count() == 0

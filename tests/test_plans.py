@@ -39,9 +39,12 @@ def test_stop_rule_filters_items_without_a_join(spark):
     assert "Join" not in top and "Subquery subquery" in p
 
 
-def test_sketch_estimates_broadcast_the_bounded_sketch(spark):
-    p = plan(QUERIES["sketch_estimates"](spark, SF001))
-    assert "BroadcastHashJoin" in p and "BroadcastExchange" in p
+def test_estimates_are_made_in_the_row(spark):
+    # the sketch arrives as one array: the items are neither joined nor shuffled
+    # after their frequency table
+    top = plan(QUERIES["sketch_estimates"](spark, SF001)).split("Subquery")[0]
+    assert "Join" not in top and top.count("Exchange hashpartitioning") <= 1
+    assert "Join" not in plan(QUERIES["top_k_error"](spark, SF001))
 
 
 def test_word_count_aggregates_before_the_shuffle(spark):
@@ -49,6 +52,31 @@ def test_word_count_aggregates_before_the_shuffle(spark):
     assert p.count("partial_count") >= 1 and p.count("partial_sum") >= 1
 
 
+def test_salted_counts_shuffle_twice_and_partitioned_once(spark):
+    assert plan(QUERIES["word_count_salted_map"](spark, SF001)).count("Exchange hashpartitioning") == 2
+    assert plan(QUERIES["word_count_salted_group"](spark, SF001)).count("Exchange hashpartitioning") == 2
+    p = plan(QUERIES["word_count_partitioned"](spark, SF001))
+    assert p.count("Exchange hashpartitioning") == 1 and "partial_count" in p
+
+
+def test_distinct_word_count_runs_its_methods(spark):
+    df = QUERIES["distinct_word_count"](spark, SF001)
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("xxhash64") >= 2 and p.count("sum(n") >= 4
+
+
+def test_triangles_orient_once(spark):
+    df = QUERIES["triangle_count"](spark, SF001)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    # two degree joins and the closing join (the heavy chunks' join is empty here)
+    assert sum(final.count(f"{k}Join") for k in ("SortMerge", "BroadcastHash", "ShuffledHash")) <= 4
+
+
+def test_sweep_limits_groups_below_the_shuffle(spark):
+    assert "WindowGroupLimit" in plan(QUERIES["sketch_accuracy_sweep"](spark, SF001))
+
+
 def test_building_queries_leaves_no_temp_views(spark):
     before = {t.name for t in spark.catalog.listTables()}
     for f in QUERIES.values():

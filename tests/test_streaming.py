@@ -132,3 +132,80 @@ def test_compaction_keeps_totals_replays_and_restarts(spark, stream_dir, scratch
     again = ItemStreamRun(spark, "compact", PRM, LEFT, RIGHT, threshold=10 ** 9, root=scratch)
     assert again._length_before(5) == 1000
     assert again.report(5).collect()[0].asDict() == K.stream_report(b, PRM, LEFT, RIGHT, 5).collect()[0].asDict()
+
+
+def test_no_threshold_means_no_stop_rule(spark, scratch):
+    run = ItemStreamRun(spark, "plain", root=scratch)
+    run.process(spark.range(100).selectExpr("id AS item"), 0)
+    assert run.threshold is None and not run.stop_event.is_set()
+    assert run.stream_length().collect()[0][0] == 100
+
+
+def test_a_slow_last_batch_is_still_counted(spark, stream_dir, scratch):
+    import time
+    d, vals = stream_dir
+    run = ItemStreamRun(spark, "slow", None, threshold=600, on_stop="keep", root=scratch)
+    counted = run.process
+
+    def slow(batch, batch_id):
+        n = run._length_before(batch_id) + batch.count()
+        if n >= 600:  # the stop event is set long before this batch ends
+            run.stop_event.set()
+            time.sleep(3)
+        counted(batch, batch_id)
+
+    run.process = slow
+    run.run(source(spark, d), trigger={"processingTime": "0 seconds"}, poll=0.1)
+    n = run.stream_length().collect()[0][0]
+    assert n >= 600 and run.frequencies().agg({"freq": "sum"}).collect()[0][0] == n
+
+
+def test_settle_timeout_is_an_error(spark, stream_dir, scratch):
+    import time
+    d, _ = stream_dir
+    run = ItemStreamRun(spark, "late", None, root=scratch)
+
+    def endless(batch, batch_id):
+        run.stop_event.set()
+        time.sleep(5)
+
+    run.process = endless
+    with pytest.raises(TimeoutError):
+        run.run(source(spark, d), poll=0.1, settle_timeout=0.5)
+
+
+APPLICATION = """
+import sys
+sys.path.insert(0, {root!r})
+from sparkcount import get_session
+from sparkcount.sources.stream import read_items
+from sparkcount.streaming.runner import ItemStreamRun
+spark = get_session("local[2]", 2, extra={{"spark.checkpoint.dir": {shared!r}}})
+run = ItemStreamRun(spark, "run1")
+run.run(read_items(spark, "text", {data!r}), trigger={{"availableNow": True}})
+print("LENGTH", run.stream_length().first()[0], run.distinct_report().first().n_items, run.root)
+spark.stop()
+"""
+
+
+def test_a_second_application_goes_on(scratch):
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    os.makedirs(f"{scratch}/in")
+    seen = []
+    for part, n in ((0, 30), (1, 12)):
+        with open(f"{scratch}/in/{part}.txt", "w") as f:
+            f.writelines(f"{v}\n" for v in range(n))
+        code = APPLICATION.format(root=root, shared=f"{scratch}/shared", data=f"{scratch}/in")
+        out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+        assert out.returncode == 0, out.stderr[-2000:]
+        seen.append(next(x for x in out.stdout.splitlines() if x.startswith("LENGTH")).split()[1:])
+    assert [x[:2] for x in seen] == [["30", "30"], ["42", "42"]]
+    assert seen[0][2] == seen[1][2] == f"{scratch}/shared/run1"
+
+
+def test_registered_streams_read_a_stream(spark):
+    import __spark_entry__ as E
+    got = E.queries()["stream_run_distinct"](spark, SF001).collect()[0]
+    assert (got.n_items, got.n_distinct, got.largest_item) == (1000, 170, 327)
