@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _U = np.uint64
 # Fixed values of the polynomial hash: an odd multiplier and one odd number per byte.

@@ -10,11 +10,12 @@ weighting mixes all depths: ``Pw = (KT + product of the children's Pw) / 2``
 predictions along its path with the weights that training has left there.
 
 Jobs: (1) distinct byte n-grams and words of each part of the corpus with their
-training counts; (2) counts summed per key; (3) bottom-up, one aggregate per
-depth, the node's counts and the sum of its children's log Pw; (4) top-down, one
-join per depth, the mixture so far and the weight left for deeper nodes; (5) per
-n-gram, the log-probability of its last byte; (6) every part gets the values of
-its own n-grams and words and scores its texts against them.  Nothing that grows
+training counts; (2) counts summed per key; (3) bottom-up, grouped by the two
+last context bytes, each node's counts and the sum of its children's log Pw;
+(4) the two top depths as small aggregates and joins; (5) top-down in the same
+groups, the mixture so far and the weight left for deeper nodes, and per n-gram
+the log-probability of its last byte; (6) every part gets the values of its own
+n-grams and words and scores its texts against them.  Nothing that grows
 with the corpus is broadcast or collected: the dictionary a task holds is that
 of its part.  N-grams of texts outside training take part with count 0, which
 changes no probability and leaves their unseen contexts at one half.
@@ -37,9 +38,10 @@ from pyspark.sql import functions as F
 from sparkcount.llm import kernels as K
 from sparkcount.llm.storage import Work
 
-DEPTH = 4
+DEPTH = 5
 END = 0xFF
 WORD, GRAM = 0, 1
+SLICE = 1 << 20  # a slice takes some hundred times its bytes while it is worked on
 
 
 class Lookup:
@@ -129,7 +131,7 @@ def _distinct(docs: DataFrame, depth: int) -> DataFrame:
         for batch in batches:
             train = batch.column("train").to_numpy(zero_copy_only=False)
             part = batch.column("part").to_numpy()
-            for i, j, data, offsets in K.text_slices(batch.column("text")):
+            for i, j, data, offsets in K.text_slices(batch.column("text"), SLICE):
                 gram, gram_row = grams(data, offsets, depth)
                 word, word_row = word_keys(data, offsets)
                 for p in np.unique(part[i:j]).tolist():
@@ -150,7 +152,7 @@ def _distinct(docs: DataFrame, depth: int) -> DataFrame:
     return docs.select("part", "train", "text").mapInArrow(count, "part long, kind int, key long, n long")
 
 
-def _lgamma(x: str) -> str:
+def _sql_lgamma(x: str) -> str:
     """Stirling's series of log Gamma at ``x + 8``, shifted back to ``x >= 1/2``."""
     z = f"({x} + 8)"
     shift = " * ".join(f"({x} + {k})" for k in range(8))
@@ -158,44 +160,137 @@ def _lgamma(x: str) -> str:
             f" + 1 / (1260 * pow({z}, 5)) - ln({shift}))")
 
 
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    """As ``_sql_lgamma``."""
+    z, shift = x + 8, x.copy()
+    for k in range(1, 8):
+        shift *= x + k
+    return ((z - 0.5) * np.log(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * z ** 3)
+            + 1 / (1260 * z ** 5) - np.log(shift))
+
+
 # log of the Krichevsky-Trofimov probability of a zeros and b ones
-_KT = f"({_lgamma('(a + 0.5D)')} + {_lgamma('(b + 0.5D)')} - {_lgamma('(a + b + 1D)')} - 1.1447298858494002D)"
-_MIXED = "(greatest(kt, below) + ln(1 + exp(-abs(kt - below))) - 0.6931471805599453D)"
+_SQL_KT = (f"({_sql_lgamma('(a + 0.5D)')} + {_sql_lgamma('(b + 0.5D)')} - {_sql_lgamma('(a + b + 1D)')}"
+           " - 1.1447298858494002D)")
+_SQL_MIXED = "(greatest(kt, below) + ln(1 + exp(-abs(kt - below))) - 0.6931471805599453D)"
+
+
+def _kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1.0) - 1.1447298858494002
+
+
+def _subtree(keys: np.ndarray, c: np.ndarray, depth: int) -> dict:
+    """Bottom-up over the n-grams of one two-byte context: per depth the sorted
+    node names (context and node), ``a``, ``b`` and ``below``, the sum of the
+    children's log Pw."""
+    i = np.arange(8)
+    byte = (keys & np.uint64(255)).astype(np.int64)[:, None]
+    node = (1 << i) | (byte >> (8 - i))
+    name = ((keys >> np.uint64(8)).astype(np.int64)[:, None] << 8 | node).ravel()
+    bit = ((byte >> (7 - i)) & 1).ravel()
+    weight = np.repeat(c, 8)
+    names, inverse = np.unique(name, return_inverse=True)
+    ones = np.bincount(inverse, weights=weight * bit, minlength=len(names))
+    level = {"name": names, "a": np.bincount(inverse, weights=weight, minlength=len(names)) - ones, "b": ones,
+             "below": np.zeros(len(names)), "at": inverse, "bit": bit}
+    out = {depth: level}
+    for d in range(depth, 2, -1):
+        kt = _kt(level["a"], level["b"])
+        pw = kt if d == depth else np.logaddexp(kt, level["below"]) - np.log(2)
+        names, up = np.unique(level["name"] & ((1 << 8 * d) - 1), return_inverse=True)
+        level["up"] = up
+        level = {"name": names, **{x: np.bincount(up, weights=y, minlength=len(names)) for x, y in (
+            ("a", level["a"]), ("b", level["b"]), ("below", pw))}}
+        out[d - 1] = level
+    return out
+
+
+def _by_top(task):
+    """Run ``task(top, rows)`` on the rows of each ``top``, which lie together."""
+
+    def run(batches):
+        held, current = [], None
+        for batch in batches:
+            top = batch.column("top").to_numpy()
+            edges = [0, *(np.flatnonzero(top[1:] != top[:-1]) + 1).tolist(), len(top)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                if a == b:
+                    continue
+                if top[a] != current and held:
+                    yield task(current, pa.Table.from_batches(held))
+                    held = []
+                current = top[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield task(current, pa.Table.from_batches(held))
+
+    return run
 
 
 def gram_scores(counts: DataFrame, depth: int, work: Work) -> DataFrame:
     """``(key, log10p)``: probability of each n-gram's last byte after the others,
-    from ``counts (key, c)``."""
-    bits = counts.select("key", "c", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i")).select(
-        "key", "c", F.shiftright("key", 8).alias("ctx"),
-        F.expr("(1 << i) | ((key & 255) >> (8 - i))").cast("int").alias("node"),
-        F.expr("((key & 255) >> (7 - i)) & 1").alias("bit"))
-    level = bits.groupBy("ctx", "node").agg(
-        F.sum(F.expr("if(bit = 0, c, 0L)")).alias("a"), F.sum(F.expr("if(bit = 1, c, 0L)")).alias("b"),
-        F.lit(0.0).alias("below"))
-    levels = {}
-    for d in range(depth, -1, -1):
-        levels[d] = work.cut(level, f"depth{d}")
-        if d:
-            kt = levels[d].select("*", F.expr(_KT).alias("kt"))
-            pw = kt.select("*", (F.col("kt") if d == depth else F.expr(_MIXED)).alias("pw"))
-            level = pw.groupBy(F.expr(f"ctx & {(1 << 8 * (d - 1)) - 1}L").alias("ctx"), "node").agg(
-                F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("pw").alias("below"))
-    # top-down: done = mixture of the depths so far, left = weight of the deeper ones
-    down = None
-    for d in range(depth + 1):
-        own = levels[d].select("*", F.expr("(b + 0.5D) / (a + b + 1)").alias("one"),
-                               F.expr(f"1 / (1 + exp(below - {_KT}))" if d < depth else "1D").alias("here"))
-        if d:
-            up = down.select(F.col("ctx").alias("up"), "node", "done", "left")
-            own = own.withColumn("up", F.expr(f"ctx & {(1 << 8 * (d - 1)) - 1}L")).join(up, ["up", "node"])
-        else:
-            own = own.select("*", F.lit(0.0).alias("done"), F.lit(1.0).alias("left"))
-        down = own.select("ctx", "node", F.expr("done + left * here * one").alias("done"),
-                          F.expr("left * (1 - here)").alias("left"))
-    return bits.select("key", "ctx", "node", "bit").join(
-        down.select("ctx", "node", F.col("done").alias("p")), ["ctx", "node"]).groupBy("key").agg(
-        F.sum(F.expr("log10(if(bit = 1, p, 1 - p))")).alias("log10p"))
+    from ``counts (key, c)``.
+
+    The contexts that end in the same two bytes are one task's group: depths 2
+    to ``depth`` need no shuffle.  Depths 0 and 1 (at most 257 contexts) are
+    joined to the groups' depth 2 by Spark."""
+    grams = counts.select(F.expr("shiftright(key, 8) & 65535").alias("top"), "key", "c")
+
+    def upward(top, rows):
+        level = _subtree(rows.column("key").to_numpy().view(np.uint64), rows.column("c").to_numpy().astype(float),
+                         depth)[2]
+        n = len(level["name"])
+        return pa.RecordBatch.from_pydict({
+            "top": pa.array(np.full(n, top), pa.int64()), "node": pa.array(level["name"] & 255, pa.int32()),
+            "a": pa.array(level["a"].astype(np.int64)), "b": pa.array(level["b"].astype(np.int64)),
+            "below": pa.array(level["below"])})
+
+    two = work.cut(grams.repartition("top").sortWithinPartitions("top").mapInArrow(
+        _by_top(upward), "top long, node int, a long, b long, below double"), "depth2")
+
+    def parent(level: DataFrame, leaf: bool, ctx: str) -> DataFrame:
+        kt = level.select("*", F.expr(_SQL_KT).alias("kt"))
+        return kt.groupBy(F.expr(ctx).alias("ctx"), "node").agg(
+            F.sum("a").alias("a"), F.sum("b").alias("b"),
+            F.sum(F.col("kt") if leaf else F.expr(_SQL_MIXED)).alias("below"))
+
+    one = work.cut(parent(two, depth == 2, "top & 255"), "depth1")
+    zero = work.cut(parent(one, False, "0L"), "depth0")
+
+    def own(level: DataFrame) -> DataFrame:
+        return level.select("ctx", "node", F.expr("(b + 0.5D) / (a + b + 1)").alias("one"),
+                            F.expr(f"1 / (1 + exp(below - {_SQL_KT}))").alias("here"))
+
+    root = own(zero).select("node", F.expr("here * one").alias("done"), F.expr("1 - here").alias("left"))
+    down = own(one).join(root, "node").select(
+        "ctx", "node", F.expr("done + left * here * one").alias("done"), F.expr("left * (1 - here)").alias("left"))
+    state = two.select("top", F.expr("top & 255").alias("ctx"), "node").join(down, ["ctx", "node"]).select(
+        "top", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("c"), "node", "done", "left")
+    both = state.unionByName(grams.select(
+        "*", F.lit(None).cast("int").alias("node"), F.lit(None).cast("double").alias("done"),
+        F.lit(None).cast("double").alias("left")))
+
+    def downward(top, rows):
+        mask = rows.column("key").is_null().to_numpy()
+        entry, own_rows = rows.filter(pa.array(mask)), rows.filter(pa.array(~mask))
+        keys = own_rows.column("key").to_numpy().view(np.uint64)
+        levels = _subtree(keys, own_rows.column("c").to_numpy().astype(float), depth)
+        order = np.argsort(entry.column("node").to_numpy())
+        done, left = (entry.column(x).to_numpy()[order] for x in ("done", "left"))
+        for d in range(2, depth + 1):
+            level = levels[d]
+            if d > 2:
+                done, left = done[level["up"]], left[level["up"]]
+            with np.errstate(over="ignore"):
+                here = 1.0 if d == depth else 1 / (1 + np.exp(level["below"] - _kt(level["a"], level["b"])))
+            done = done + left * here * (level["b"] + 0.5) / (level["a"] + level["b"] + 1)
+            left = left * (1 - here)
+        leaf = levels[depth]
+        p = done[leaf["at"]]
+        logs = np.log10(np.where(leaf["bit"] == 1, p, 1 - p)).reshape(-1, 8).sum(axis=1)
+        return pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "log10p": pa.array(logs)})
+
+    return both.repartition("top").sortWithinPartitions("top").mapInArrow(_by_top(downward), "key long, log10p double")
 
 
 def score(docs: DataFrame, train: Column, part: Column | None = None, id_col: str = "doc_id",
@@ -205,8 +300,8 @@ def score(docs: DataFrame, train: Column, part: Column | None = None, id_col: st
     ``train``: which rows are learned from.  ``part``: a fixed function of the
     row that groups rows lying together (a task's dictionary is that of its
     part); any such function gives the same result."""
-    if not 1 <= depth <= 7:
-        raise ValueError("depth must be 1..7: a context and its byte are one 64-bit key")
+    if not 2 <= depth <= 6:
+        raise ValueError("depth must be 2..6: a context and its node are one 64-bit name")
     work = Work(docs.sparkSession, "ctw")
     if part is None:
         part = F.pmod(F.xxhash64(id_col), F.lit(1024))
@@ -251,7 +346,7 @@ def score(docs: DataFrame, train: Column, part: Column | None = None, id_col: st
                                       np.concatenate([x[1] for x in xs] or [np.zeros(0)])) for k, xs in held.items()}
                     held = {WORD: [], GRAM: []}
                 ids, text = batch.column("id").slice(a, b - a), batch.column("text").slice(a, b - a)
-                for i, j, data, offsets in K.text_slices(text):
+                for i, j, data, offsets in K.text_slices(text, SLICE):
                     key, row = word_keys(data, offsets)
                     c = find[WORD](key, 0.0)
                     tokens = K.row_counts(row, j - i) + 1
