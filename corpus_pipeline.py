@@ -20,9 +20,9 @@ from sparkcount.sources.tables import table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that have letters and one language with at least half of them; the
+    """Rows that have letters and one language with at least a third of them; the
     model is fitted on the labelled rows of the stage's input."""
-    return language.keep_identified(docs, language.fit(docs), min_score=0.5)
+    return language.keep_identified(docs, language.fit(docs), min_score=1 / 3)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
