@@ -4,20 +4,24 @@ The pieces and scores come from a public model file.  A text is a leading
 space and its characters, spaces written as U+2581.  Adjacent symbols whose
 concatenation is a piece are merge candidates; an agenda takes the candidate of
 the highest score (the leftmost of equals) until none is left.  With dropout, a
-candidate is skipped for good when a hash of the seed, the variant, the segment
-and the candidate's place falls below ``dropout``: the same seed gives the same
-ids on every run and retry, another seed other segmentations.  Characters
-without a piece, and a literal U+2581, become byte pieces, so decoding restores
-every text.
+candidate is skipped for good when a hash of the seed, the document id, the
+segment with its place in the document, and the candidate's place in the segment
+falls below ``dropout``: every occurrence of a word has draws of its own, the
+same seed gives the same ids on every run and retry, another seed other
+segmentations.  Characters without a piece, and a literal U+2581, become byte
+pieces, so decoding restores every text.
 
 No piece of such a model joins a visible character to a space after it, so a
 text falls into segments (spaces and the word after them) that are encoded
-apart, each distinct one once per task.  Short segments are processed together,
-one merge of each per step; longer ones by a heap.
+apart.  Short segments are processed together, one merge of each per step;
+longer ones by a heap.  A task remembers short segments by the candidates that
+were skipped, with the candidates that came up and were kept: an occurrence
+whose draws skip none of those has the remembered ids, any other occurrence is
+merged with its own draws.
 
 Defined cases: null and empty texts have no ids and decode to the empty text;
-repeated rows get a row each; an empty table gives no rows; other columns are
-ignored.
+repeated rows get a row each, with the same ids; the text stands for a null
+document id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,8 +42,7 @@ from sparkcount.llm.storage import Work
 
 DROPOUT = 0.1
 SEED = 17
-VARIANTS = 4
-SHORT = 48
+SHORT = 48  # below 64: three places of a segment make an 18-bit code
 
 _U = np.uint64
 _MARK = 0x2581
@@ -107,9 +110,23 @@ def _kept(key, left, middle, right, dropout: float):
     """Whether a candidate at these places of a segment is not skipped."""
     if dropout <= 0:
         return np.ones(np.broadcast(key, left).shape, bool)
-    place = (left.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + middle.astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F)
-             + right.astype(np.uint64) * _U(0x165667B19E3779F9))
-    return (K.mix(key ^ K.mix(place)) >> _U(11)).astype(np.float64) >= dropout * 2.0 ** 53
+    return _above(key, _place(left, middle, right), dropout)
+
+
+def _place(left, middle, right):
+    return K.mix(left.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + middle.astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F)
+                 + right.astype(np.uint64) * _U(0x165667B19E3779F9))
+
+
+def _above(key, place, dropout: float):
+    return (K.mix(key ^ place) >> _U(11)).astype(np.float64) >= dropout * 2.0 ** 53
+
+
+@functools.lru_cache(maxsize=1)
+def _places() -> np.ndarray:
+    """``_place`` of every code ``left << 12 | middle << 6 | right``."""
+    code = np.arange(1 << 18)
+    return _place(code >> 12, code >> 6 & 63, code & 63)
 
 
 def agenda(model: Model, symbols: list[int], key: int, dropout: float) -> tuple[list[int], list[int]]:
@@ -143,9 +160,12 @@ def agenda(model: Model, symbols: list[int], key: int, dropout: float) -> tuple[
     return [symbols[i] for i in range(n) if alive[i]], [i for i in range(n) if alive[i]]
 
 
-def together(model: Model, symbols: np.ndarray, size: np.ndarray, key: np.ndarray, dropout: float):
+def together(model: Model, symbols: np.ndarray, size: np.ndarray, key: np.ndarray, dropout: float,
+             names: np.ndarray | None = None, skip: np.ndarray | None = None, trace: list | None = None):
     """Many short segments at once (rows of a padded matrix): the highest
-    candidate of each per step.  Returns final symbols, first characters, sizes."""
+    candidate of each per step.  Returns final symbols, first characters, sizes.
+    With ``skip``, the candidates skipped are those of this sorted list of
+    ``names[row] << 18 | code``, and ``trace`` gets all others that came up."""
     m, width = symbols.shape
     out_s, out_p = np.full((m, width), -2, np.int64), np.zeros((m, width), np.int64)
     out_n = size.copy()
@@ -154,20 +174,28 @@ def together(model: Model, symbols: np.ndarray, size: np.ndarray, key: np.ndarra
     place = np.tile(np.arange(width + 1), (m, 1))  # first character of each symbol, then the end
     place = np.minimum(place, size[:, None])
 
-    def candidates(s, place, key, cols):
+    def candidates(s, place, key, rows, cols):
         r = np.arange(len(s))[:, None]
         left, right = s[r, cols], s[r, cols + 1]
         ok = (left >= 0) & (right >= 0)
-        new = np.full(left.shape, -1.0)
+        new = np.full(left.shape, -1, np.int64)
         new[ok] = model.into(left[ok].astype(np.uint64) << _U(32) | right[ok].astype(np.uint64), -1.0)
-        new = new.astype(np.int64)
-        keep = _kept(np.broadcast_to(key[:, None], left.shape), place[r, cols], place[r, cols + 1],
-                     place[r, cols + 2], dropout)
-        new[~keep] = -1
+        of, at = np.nonzero(new >= 0)
+        c = cols[of, at]
+        a, b, e = place[of, c], place[of, c + 1], place[of, c + 2]
+        if skip is None:
+            keep = _kept(key[of], a, b, e, dropout)
+        else:
+            code = names[rows[of]] << 18 | a << 12 | b << 6 | e
+            keep = np.ones(len(code), bool)
+            if len(skip):
+                keep = skip[np.minimum(np.searchsorted(skip, code), len(skip) - 1)] != code
+            trace.append(code[keep])
+        new[of[~keep], at[~keep]] = -1
         return new, model.scores[new]
 
     if width > 1:
-        new, score = candidates(s, place, key, np.tile(np.arange(width - 1), (m, 1)))
+        new, score = candidates(s, place, key, rows, np.tile(np.arange(width - 1), (m, 1)))
     while s.shape[1] > 1 and len(rows):
         best = score.argmax(axis=1)
         live = score[np.arange(len(rows)), best] > _NONE
@@ -192,7 +220,7 @@ def together(model: Model, symbols: np.ndarray, size: np.ndarray, key: np.ndarra
             cols = np.minimum(cols, w - 2)
             new, score = np.take_along_axis(new, cols, axis=1), np.take_along_axis(score, cols, axis=1)
             near = np.stack([np.maximum(best - 1, 0), np.minimum(best, w - 3)], axis=1)
-            a, b = candidates(s, place, key, near)
+            a, b = candidates(s, place, key, rows, near)
             new[r[:, None], near], score[r[:, None], near] = a, b
     if len(rows):
         w = s.shape[1]
@@ -206,7 +234,8 @@ class Encoder:
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, most: int = 1_000_000):
         self.model, self.dropout = load(path), dropout
         self.seed = K.mix(np.array([seed], np.int64).view(np.uint64))
-        self.memo = K.Memo(most)
+        # by segment and skipped candidates: ids, and the candidates that were kept
+        self.memo, self.traces = K.Memo(most), K.Memo(most)
 
     def _spell(self, symbols: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of final symbols (unknown ones in bytes) and the number of each."""
@@ -225,9 +254,13 @@ class Encoder:
             out[at[has] + k] = self.model.bytes[byte & 0xFF]
         return out.astype(np.uint32), n
 
-    def _segments(self, cp: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndarray):
-        """Ids and id counts of distinct segments."""
+    def _segments(self, cp: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndarray,
+                  skip: np.ndarray | None = None, trace: list | None = None):
+        """Ids and id counts of segments by their keys, or (short ones) with the
+        candidates ``skip`` skipped."""
         size = ends - starts
+        if not len(size):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         sym, first, of = [], [], []
         widths = [w for w in (4, 8, 12, 16, 24, 32, SHORT)]
         low = 0
@@ -240,7 +273,7 @@ class Encoder:
                 inside = cols < size[part][:, None]
                 at = np.minimum(starts[part][:, None] + cols, len(cp) - 1)
                 m = np.where(inside, self.model.char[cp[at]], -2)
-                s, p, n = together(self.model, m, size[part], key[part], self.dropout)
+                s, p, n = together(self.model, m, size[part], key[part], self.dropout, part, skip, trace)
                 valid = np.arange(w) < n[:, None]
                 sym.append(s[valid])
                 first.append((starts[part][:, None] + p)[valid])
@@ -256,8 +289,76 @@ class Encoder:
         ids, n = self._spell(sym[order], cp[first[order]])
         return ids, np.bincount(of[order], weights=n, minlength=len(starts)).astype(np.int64)
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the rows, one row after another, and each row's number of ids."""
+    def _remember(self, cp, starts, ends, names, skip) -> None:
+        """Add segments under sorted names; ``skip`` as in ``together``."""
+        trace: list = [np.zeros(0, np.int64)]
+        ids, n = self._segments(cp, starts, ends, np.zeros(len(starts), np.uint64), skip, trace)
+        code = np.sort(np.concatenate(trace))
+        code = code[np.append(True, code[1:] != code[:-1])[:len(code)]]
+        self.memo.add(names, ids, n)
+        self.traces.add(names, (code & 0x3FFFF).astype(np.uint32), np.bincount(code >> 18, minlength=len(names)))
+
+    def _drawn(self, uniq, inverse, key):
+        """Of occurrences with remembered names: the candidates that their own
+        draws skip (codes, and the occurrence of each)."""
+        code, n = self.traces.gather(uniq, inverse)
+        of = np.repeat(np.arange(len(n)), n)
+        skipped = np.flatnonzero(~_above(key[of], _places()[code], self.dropout))
+        return code[skipped].astype(np.int64), of[skipped]
+
+    def _occurrences(self, cp: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray, key: np.ndarray):
+        """Ids and id counts of segments with their own draws."""
+        out: list = []  # occurrences, ids and counts of each way
+        short = np.flatnonzero(ends - starts <= SHORT)
+        own = [np.flatnonzero(ends - starts > SHORT)]
+
+        # no candidate skipped
+        uniq, at, inverse = np.unique(h[short], return_index=True, return_inverse=True)
+        new = self.memo.missing(uniq)
+        self.traces.missing(uniq)
+        if len(new):
+            first = short[at[new]]
+            self._remember(cp, starts[first], ends[first], uniq[new], np.zeros(0, np.int64))
+        code, of = self._drawn(uniq, inverse, key[short])
+        cut = np.bincount(of, minlength=len(short))
+        plain = cut == 0
+        out.append((short[plain], *self.memo.gather(uniq, inverse[plain])))
+
+        # the skipped ones of those, if they occur again
+        some = np.flatnonzero(~plain)
+        name = h[short]
+        np.add.at(name, of, K.mix(_places()[code]))
+        name = K.mix(name[some])
+        uniq, at, inverse, n = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
+        new = self.memo.missing(uniq)
+        self.traces.missing(uniq)
+        known = np.ones(len(uniq), bool)
+        known[new[n[new] == 1]] = False
+        new = new[n[new] > 1]
+        if len(new):
+            first = some[at[new]]
+            begin = np.searchsorted(of, first)
+            skip = np.repeat(np.arange(len(new)), cut[first]) << 18 | code[K.ragged(begin, cut[first])]
+            self._remember(cp, starts[short[first]], ends[short[first]], uniq[new], np.sort(skip))
+        again = known[inverse]
+        own.append(short[some[~again]])
+        some, uniq, inverse = some[again], uniq[known], (np.cumsum(known) - 1)[inverse[again]]
+        _, more = self._drawn(uniq, inverse, key[short[some]])
+        done = np.bincount(more, minlength=len(some)) == 0
+        out.append((short[some[done]], *self.memo.gather(uniq, inverse[done])))
+
+        # all others
+        own.append(short[some[~done]])
+        rest = np.concatenate(own)
+        out.append((rest, *self._segments(cp, starts[rest], ends[rest], key[rest])))
+        of, ids, n = (np.concatenate(x) for x in zip(*out))
+        order = np.empty(len(of), np.int64)
+        order[of] = np.arange(len(of))
+        return ids[K.ragged((np.cumsum(n) - n)[order], n[order])], n[order]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the rows, one row after another, and each row's number of
+        ids; ``doc`` holds 64-bit names of the rows' documents."""
         rows = len(offsets) - 1
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(rows, np.int64)
@@ -277,40 +378,43 @@ class Encoder:
         ends = np.append(starts[1:], len(cp))
         row = np.searchsorted(edge, starts, side="right") - 1
         h = K.value_hashes(K.mix(cp.astype(np.uint64)), starts, ends)
-        h = K.mix(h ^ self.seed ^ K.mix(variant[row].astype(np.uint64) + _U(1)))
-        uniq, at, inverse = np.unique(h, return_index=True, return_inverse=True)
-        new = self.memo.missing(uniq)
-        if len(new):
-            ids, n = self._segments(cp, starts[at[new]], ends[at[new]], uniq[new])
-            self.memo.add(uniq[new], ids, n)
-        ids, n = self.memo.gather(uniq, inverse)
+        if self.dropout > 0:
+            place = K.mix(doc[row].astype(np.uint64)) + (starts - edge[row]).astype(np.uint64)
+            ids, n = self._occurrences(cp, starts, ends, h, K.mix(h ^ self.seed ^ K.mix(place)))
+        else:
+            uniq, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+            new = self.memo.missing(uniq)
+            if len(new):
+                self.memo.add(uniq[new], *self._segments(cp, starts[at[new]], ends[at[new]], uniq[new]))
+            ids, n = self.memo.gather(uniq, inverse)
         return ids, np.bincount(row, weights=n, minlength=rows).astype(np.int64)
 
 
-def _variant(id_col: str, seed: int, variants: int):
-    return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(variants))
+def _document(id_col: str, text_col: str):
+    """64-bit name of a document."""
+    return F.xxhash64(F.col(id_col).cast("string"),
+                      F.when(F.col(id_col).isNull(), F.col(text_col).cast("string")))
 
 
-def encode(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
+def encode(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids array<int>`` of whole texts.  The seed and a hash of the id
-    choose one of ``variants`` segmentations of a word for a document."""
+    """``doc_id, ids array<int>`` of whole texts."""
     Work(docs.sparkSession, "merge-dropout")
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         coder = Encoder(model_path, dropout, seed)
         for batch in batches:
-            variant = batch.column("v").to_numpy()
+            doc = batch.column("v").to_numpy()
             for i, j, data, offsets in K.text_slices(batch.column("text")):
-                ids, n = coder.encode(data, offsets, variant[i:j])
+                ids, n = coder.encode(data, offsets, doc[i:j])
                 ends = np.concatenate([[0], np.cumsum(n)])
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("id").slice(i, j - i),
                     "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))})
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                       _variant(id_col, seed, variants).alias("v")).mapInArrow(
+                       _document(id_col, text_col).alias("v")).mapInArrow(
         run, f"doc_id {id_type}, ids array<int>")
 
 
@@ -335,7 +439,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED,
-               variants: int = VARIANTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_crc32, decoded_sha256, lossless`` of whole texts,
     encoded and decoded in one pass."""
     Work(docs.sparkSession, "merge-dropout")
@@ -344,9 +448,9 @@ def round_trip(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed:
     def run(batches):
         coder = Encoder(model_path, dropout, seed)
         for batch in batches:
-            variant = batch.column("v").to_numpy()
+            doc = batch.column("v").to_numpy()
             for i, j, data, offsets in K.text_slices(batch.column("text")):
-                ids, n = coder.encode(data, offsets, variant[i:j])
+                ids, n = coder.encode(data, offsets, doc[i:j])
                 texts = coder.model.decode_rows(ids.astype(np.int64), n)
                 raw, source = memoryview(ids.tobytes()), data.tobytes()
                 ends = np.concatenate([[0], np.cumsum(n)]).tolist()
@@ -358,5 +462,5 @@ def round_trip(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed:
                     "lossless": pa.array([x == source[a:b] for x, a, b in zip(texts, own[:-1], own[1:])])})
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                       _variant(id_col, seed, variants).alias("v")).mapInArrow(
+                       _document(id_col, text_col).alias("v")).mapInArrow(
         run, f"doc_id {id_type}, n_tokens long, ids_crc32 long, decoded_sha256 string, lossless boolean")

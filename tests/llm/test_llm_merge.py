@@ -66,3 +66,33 @@ def test_tables(spark):
     back = op.decode(op.encode(docs, PATH), PATH).collect()
     assert sorted(r.text for r in back) == sorted(r[1] or "" for r in rows)
     assert op.round_trip(docs.limit(0), PATH).count() == 0
+
+
+def test_every_occurrence_is_cut_by_its_own_draws():
+    """A frequent word has many segmentations, in one document and over documents,
+    and remembered words give the ids of the heap with the occurrence's key."""
+    m, texts = op.load(PATH), ["international relationship " * 400, *["international relationship"] * 300, "x " * 50 + "é" * 60]
+    for dropout in (0.1, 0.5):
+        coder, col = op.Encoder(PATH, dropout=dropout, seed=3), pa.array(texts, pa.string())
+        keys = []
+        inner = coder._occurrences
+        coder._occurrences = lambda cp, s, e, h, key: (keys.append((cp, s, e, key)), inner(cp, s, e, h, key))[1]
+        _, _, data, offsets = next(iter(K.text_slices(col)))
+        for _ in range(2):  # new and remembered
+            ids, n = coder.encode(data, offsets, np.arange(len(texts)))
+            cp, s, e, key = keys.pop()
+            want = []
+            for a, b, k in zip(s.tolist(), e.tolist(), key.tolist()):
+                sym, first = op.agenda(m, m.char[cp[a:b]].tolist(), k, dropout)
+                want += coder._spell(np.array(sym), cp[a + np.array(first)])[0].tolist()
+            assert ids.tolist() == want
+        rows = [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+        assert decode(rows) == texts
+        assert len(set(map(tuple, rows[1:301]))) > 20
+        assert len(set(key.tolist())) == len(key)
+
+
+def test_occurrences_vary_in_a_table(spark):
+    docs = spark.createDataFrame([(i, "international relationship") for i in range(200)], "doc_id long, text string")
+    assert docs.count() == 200
+    assert len({tuple(r.ids) for r in op.encode(docs, PATH).collect()}) > 20
