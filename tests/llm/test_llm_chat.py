@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from conftest import SF001
 from oracle_check import compare, duck
@@ -63,3 +64,45 @@ def test_query_matches_oracle(spark):
 def test_no_python_in_the_plan(spark):
     plan = Q.op1_chat_format(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_of_a_turn_fold_too(spark):
+    """``by_row`` folds deltas, edits and regenerations beside repeated turns."""
+    rows = [
+        (1, 0, 0, "user", "same", "message"), (1, 0, 0, "user", "same", "message"), (1, 0, 0, "user", "other", "message"),
+        (1, 1, 1, "assistant", "He", "message"), (1, 2, 1, None, "llo", "delta"), (1, 2, 1, None, "llo", "delta"),
+        (1, 3, 2, "user", "gone", "message"), (1, 4, 1, "assistant", None, "regenerate"), (1, 5, 1, None, "Bon", "delta"),
+        (1, 6, 2, "user", "b", "message"), (1, 6, 2, "user", "a", "message"), (1, 7, 2, None, "B", "edit"),
+        (1, 8, 9000, "user", "far", "message"), (1, 9, 3, "user", None, "regenerate"), (None, 9, 0, None, None, "regenerate"),
+        (None, 1, 5_000_000, "user", "gone", "message"), (None, 10, 5_000_001, "user", "stays", "message"),
+    ]
+    got = read(op.render(op.fold(log(spark, rows), by_row=True)))
+    assert [(t.role, t.text) for t in got[1].turns] == [
+        ("user", "other"), ("user", "same"), ("user", "same"), ("assistant", "Bon"), ("user", "a"), ("", "B"), ("user", "")]
+    assert [t.text for t in got[None].turns] == ["", "stays"]
+
+
+def by_hand(rows):
+    """Final turns of a log, one event after another."""
+    convs = {}
+    least = lambda x: (x is not None, x or 0)
+    for c, seq, turn, role, text, event in sorted(
+            rows, key=lambda r: (str(r[0]), least(r[1]), least(r[2]), r[5] or "message", r[3] or "", r[4] or "")):
+        turns = convs.setdefault(c, {})
+        if event == "regenerate" and turn is not None:
+            for t in [t for t in turns if t is not None and t > turn]:
+                del turns[t]
+        if event != "delta":
+            turns[turn] = []
+        turns.setdefault(turn, []).append((role or "", text or ""))
+    return {c: [(next((r for r, _ in turns[t] if r), ""), "".join(x for _, x in turns[t])) for t in sorted(turns, key=least)]
+            for c, turns in convs.items()}
+
+
+def test_fold_is_the_replay_by_hand(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([1, 2, None]), rng.choice([None, *range(60)]), rng.choice([None, 0, 1, 2, 3, 1500, 3_000_000]),
+             rng.choice(["user", "assistant", None]), rng.choice("abcd"),
+             rng.choice(["message", "delta", "delta", "edit", "regenerate", None])) for _ in range(150)]
+    got = read(op.render(op.fold(log(spark, rows))))
+    assert {c: [(t.role, t.text) for t in r.turns] for c, r in got.items()} == by_hand(rows)
