@@ -397,20 +397,26 @@ EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())])
 
 
 def _set_rows(docs: DataFrame, k: int) -> DataFrame:
-    """The whole sorted set of each row, beside its other columns."""
+    """``node, shingles``: the name and the whole sorted set of each row that has
+    words, each set once per slice."""
 
     def read(batches):
         for batch in batches:
             for i, j, data, offsets in K.text_slices(batch.column("text")):
                 h, row = shingle_sets(data, offsets, k)
                 n = K.row_counts(row, j - i)
-                ends = np.cumsum(n)
+                full = np.flatnonzero(n)
+                if not len(full):
+                    continue
+                edge = (np.cumsum(n) - n)[full]
+                node = np.add.reduceat(K.mix(h ^ _U(0x5851F42D4C957F2D)), edge)
+                node, one = np.unique(node, return_index=True)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(i, j - i) for c in ("cluster", "node", "n", "low", "sig")]
-                    + [pa.array([h[e - c:e].tobytes() for e, c in zip(ends.tolist(), n.tolist())], pa.binary())],
-                    ["cluster", "node", "n", "low", "sig", "shingles"])
+                    [pa.array(node.view(np.int64)),
+                     pa.array([h[a:a + c].tobytes() for a, c in zip(edge[one].tolist(), n[full][one].tolist())],
+                              pa.binary())], ["node", "shingles"])
 
-    return docs.mapInArrow(read, "cluster long, node long, n long, low long, sig binary, shingles binary")
+    return docs.select("text").mapInArrow(read, "node long, shingles binary")
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
@@ -443,24 +449,29 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tied = connected_components(candidates, work)
     cluster = tied.select(F.col("id").alias("node"), F.col("root").alias("cluster"))
     cluster = cluster.unionByName(cluster.select(F.col("cluster").alias("node"), "cluster").distinct())
-    # one document per node of a cluster brings its whole set
+    # one document per node of a cluster brings its whole set: rows are narrowed by
+    # their ids, which may be null or repeated, and then known by their own sets
     chosen = work.cut(nodes.join(cluster, "node"), "clusters")
-    texts = rows.withColumnRenamed("id", "rid").join(chosen, F.col("rid") == F.col("id")).select(
-        "cluster", "node", "n", "low", "sig", "text")
-    sets = _set_rows(texts, k)
-    whole = _dealt_by(sets, chosen, block)
+    texts = rows.join(chosen.select(F.col("id").alias("cid")).distinct(), F.expr("id <=> cid"), "left_semi")
+    sets = _set_rows(texts, k).join(_sized(chosen.drop("id"), block), "node").dropDuplicates(["node"])
+    whole = _dealt_by(sets.select("cluster", "node", "n", "low", "sig", "shingles", "blocks"))
     links = work.cut(_searched(whole, "cluster", num, den, exact=True, every=every), "links")
     return members.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "node"), links, work
 
 
-def _dealt_by(sets: DataFrame, chosen: DataFrame, block: int) -> DataFrame:
-    """As ``_dealt`` for the sets of clusters, whose sizes ``chosen`` knows."""
+def _sized(chosen: DataFrame, block: int) -> DataFrame:
+    """``chosen`` with the number of ``blocks`` of its clusters, before the sets
+    join it, so that they are not shuffled for it."""
     sizes = chosen.groupBy("cluster").agg(F.count("*").alias("__n")).select(
         "cluster", F.ceil(F.col("__n") / F.lit(block)).cast("int").alias("blocks"))
-    rows = sets.join(sizes, "cluster").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    return chosen.join(sizes, "cluster")
+
+
+def _dealt_by(sets: DataFrame) -> DataFrame:
+    """As ``_dealt`` for the sets of clusters, which know their ``blocks``."""
+    rows = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     return rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select(
-        *sets.columns, "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
+        *sets.drop("blocks").columns, "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,

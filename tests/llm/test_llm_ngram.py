@@ -128,3 +128,37 @@ def test_tree_walk_finds_all_linked_sets():
     for i, j in want:
         full.join(i, j)
     assert [joined.find(i) for i in range(len(sets))] == [full.find(i) for i in range(len(sets))]
+
+
+def near_copies(n=120, change=2, tag="w"):
+    """Two different texts whose Jaccard is above the threshold."""
+    words = [f"{tag}{i}" for i in range(n)]
+    return " ".join(words), " ".join(words[:-change] + [f"{tag}x{i}" for i in range(change)])
+
+
+def test_near_copies_with_null_ids_link(spark):
+    a, b = near_copies()
+    c, d = near_copies(tag="v")
+    rows = [(None, a), (7, b), (None, c), (None, d), (None, d), (9, "some other text of a few words only")]
+    got = op.classes(docs(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)[0]
+    assert len({r.root for r in got}) == 3
+    assert op.representatives(docs(spark, rows)).count() == 3
+
+
+def test_an_id_with_two_texts_compares_each_text(spark):
+    rng = random.Random(6)
+    for overlap in (0.7, 0.5):  # both below the threshold, near enough for the bitmaps
+        words = [f"s{i}" for i in range(2000)]
+        keep = int(len(words) * 2 * overlap / (1 + overlap))
+        rows = [(1, " ".join(words)), (1, " ".join(words[:keep] + [f"t{i}" for i in range(2000 - keep)]))]
+        rows += [(2, near_copies(tag="z")[0]), (2, near_copies(tag="z")[1]), (2, near_copies(tag="z")[1]), (3, rows[0][1])]
+        rng.shuffle(rows)
+        members, links, _ = op.jaccard_join(docs(spark, rows), every=True)
+        node = {shingles(t, 5) for _, t in rows}
+        assert members.select("node").distinct().count() == len(node) == 4
+        got = links.collect()
+        assert len(got) == len({frozenset((r.a, r.b)) for r in got}) == len(brute(rows)[1]) == 1
+        # one id, so the classes show it by their roots
+        assert len({r.root for r in op.classes(docs(spark, rows)).collect()}) == 3
+        assert op.representatives(docs(spark, rows)).count() == 3
