@@ -8,12 +8,18 @@ can be cut there without changing its ids.  Each task cuts its texts, encodes
 the distinct pieces with the library, and gathers the ids of every text from
 them.  A piece of one class is one pre-token: it goes to the tokenizer's model
 directly; all others go through the whole tokenizer.
+
+A text that holds the string of an added token (<|endoftext|>) gets that token's
+id there, as from the library.  The library takes added tokens out first, the
+leftmost and longest, and treats what is between them as texts of their own; so
+they are pieces, and their ends are cut as the ends of a text.
 """
 
 from __future__ import annotations
 
 import functools
 import os
+import re
 
 import numpy as np
 
@@ -89,9 +95,7 @@ def load(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    return tok
+    return Tokenizer.from_file(path)
 
 
 class Encoder:
@@ -102,6 +106,27 @@ class Encoder:
         self.model = self.tok.model
         self.alphabet = {b: c for b, c in _byte_alphabet().items() if b != 10}
         self.memo = K.Memo(max_pieces)
+        added = self.tok.get_added_tokens_decoder().values()
+        for t in added:
+            if t.lstrip or t.rstrip or t.single_word or t.normalized and self.tok.normalizer is not None:
+                raise ValueError(f"the added token {t.content!r} takes in what is around it")
+        names = sorted((t.content.encode() for t in added if t.content), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, names))) if names else None
+
+    def _with_added(self, raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row edges and those of the added tokens in the rows; starts of the tokens."""
+        found, at = [], 0
+        while self.added is not None and (m := self.added.search(raw, at)):
+            # no token goes over the end of a row
+            row = int(np.searchsorted(offsets, m.start(), side="right"))
+            if m.end() > offsets[row]:
+                m = self.added.search(raw, m.start(), int(offsets[row]))
+            if m is not None:
+                found.append((m.start(), m.end()))
+            at = m.end() if m is not None else int(offsets[row])
+        if not found:
+            return offsets, np.zeros(0, np.int64)
+        return np.unique(np.concatenate([offsets, np.ravel(found)])), np.array(found)[:, 0]
 
     def _pieces(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, single: np.ndarray):
         """Ids and numbers of ids of pieces; ``single`` marks those of one pre-token."""
@@ -124,8 +149,13 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, one row after another, and each row's number of ids."""
-        cls = _classes(data)
-        starts = cut_points(data, offsets, cls)
+        cls, raw = _classes(data), data.tobytes()
+        edges, added = self._with_added(raw, offsets)
+        starts = cut_points(data, edges, cls)
+        if len(added):  # an added token is one piece
+            upto = np.searchsorted(added, starts, side="right") - 1
+            ends = edges[np.searchsorted(edges, added, side="right")]
+            starts = starts[(upto < 0) | (starts >= ends[upto]) | (starts == added[upto])]
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         ends = np.append(starts[1:], len(data))
@@ -141,7 +171,7 @@ class Encoder:
                 of = np.zeros(len(data) + 1, np.int32)
                 np.cumsum(cls == k, out=of[1:])
                 single |= (of[e] - of[inner] == e - inner) & (e > inner)
-            ids, lengths = self._pieces(data.tobytes(), s, e, single)
+            ids, lengths = self._pieces(raw, s, e, single)
             self.memo.add(uniq[new], ids, lengths)
         ids, lengths = self.memo.gather(uniq, inverse)
         row = np.searchsorted(offsets, starts, side="right") - 1

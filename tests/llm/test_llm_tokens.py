@@ -135,3 +135,34 @@ def test_packing_small_documents(spark):
 
 def test_packing_an_empty_table(spark):
     assert fit.best_fit_packing(docs(spark, []), PATH).count() == 0
+
+
+ADDED = ["x <|endoftext|> y", "<|endoftext|>", "<|endoftext|><|endoftext|>", " <|endoftext|>\n<|endoftext|> ", "a\n<|endoftext|>\nb",
+         "<|endoftext", "|>", "it<|endoftext|>'s 12<|endoftext|>34 é<|endoftext|>é  <|endoftext|>  z", "<<|endoftext|>>",
+         "<|endoftext<|endoftext|>|>", "<|ENDOFTEXT|>", "", "日本<|endoftext|>　語"]
+
+
+def fresh(texts):
+    from tokenizers import Tokenizer
+    return [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_added_tokens_are_the_librarys():
+    rng = random.Random(9)
+    part = ["<|endoftext|>", "<|", "|>", "endoftext", " ", " ", "\n", "a", "word", "12", "'s", "é", "　", "."]
+    texts = ADDED + ["".join(rng.choice(part) for _ in range(rng.randrange(0, 25))) for _ in range(1500)]
+    got, coder = [], Encoder(PATH, max_pieces=200)
+    for _, _, data, offsets in K.text_slices(pa.array(texts, pa.string()), 400):
+        ids, n = coder.encode(data, offsets)
+        got += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+    assert got == fresh(texts)
+    assert got[0] == [87, 220, 50256, 331]
+
+
+def test_added_tokens_in_codes(spark):
+    path = f"{Work(spark, 'test').root}/added"
+    dac.write_segments(docs(spark, list(enumerate(ADDED))), path, PATH, end_id=0, segment_ids=300)
+    got = dac.document_index(spark, path).collect()
+    want = {i: [*x, 0] for i, x in enumerate(fresh(ADDED))}
+    assert {r.doc_id: r.ids_crc32 for r in got} == {i: zlib.crc32(np.array(x, np.uint32).tobytes()) for i, x in want.items()}
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(x) for i, x in want.items()}
