@@ -128,13 +128,14 @@ class Memo:
         return self.ids[ragged(first, lengths)], lengths
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray):
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each row: ``starts, ends, row``."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):
+    """Words of each row, runs of bytes outside ``space`` (``[^\\x20\\x09-\\x0D]+``):
+    ``starts, ends, row``."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    space = SPACE[data]
+    space = space[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.ones(n, bool)

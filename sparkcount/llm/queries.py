@@ -147,6 +147,85 @@ SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.vec_id) AS n_link
 FROM v JOIN comp ON comp.id = v.vec_id
 """
 
+
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op11_resample as op
+    return op.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                       order=2, buckets=10000, share=25, min_words=20, seed=7)
+
+
+def op12_heap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op12_heap_clusters as op
+    return op.heap_clusters(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1)
+
+
+def _sql_op12(k: int = 16, rounds: int = 3, dim: int = 64, scale: int = 64, seed: int = 1) -> str:
+    """Lloyd rounds over all vectors, one chain of CTEs."""
+    steps = [f"""WITH x AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+  list_transform(CAST(embedding AS DOUBLE[]), lambda e: CAST(floor({scale} * e) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (SELECT v,
+  sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM x ORDER BY h, v LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT x.r, c{i}.c,
+  list_sum(list_transform(list_zip(x.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM x, c{i}) GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+    SELECT a{i}.c, p.i, sum(x.v[p.i]) AS s, count(*) AS n FROM a{i} JOIN x USING (r), range(1, {dim + 1}) p(i)
+    GROUP BY a{i}.c, p.i) GROUP BY c) m ON m.c = c{i}.c)""")
+    return ",\n".join(steps) + f"""
+SELECT x.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+  CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(f.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN x USING (r) JOIN c{rounds} f ON f.c = a.c
+"""
+
+
+# Weights 5, 2 and 1 over the training: falling, level and rising.
+CURRICULUM = [[(0.0, 7.5), (1.0, 2.5)], [(0.0, 2.0), (1.0, 2.0)], [(0.0, 0.5), (1.0, 1.5)]]
+
+
+def op13_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkcount.llm import op13_curriculum_mix as op
+    mixed = op.mix(table(spark, sf_dir, "documents"), CURRICULUM, max_repeats=3, seed=13)
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", op.taken(mixed).alias("taken"),
+        F.floor(F.get(mixed["copies"], F.lit(0))["position"]).alias("first_position")).orderBy("first_position", "doc_id")
+
+
+SQL_OP13 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '')) AS BIGINT) AS size, substr(sha256('13:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS key
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n, CAST(3 * sum(size) AS BIGINT) AS most,
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS cycle FROM d GROUP BY source),
+w AS (SELECT *, [5.0::DOUBLE, 2, 1][cycle + 1] AS weight FROM s),
+fill(step, amount, whole) AS (
+  SELECT 0, CAST(sum(n) AS DOUBLE), CAST(sum(weight) AS DOUBLE) FROM w
+  UNION
+  SELECT f.step + 1, CAST((SELECT sum(n) FROM w) - coalesce(sum(w.most) FILTER (w.weight * f.amount / f.whole > w.most), 0) AS DOUBLE),
+    CAST(sum(w.weight) FILTER (NOT w.weight * f.amount / f.whole > w.most) AS DOUBLE)
+  FROM fill f, w WHERE f.step < (SELECT count(*) FROM w) GROUP BY f.step),
+level AS (SELECT amount, whole FROM fill ORDER BY step DESC LIMIT 1),
+t AS (SELECT w.*, least(w.weight * level.amount / level.whole, CAST(w.most AS DOUBLE)) AS target FROM w, level),
+dem AS (SELECT coalesce(sum(target) FILTER (cycle = 0), 0) AS d0, coalesce(sum(target) FILTER (cycle = 1), 0) AS d1,
+  coalesce(sum(target) FILTER (cycle = 2), 0) AS d2 FROM t),
+p AS (SELECT d.doc_id, d.size, t.n AS source_size, t.target, t.cycle, CAST(floor(t.target) AS BIGINT) AS words,
+    CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id NULLS LAST, d.size
+      ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+u AS (SELECT *, CAST(greatest(0, least(size, words - start)) + greatest(0, least(size, words - start - source_size))
+    + greatest(0, least(size, words - start - 2 * source_size)) AS BIGINT) AS taken,
+  CASE cycle WHEN 0 THEN CAST(start AS DOUBLE) / target * 5 * 2 / (sqrt(56.25 - CAST(start AS DOUBLE) / target * 5 * 10) + 7.5)
+    WHEN 1 THEN CAST(start AS DOUBLE) / target * 2 * 2 / (sqrt(4.0::DOUBLE) + 2)
+    ELSE CAST(start AS DOUBLE) / target * 1 * 2 / (sqrt(0.25 + CAST(start AS DOUBLE) / target * 1 * 2) + 0.5) END AS time FROM p)
+SELECT doc_id, size, source_size, target, taken,
+  CASE WHEN taken > 0 THEN CAST(floor((time * 7.5 + time * time * -2.5) * (d0 / 5) + (time * 2) * (d1 / 2)
+    + (time * 0.5 + time * time * 0.5) * (d2 / 1)) AS BIGINT) END AS first_position
+FROM u, dem
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_merge_dropout": op2_merge_dropout,
@@ -158,6 +237,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_codes": op8_token_codes,
     "op9_best_fit": op9_best_fit,
     "op10_spherical_dedup": op10_spherical_dedup,
+    "op11_resample": op11_resample,
+    "op12_heap_clusters": op12_heap_clusters,
+    "op13_curriculum_mix": op13_curriculum_mix,
 }
 
 ORACLE: dict[str, str] = {
@@ -165,4 +247,6 @@ ORACLE: dict[str, str] = {
     "op3_ngram_join": SQL_OP3,
     "op4_exact_dedup": SQL_OP4,
     "op10_spherical_dedup": SQL_OP10,
+    "op12_heap_clusters": _sql_op12(),
+    "op13_curriculum_mix": SQL_OP13,
 }
