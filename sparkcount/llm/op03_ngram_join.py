@@ -8,24 +8,29 @@ link when ``den * intersection >= num * union``.
    shingles must meet the prefix of any set that it links with.  The order looks
    up the most frequent shingles in a bounded list; it steers speed only, any
    order gives the same links.
-2. Sets whose prefixes share a shingle form a group (equal groups fold).  Every
-   group is searched with a *signature tree*: a node holds the OR of its
+2. Sets whose prefixes share a shingle form a group (equal groups fold).  A member
+   stays in it only if another member's size can match and, were the shingle the
+   first that both share, enough shingles follow it on both sides.  Linked sets
+   pass both in the group of their first common shingle.
+3. Every group is searched with a *signature tree*: a node holds the OR of its
    members' bitmaps and their size range; two trees are walked together and a
    pair of nodes is left when the sizes cannot match or when more bits of one
    side are missing on the other than any link allows.  What remains joins
    candidate clusters; members already joined are not tested again.
-3. The sets of each cluster meet once, the trees are walked again, and pairs that
-   survive are compared exactly.
+4. The sets of each cluster meet once, the trees are walked again, and pairs that
+   survive are compared exactly.  Map tasks send only sets that a Bloom filter of
+   the clusters' members (at most ``BLOOM_BITS`` bits) does not rule out.
 
-A bitmap has about one bit per shingle and marks the shingles in half of the
-hash space, so unrelated long texts are told apart as well as short ones.
-Groups and clusters larger than ``block`` are dealt into blocks, and pairs of
-blocks are the tasks.
+A bitmap has two to four bits per shingle.  A shingle whose count in the list of
+frequent ones passes ``block`` deals its sets into blocks before the shuffle, and
+groups and clusters larger than ``block`` are dealt likewise: pairs of blocks
+are the tasks.
 
 Defined cases: no words or a null text is an empty set, linked with nothing;
 fewer than ``k`` words are one shingle; copies and repeated rows share a node;
 null ids get the smallest id of their component, if any; an empty table gives
-no rows; other columns are ignored.  Shingles are 64-bit hashes.
+no rows; other columns are ignored.  Shingles are 64-bit hashes; should two
+different sets get one 64-bit name, all are named anew with another salt.
 """
 
 from __future__ import annotations
@@ -44,7 +49,10 @@ NUM, DEN = 80, 100
 FREQUENT = 1 << 20  # most entries of the list of frequent shingles
 COMMON = 32
 BLOCK = 4096
-MAX_BITS = 1 << 16
+MAX_BITS = 1 << 18
+BLOOM_BITS = 1 << 26
+PAIRWISE = 32  # largest group whose members are held against each other by size and place
+SLICE = 1 << 20
 
 _U = np.uint64
 
@@ -60,7 +68,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
     words = K.row_counts(row, rows)
     h = np.zeros(len(w), np.uint64)
     for j in range(k):  # position-dependent combination of the k words
-        h[:len(w) - j] += K.mix(w[j:] + _U(0x9E3779B97F4A7C15 * (j + 1) % (1 << 64)))
+        h[:max(len(w) - j, 0)] += K.mix(w[j:] + _U(0x9E3779B97F4A7C15 * (j + 1) % (1 << 64)))
     last = np.cumsum(words)
     whole = np.arange(len(w)) + k <= last[row]
     h, of = K.mix(h[whole]), row[whole]
@@ -80,15 +88,24 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
     return h[first], of[first]
 
 
+def _bits(n: int) -> int:
+    """Bits of the bitmap of a set of ``n`` shingles."""
+    return min(MAX_BITS, 1 << max(6, (2 * n - 1).bit_length()))
+
+
 def signature(h: np.ndarray) -> bytes:
-    """Bitmap of the shingles in the lower half of the hash space."""
-    bits = min(MAX_BITS, 1 << max(6, int(len(h) - 1).bit_length()))
-    own = h[h < _U(1 << 63)]
+    """Bitmap of the shingles."""
+    bits = _bits(len(h))
     out = np.zeros(bits, bool)
-    out[(own & _U(bits - 1)).astype(np.int64)] = True
+    out[(h & _U(bits - 1)).astype(np.int64)] = True
     return np.packbits(out, bitorder="little").tobytes()
 
 
+def set_names(h: np.ndarray, edge: np.ndarray, salt: int) -> np.ndarray:
+    """64-bit name of every set ``h[edge[i]:edge[i + 1]]``."""
+    return np.add.reduceat(K.mix(h ^ _U((0x5851F42D4C957F2D + 2 * salt) % (1 << 64))), edge)
+
+
 def needed(a: int, b: int, num: int, den: int) -> int:
     """Least intersection of linked sets of sizes ``a`` and ``b``."""
     return -(-num * (a + b) // (num + den))
@@ -128,8 +145,7 @@ def tree(members: list[tuple[int, int, int, int]], fan: int = 4) -> Node | None:
     if not members:
         return None
     order = sorted(members, key=lambda m: (m[1].bit_length(), m[2], m[1]))
-    level = [Node(sig, 1 << max(6, min((n - 1).bit_length(), MAX_BITS.bit_length() - 1)), n, at)
-             for at, n, _, sig in order]
+    level = [Node(sig, _bits(n), n, at) for at, n, _, sig in order]
     while len(level) > 1:
         level = [Node(kids=tuple(level[i:i + fan])) for i in range(0, len(level), fan)]
     return level[0]
@@ -206,13 +222,14 @@ def walk(a: Node | None, b: Node | None, num: int, den: int, joined: Joined, lin
             stack += [(x, c) for c in y.kids]
 
 
-def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """Per document its node, and the shingles that several sets of a task share."""
+def _sets(docs: DataFrame, k: int, salt: int) -> DataFrame:
+    """Per document its node (with the bitmap at the node's first document of a
+    slice), and the shingles that several sets of a task share."""
 
     def read(batches):
         for batch in batches:
             ids = batch.column("id")
-            for i, j, data, offsets in K.text_slices(batch.column("text")):
+            for i, j, data, offsets in K.text_slices(batch.column("text"), SLICE):
                 h, row = shingle_sets(data, offsets, k)
                 rows = j - i
                 n = K.row_counts(row, rows)
@@ -220,19 +237,19 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                 full = np.flatnonzero(n)
                 node, check, low = (np.zeros(rows, np.uint64) for _ in range(3))
                 if len(h):
-                    node[full] = np.add.reduceat(K.mix(h ^ _U(0x5851F42D4C957F2D)), edge[full])
+                    node[full] = set_names(h, edge[full], salt)
                     check[full] = np.add.reduceat(K.mix(h ^ _U(0x14057B7EF767814F)), edge[full])
                     low[full] = h[edge[full]]
-                sigs = [signature(h[a:a + c]) if c else b"" for a, c in zip(edge.tolist(), n.tolist())]
+                # a set counts once, however many documents of the slice have it
+                _, one = np.unique(node[full], return_index=True)
+                own = np.zeros(rows, bool)
+                own[full[one]] = True
+                sigs = [signature(h[a:a + c]) if o else None for a, c, o in zip(edge.tolist(), n.tolist(), own.tolist())]
                 yield pa.RecordBatch.from_pydict({
                     "id": ids.slice(i, rows), "n": pa.array(n, pa.int64()),
                     "node": pa.array(node.view(np.int64)), "check": pa.array(check.view(np.int64)),
                     "low": pa.array(low.view(np.int64)), "sig": pa.array(sigs, pa.binary()),
                     "key": pa.nulls(rows, pa.int64()), "seen": pa.nulls(rows, pa.int64())})
-                # a set counts once, however many documents of the slice have it
-                _, one = np.unique(node[full], return_index=True)
-                own = np.zeros(rows, bool)
-                own[full[one]] = True
                 keys, seen = np.unique(h[own[row]], return_counts=True)
                 keys, seen = keys[seen > 1], seen[seen > 1]
                 m = len(keys)
@@ -246,13 +263,16 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                                  "key long, seen long")
 
 
-def _postings(docs: DataFrame, k: int, num: int, den: int, frequent) -> DataFrame:
-    """``key, node``: the prefix of every set, rare shingles first."""
+def _postings(docs: DataFrame, k: int, num: int, den: int, salt: int, block: int, frequent) -> DataFrame:
+    """``key, node, n, place``: the prefix of every set, rare shingles first, with
+    the set's size and the shingle's place.  A shingle of more than ``block`` sets
+    has a key for every pair of its blocks."""
 
     def prefix(batches):
-        keys, rank = frequent.value
+        keys, seen = frequent.value
+        rank = np.log2(np.maximum(seen, 1)).astype(np.int64) + 1
         for batch in batches:
-            for i, j, data, offsets in K.text_slices(batch.column("text")):
+            for i, j, data, offsets in K.text_slices(batch.column("text"), SLICE):
                 h, row = shingle_sets(data, offsets, k)
                 n = K.row_counts(row, j - i)
                 full = np.flatnonzero(n)
@@ -260,72 +280,130 @@ def _postings(docs: DataFrame, k: int, num: int, den: int, frequent) -> DataFram
                     continue
                 edge = np.cumsum(n) - n
                 node = np.zeros(j - i, np.uint64)
-                node[full] = np.add.reduceat(K.mix(h ^ _U(0x5851F42D4C957F2D)), edge[full])
-                cls = np.zeros(len(h), np.int64)
+                node[full] = set_names(h, edge[full], salt)
+                cls, blocks = np.zeros(len(h), np.int64), np.ones(len(h), np.int64)
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                    cls = np.where(keys[at] == h, rank[at], 0)
+                    known = keys[at] == h
+                    cls = np.where(known, rank[at], 0)
+                    blocks = np.where(known, seen[at] // block + 1, 1)
                 order = np.lexsort((h, cls, row))
-                h = h[order]  # rows keep their places
+                h, blocks = h[order], blocks[order]  # rows keep their places
                 place = np.arange(len(h)) - edge[row]
                 # equal sets of a slice have equal prefixes: the first one's is enough
                 _, one = np.unique(node[full], return_index=True)
                 own = np.zeros(j - i, bool)
                 own[full[one]] = True
-                take = own[row] & (place <= (n - -(-num * n // den))[row])
+                take = np.flatnonzero(own[row] & (place <= (n - -(-num * n // den))[row]))
+                take = np.repeat(take, blocks[take])
+                key, names, many = h[take], node[row[take]], blocks[take]
+                hot = np.flatnonzero(many > 1)
+                if len(hot):
+                    fresh = np.ones(len(hot), bool)
+                    fresh[1:] = take[hot[1:]] != take[hot[:-1]]
+                    first = np.flatnonzero(fresh)
+                    other = np.arange(len(hot)) - np.repeat(first, np.diff(np.append(first, len(hot))))
+                    mine = (K.mix(names[hot]) % many[hot].astype(np.uint64)).astype(np.int64)
+                    pair = np.minimum(mine, other) * many[hot] + np.maximum(mine, other) + 1
+                    key[hot] = K.mix(key[hot] + K.mix(pair.astype(np.uint64)))
                 yield pa.RecordBatch.from_pydict({
-                    "key": pa.array(h[take].view(np.int64)), "node": pa.array(node[row[take]].view(np.int64))})
-
-    return docs.select("text").mapInArrow(prefix, "key long, node long")
-
-
-def _groups(batches):
-    """``gid, node`` of the keys that several nodes share; equal groups get one name."""
-    left_k = left_n = np.zeros(0, np.int64)
-
-    def emit(key, node):
-        if not len(key):
+                    "key": pa.array(key.view(np.int64)), "node": pa.array(names.view(np.int64)),
+                    "n": pa.array(n[row[take]].astype(np.int32)), "place": pa.array(place[take].astype(np.int32))})
+
+    return docs.select("text").mapInArrow(prefix, "key long, node long, n int, place int")
+
+
+def _runs(*ids: np.ndarray) -> np.ndarray:
+    """Where a run of equal values starts."""
+    start = np.ones(len(ids[0]), bool)
+    start[1:] = False
+    for x in ids:
+        start[1:] |= x[1:] != x[:-1]
+    return start
+
+
+def _matched(group: np.ndarray, n: np.ndarray, left: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Members (sorted by group) that a partner may link with by size ``n`` and by
+    the ``left`` shingles from the common one on; groups over ``PAIRWISE`` members
+    are only held against their smallest member."""
+    edge = np.flatnonzero(_runs(group))
+    size = np.diff(np.append(edge, len(group)))
+    small = np.repeat(np.minimum.reduceat(n, edge), size) if len(edge) else n
+    least = np.maximum(small, -(-num * n // den))
+    alive = (left >= -(-num * (n + least) // (num + den))) & np.repeat(size > 1, size)
+    for g in np.unique(size[(size > 1) & (size <= PAIRWISE)]):
+        at = edge[size == g][:, None] + np.arange(g)
+        ok = np.zeros(at.shape, bool)
+        for i in range(g):
+            for j in range(i + 1, g):
+                x, y = at[:, i], at[:, j]
+                pair = np.minimum(left[x], left[y]) >= -(-num * (n[x] + n[y]) // (num + den))
+                ok[:, i] |= pair
+                ok[:, j] |= pair
+        alive[at] &= ok
+    return alive
+
+
+def _groups(num: int, den: int):
+    """``gid, node, size`` of the keys that several nodes share and may link at;
+    equal groups get one name."""
+
+    def emit(key, node, n, place):
+        order = np.lexsort((node, n, key))
+        key, node, n, left = key[order], node[order], n[order].astype(np.int64), (n - place)[order].astype(np.int64)
+        fresh = _runs(key, node)
+        key, node, n, left = key[fresh], node[fresh], n[fresh], left[fresh]
+        # sizes too far apart for any link begin another group
+        start = _runs(key)
+        start[1:] |= n[:-1] * den < num * n[1:]
+        group = np.cumsum(start)
+        alive = _matched(group, n, left, num, den)
+        group, node = group[alive], node[alive]
+        edge = np.flatnonzero(_runs(group)) if len(group) else group
+        size = np.diff(np.append(edge, len(group)))
+        if not len(size):
             return None
-        start = np.concatenate([[True], key[1:] != key[:-1]])
-        fresh = start.copy()
-        fresh[1:] |= node[1:] != node[:-1]
-        key, node, start = key[fresh], node[fresh], start[fresh]
-        edge = np.flatnonzero(start)
-        size = np.diff(np.append(edge, len(key)))
         name = np.add.reduceat(K.mix(node.view(np.uint64) + _U(0xA0761D6478BD642F)), edge)
         name = K.mix(name + size.astype(np.uint64))
         several = np.repeat(size > 1, size)
-        gid, node = np.repeat(name, size)[several], node[several]
+        gid, node, size = np.repeat(name, size)[several], node[several], np.repeat(size, size)[several]
         if not len(gid):
             return None
-        pair = K.mix(gid + K.mix(node.view(np.uint64)))
-        _, one = np.unique(pair, return_index=True)
-        return pa.RecordBatch.from_pydict({"gid": pa.array(gid[one].view(np.int64)), "node": pa.array(node[one])})
-
-    for batch in batches:
-        key = np.concatenate([left_k, batch.column("key").to_numpy()])
-        node = np.concatenate([left_n, batch.column("node").to_numpy()])
-        if not len(key):
-            continue
-        cut = int(np.searchsorted(key, key[-1]))  # the last key may go on
-        out = emit(key[:cut], node[:cut])
-        if out is not None:
-            yield out
-        left_k, left_n = key[cut:], node[cut:]
-    out = emit(left_k, left_n)
-    if out is not None:
-        yield out
-
-
-def _dealt(members: DataFrame, group: str, block: int) -> DataFrame:
-    """Rows of each task: ``group, i, j, block`` and the rest; large groups are
-    dealt into blocks, and each pair of blocks (i <= j) gets the rows of both."""
-    sizes = members.groupBy(group).agg(F.count("*").alias("__n")).select(
-        group, F.ceil(F.col("__n") / F.lit(block)).cast("int").alias("blocks"))
-    rows = members.join(sizes, group).withColumn(
+        _, one = np.unique(K.mix(gid + K.mix(node.view(np.uint64))), return_index=True)
+        return pa.RecordBatch.from_pydict({
+            "gid": pa.array(gid[one].view(np.int64)), "node": pa.array(node[one]), "size": pa.array(size[one])})
+
+    def run(batches):
+        held, last = [], None  # the rows of the last key, which may go on
+        for batch in batches:
+            cols = [batch.column(c).to_numpy() for c in ("key", "node", "n", "place")]
+            if not len(batch):
+                continue
+            cut = int(np.searchsorted(cols[0], cols[0][-1])) if cols[0][-1] != last else 0
+            if cut or (held and cols[0][0] != last):
+                out = emit(*(np.concatenate(c) for c in zip(*held, [c[:cut] for c in cols])))
+                if out is not None:
+                    yield out
+                held = []
+            held.append([c[cut:] for c in cols])
+            last = cols[0][-1]
+        if held:
+            out = emit(*(np.concatenate(c) for c in zip(*held)))
+            if out is not None:
+                yield out
+
+    return run
+
+
+def _dealt(members: DataFrame, size: str, block: int) -> DataFrame:
+    """Rows of each task, with ``i, j, block``: groups of more than ``block``
+    members are dealt into blocks, and each pair of blocks (i <= j) gets the rows of both."""
+    blocks = F.ceil(F.col(size) / F.lit(block)).cast("int")
+    rows = members.withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     return rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select(
-        *members.columns, "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
+        *[c for c in members.columns if c != size], "block", F.least("block", "o").alias("i"),
+        F.greatest("block", "o").alias("j"))
 
 
 def _searched(rows: DataFrame, group: str, num: int, den: int, exact: bool, every: bool) -> DataFrame:
@@ -335,17 +413,16 @@ def _searched(rows: DataFrame, group: str, num: int, den: int, exact: bool, ever
         part.sort(key=lambda r: (r[1], r[0]))
         joined, found = Joined(len(part)), []
         trees = {}
+        sets = [np.frombuffer(r[2], np.uint64) for r in part] if exact else []
+        if exact:  # size, lowest hash and bitmap follow from the set
+            part = [[*r[:2], len(h), int(h[:1].view(np.int64)[0]), signature(h)] for r, h in zip(part, sets)]
         for blk in {r[1] for r in part}:
             trees[blk] = tree([(p, r[2], r[3], int.from_bytes(r[4], "little"))
                                for p, r in enumerate(part) if r[1] == blk])
-        sets: dict = {}
 
         def linked(p, q):
             if not exact:
                 return True
-            for x in (p, q):
-                if x not in sets:
-                    sets[x] = np.frombuffer(part[x][5], np.uint64)
             x, y = sets[p], sets[q]
             if len(x) > len(y):
                 x, y = y, x
@@ -363,6 +440,8 @@ def _searched(rows: DataFrame, group: str, num: int, den: int, exact: bool, ever
             return [(part[p][0], part[q][0], c) for p, q, c in found]
         return [(part[joined.find(p)][0], part[p][0], 0) for p in range(len(part)) if joined.find(p) != p]
 
+    carried = ("shingles",) if exact else ("n", "low", "sig")
+
     def run(batches):
         current, part, out = None, [], []
 
@@ -373,9 +452,8 @@ def _searched(rows: DataFrame, group: str, num: int, den: int, exact: bool, ever
                 out.extend(task(part))
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in (group, "i", "j", "node", "block", "n", "low", "sig")]
-            sets = batch.column("shingles").to_pylist() if exact else [None] * len(cols[0])
-            for g, i, j, *row in zip(*cols, sets):
+            cols = [batch.column(c).to_pylist() for c in (group, "i", "j", "node", "block", *carried)]
+            for g, i, j, *row in zip(*cols):
                 if (g, i, j) != current:
                     if part:
                         close()
@@ -396,88 +474,114 @@ def _searched(rows: DataFrame, group: str, num: int, den: int, exact: bool, ever
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())])
 
 
-def _set_rows(docs: DataFrame, k: int) -> DataFrame:
-    """``node, shingles``: the name and the whole sorted set of each row that has
-    words, each set once per slice."""
+def _places(node: np.ndarray, whose: np.ndarray, bits: int) -> np.ndarray:
+    """Two bits of a Bloom filter for every (set name, id hash)."""
+    name = K.mix(node.view(np.uint64) + K.mix(whose.view(np.uint64)))
+    return np.stack([name % _U(bits), K.mix(name) % _U(bits)])
+
+
+def _bloom(chosen: DataFrame) -> np.ndarray:
+    """Bloom filter of ``node, whose``: sixteen bits for each, at most ``BLOOM_BITS``."""
+    bits = min(BLOOM_BITS, 1 << max(10, (16 * chosen.count()).bit_length()))
 
     def read(batches):
+        out = np.zeros(bits, bool)
         for batch in batches:
-            for i, j, data, offsets in K.text_slices(batch.column("text")):
+            out[_places(*(np.asarray(batch.column(i)) for i in range(2)), bits).ravel()] = True
+        words = np.packbits(out, bitorder="little").view(np.uint32)
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_pydict({"word": pa.array(used), "bits": pa.array(words[used].astype(np.int64))})
+
+    words = chosen.select("node", "whose").mapInArrow(read, "word long, bits long").groupBy("word").agg(
+        F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(bits // 32, np.uint32)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out.view(np.uint8)
+
+
+def _set_rows(docs: DataFrame, k: int, salt: int, bloom) -> DataFrame:
+    """``node, whose, shingles``: the whole sorted set of each row that the Bloom
+    filter lets through, by its name and the hash of its id, each pair once per slice."""
+
+    def read(batches):
+        wanted = np.unpackbits(bloom.value, bitorder="little").astype(bool)
+        for batch in batches:
+            whose = np.asarray(batch.column(0))
+            for i, j, data, offsets in K.text_slices(batch.column(1), SLICE):
                 h, row = shingle_sets(data, offsets, k)
                 n = K.row_counts(row, j - i)
                 full = np.flatnonzero(n)
                 if not len(full):
                     continue
                 edge = (np.cumsum(n) - n)[full]
-                node = np.add.reduceat(K.mix(h ^ _U(0x5851F42D4C957F2D)), edge)
-                node, one = np.unique(node, return_index=True)
+                node, own = set_names(h, edge, salt).view(np.int64), whose[i:j][full]
+                _, one = np.unique(np.stack([node, own]), axis=1, return_index=True)
+                one = one[wanted[_places(node[one], own[one], len(wanted))].all(axis=0)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node.view(np.int64)),
+                    [pa.array(node[one]), pa.array(own[one]),
                      pa.array([h[a:a + c].tobytes() for a, c in zip(edge[one].tolist(), n[full][one].tolist())],
-                              pa.binary())], ["node", "shingles"])
+                              pa.binary())], ["node", "whose", "shingles"])
 
-    return docs.select("text").mapInArrow(read, "node long, shingles binary")
+    return docs.mapInArrow(read, "node long, whose long, shingles binary")
+
+
+def _named_sets(rows: DataFrame, k: int, work: Work) -> tuple[DataFrame, int]:
+    """The written rows of ``_sets`` and the salt under which names are unique."""
+    salt = 0
+    while True:
+        first = work.cut(_sets(rows, k, salt), "sets")
+        clash = first.where("n > 0").groupBy("node").agg(
+            F.min("check").alias("x"), F.max("check").alias("y")).where("x <> y")
+        if clash.isEmpty():  # else expected below once in 10^8 corpora of 10^6 documents
+            return first, salt
+        salt += 1
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
                  num: int = NUM, den: int = DEN, block: int = BLOCK, every: bool = False):
-    """``(documents, links)``: ``documents`` has ``doc_id, n_shingles, node`` and,
+    """``(documents, links, work)``: ``documents`` has ``doc_id, n_shingles, node`` and,
     through ``links (a, b, c)``, its class.  ``links`` holds a spanning set of
-    the links between nodes, or with ``every`` each link with its intersection."""
+    the links between nodes, or with ``every`` each link with its intersection.
+    ``work.salt`` is the salt of the nodes' names."""
     spark = docs.sparkSession
     work = Work(spark, "ngram")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    first = work.cut(_sets(rows, k), "sets")
-    members = first.where("n is not null").select("id", "n", "node", "check", "low", "sig")
-    clash = members.groupBy("node").agg(F.min("check").alias("x"), F.max("check").alias("y")).where("x <> y")
-    if not clash.isEmpty():  # expected below once in 10^8 corpora of 10^6 documents
-        raise ValueError("two different sets have one 64-bit name")
+    first, salt = _named_sets(rows, k, work)
+    work.salt = salt
+    members = first.where("n is not null").select("id", "n", "node", "low", "sig")
     # the bounded list that the global order puts last, by rising frequency
     top = first.where("key is not null").groupBy("key").agg(F.sum("seen").alias("seen")).where(
         F.col("seen") >= COMMON).orderBy(F.desc("seen"), "key").limit(FREQUENT).toPandas()
     keys = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    frequent = spark.sparkContext.broadcast(
-        (keys[order], np.log2(top["seen"].to_numpy(np.float64))[order].astype(np.int64) + 1))
-    groups = work.cut(_postings(rows, k, num, den, frequent).repartition("key").sortWithinPartitions(
-        "key", "node").mapInArrow(_groups, "gid long, node long").distinct(), "groups")
-    nodes = work.cut(members.where("n > 0").groupBy("node").agg(
-        F.min("id").alias("id"), F.min("n").alias("n"), F.min("low").alias("low"), F.first("sig").alias("sig")), "nodes")
-    # nodes that share a prefix shingle with another, with their bitmaps
-    near = _dealt(groups.join(nodes.drop("id"), "node"), "gid", block)
+    frequent = spark.sparkContext.broadcast((keys[order], top["seen"].to_numpy(np.int64)[order]))
+    groups = work.cut(_postings(rows, k, num, den, salt, block, frequent).repartition("key").sortWithinPartitions(
+        "key").mapInArrow(_groups(num, den), "gid long, node long, size long").distinct(), "groups")
+    # groups are dealt before their members' bitmaps join them
+    nodes = members.where("n > 0").groupBy("node").agg(
+        F.min("n").alias("n"), F.min("low").alias("low"), F.first("sig", ignorenulls=True).alias("sig"))
+    near = _dealt(groups, "size", block).join(nodes, "node")
     candidates = work.cut(_searched(near, "gid", num, den, exact=False, every=False).select("a", "b"), "candidates")
     tied = connected_components(candidates, work)
     cluster = tied.select(F.col("id").alias("node"), F.col("root").alias("cluster"))
-    cluster = cluster.unionByName(cluster.select(F.col("cluster").alias("node"), "cluster").distinct())
-    # one document per node of a cluster brings its whole set: rows are narrowed by
-    # their ids, which may be null or repeated, and then known by their own sets
-    chosen = work.cut(nodes.join(cluster, "node"), "clusters")
-    texts = rows.join(chosen.select(F.col("id").alias("cid")).distinct(), F.expr("id <=> cid"), "left_semi")
-    sets = _set_rows(texts, k).join(_sized(chosen.drop("id"), block), "node").dropDuplicates(["node"])
-    whole = _dealt_by(sets.select("cluster", "node", "n", "low", "sig", "shingles", "blocks"))
+    cluster = work.cut(cluster.unionByName(
+        cluster.select(F.col("cluster").alias("node"), "cluster").distinct()), "clusters")
+    sizes = cluster.groupBy("cluster").agg(F.count("*").alias("size"))
+    # one document per node of a cluster brings its whole set, known by its name and
+    # its id's hash (ids may be null or repeated)
+    ids = members.where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
+    chosen = work.cut(cluster.join(sizes, "cluster").join(ids, "node").select(
+        "node", "cluster", "size", F.xxhash64("id").alias("whose")), "chosen")
+    bloom = spark.sparkContext.broadcast(_bloom(chosen))
+    sets = _set_rows(rows.select(F.xxhash64("id").alias("whose"), "text"), k, salt, bloom).join(
+        chosen, ["node", "whose"]).dropDuplicates(["node"])
+    whole = _dealt(sets.select("cluster", "node", "size", "shingles"), "size", block)
     links = work.cut(_searched(whole, "cluster", num, den, exact=True, every=every), "links")
     return members.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "node"), links, work
 
 
-def _sized(chosen: DataFrame, block: int) -> DataFrame:
-    """``chosen`` with the number of ``blocks`` of its clusters, before the sets
-    join it, so that they are not shuffled for it."""
-    sizes = chosen.groupBy("cluster").agg(F.count("*").alias("__n")).select(
-        "cluster", F.ceil(F.col("__n") / F.lit(block)).cast("int").alias("blocks"))
-    return chosen.join(sizes, "cluster")
-
-
-def _dealt_by(sets: DataFrame) -> DataFrame:
-    """As ``_dealt`` for the sets of clusters, which know their ``blocks``."""
-    rows = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    return rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select(
-        *sets.drop("blocks").columns, "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
-
-
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
-            num: int = NUM, den: int = DEN, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, component_id, node, root`` of every row: the smallest
-    id that its links reach, the name of its set, and that of its class."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int, block: int):
+    """``classes`` and the salt of its nodes."""
     members, links, work = jaccard_join(docs, id_col, text_col, k, num, den, block)
     comp = connected_components(links.select("a", "b"), work)
     rooted = work.cut(members.join(comp.withColumnRenamed("id", "node"), "node", "left").select(
@@ -486,27 +590,35 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
         F.min("doc_id").alias("component_id")), "least")
     return rooted.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node",
-        "root")
+        "root"), work.salt
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
+            num: int = NUM, den: int = DEN, block: int = BLOCK) -> DataFrame:
+    """``doc_id, n_shingles, component_id, node, root`` of every row: the smallest
+    id that its links reach, the name of its set, and that of its class."""
+    return _classes(docs, id_col, text_col, k, num, den, block)[0]
 
 
-def _with_node(docs: DataFrame, text_col: str, k: int) -> DataFrame:
-    """``docs`` and, as ``__node`` and ``__n``, the name and size of each row's set."""
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
+def _with_node(docs: DataFrame, text_col: str, k: int, salt: int) -> DataFrame:
+    """``row`` (all of ``docs`` as one struct), the name ``node`` and the size ``n`` of each row's set."""
+    packed = docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"),
+                         F.col(text_col).cast("string").alias("text"))
+    kind = packed.schema["row"].dataType.simpleString()
 
     def read(batches):
         for batch in batches:
-            for i, j, data, offsets in K.text_slices(batch.column(batch.schema.get_field_index(text_col))):
+            for i, j, data, offsets in K.text_slices(batch.column(1), SLICE):
                 h, row = shingle_sets(data, offsets, k)
                 n = K.row_counts(row, j - i)
                 full = np.flatnonzero(n)
                 node = np.zeros(j - i, np.uint64)
                 if len(h):
-                    node[full] = np.add.reduceat(K.mix(h ^ _U(0x5851F42D4C957F2D)), (np.cumsum(n) - n)[full])
-                part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(node.view(np.int64)), pa.array(n)],
-                                                 [*part.schema.names, "__node", "__n"])
+                    node[full] = set_names(h, (np.cumsum(n) - n)[full], salt)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.array(node.view(np.int64)), pa.array(n)], ["row", "node", "n"])
 
-    return docs.mapInArrow(read, f"{fields}, __node bigint, __n bigint")
+    return packed.mapInArrow(read, f"row {kind}, node bigint, n bigint")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
@@ -514,21 +626,20 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with all its columns: one document of each class (the smallest
     id), and every document that has no words."""
     work = Work(docs.sparkSession, "ngram-kept")
-    found = classes(docs, id_col, text_col, k, num, den).where("n_shingles > 0")
+    found, salt = _classes(docs, id_col, text_col, k, num, den, BLOCK)
     # the smallest (id, set) of a class, and how many rows have both
-    kept = work.cut(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
-        "root", "component_id", "node").agg(F.count("*").alias("rows")).groupBy("root").agg(
-        F.min(F.struct("component_id", "node", "rows")).alias("m")).select("m.*"), "rows")
-    marked = _with_node(docs, text_col, k)
-    names = kept.select(F.col("component_id").alias("__id"), F.col("node").alias("__kept"), "rows")
+    kept = work.cut(found.where("n_shingles > 0").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
+        "root", "component_id", "node").agg(F.count("*").alias("copies")).groupBy("root").agg(
+        F.min(F.struct("component_id", "node", "copies")).alias("m")).select("m.*"), "rows")
+    marked = _with_node(docs, text_col, k, salt)
+    names = kept.select(F.col("component_id").alias("kept_id"), F.col("node").alias("kept_node"), "copies")
 
     def rows(of: DataFrame, how: str) -> DataFrame:
-        return marked.join(of, marked[id_col].eqNullSafe(of["__id"]) & (F.col("__node") == of["__kept"])
-                           & (F.col("__n") > 0), how)
+        return marked.where("n > 0").join(of, F.col("row").getField(id_col).eqNullSafe(F.col("kept_id"))
+                                          & (F.col("node") == F.col("kept_node")), how)
 
-    out = rows(names.where("rows = 1"), "left_semi").select(*docs.columns).unionByName(
-        marked.where("__n = 0").select(*docs.columns))
-    repeated = names.where("rows > 1")
+    out = rows(names.where("copies = 1"), "left_semi").select("row").unionByName(marked.where("n = 0").select("row"))
+    repeated = names.where("copies > 1")
     if not repeated.isEmpty():
-        out = out.unionByName(rows(repeated, "inner").dropDuplicates(["__id", "__kept"]).select(*docs.columns))
-    return out
+        out = out.unionByName(rows(repeated, "inner").dropDuplicates(["kept_id", "kept_node"]).select("row"))
+    return out.select("row.*")

@@ -9,16 +9,20 @@ weighting mixes all depths: ``Pw = (KT + product of the children's Pw) / 2``
 (``Pw = KT`` at full depth).  A decision's probability is the mixture of the KT
 predictions along its path with the weights that training has left there.
 
-Jobs: (1) distinct byte n-grams and words of each part of the corpus with their
-training counts; (2) counts summed per key; (3) bottom-up, grouped by the two
-last context bytes, each node's counts and the sum of its children's log Pw;
-(4) the two top depths as small aggregates and joins; (5) top-down in the same
-groups, the mixture so far and the weight left for deeper nodes, and per n-gram
-the log-probability of its last byte; (6) every part gets the values of its own
-n-grams and words and scores its texts against them.  Nothing that grows
-with the corpus is broadcast or collected: the dictionary a task holds is that
-of its part.  N-grams of texts outside training take part with count 0, which
-changes no probability and leaves their unseen contexts at one half.
+A *part* is a set of texts of about ``PART_BYTES``.  N-grams travel packed: one row
+holds all n-grams of a part whose last three context bytes (the ``top``) are the
+same, as sorted byte planes.  Jobs: (1) the packed distinct n-grams and words of
+every part with their training counts; (2) summed per top, and bottom-up within
+it each node's counts and the sum of its children's log Pw - a top has at most
+``256 ** (depth - 2)`` n-grams, whatever the corpus; (3) the depths above as
+aggregates and joins; (4) top-down within each top, the mixture so far and the
+weight left for deeper nodes, and per n-gram the log-probability of its last
+byte; (5) every part's packed rows get their values; (6) each part scores its texts
+against them.  Nothing that grows with the corpus is broadcast or collected: the
+dictionary a task holds is that of one part.  With many parts a top's rows are
+merged and answered under several salts.  N-grams of texts outside training take
+part with count 0, which changes no probability and leaves their unseen contexts
+at one half.
 
 Words are known by a 64-bit hash.
 
@@ -42,6 +46,9 @@ DEPTH = 5
 END = 0xFF
 WORD, GRAM = 0, 1
 SLICE = 1 << 20  # a slice takes some hundred times its bytes while it is worked on
+PART_BYTES = 16 << 20
+HELD_KEYS = 3 << 20  # keys that a task counts before it hands them on
+MERGED_PARTS = 4096  # a top takes one more salt for every so many parts
 
 
 class Lookup:
@@ -80,26 +87,50 @@ class Counts:
         self.keys, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.parts, self.held = [], 0
 
-    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
-        """``n``: the weight of each key (0: seen outside training)."""
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-        total = np.add.reduceat(n[order].astype(np.int64), edge) if len(edge) else np.zeros(0, np.int64)
-        self.parts.append((keys[edge], total))
-        self.held += len(edge)
-        if self.held > max(1 << 20, len(self.keys)):
+    def add(self, keys: np.ndarray, train: np.ndarray) -> None:
+        """Count each key once, those outside ``train`` with weight 0."""
+        for own, weight in ((keys[train], 1), (keys[~train], 0)):
+            own = np.sort(own)
+            edge = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, int)
+            self.put(own[edge], np.diff(np.append(edge, len(own))) * weight)
+
+    def put(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((keys, n))
+        self.held += len(keys)
+        if self.held > max(1 << 19, len(self.keys)):
             self.merge()
 
     def merge(self) -> None:
         if self.parts:
             keys = np.concatenate([self.keys, *(k for k, _ in self.parts)])
             n = np.concatenate([self.n, *(c for _, c in self.parts)])
-            self.keys, inverse = np.unique(keys, return_inverse=True)
-            self.n = np.bincount(inverse, weights=n, minlength=len(self.keys)).astype(np.int64)
+            order = np.argsort(keys)
+            keys, n = keys[order], n[order]
+            edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+            self.keys, self.n = keys[edge], np.add.reduceat(n, edge) if len(edge) else n
             self.parts, self.held = [], 0
 
 
+def pack(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int) -> pa.Array:
+    """Each span of 64-bit values as ``width`` byte planes, lowest first."""
+    size = ends - starts
+    out = np.empty(width * len(values), np.uint8)
+    first = np.repeat(width * starts, size) + np.arange(len(values)) - np.repeat(starts, size)
+    step = np.repeat(size, size)
+    octets = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)
+    for plane in range(width):
+        out[first + plane * step] = octets[:, plane]
+    bounds = np.append(width * starts, width * len(values)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(out)])
+
+
+def unpack(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    octets = np.zeros((planes.shape[1], 8), np.uint8)
+    octets[:, :width] = planes.T
+    return octets.view(np.uint64).ravel()
+
+
 def grams(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Key of every symbol with its ``depth`` predecessors, and its row."""
     rows = len(offsets) - 1
@@ -123,8 +154,50 @@ def word_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return K.span_hashes(low, starts, ends), row
 
 
-def _distinct(docs: DataFrame, depth: int) -> DataFrame:
-    """``part, kind, key, n``: the keys of each part with their training counts."""
+class Tops:
+    """How keys are dealt into tops: an n-gram's top is its last ``t`` context bytes,
+    a word's a part of its hash behind them."""
+
+    def __init__(self, depth: int):
+        self.depth, self.t = depth, min(3, depth)
+        self.words = 1 << (8 * self.t)  # the first word top
+        self.widths = {GRAM: depth - self.t + 1, WORD: 8}
+
+    def kind(self, top: int) -> int:
+        return WORD if top >= self.words else GRAM
+
+    def split(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Top and rest of every key."""
+        if kind == WORD:
+            return (keys >> np.uint64(52)).astype(np.int64) + self.words, keys
+        top = keys >> np.uint64(8) & np.uint64(self.words - 1)
+        rest = keys >> np.uint64(8 * self.t + 8) << np.uint64(8) | keys & np.uint64(255)
+        return top.astype(np.int64), rest
+
+    def join(self, top: int, rest: np.ndarray) -> np.ndarray:
+        """The keys of a top."""
+        if self.kind(top) == WORD:
+            return rest
+        high = rest >> np.uint64(8) << np.uint64(8 * self.t + 8)
+        return high | np.uint64(top << 8) | rest & np.uint64(255)
+
+
+def _distinct(docs: DataFrame, tops: Tops) -> DataFrame:
+    """``part, top, keys, n``: the packed keys of each part with their training
+    counts.  A part may come in several pieces."""
+
+    def emit(held):
+        for (part, kind), c in held.items():
+            c.merge()
+            top, rest = tops.split(kind, c.keys)
+            order = np.lexsort((rest, top))
+            top, rest, n = top[order], rest[order], c.n[order].astype(np.uint64)
+            edge = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]])) if len(top) else np.zeros(0, int)
+            if len(edge):
+                end = np.append(edge[1:], len(top))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(edge), part, np.int64)), pa.array(top[edge].astype(np.int32)),
+                     pack(rest, edge, end, tops.widths[kind]), pack(n, edge, end, 8)], ["part", "top", "keys", "n"])
 
     def count(batches):
         held: dict[tuple[int, int], Counts] = {}
@@ -132,24 +205,17 @@ def _distinct(docs: DataFrame, depth: int) -> DataFrame:
             train = batch.column("train").to_numpy(zero_copy_only=False)
             part = batch.column("part").to_numpy()
             for i, j, data, offsets in K.text_slices(batch.column("text"), SLICE):
-                gram, gram_row = grams(data, offsets, depth)
-                word, word_row = word_keys(data, offsets)
-                for p in np.unique(part[i:j]).tolist():
-                    mine, weight = part[i:j] == p, train[i:j].astype(np.int64)
-                    for kind, key, row in ((WORD, word, word_row), (GRAM, gram, gram_row)):
-                        own = mine[row]
-                        held.setdefault((p, kind), Counts()).add(key[own], weight[row[own]])
-        for (p, kind), c in held.items():
-            c.merge()
-            for a in range(0, len(c.keys), 1 << 18):
-                keys = c.keys[a:a + (1 << 18)]
-                yield pa.RecordBatch.from_pydict({
-                    "part": pa.array(np.full(len(keys), p), pa.int64()),
-                    "kind": pa.array(np.full(len(keys), kind), pa.int32()),
-                    "key": pa.array(keys.view(np.int64), pa.int64()),
-                    "n": pa.array(c.n[a:a + (1 << 18)], pa.int64())})
+                for kind, (key, row) in ((WORD, word_keys(data, offsets)), (GRAM, grams(data, offsets, tops.depth))):
+                    own_part, own_train = part[i:j][row], train[i:j][row]
+                    for p in np.unique(part[i:j]).tolist():
+                        mine = own_part == p
+                        held.setdefault((p, kind), Counts()).add(key[mine], own_train[mine])
+                if sum(len(c.keys) + c.held for c in held.values()) > HELD_KEYS:
+                    yield from emit(held)
+                    held = {}
+        yield from emit(held)
 
-    return docs.select("part", "train", "text").mapInArrow(count, "part long, kind int, key long, n long")
+    return docs.select("part", "train", "text").mapInArrow(count, "part long, top int, keys binary, n binary")
 
 
 def _sql_lgamma(x: str) -> str:
@@ -179,8 +245,8 @@ def _kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1.0) - 1.1447298858494002
 
 
-def _subtree(keys: np.ndarray, c: np.ndarray, depth: int) -> dict:
-    """Bottom-up over the n-grams of one two-byte context: per depth the sorted
+def _subtree(keys: np.ndarray, c: np.ndarray, depth: int, t: int) -> dict:
+    """Bottom-up over the n-grams of one top of ``t`` bytes: per depth the sorted
     node names (context and node), ``a``, ``b`` and ``below``, the sum of the
     children's log Pw."""
     i = np.arange(8)
@@ -194,7 +260,7 @@ def _subtree(keys: np.ndarray, c: np.ndarray, depth: int) -> dict:
     level = {"name": names, "a": np.bincount(inverse, weights=weight, minlength=len(names)) - ones, "b": ones,
              "below": np.zeros(len(names)), "at": inverse, "bit": bit}
     out = {depth: level}
-    for d in range(depth, 2, -1):
+    for d in range(depth, t, -1):
         kt = _kt(level["a"], level["b"])
         pw = kt if d == depth else np.logaddexp(kt, level["below"]) - np.log(2)
         names, up = np.unique(level["name"] & ((1 << 8 * d) - 1), return_inverse=True)
@@ -205,92 +271,157 @@ def _subtree(keys: np.ndarray, c: np.ndarray, depth: int) -> dict:
     return out
 
 
-def _by_top(task):
-    """Run ``task(top, rows)`` on the rows of each ``top``, which lie together."""
+def _by(batches, *names: str):
+    """``(group, row)`` of every row: the values of ``names``, and of all columns."""
+    for batch in batches:
+        at = [batch.schema.get_field_index(n) for n in names]
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            yield tuple(row[i] for i in at), row
 
-    def run(batches):
-        held, current = [], None
-        for batch in batches:
-            top = batch.column("top").to_numpy()
-            edges = [0, *(np.flatnonzero(top[1:] != top[:-1]) + 1).tolist(), len(top)]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if a == b:
-                    continue
-                if top[a] != current and held:
-                    yield task(current, pa.Table.from_batches(held))
-                    held = []
-                current = top[a]
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield task(current, pa.Table.from_batches(held))
 
-    return run
+def _packed(top: int, rest: np.ndarray, width: int) -> bytes:
+    """One top's values as byte planes."""
+    return pack(rest, np.array([0]), np.array([len(rest)]), width)[0].as_py()
 
 
-def gram_scores(counts: DataFrame, depth: int, work: Work) -> DataFrame:
-    """``(key, log10p)``: probability of each n-gram's last byte after the others,
-    from ``counts (key, c)``.
+def _merged(tops: Tops, nodes: bool):
+    """Sum the packed rows ``top, keys, n`` of each group of rows that lie together
+    by ``group``; with ``nodes`` also what the depths above need of the top."""
+    names = ["top", "keys", "n", *(["node", "a", "b", "below", "total", "known"] if nodes else [])]
 
-    The contexts that end in the same two bytes are one task's group: depths 2
-    to ``depth`` need no shuffle.  Depths 0 and 1 (at most 257 contexts) are
-    joined to the groups' depth 2 by Spark."""
-    grams = counts.select(F.expr("shiftright(key, 8) & 65535").alias("top"), "key", "c")
+    def close(top, c):
+        c.merge()
+        row = {"top": top, "keys": _packed(top, c.keys, tops.widths[tops.kind(top)]),
+               "n": _packed(top, c.n.astype(np.uint64), 8)}
+        if nodes and tops.kind(top) == GRAM:
+            level = _subtree(tops.join(top, c.keys), c.n.astype(float), tops.depth, tops.t)[tops.t]
+            row |= {"node": (level["name"] & 255).tolist(), "a": level["a"].astype(np.int64).tolist(),
+                    "b": level["b"].astype(np.int64).tolist(), "below": level["below"].tolist()}
+        elif nodes:
+            row |= {"total": int(c.n.sum()), "known": int((c.n > 0).sum())}
+        return row
 
-    def upward(top, rows):
-        level = _subtree(rows.column("key").to_numpy().view(np.uint64), rows.column("c").to_numpy().astype(float),
-                         depth)[2]
-        n = len(level["name"])
-        return pa.RecordBatch.from_pydict({
-            "top": pa.array(np.full(n, top), pa.int64()), "node": pa.array(level["name"] & 255, pa.int32()),
-            "a": pa.array(level["a"].astype(np.int64)), "b": pa.array(level["b"].astype(np.int64)),
-            "below": pa.array(level["below"])})
+    def run(batches):
+        current, counts, out, size = None, None, [], 0
+        for (group, top), row in _by(batches, "salt", "top"):
+            if (group, top) != current:
+                if current is not None:
+                    out.append(close(current[1], counts))
+                    size += len(out[-1]["keys"])
+                    if size > 4 << 20 or len(out) >= 4096:
+                        yield pa.RecordBatch.from_pylist(out, schema)
+                        out, size = [], 0
+                current, counts = (group, top), Counts()
+            counts.put(unpack(row[2], tops.widths[tops.kind(top)]), unpack(row[3], 8).astype(np.int64))
+        if current is not None:
+            out.append(close(current[1], counts))
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    kinds = {"top": pa.int32(), "keys": pa.binary(), "n": pa.binary(), "node": pa.list_(pa.int32()),
+             "a": pa.list_(pa.int64()), "b": pa.list_(pa.int64()), "below": pa.list_(pa.float64()),
+             "total": pa.int64(), "known": pa.int64()}
+    schema = pa.schema([(n, kinds[n]) for n in names])
+    return run
 
-    two = work.cut(grams.repartition("top").sortWithinPartitions("top").mapInArrow(
-        _by_top(upward), "top long, node int, a long, b long, below double"), "depth2")
 
-    def parent(level: DataFrame, leaf: bool, ctx: str) -> DataFrame:
-        kt = level.select("*", F.expr(_SQL_KT).alias("kt"))
-        return kt.groupBy(F.expr(ctx).alias("ctx"), "node").agg(
-            F.sum("a").alias("a"), F.sum("b").alias("b"),
-            F.sum(F.col("kt") if leaf else F.expr(_SQL_MIXED)).alias("below"))
-
-    one = work.cut(parent(two, depth == 2, "top & 255"), "depth1")
-    zero = work.cut(parent(one, False, "0L"), "depth0")
+def _mix(levels: dict[int, DataFrame], depth: int, t: int) -> DataFrame:
+    """Top-down over the depths 0 to ``t - 1``: ``ctx, node, done, left`` at ``t - 1``."""
 
     def own(level: DataFrame) -> DataFrame:
         return level.select("ctx", "node", F.expr("(b + 0.5D) / (a + b + 1)").alias("one"),
                             F.expr(f"1 / (1 + exp(below - {_SQL_KT}))").alias("here"))
 
-    root = own(zero).select("node", F.expr("here * one").alias("done"), F.expr("1 - here").alias("left"))
-    down = own(one).join(root, "node").select(
-        "ctx", "node", F.expr("done + left * here * one").alias("done"), F.expr("left * (1 - here)").alias("left"))
-    state = two.select("top", F.expr("top & 255").alias("ctx"), "node").join(down, ["ctx", "node"]).select(
-        "top", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("c"), "node", "done", "left")
-    both = state.unionByName(grams.select(
-        "*", F.lit(None).cast("int").alias("node"), F.lit(None).cast("double").alias("done"),
-        F.lit(None).cast("double").alias("left")))
-
-    def downward(top, rows):
-        mask = rows.column("key").is_null().to_numpy()
-        entry, own_rows = rows.filter(pa.array(mask)), rows.filter(pa.array(~mask))
-        keys = own_rows.column("key").to_numpy().view(np.uint64)
-        levels = _subtree(keys, own_rows.column("c").to_numpy().astype(float), depth)
-        order = np.argsort(entry.column("node").to_numpy())
-        done, left = (entry.column(x).to_numpy()[order] for x in ("done", "left"))
-        for d in range(2, depth + 1):
+    state = own(levels[0]).select("ctx", "node", F.expr("here * one").alias("done"), F.expr("1 - here").alias("left"))
+    for d in range(1, t):
+        parent = state.withColumnRenamed("ctx", "up")
+        state = own(levels[d]).withColumn("up", F.expr(f"ctx & {(1 << 8 * (d - 1)) - 1}L")).join(parent, ["up", "node"]).select(
+            "ctx", "node", F.expr("done + left * here * one").alias("done"), F.expr("left * (1 - here)").alias("left"))
+    return state
+
+
+def _upward(nodes: DataFrame, depth: int, t: int, work: Work) -> dict[int, DataFrame]:
+    """``ctx, node, a, b, below`` of the depths ``t`` to 0, from those of ``t``."""
+    levels = {t: nodes}
+    for d in range(t, 0, -1):
+        kt = levels[d].select("*", F.expr(_SQL_KT).alias("kt"))
+        levels[d - 1] = work.cut(kt.groupBy(F.expr(f"ctx & {(1 << 8 * (d - 1)) - 1}L").alias("ctx"), "node").agg(
+            F.sum("a").alias("a"), F.sum("b").alias("b"),
+            F.sum(F.col("kt") if d == depth else F.expr(_SQL_MIXED)).alias("below")), f"depth{d - 1}")
+    return levels
+
+
+def _valued(tops: Tops):
+    """The value of every key of a top: a word's training count, an n-gram's log10
+    probability.  Rows: ``top, keys, n, state``, the top's nodes from above."""
+
+    def logs(top, keys, n, state):
+        levels = _subtree(tops.join(top, keys), n.astype(float), tops.depth, tops.t)
+        done, left = (np.array([s[x] for s in sorted(state, key=lambda s: s["node"])]) for x in ("done", "left"))
+        for d in range(tops.t, tops.depth + 1):
             level = levels[d]
-            if d > 2:
+            if d > tops.t:
                 done, left = done[level["up"]], left[level["up"]]
             with np.errstate(over="ignore"):
-                here = 1.0 if d == depth else 1 / (1 + np.exp(level["below"] - _kt(level["a"], level["b"])))
+                here = 1.0 if d == tops.depth else 1 / (1 + np.exp(level["below"] - _kt(level["a"], level["b"])))
             done = done + left * here * (level["b"] + 0.5) / (level["a"] + level["b"] + 1)
             left = left * (1 - here)
-        leaf = levels[depth]
+        leaf = levels[tops.depth]
         p = done[leaf["at"]]
-        logs = np.log10(np.where(leaf["bit"] == 1, p, 1 - p)).reshape(-1, 8).sum(axis=1)
-        return pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "log10p": pa.array(logs)})
+        return np.log10(np.where(leaf["bit"] == 1, p, 1 - p)).reshape(-1, 8).sum(axis=1)
 
-    return both.repartition("top").sortWithinPartitions("top").mapInArrow(_by_top(downward), "key long, log10p double")
+    def run(batches):
+        for batch in batches:
+            for i in range(len(batch)):
+                top, keys, n, state = (batch.column(c)[i].as_py() for c in ("top", "keys", "n", "state"))
+                n = unpack(n, 8).astype(np.int64)
+                value = n.astype(float) if tops.kind(top) == WORD else logs(
+                    top, unpack(keys, tops.widths[GRAM]), n, state)
+                yield pa.RecordBatch.from_pydict({
+                    "top": pa.array([top], pa.int32()), "keys": pa.array([keys], pa.binary()),
+                    "value": pa.array([_packed(top, value.view(np.uint64), 8)], pa.binary())})
+
+    return run
+
+
+def _answered(tops: Tops):
+    """Give each part's packed row the values of its keys; a group's first row has
+    the values of the whole top.  Rows: ``top, salt, part, keys, value``."""
+
+    def run(batches):
+        current, all_keys, all_values, out, size = None, None, None, [], 0
+        for (top, salt), (_, _, part, keys, value) in _by(batches, "top", "salt"):
+            width = tops.widths[tops.kind(top)]
+            if (top, salt) != current:  # nulls sort first: the row of the whole top
+                current = (top, salt)
+                all_keys, all_values = unpack(keys, width), unpack(value, 8)
+                continue
+            own = all_values[np.searchsorted(all_keys, unpack(keys, width))]
+            out.append({"part": part, "top": top, "keys": keys, "value": _packed(top, own, 8)})
+            size += len(keys) + 8 * len(own)
+            if size > 4 << 20:
+                yield pa.RecordBatch.from_pylist(out, schema)
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    schema = pa.schema([("part", pa.int64()), ("top", pa.int32()), ("keys", pa.binary()), ("value", pa.binary())])
+    return run
+
+
+def parts(docs: DataFrame, text_col: str = "text") -> Column:
+    """Part of a row by its place in its file: a fixed function of the row.
+
+    A part holds as many consecutive rows as have ``PART_BYTES`` at the mean length;
+    rows over 8, 64, .. times the mean make parts of an eighth, a 64th .. as many
+    rows of their own, so no part but a single text passes ``8 * PART_BYTES``."""
+    size = F.coalesce(F.octet_length(text_col), F.lit(0))
+    n, total = docs.agg(F.count("*"), F.sum(size)).first()
+    mean = max(1.0, (total or 0) / max(n, 1))
+    rows = max(1, int(PART_BYTES / mean))
+    longer = F.floor(F.log(8.0, F.greatest(size / mean, F.lit(1.0))))
+    block = F.expr("_metadata.row_index") / F.greatest(F.lit(1.0), F.floor(rows / F.pow(F.lit(8.0), longer)))
+    return F.xxhash64("_metadata.file_path", longer, F.floor(block))
 
 
 def score(docs: DataFrame, train: Column, part: Column | None = None, id_col: str = "doc_id",
@@ -298,48 +429,70 @@ def score(docs: DataFrame, train: Column, part: Column | None = None, id_col: st
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score, n_bytes``.
 
     ``train``: which rows are learned from.  ``part``: a fixed function of the
-    row that groups rows lying together (a task's dictionary is that of its
-    part); any such function gives the same result."""
+    row (a task's dictionary is that of its part); any gives the same result.
+    Without one the rows are dealt by a hash into parts of ``PART_BYTES``;
+    ``parts`` keeps rows of a file together."""
     if not 2 <= depth <= 6:
         raise ValueError("depth must be 2..6: a context and its node are one 64-bit name")
     work = Work(docs.sparkSession, "ctw")
+    tops = Tops(depth)
+    text = F.col(text_col).cast("string")
     if part is None:
-        part = F.pmod(F.xxhash64(id_col), F.lit(1024))
+        total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+        part = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 + total // PART_BYTES))
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"),
                        part.cast("long").alias("part"), F.coalesce(train, F.lit(False)).alias("train"))
-    keys = work.cut(_distinct(rows, depth), "keys")
-    totals = keys.groupBy("kind", "key").agg(F.sum("n").alias("c"))
-    words = work.cut(totals.where(f"kind = {WORD}").select("key", "c"), "words")
-    counted = work.cut(totals.where(f"kind = {GRAM}").select("key", "c"), "grams")
+    packed = work.cut(_distinct(rows, tops), "packed")
+    salts = 1 + packed.select("part").distinct().count() // MERGED_PARTS
+    salt = F.pmod(F.xxhash64("part"), F.lit(salts)).cast("int").alias("salt")
+
+    def summed(of: DataFrame, nodes: bool, schema: str) -> DataFrame:
+        return of.repartition("salt", "top").sortWithinPartitions("salt", "top").mapInArrow(_merged(tops, nodes), schema)
+
+    each = packed.select("top", salt, "keys", "n")
+    if salts > 1:
+        each = summed(each, False, "top int, keys binary, n binary").select("top", F.lit(0).alias("salt"), "keys", "n")
+    whole = work.cut(summed(each, True, "top int, keys binary, n binary, node array<int>, a array<long>, b array<long>, "
+                            "below array<double>, total long, known long"), "tops")
     ends = rows.where("train").count()
-    n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+    n, v = whole.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     n, v = n + ends, v + (ends > 0)
-    values = words.select(F.lit(WORD).alias("kind"), "key", F.col("c").cast("double").alias("value")).unionByName(
-        gram_scores(counted, depth, work).select(F.lit(GRAM).alias("kind"), "key", F.col("log10p").alias("value")))
-    wanted = keys.select("part", "kind", "key").join(values, ["kind", "key"]).select(
-        "part", "kind", "key", "value", F.lit(None).cast(id_type).alias("id"), F.lit(None).cast("string").alias("text"))
-    texts = rows.select("part", F.lit(2).alias("kind"), F.lit(None).cast("long").alias("key"),
-                        F.lit(None).cast("double").alias("value"), "id", F.coalesce("text", F.lit("")).alias("text"))
-    together = wanted.unionByName(texts).repartition("part").sortWithinPartitions("part", "kind")
+
+    nodes = whole.where(F.col("top") < tops.words).select(
+        F.col("top").cast("long").alias("ctx"), F.explode(F.arrays_zip("node", "a", "b", "below")).alias("x")).select("ctx", "x.*")
+    above = _mix(_upward(nodes, depth, tops.t, work), depth, tops.t).withColumnRenamed("ctx", "up")
+    state = nodes.select("ctx", "node", F.expr(f"ctx & {(1 << 8 * (tops.t - 1)) - 1}L").alias("up")).join(above, ["up", "node"]).groupBy(
+        F.col("ctx").cast("int").alias("top")).agg(F.collect_list(F.struct("node", "done", "left")).alias("state"))
+    values = whole.select("top", "keys", "n").join(state, "top", "left").select("top", "keys", "n", "state").mapInArrow(
+        _valued(tops), "top int, keys binary, value binary")
+    asked = values.select("top", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+                          F.lit(None).cast("long").alias("part"), "keys", "value").unionByName(
+        packed.select("top", salt, "part", "keys", F.lit(None).cast("binary").alias("value")))
+    answered = asked.repartition("top", "salt").sortWithinPartitions("top", "salt", "part").mapInArrow(
+        _answered(tops), "part long, top int, keys binary, value binary")
+    texts = rows.select("part", F.lit(None).cast("int").alias("top"), F.lit(None).cast("binary").alias("keys"),
+                        F.lit(None).cast("binary").alias("value"), "id", F.coalesce("text", F.lit("")).alias("text"))
+    together = answered.select("*", F.lit(None).cast(id_type).alias("id"), F.lit(None).cast("string").alias("text")).unionByName(
+        texts).repartition("part").sortWithinPartitions("part", F.col("top").asc_nulls_last())
     denominator, end_log, end_known = np.log10(n + v + 1), np.log10(ends + 1), int(ends > 0)
 
     def apply(batches):
-        current, held, find = None, {WORD: [], GRAM: []}, None
+        current, held, find = None, {}, None
         for batch in batches:
-            parts = batch.column("part").to_numpy()
-            kinds = batch.column("kind").to_numpy()
-            edges = np.flatnonzero((parts[1:] != parts[:-1]) | (kinds[1:] != kinds[:-1])) + 1
-            bounds = [0, *edges.tolist(), len(parts)]
+            part_of = batch.column("part").to_numpy()
+            is_text = batch.column("top").is_null().to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((part_of[1:] != part_of[:-1]) | (is_text[1:] != is_text[:-1])) + 1
+            bounds = [0, *edges.tolist(), len(part_of)]
             for a, b in zip(bounds[:-1], bounds[1:]):
                 if a == b:
                     continue
-                if parts[a] != current:
-                    current, held, find = parts[a], {WORD: [], GRAM: []}, None
-                kind = int(kinds[a])
-                if kind != 2:
-                    held[kind].append((batch.column("key").slice(a, b - a).to_numpy().view(np.uint64),
-                                       batch.column("value").slice(a, b - a).to_numpy()))
+                if part_of[a] != current:
+                    current, held, find = part_of[a], {WORD: [], GRAM: []}, None
+                if not is_text[a]:
+                    for top, keys, value in zip(*(batch.column(c).slice(a, b - a).to_pylist() for c in ("top", "keys", "value"))):
+                        kind = tops.kind(top)
+                        held[kind].append((tops.join(top, unpack(keys, tops.widths[kind])), unpack(value, 8).view(np.float64)))
                     continue
                 if find is None:  # all values of a part come before its texts
                     find = {k: Lookup(np.concatenate([x[0] for x in xs] or [np.zeros(0, np.uint64)]),

@@ -94,8 +94,7 @@ def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = held_out(F.col("doc_id"), 7, 2)
     # rows that lie together in a file; independent of how the file is split
-    part = F.xxhash64("_metadata.file_path", F.expr("_metadata.row_index div 20480"))
-    scored = op.score(docs.select("doc_id", "text", part.alias("part")), ~out, F.col("part"))
+    scored = op.score(docs.select("doc_id", "text", op.parts(docs).alias("part")), ~out, F.col("part"))
     return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score", "n_bytes",
                          (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))
