@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sparkcount.functions import hashing as H
 from sparkcount.functions.frames import replicate
-from sparkcount.operators.triangles import count_triangles, triangles_query
+from sparkcount.operators.triangles import count_by_group, count_triangles, triangles_query
 
 
 # ---- G2-G5 -----------------------------------------------------------------
@@ -80,7 +80,7 @@ def triangles_per_color(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     return triangles_query(undirected(mono, "color"), ["color"], """
 SELECT color, CAST(coalesce(t.n, 0) AS BIGINT) AS triangles
 FROM (SELECT DISTINCT color FROM {mono}) p
-LEFT JOIN (SELECT color, count(1) AS n FROM triangles GROUP BY color) t USING (color)""",
+LEFT JOIN (SELECT color, sum(c) AS n FROM closed GROUP BY color) t USING (color)""",
                            mono=mono)
 
 
@@ -88,14 +88,14 @@ def approx_triangles_color(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     """One row ``triangles`` = ``C^2 * sum of per-colour counts``."""
     mono = monochromatic_edges(edges, C, h)
     return triangles_query(undirected(mono, "color"), ["color"],
-                           f"SELECT CAST(count(1) * {C * C} AS BIGINT) AS triangles FROM triangles")
+                           f"SELECT CAST(coalesce(sum(c), 0) * {C * C} AS BIGINT) AS triangles FROM closed")
 
 
 def _runs_sql(C: int, R: int) -> str:
     return f"""
 SELECT CAST(r.id AS INT) AS run, CAST(coalesce(t.n, 0) * {C * C} AS BIGINT) AS triangles
 FROM range({R}) r
-LEFT JOIN (SELECT run, count(1) AS n FROM triangles GROUP BY run) t ON t.run = r.id"""
+LEFT JOIN (SELECT run, sum(c) AS n FROM closed GROUP BY run) t ON t.run = r.id"""
 
 
 def _mono_runs(edges: DataFrame, C: int, hs: Sequence[H.Affine]) -> DataFrame:
@@ -139,13 +139,13 @@ def triangles_per_partition(edges: DataFrame, C: int, hb: H.EdgeBucket) -> DataF
     return triangles_query(undirected(partition_edges(edges, C, hb), "part"), ["part"], f"""
 SELECT CAST(r.id AS INT) AS part, CAST(coalesce(t.n, 0) AS BIGINT) AS triangles
 FROM range({C}) r
-LEFT JOIN (SELECT part, count(1) AS n FROM triangles GROUP BY part) t ON t.part = r.id""")
+LEFT JOIN (SELECT part, sum(c) AS n FROM closed GROUP BY part) t ON t.part = r.id""")
 
 
 def approx_triangles_partition(edges: DataFrame, C: int, hb: H.EdgeBucket) -> DataFrame:
     """One row ``triangles`` = ``C^2 * sum of per-bucket counts``."""
     return triangles_query(undirected(partition_edges(edges, C, hb), "part"), ["part"],
-                           f"SELECT CAST(count(1) * {C * C} AS BIGINT) AS triangles FROM triangles")
+                           f"SELECT CAST(coalesce(sum(c), 0) * {C * C} AS BIGINT) AS triangles FROM closed")
 
 
 # ---- G14-G16: colour triples (exact) -----------------------------------------
@@ -178,33 +178,28 @@ def _triple_keys(edges: DataFrame, C: int, h: H.Affine) -> DataFrame:
     return rows.select(c1.alias("c1"), c2.alias("c2"), c3.alias("c3")).distinct()
 
 
-def _per_triple_sql(C: int, h: H.Affine, method: str) -> str:
-    """Per-key counts: every key of ``{triple_keys}`` left-joined with the triangles
-    whose sorted colour triple equals it (0 when there is none)."""
-    cs, cx, cy = (H.sql_color(n, h.a, h.b, C, h.p) for n in ("s", "x", "y"))
-    lo, hi = f"least({cs}, {cx}, {cy})", f"greatest({cs}, {cx}, {cy})"
-    mid = f"({cs} + {cx} + {cy} - {lo} - {hi})"
-    if method == "direct":
-        grouped = (f"SELECT {lo} AS c1, {mid} AS c2, {hi} AS c3, count(1) AS n "
-                   f"FROM triangles GROUP BY 1, 2, 3")
-    else:
-        grouped = (f"SELECT c1, c2, c3, count(1) AS n FROM triangles "
-                   f"WHERE c1 = {lo} AND c2 = {mid} AND c3 = {hi} GROUP BY c1, c2, c3")
-    return f"""
-SELECT k.c1, k.c2, k.c3, CAST(coalesce(t.n, 0) AS BIGINT) AS triangles
-FROM {{triple_keys}} k
-LEFT JOIN ({grouped}) t ON t.c1 = k.c1 AND t.c2 = k.c2 AND t.c3 = k.c3"""
-
-
 def _triple_query(edges: DataFrame, C: int, h: H.Affine, method: str, wrap: str) -> DataFrame:
+    """``wrap`` around the per-key counts: every key of ``{triple_keys}``
+    left-joined with its triangles (0 when there is none)."""
+    def color(n: str) -> str:
+        return H.sql_color(n, h.a, h.b, C, h.p)
+
     if method == "direct":
-        und, keys = undirected(edges), []
+        cx, cy = color("x"), color("y")
+        lo, hi = f"least(tag, {cx}, {cy})", f"greatest(tag, {cx}, {cy})"
+        grouped = f"SELECT {lo} AS c1, tag + {cx} + {cy} - {lo} - {hi} AS c2, {hi} AS c3, sum(c) AS n FROM closed GROUP BY 1, 2, 3"
     elif method == "replicate":
-        und, keys = undirected(replicate_by_color_triple(edges, C, h), "c1", "c2", "c3"), ["c1", "c2", "c3"]
+        grouped = f"SELECT g div {C * C} AS c1, g div {C} % {C} AS c2, g % {C} AS c3, n FROM per_group"
     else:
         raise ValueError(f"unknown method {method!r}")
-    tail = wrap.format(per=_per_triple_sql(C, h, method))
-    return triangles_query(und, keys, tail, triple_keys=_triple_keys(edges, C, h))
+    tail = wrap.format(per=f"""
+SELECT k.c1, k.c2, k.c3, CAST(coalesce(t.n, 0) AS BIGINT) AS triangles
+FROM {{triple_keys}} k
+LEFT JOIN ({grouped}) t ON t.c1 = k.c1 AND t.c2 = k.c2 AND t.c3 = k.c3""")
+    frames = {"triple_keys": _triple_keys(edges, C, h)}
+    if method == "direct":
+        return triangles_query(undirected(edges), [], tail, tag=color("s"), **frames)
+    return count_by_group(undirected(edges), C, color("{n}"), tail, **frames)
 
 
 def triangles_per_color_triple(edges: DataFrame, C: int, h: H.Affine,
@@ -212,10 +207,10 @@ def triangles_per_color_triple(edges: DataFrame, C: int, h: H.Affine,
     """``(c1, c2, c3, triangles)`` for every key the replication produces.
 
     A group counts the triangles whose own sorted colours equal its key.  The
-    ``direct`` plan lists every triangle once and groups it by its colour
+    ``direct`` plan finds every triangle once and groups it by its colour
     triple - the same numbers without copying the edges ``C`` times.  The
-    ``replicate`` plan keeps the copy: triangles inside each group, then the
-    colour filter.
+    ``replicate`` plan keeps the copy: each group counts its own triangles
+    behind one exchange of the copies.
     """
     return _triple_query(edges, C, h, method, "{per}")
 

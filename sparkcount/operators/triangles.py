@@ -1,41 +1,40 @@
-"""Triangle listing by joins, with edges oriented by (degree, id).
+"""Triangle counting with edges oriented by (degree, id) and packed neighbour arrays.
 
 Input: ``(keys..., u, v)`` with ``u < v``, no loops, each pair once per key
 group.  ``keys`` (a colour, a run, a bucket, ...) are carried through every
-join, so many independent graphs are counted in one job.
+step, so many independent graphs are counted in one job.
 
 Plan:
 
 1. degree of every node per key group (partial + final hash aggregate);
 2. orient each edge from the lower to the higher ``(degree, id)`` rank
    (two equi-joins with the degree table; AQE broadcasts it when it is small
-   and splits a hub's partition when it is not);
-3. wedges: pairs of out-edges sharing their source, ``rank(x) < rank(y)``;
-4. close: keep wedges whose ends are an edge (equi-join with the edge table on
-   ``(keys, u, v)``, the columns its dedupe shuffle is partitioned by - the
-   orientation is not computed a second time).
-
-Every triangle is listed once, at its lowest-ranked node.  Orienting by
-degree bounds every out-degree by ``sqrt(2m)``, so a hub - which would make
-``deg^2`` wedges under id order - has its edges pointing *into* it and makes
-almost none; the wedge count is ``O(m^1.5)`` whatever the skew.  On the sf0.1
-edge list this is 8.8 M wedges against 16.8 M for the id order.
-
-Wedge join.  Its output is many times its input, which AQE cannot see: left
-alone it coalesces the small oriented table into one partition and runs the
-whole explosion in one task.  The oriented edges are therefore hash
-partitioned on ``(keys, s)`` to ``spark.sql.shuffle.partitions`` once
-(``REPARTITION`` hint, which AQE keeps).  A source's out-degree is at most
-its degree, so only sources of degree above ``split_above`` have their
-out-degree counted, by a window over the same partitioning.  A source with at
-most ``split_above`` out-edges - a bounded list - collects them sorted by rank
-on that partitioning (no further shuffle) and pairs them by position:
-exactly ``d(d-1)/2`` wedges, no self-join and no half-discarded pairs.  A
-heavier source's out-edges are cut into ``B = ceil(d / split_above)`` chunks
-by a hash of the target; chunk ``i`` meets chunk ``j`` under the key
-``(s, i, j)``, so each of the ``B^2`` chunk pairs is its own join group of
-about ``split_above^2`` wedges.  Only those sources' edges are copied (``2B``
-times, both join roles through one exchange).
+   and splits a hub's partition when it is not; written as left joins, so that
+   never the edges are broadcast and the nodes streamed);
+3. the out-neighbours of every node, sorted by rank, become one array.  For
+   every oriented edge ``s -> t`` one row goes to ``t``: the array of ``s``'s
+   neighbours behind ``t``.  The node's own array goes to itself the same way, so
+   both meet on one exchange by ``t``;
+4. behind that exchange the arrays are exploded and counted by ``(t, w)``:
+   a pair that also came with ``t``'s own array is an edge, and every other
+   row of it a triangle.  The aggregate needs no exchange, because the rows
+   are already placed by ``t``.
+
+Every triangle is found once, at its lowest-ranked node.  What is shuffled is
+one row per edge, not one per wedge; the ids inside are eight bytes each.
+Orienting by degree bounds every out-degree by ``sqrt(2m)``, so a hub - which
+would make ``deg^2`` wedges under id order - has its edges pointing *into* it
+and sends almost nothing; the ids sent are ``O(m^1.5)`` whatever the skew.  On
+the sf0.1 edge list these are 8.8 M against 16.8 M for the id order.
+
+Skew.  An array of more than ``split_above`` ids is cut into chunks, and each
+pair of chunks (``i <= j``) is a row of its own, dealt by ``(s, i, j)`` before
+anything is sent, so no task expands more than ``split_above^2`` ids of a pair.
+A target whose degree passes ``salt_above`` takes its rows under several
+salts, and its own array - at most ``sqrt(2m)`` ids - under each.  Rows grow on
+expanding, which AQE cannot see, so these two exchanges have
+``spark.sql.shuffle.partitions`` fixed partitions (``REPARTITION`` hint, which
+AQE keeps).
 
 The plan is one parameterised SQL query over the edge DataFrame: it is
 parsed and analysed once, instead of one Python round trip per operator.
@@ -47,20 +46,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-# A source with more out-edges than this has its wedges split over tasks.
+# Ids of a chunk: a source with more out-edges has its pairs split over tasks.
 SPLIT_ABOVE = 2048
+# A target takes one more salt for every so many edges it has.
+SALT_ABOVE = 1 << 20
 
 
-def _ctes(keys: Sequence[str], parts: int, split_above: int) -> str:
+def _oriented(keys: Sequence[str]) -> str:
+    """CTEs ``deg, ranked, o``: edges ``s -> t`` with both degrees."""
     k = "".join(f"{c}, " for c in keys)
 
-    def on(a: str, b: str, extra: str) -> str:
-        return " AND ".join([f"{a}.{c} = {b}.{c}" for c in keys] + [extra])
+    def on(a: str, extra: str) -> str:
+        return " AND ".join([f"{a}.{c} = e.{c}" for c in keys] + [extra])
 
-    def ks(alias: str) -> str:
-        return "".join(f"{alias}.{c}, " for c in keys)
-
-    before = "(l.dx < r.dy OR (l.dx = r.dy AND l.x < r.y))"
     return f"""
 WITH deg AS (
   SELECT {k}n, count(1) AS d
@@ -68,107 +66,171 @@ WITH deg AS (
   GROUP BY {k}n
 ),
 ranked AS (
-  SELECT {ks('e')}e.u, e.v, du.d AS du, dv.d AS dv,
+  SELECT {"".join(f"e.{c}, " for c in keys)}e.u, e.v, du.d AS du, dv.d AS dv,
          (du.d < dv.d OR (du.d = dv.d AND e.u < e.v)) AS fwd
   FROM {{edges}} e
-  JOIN deg du ON {on('du', 'e', 'du.n = e.u')}
-  JOIN deg dv ON {on('dv', 'e', 'dv.n = e.v')}
+  LEFT JOIN deg du ON {on('du', 'du.n = e.u')}
+  LEFT JOIN deg dv ON {on('dv', 'dv.n = e.v')}
 ),
 o AS (
   SELECT {k}IF(fwd, u, v) AS s, IF(fwd, v, u) AS t,
          IF(fwd, du, dv) AS ds, IF(fwd, dv, du) AS dt
   FROM ranked
+)"""
+
+
+def _ctes(keys: Sequence[str], parts: int, split_above: int, salt_above: int, tag: str | None) -> str:
+    k = "".join(f"{c}, " for c in keys)
+    # rows of the same (t, w): its own array's, and the others by tag
+    label = f", IF(own, NULL, {tag}) AS tag" if tag else ""
+    carried = ", tag" if tag else ""
+    if tag:
+        closed = f"""
+counted AS (
+  SELECT {k}n, salt, w, tag, max(own) AS own, count(1) AS c FROM pairs GROUP BY {k}n, salt, w, tag
 ),
-by_source AS (
-  SELECT /*+ REPARTITION({parts}, {k}s) */ * FROM o
-),
-cand AS (
-  SELECT *, count(1) OVER (PARTITION BY {k}s) AS deg_out
-  FROM by_source WHERE ds > {split_above}
-),
-light AS (
-  SELECT {k}s, t, dt FROM by_source WHERE ds <= {split_above}
-  UNION ALL
-  SELECT {k}s, t, dt FROM cand WHERE deg_out <= {split_above}
-),
-light_lists AS (
-  SELECT {k}s, array_sort(collect_list(named_struct('dt', dt, 't', t))) AS outs
-  FROM light GROUP BY {k}s
-),
-light_wedges AS (
-  SELECT {k}s, a.t AS x, b.t AS y
-  FROM light_lists
-  LATERAL VIEW posexplode(outs) p AS i, a
-  LATERAL VIEW explode(slice(outs, i + 2, size(outs) - i - 1)) q AS b
-),
-heavy AS (
-  SELECT {k}s, t, dt, B, CAST(pmod(xxhash64(t), B) AS INT) AS c
-  FROM (SELECT *, CAST(ceil(deg_out / {split_above}) AS INT) AS B
-        FROM cand WHERE deg_out > {split_above})
-),
-tagged AS (
-  SELECT /*+ REPARTITION({parts}, {k}s, ci, cj) */
-         {k}s, t, dt, k < B AS is_left,
-         IF(k < B, c, k - B) AS ci, IF(k < B, k, c) AS cj
-  FROM heavy LATERAL VIEW explode(sequence(0, 2 * B - 1)) q AS k
+closed AS (
+  SELECT {k}tag, x, y, c FROM (
+    SELECT {k}tag, n AS x, w AS y, own, c, max(own) OVER (PARTITION BY {k}n, salt, w) AS edge FROM counted)
+  WHERE edge AND NOT own
+)"""
+    else:
+        closed = f"""
+closed AS (
+  SELECT {k}n AS x, w AS y, c FROM (
+    SELECT {k}n, w, max(own) AS edge, count(IF(own, NULL, 1)) AS c FROM pairs GROUP BY {k}n, salt, w)
+  WHERE edge AND c > 0
+)"""
+    size = split_above
+    return _oriented(keys) + f""",
+lists AS (
+  SELECT {k}s, ds, outs.t AS ts, outs.dt AS dts FROM (
+    SELECT {k}s, max(ds) AS ds, sort_array(collect_list(named_struct('dt', dt, 't', t))) AS outs
+    FROM o GROUP BY {k}s)
 ),
-heavy_wedges AS (
-  SELECT {ks('l')}l.s, l.x, r.y
-  FROM (SELECT {k}s, ci, cj, t AS x, dt AS dx FROM tagged WHERE is_left) l
-  JOIN (SELECT {k}s, ci, cj, t AS y, dt AS dy FROM tagged WHERE NOT is_left) r
-    ON {on('l', 'r', 'l.s = r.s AND l.ci = r.ci AND l.cj = r.cj')}
-  WHERE {before}
+chunks AS (
+  SELECT /*+ REPARTITION({parts}, {k}s, i, j) */ {k}s, ds, i, j,
+         slice(ts, i * {size} + 1, {size}) AS heads, slice(dts, i * {size} + 1, {size}) AS dheads,
+         IF(i = j, NULL, slice(ts, j * {size} + 1, {size})) AS tails
+  FROM lists
+  LATERAL VIEW explode(sequence(0, (size(ts) - 1) div {size})) p AS i
+  LATERAL VIEW explode(sequence(i, (size(ts) - 1) div {size})) q AS j
 ),
-wedges AS (
-  SELECT * FROM light_wedges UNION ALL SELECT * FROM heavy_wedges
+sent AS (
+  SELECT /*+ REPARTITION({parts}, {k}n, salt) */ {k}n, salt, own, ws{carried}
+  FROM (
+    SELECT {k}n, salt, own, ws{label} FROM (
+      SELECT {k}s, h = -1 AS own, IF(h = -1, s, heads[h]) AS n, IF(h = -1, ds, dheads[h]) AS dn,
+             CASE WHEN h = -1 THEN heads WHEN i < j THEN tails
+                  ELSE slice(heads, h + 2, size(heads) - h - 1) END AS ws
+      FROM chunks
+      LATERAL VIEW explode(sequence(IF(i = j, -1, 0), size(heads) - IF(i = j, 2, 1))) p AS h
+      WHERE i < j OR h < size(heads) - 1)
+    LATERAL VIEW explode(IF(own, sequence(0, CAST(dn div {salt_above} AS INT)),
+                            array(CAST(pmod(xxhash64(s), dn div {salt_above} + 1) AS INT)))) q AS salt)
 ),
-triangles AS (
-  SELECT {ks('w')}w.s, w.x, w.y
-  FROM wedges w
-  JOIN {{edges}} c ON {on('c', 'w', 'c.u = least(w.x, w.y) AND c.v = greatest(w.x, w.y)')}
-)
+pairs AS (
+  SELECT {k}n, salt, own{carried}, w FROM sent LATERAL VIEW explode(ws) q AS w
+),{closed}
 """
 
 
 # Column names the plan uses internally; key columns must not reuse them.
-_RESERVED = {"u", "v", "n", "d", "du", "dv", "fwd", "s", "t", "ds", "dt", "deg_out", "x",
-             "y", "dx", "dy", "B", "c", "k", "ci", "cj", "is_left", "triangles"}
+_RESERVED = {"u", "v", "n", "d", "du", "dv", "fwd", "s", "t", "ds", "dt", "dn", "x", "y", "w", "ws", "ts", "dts", "outs",
+             "heads", "dheads", "tails", "own", "salt", "h", "i", "j", "o", "c", "tag", "edge", "triangles"}
 
 
-def _run(edges: DataFrame, keys: Sequence[str], split_above: int, tail: str,
-         **frames: DataFrame) -> DataFrame:
+def _run(edges: DataFrame, keys: Sequence[str], split_above: int, tail: str, tag: str | None = None,
+         salt_above: int = SALT_ABOVE, **frames: DataFrame) -> DataFrame:
     clash = {k.lower() for k in keys} & {r.lower() for r in _RESERVED}
     if clash:
         raise ValueError(f"key columns {sorted(clash)} clash with names the triangle plan uses")
     spark = edges.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return spark.sql(_ctes(list(keys), parts, split_above) + tail, edges=edges, **frames)
+    return spark.sql(_ctes(list(keys), parts, split_above, salt_above, tag) + tail, edges=edges, **frames)
 
 
 def triangles_query(edges: DataFrame, keys: Sequence[str], tail: str,
-                    split_above: int = SPLIT_ABOVE, **frames: DataFrame) -> DataFrame:
-    """Run the SQL ``tail`` after the triangle listing, in the same statement.
+                    split_above: int = SPLIT_ABOVE, tag: str | None = None, **frames: DataFrame) -> DataFrame:
+    """Run the SQL ``tail`` after the triangle search, in the same statement.
 
-    ``tail`` reads the CTE ``triangles (keys..., s, x, y)`` and any DataFrame
-    passed in ``frames`` as ``{name}``.  Finishing a count inside the one
-    statement keeps the (large) plan from being re-analysed once per
-    follow-up DataFrame operation."""
-    return _run(edges, keys, split_above, tail, **frames)
+    ``tail`` reads the CTE ``closed (keys..., x, y, c)`` - ``c`` triangles whose
+    two higher-ranked nodes are ``x`` and ``y`` - and any DataFrame passed in
+    ``frames`` as ``{name}``.  With ``tag``, an SQL expression of the lowest node
+    ``s``, the rows of ``closed`` are also told apart by its value ``tag``.
+    Finishing a count inside the one statement keeps the (large) plan from
+    being re-analysed once per follow-up DataFrame operation."""
+    return _run(edges, keys, split_above, tail, tag, **frames)
 
 
 def list_triangles(edges: DataFrame, keys: Sequence[str] = (),
                    split_above: int = SPLIT_ABOVE) -> DataFrame:
     """One row ``(keys..., s, x, y)`` per triangle, ``s`` its lowest-ranked node."""
     k = "".join(f"{c}, " for c in keys)
-    return _run(edges, keys, split_above, f"SELECT {k}s, x, y FROM triangles")
+    return _run(edges, keys, split_above, f"SELECT {k}tag AS s, x, y FROM closed", "s")
 
 
 def count_triangles(edges: DataFrame, keys: Sequence[str] = (),
-                    split_above: int = SPLIT_ABOVE) -> DataFrame:
+                    split_above: int = SPLIT_ABOVE, salt_above: int = SALT_ABOVE) -> DataFrame:
     """``(keys..., triangles)`` for groups with at least one triangle; with no
     keys, a single row (0 when there is none)."""
     if not keys:
-        return _run(edges, keys, split_above, "SELECT count(1) AS triangles FROM triangles")
+        return _run(edges, keys, split_above, "SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS triangles FROM closed",
+                    salt_above=salt_above)
     k = ", ".join(keys)
     return _run(edges, keys, split_above,
-                f"SELECT {k}, count(1) AS triangles FROM triangles GROUP BY {k}")
+                f"SELECT {k}, sum(c) AS triangles FROM closed GROUP BY {k}", salt_above=salt_above)
+
+
+def count_by_group(edges: DataFrame, C: int, color: str, tail: str, **frames: DataFrame) -> DataFrame:
+    """The copy-per-group plan: every oriented edge goes to ``C`` groups of colours.
+
+    ``color`` is the SQL colour of a node, with ``{{n}}`` for its name.  Edges are
+    oriented once, before they are copied; a copy of ``s -> t`` for colour ``i``
+    goes to the group of the sorted colours of ``s``, ``t`` and ``i``, numbered
+    ``g = (c1 * C + c2) * C + c3``, and waits there for third nodes of colour
+    ``i``.  One exchange places the copies by ``g``; the arrays, their way to
+    ``t`` and the closing aggregate all keep that placement.  ``tail`` reads
+    ``per_group (g, n)``: triangles whose own colours are the group's."""
+    spark = edges.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lo, hi = "least(cs, ct, i)", "greatest(cs, ct, i)"
+    return spark.sql(_oriented(()) + f""",
+copies AS (
+  SELECT /*+ REPARTITION({parts}, g) */ g, s, t, dt, ct, i FROM (
+    SELECT ({lo} * {C} + cs + ct + i - {lo} - {hi}) * {C} + {hi} AS g, s, t, dt, ct, i
+    FROM (SELECT s, t, dt, {color.format(n='s')} AS cs, {color.format(n='t')} AS ct FROM o)
+    LATERAL VIEW explode(sequence(0L, {C - 1}L)) q AS i)
+),
+sorted AS (
+  SELECT g, s, transform(sort_array(collect_list(named_struct('dt', dt, 't', t, 'f', IF(ct = i, 0, IF(ct < i, 1, 2))))),
+                         (o, p) -> named_struct('t', o.t, 'f', o.f, 'p', p)) AS outs
+  FROM copies GROUP BY g, s
+),
+lists AS (
+  -- of a source's group: both ends of the one colour left (f = 0), or of either of two
+  SELECT g, s, outs.t AS every, filter(outs, o -> o.f = 0) AS f0,
+         filter(outs, o -> o.f = 1) AS f1, filter(outs, o -> o.f = 2) AS f2
+  FROM sorted
+),
+sent AS (
+  -- skip: how many of the ids waited for do not lie behind the head
+  SELECT g, h.n, h.f < 0 AS own, CASE h.f WHEN 0 THEN slice(t0, h.skip + 1, size(t0) - h.skip)
+         WHEN 1 THEN slice(t2, h.skip + 1, size(t2) - h.skip) WHEN 2 THEN slice(t1, h.skip + 1, size(t1) - h.skip)
+         ELSE every END AS ws
+  FROM (SELECT g, every, f0.t AS t0, f1.t AS t1, f2.t AS t2,
+          concat(array(named_struct('n', s, 'f', -1, 'skip', 0)),
+                 transform(f0, (o, r) -> named_struct('n', o.t, 'f', 0, 'skip', r + 1)),
+                 transform(f1, (o, r) -> named_struct('n', o.t, 'f', 1, 'skip', o.p - r)),
+                 transform(f2, (o, r) -> named_struct('n', o.t, 'f', 2, 'skip', o.p - r))) AS heads FROM lists)
+  LATERAL VIEW explode(heads) q AS h
+),
+pairs AS (
+  SELECT g, n, own, w FROM sent LATERAL VIEW explode(ws) q AS w
+),
+per_group AS (
+  SELECT g, sum(c) AS n FROM (
+    SELECT g, n, w, max(own) AS edge, count(IF(own, NULL, 1)) AS c FROM pairs GROUP BY g, n, w)
+  WHERE edge GROUP BY g
+)
+""" + tail, edges=edges, **frames)

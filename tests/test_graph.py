@@ -247,6 +247,38 @@ def test_heavy_source_split_matches_brute_force(spark, split_above):
     assert got == want
 
 
+@pytest.mark.parametrize("salt_above", [1, 3])
+def test_salted_targets_match_brute_force(spark, salt_above):
+    from sparkcount.operators.triangles import count_triangles
+    rng = random.Random(salt_above)
+    pairs = [(a, b) for a in range(14) for b in range(a + 1, 14) if rng.random() < 0.6]
+    pairs += [(100, n) for n in range(40)] + [(n, n + 1) for n in range(39)]
+    und = G.undirected(edges(spark, pairs))
+    assert one(count_triangles(und, split_above=4, salt_above=salt_above)) == brute(pairs)
+
+
+@pytest.mark.parametrize("split_above", [2, 2048])
+def test_listed_triangles(spark, split_above):
+    from sparkcount.operators.triangles import list_triangles
+    rng = random.Random(split_above)
+    pairs = [(a, b) for a in range(15) for b in range(a + 1, 15) if rng.random() < 0.5]
+    adj = {frozenset(p) for p in pairs}
+    got = [frozenset(r) for r in list_triangles(G.undirected(edges(spark, pairs)), split_above=split_above).collect()]
+    want = {frozenset(t) for t in itertools.combinations(range(15), 3)
+            if all(frozenset(p) in adj for p in itertools.combinations(t, 2))}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("C", [1, 2, 5])
+def test_replicated_groups_of_a_dense_graph(spark, C):
+    rng = random.Random(C)
+    pairs = [(a, b) for a in range(30) for b in range(30) if a != b and rng.random() < 0.25] + [(3, 3)]
+    for h in draw_affine(C, 2):
+        rows = [G.triangles_per_color_triple(edges(spark, pairs), C, h, m).collect() for m in ("direct", "replicate")]
+        assert sorted(rows[0]) == sorted(rows[1])
+        assert sum(r.triangles for r in rows[1]) == brute(pairs)
+
+
 def test_sf0001_with_split(spark):
     from sparkcount.operators.triangles import count_triangles
     und = G.undirected(edge_list(spark, SF001))
