@@ -41,6 +41,17 @@ class EdgeBucket:
     p: int = P
 
 
+# Fixed value: the prime modulus of the polynomial family, 2^31 - 1; products of two
+# residues stay below 2^62, so BIGINT arithmetic is exact.
+P_POLY = 2147483647
+
+
+def draw_poly(rng: random.Random, degree: int = 3, p: int = P_POLY) -> tuple[int, ...]:
+    """Coefficients, highest first, of a random polynomial: ``degree + 1``-wise
+    independent values at distinct residues modulo ``p``."""
+    return (rng.randint(1, p - 1), *(rng.randint(0, p - 1) for _ in range(degree)))
+
+
 def draw_affine(seed: int, n: int, p: int = P) -> list[Affine]:
     """``n`` independent members drawn from an explicit seed."""
     rng = random.Random(seed)
@@ -95,3 +106,13 @@ def sql_sign(x: str, a, b, p: int = P) -> str:
 def sql_edge_bucket(u: str, v: str, h: EdgeBucket, m) -> str:
     return (f"(({sql_pmod(u, h.p)}) * {h.a} + ({sql_pmod(v, h.p)}) * {h.b} + {h.c})"
             f" % {h.p} % {m}")
+
+
+def sql_poly(residue: str, coefficients, p: int = P_POLY) -> str:
+    """Value modulo ``p`` of a polynomial (highest coefficient first) at a residue
+    in ``[0, p)``, by Horner's rule."""
+    first, *rest = coefficients
+    value = f"CAST({first} AS BIGINT)"
+    for c in rest:
+        value = f"(({value}) * {residue} + {c}) % {p}"
+    return value

@@ -15,9 +15,11 @@ same ``(word, n)`` table:
 * ``word_count_salted`` ``on_the_fly``: the text is split unsalted; the salt of a
   document's word is hashed by the grouping step (its partial aggregate is the
   per-document count), then per word: two shuffles;
-* ``word_count_partitioned``: sum inside each Spark partition, then per word.
-  The map-side partial aggregate is exactly the sum inside a partition, so this
-  is one ``groupBy(word)`` with one shuffle - the plan of ``word_count``.
+* ``word_count_partitioned``: every task of the scan stage sums its own partition
+  (Arrow's hash aggregate over the pieces of whole batches), and one exchange
+  adds the partitions' sums per word.  A task that has gathered more than
+  ``HELD_WORDS`` different words hands them on and begins anew, so its memory does
+  not follow the partition's vocabulary.
 
 Salts are hashes of the row, not ``rand()``: a retried task draws the same
 salt, so a lost executor cannot move a row between groups.
@@ -25,12 +27,20 @@ salt, so a lost executor cannot move a row between groups.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkcount.functions.frames import merge_single_rows, ratio
 
 
+# Different words a task of the partition-wise count holds before it hands them on.
+HELD_WORDS = 1 << 20
+# Texts split at a time there: Arrow's pieces take several times the bytes.
+_SLICE_ROWS = 256
+
+
 def _words(docs: DataFrame, *ids: str) -> DataFrame:
     """``(ids..., word)``: one row per blank-separated piece of every text."""
     return docs.select(*ids, F.explode(F.split(F.col("text"), " ", -1)).alias("word"))
@@ -67,10 +77,39 @@ def word_count_salted(docs: DataFrame, K: int, salt: str = "per_document_word",
         F.sum("n").cast("bigint").alias("n"))
 
 
-def word_count_partitioned(docs: DataFrame) -> DataFrame:
-    """``(word, n)``: totals per Spark partition first (the partial aggregate
-    below the shuffle), then per word."""
-    return _words(docs).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+def _partition_sums(held_words: int):
+    def kernel(batches):
+        held, rows = [], 0
+        schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+        def summed():
+            t = pa.Table.from_batches(held, schema).group_by("word").aggregate([("n", "sum")])
+            return t.select(["word", "n_sum"]).rename_columns(["word", "n"]).combine_chunks()
+
+        for batch in batches:
+            for at in range(0, len(batch), _SLICE_ROWS):
+                texts = batch.column(0).slice(at, _SLICE_ROWS).cast(pa.large_string())
+                found = pc.value_counts(pc.list_flatten(pc.split_pattern(texts, " ")))
+                held.append(pa.RecordBatch.from_arrays(
+                    [found.field("values").cast(pa.string()), found.field("counts")], schema=schema))
+                rows += len(found)
+            if rows > 2 * held_words:
+                t = summed()
+                if len(t) > held_words:
+                    yield from t.to_batches()
+                    held, rows = [], 0
+                else:
+                    held, rows = t.to_batches(), len(t)
+        if held:
+            yield from summed().to_batches()
+
+    return kernel
+
+
+def word_count_partitioned(docs: DataFrame, held_words: int = HELD_WORDS) -> DataFrame:
+    """``(word, n)``: totals inside each partition first, then per word."""
+    parts = docs.select("text").mapInArrow(_partition_sums(held_words), "word string, n bigint")
+    return parts.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def distinct_word_count(docs: DataFrame, K: int = 4) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkcount.functions.frames import merge_single_rows
 from sparkcount.operators import graph as G
 from sparkcount.operators import items as I
 from sparkcount.operators import sketch as S
@@ -20,9 +21,12 @@ from sparkcount.operators import stats as K
 from sparkcount.operators import text as T
 from sparkcount.plans import params as P
 from sparkcount.sources import tables as src
+from sparkcount.session import shared_dir
+from sparkcount.sources.arrivals import read_arrivals, spool
 from sparkcount.sources.stream import read_items
 from sparkcount.sources.text import line_documents, parse_edges
 from sparkcount.streaming.runner import ItemStreamRun
+from sparkcount.streaming.state import StateItemRun, run_distinct
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,11 +56,53 @@ def _streamed(spark, d, **kw):
     """``events`` read as a stream to its end through ``ItemStreamRun``, into a
     fresh run below the shared folder."""
     run = ItemStreamRun(spark, f"runs/{uuid.uuid4().hex}", root=None, **kw)
-    run.run(read_items(spark, "parquet", f"{d.rstrip('/')}/events.parquet*", column="value",
+    # a pattern that only this name matches: a file source takes no single file
+    run.run(read_items(spark, "parquet", f"{d.rstrip('/')}/events.parque[t]", column="value",
                        schema="value DOUBLE", how="floor"), trigger={"availableNow": True})
     return run
 
 
+def _arriving(spark, d):
+    """``events`` as rows of arrival files, ``ARRIVAL_HOURS`` to a file."""
+    ev = src.table(spark, d, "events")
+    return ev.select(F.col("ts").cast("timestamp").alias("ts"), F.floor("value").cast("bigint").alias("item"),
+                     F.floor(src.hour_index(F.col("ts")) / P.ARRIVAL_HOURS).alias("arrival"))
+
+
+def _spooled(spark, d):
+    """The folder of the arrival files, below the shared folder."""
+    path = f"{shared_dir(spark).rstrip('/')}/arrivals/{uuid.uuid4().hex}"
+    spool(_arriving(spark, d), path)
+    return path
+
+
+def _state_run(spark, path, name=None, **kw):
+    """The arrival files, one per micro-batch, through a run kept as streaming state."""
+    run = StateItemRun(spark, name or f"runs/{uuid.uuid4().hex}", left=P.LEFT, right=P.RIGHT,
+                       partitions=P.STATE_PARTITIONS, **kw)
+    run.run(read_arrivals(spark, path, "item BIGINT"), trigger={"availableNow": True})
+    return run
+
+
+def _two_runs(spark, d):
+    """One half of the arrival files, then the other, by two runs over one checkpoint."""
+    path, name = f"{shared_dir(spark).rstrip('/')}/arrivals/{uuid.uuid4().hex}", f"runs/{uuid.uuid4().hex}"
+    items = _arriving(spark, d)
+    middle = (P.HOUR_FROM + P.HOUR_TO) // 2 // P.ARRIVAL_HOURS
+    spool(items.where(F.col("arrival") < middle), path)
+    _state_run(spark, path, name, prm=P.SKETCH)
+    spool(items.where(F.col("arrival") >= middle), path)
+    return _state_run(spark, path, name, prm=P.SKETCH)
+
+
+def _distinct_stream(spark, d):
+    """Distinct items that a stream with bounded state has put out."""
+    path = _spooled(spark, d)
+    run_distinct(read_arrivals(spark, path, "ts TIMESTAMP, item BIGINT"), P.DISTINCT_DELAY, f"{path}-distinct",
+                 P.STATE_PARTITIONS)
+    return spark.read.schema("ts TIMESTAMP, item BIGINT").parquet(f"{path}-distinct/out").select("item").distinct()
+
+
 def _items(spark, d):
     return src.items(spark, d, "value")
 
@@ -137,12 +183,29 @@ def stream_queries() -> dict[str, Query]:
         .select("event_id", "batch_id", "item"),
         "stream_cutoff_keep": lambda s, d: I.kept_batches(_items(s, d), P.THRESHOLD, "keep")
         .select("event_id", "batch_id", "item"),
+        "stream_cutoff_until": lambda s, d: I.batches_until(_items(s, d), P.THRESHOLD)
+        .select("event_id", "batch_id", "item"),
+        # one arrival file per micro-batch, everything remembered as streaming state
+        "stream_micro_batches": lambda s, d: _state_run(s, _spooled(s, d)).ledger(),
+        "stream_stop_drop": lambda s, d: _state_run(s, _spooled(s, d), threshold=P.THRESHOLD).frequencies(),
+        "stream_stop_keep": lambda s, d: _state_run(
+            s, _spooled(s, d), threshold=P.THRESHOLD, on_stop="keep").frequencies(),
+        "stream_stop_ledger": lambda s, d: _state_run(s, _spooled(s, d), threshold=P.THRESHOLD).until_stop(),
+        "running_frequencies_state": lambda s, d: _two_runs(s, d).frequencies(),
+        "stream_state_report": lambda s, d: _two_runs(s, d).report(Kt),
+        "running_distinct_state": _distinct_stream,
         "stream_ledger": lambda s, d: I.running_sizes(I.batch_sizes(_items(s, d))),
         "interval_filter": lambda s, d: I.in_interval(_items(s, d), P.LEFT, P.RIGHT),
         "batch_frequencies":
             lambda s, d: I.batch_frequencies(I.in_interval(_items(s, d), P.LEFT, P.RIGHT)),
         "running_frequencies": _freq,
         "count_sketch": lambda s, d: S.count_sketch(_freq(s, d), prm, weight="freq"),
+        "count_sketch_4wise": lambda s, d: S.count_sketch(_flat_freq(s, d), P.SKETCH4, weight="freq"),
+        "second_moment_families": _families,
+        # every hour's sketch as one array; their sum, and an interval as a difference
+        "sketch_per_batch": lambda s, d: _hourly(s, d).select("batch_id", F.array_join("cells", ",").alias("cells")),
+        "sketch_rollup": lambda s, d: S.sketch_rows(S.add_sketches(_hourly(s, d), prm.D * prm.W), prm.W),
+        "sketch_interval": _interval_sketch,
         "batch_distinct": lambda s, d: I.batch_distinct(_items(s, d)),
         "running_distinct": lambda s, d: I.running_distinct(_items(s, d)),
         "largest_item": lambda s, d: I.largest_item(_items(s, d)),
@@ -174,6 +237,34 @@ def stream_queries() -> dict[str, Query]:
     }
 
 
+def _flat_freq(spark, d):
+    return I.running_frequencies(I.in_interval(src.items(spark, d, "flat"), P.LEFT_FLAT, P.RIGHT_FLAT))
+
+
+def _families(spark, d):
+    """One row: the second moment of the near-uniform items, and its estimates from
+    sketches of the affine and of the 4-wise independent family."""
+    freq = _flat_freq(spark, d)
+    length = K.interval_length(freq)
+
+    def estimate(prm, name):
+        sketch = S.count_sketch(freq, prm, weight="freq")
+        return K.second_moment_estimate(sketch, length).withColumnRenamed("f2_estimate", name)
+
+    return merge_single_rows(K.second_moment(freq), estimate(P.SKETCH, "f2_affine"), estimate(P.SKETCH4, "f2_4wise"))
+
+
+def _hourly(spark, d):
+    return S.batch_sketches(I.in_interval(_items(spark, d), P.LEFT, P.RIGHT), P.SKETCH)
+
+
+def _interval_sketch(spark, d):
+    hours, size = _hourly(spark, d), P.SKETCH.D * P.SKETCH.W
+    upto = S.add_sketches(hours.where(F.col("batch_id") < P.HOUR_TO), size)
+    before = S.add_sketches(hours.where(F.col("batch_id") < P.HOUR_FROM), size)
+    return S.sketch_rows(S.subtract_sketches(upto, before), P.SKETCH.W)
+
+
 def _f2_est(spark, d):
     freq, sk = _freq_sketch(spark, d)
     return K.second_moment_estimate(sk, K.interval_length(freq))

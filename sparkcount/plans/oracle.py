@@ -227,6 +227,55 @@ def _sketch(prm: SketchParams, freq: str = FREQ) -> str:
     return f"SELECT j, k, CAST(sum(g * freq) AS BIGINT) AS c FROM ({_cells(prm, freq)}) GROUP BY j, k"
 
 
+def _poly(x: str, coefficients, p: int) -> str:
+    """Polynomial at ``x`` modulo ``p``, powers written out in HUGEINT."""
+    n = len(coefficients) - 1
+    r = f"CAST({_mod(x, p)} AS HUGEINT)"
+    powers = {0: "1", 1: r, 2: f"({r} * {r} % {p})", 3: f"({r} * {r} % {p} * {r} % {p})"}
+    return "((" + " + ".join(f"{c} * {powers[n - i]}" for i, c in enumerate(coefficients)) + f") % {p})"
+
+
+def _sketch4(prm, freq: str) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT {j} AS j, CAST({_poly('f.item', h, prm.p)} % {prm.W} AS BIGINT) AS k, "
+        f"f.freq * CASE WHEN {_poly('f.item', g, prm.p)} % 2 = 1 THEN 1 ELSE -1 END AS c FROM ({freq}) f"
+        for j, (h, g) in enumerate(prm.rows))
+    return f"SELECT j, k, CAST(sum(c) AS BIGINT) AS c FROM ({rows}) GROUP BY j, k"
+
+
+def _f2_of(sketch: str, freq: str) -> str:
+    return (f"SELECT round((SELECT median(CAST(s AS DOUBLE)) FROM (SELECT j, sum(CAST(c AS HUGEINT) * c) AS s "
+            f"FROM ({sketch}) GROUP BY j)) / (CAST((SELECT sum(freq) FROM ({freq})) AS DOUBLE) ^ 2), 9)")
+
+
+def _hour_freq(where: str) -> str:
+    return f"SELECT item, count(*) AS freq FROM ({IN_ITEMS}) WHERE {where} GROUP BY item"
+
+
+def _per_batch(prm: SketchParams) -> str:
+    """Every hour's cells in order, comma separated."""
+    freq = f"SELECT batch_id, item, count(*) AS freq FROM ({IN_ITEMS}) GROUP BY batch_id, item"
+    k = _hash("f.item", "q.a", "q.b", prm.W, prm.p)
+    g = _sign("f.item", "q.a2", "q.b2", prm.p)
+    cells = (f"SELECT batch_id, j * {prm.W} + k AS i, sum(g * freq) AS c FROM (SELECT f.batch_id, f.freq, q.j, "
+             f"{k} AS k, {g} AS g FROM ({freq}) f, {_prm_values(prm)}) GROUP BY batch_id, i")
+    return (f"SELECT b.batch_id, string_agg(CAST(CAST(coalesce(c.c, 0) AS BIGINT) AS VARCHAR), ',' ORDER BY r.i) AS cells "
+            f"FROM (SELECT DISTINCT batch_id FROM ({IN_ITEMS})) b CROSS JOIN range({prm.D * prm.W}) r(i) "
+            f"LEFT JOIN ({cells}) c ON c.batch_id = b.batch_id AND c.i = r.i GROUP BY b.batch_id")
+
+
+def _micro() -> str:
+    """Micro-batches of the arrival files: ``batch_id, n, running`` and the file's ``arrival``."""
+    sizes = (f"SELECT batch_id // {P.ARRIVAL_HOURS} AS arrival, count(*) AS n FROM ({ITEMS}) GROUP BY arrival")
+    return (f"SELECT arrival, row_number() OVER (ORDER BY arrival) - 1 AS batch_id, n, CAST(sum(n) OVER (ORDER BY arrival "
+            f"ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running FROM ({sizes})")
+
+
+def _stopped(kept: str) -> str:
+    return (f"SELECT item, count(*) AS freq FROM ({IN_ITEMS}) WHERE batch_id // {P.ARRIVAL_HOURS} IN "
+            f"(SELECT arrival FROM ({_micro()}) WHERE {kept} < {P.THRESHOLD}) GROUP BY item")
+
+
 def _est(prm: SketchParams, freq: str = FREQ) -> str:
     return (f"SELECT cl.item AS item, CAST(median(coalesce(s.c, 0) * cl.g) AS DOUBLE) AS est "
             f"FROM ({_cells(prm, freq)}) cl LEFT JOIN ({_sketch(prm, freq)}) s "
@@ -323,6 +372,9 @@ def _sweep() -> str:
             f"LEFT JOIN ({sq}) q ON q.cfg = st.cfg LEFT JOIN ({err}) er ON er.cfg = st.cfg")
 
 
+FLAT = _freq_of("flat", P.LEFT_FLAT, P.RIGHT_FLAT)
+
+
 def stream_sql() -> dict[str, str]:
     prm, K = P.SKETCH, P.K_TOP
     return {
@@ -333,6 +385,23 @@ def stream_sql() -> dict[str, str]:
         "batch_sizes": f"SELECT batch_id, count(*) AS n FROM ({ITEMS}) GROUP BY batch_id",
         "stream_cutoff": _cutoff(P.THRESHOLD),
         "stream_cutoff_keep": f"SELECT event_id, batch_id, item FROM ({ITEMS})",
+        "stream_cutoff_until": (f"SELECT event_id, batch_id, item FROM ({ITEMS}) WHERE batch_id IN "
+                                f"({_batches(P.THRESHOLD, 'running - n')})"),
+        "stream_micro_batches": f"SELECT batch_id, n, running, true AS kept FROM ({_micro()})",
+        "stream_stop_drop": _stopped("running"),
+        "stream_stop_keep": _stopped("running - n"),
+        "stream_stop_ledger": (f"SELECT batch_id, n, running, running < {P.THRESHOLD} AS kept FROM ({_micro()}) "
+                               f"WHERE running - n < {P.THRESHOLD}"),
+        "running_frequencies_state": FREQ,
+        "stream_state_report": _report(prm, K, "value", P.LEFT, P.RIGHT),
+        "running_distinct_state": f"SELECT DISTINCT item FROM ({ITEMS})",
+        "count_sketch_4wise": _sketch4(P.SKETCH4, FLAT),
+        "second_moment_families": (f"SELECT ({_f2(FLAT)}) AS f2, ({_f2_of(_sketch(prm, FLAT), FLAT)}) AS f2_affine, "
+                                   f"({_f2_of(_sketch4(P.SKETCH4, FLAT), FLAT)}) AS f2_4wise"),
+        "sketch_per_batch": _per_batch(prm),
+        "sketch_rollup": f"SELECT * FROM ({_sketch(prm)}) WHERE c <> 0",
+        "sketch_interval": "SELECT * FROM ({}) WHERE c <> 0".format(
+            _sketch(prm, _hour_freq(f"batch_id >= {P.HOUR_FROM} AND batch_id < {P.HOUR_TO}"))),
         "stream_ledger": (f"SELECT batch_id, n, CAST(sum(n) OVER (ORDER BY batch_id ROWS BETWEEN "
                           f"UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running FROM "
                           f"(SELECT batch_id, count(*) AS n FROM ({ITEMS}) GROUP BY batch_id)"),

@@ -7,7 +7,7 @@ sides always carry the same literals.
 from __future__ import annotations
 
 from sparkcount.functions.hashing import Affine, EdgeBucket
-from sparkcount.operators.sketch import SketchParams
+from sparkcount.operators.sketch import PolySketchParams, SketchParams
 
 # Graph: colours, one colour hash, five runs, the edge-bucket hash.
 C = 4
@@ -23,6 +23,15 @@ LEFT, RIGHT = 1, 300
 K_TOP = 10
 SKETCH = SketchParams.draw(D=5, W=30, seed=7)
 THRESHOLD = 6000
+# sketch from the 4-wise independent family, of the same size
+SKETCH4 = PolySketchParams.draw(D=5, W=30, seed=7)
+# hours since 1970 of an interval whose sketch is the difference of two others
+HOUR_FROM, HOUR_TO = 473_452, 473_752
+# arrival files hold 60 hours each: 13 micro-batches; the state's partitions
+ARRIVAL_HOURS = 60
+STATE_PARTITIONS = 4
+# event time for which the distinct items of a stream are remembered
+DISTINCT_DELAY = "80 hours"
 # intervals for the skewed (floor(value / 25)) and flat (user_id) items
 LEFT_SKEWED, RIGHT_SKEWED = 0, 15
 LEFT_FLAT, RIGHT_FLAT = 1, 1000

@@ -48,6 +48,31 @@ _SCHEMA = {
 }
 
 
+def drive(query, stop_event: threading.Event, poll: float = 0.5, timeout: float | None = None,
+          settle_timeout: float | None = None) -> None:
+    """Wait on this thread until the stop event, the end of the query's input or
+    ``timeout``; let the running batch end, however long it takes, then stop the
+    query.  A batch that still runs after ``settle_timeout`` seconds (if given)
+    is an error, as is a failed query."""
+    waited = 0.0
+    while query.isActive and not stop_event.is_set():
+        stop_event.wait(poll)
+        waited += poll
+        if timeout is not None and waited >= timeout:
+            break
+    settle = 0.0
+    while query.isActive and query.status.get("isTriggerActive"):
+        if settle_timeout is not None and settle >= settle_timeout:
+            query.stop()
+            raise TimeoutError(f"the running batch did not end in {settle_timeout} s; "
+                               "it is not in the ledger")
+        query.awaitTermination(0.2)
+        settle += 0.2
+    query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 class ItemStreamRun:
     """One run of the item-statistics stream.
 
@@ -230,24 +255,7 @@ class ItemStreamRun:
         the input (``availableNow``) or ``timeout``; let the running batch
         finish, however long it takes, then stop the query.  A batch that is
         still running after ``settle_timeout`` seconds (if given) is an error."""
-        q = self.start(items, trigger)
-        waited = 0.0
-        while q.isActive and not self.stop_event.is_set():
-            self.stop_event.wait(poll)
-            waited += poll
-            if timeout is not None and waited >= timeout:
-                break
-        settle = 0.0
-        while q.isActive and q.status.get("isTriggerActive"):
-            if settle_timeout is not None and settle >= settle_timeout:
-                q.stop()
-                raise TimeoutError(f"the running batch did not end in {settle_timeout} s; "
-                                   "it is not in the ledger")
-            q.awaitTermination(0.2)
-            settle += 0.2
-        q.stop()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+        drive(self.start(items, trigger), self.stop_event, poll, timeout, settle_timeout)
 
     # ---- results (batch queries over the partials) ----
     def stream_length(self) -> DataFrame:

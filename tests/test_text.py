@@ -40,6 +40,14 @@ def test_four_counts_agree(spark, K):
     assert counts(T.word_count_partitioned(d.repartition(K))) == one
 
 
+@pytest.mark.parametrize("held", [1, 7, 1 << 20])
+def test_partitioned_count_hands_words_on(spark, held):
+    texts = ["a b a", "", "c  c", None, "b\nb", "é " * 700, "x" * 100_000] * 90
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING")
+    assert counts(T.word_count_partitioned(rows.repartition(3), held)) == counts(T.word_count(rows))
+    assert T.word_count_partitioned(rows.limit(0), held).count() == 0
+
+
 def test_known_answers_sf0001(spark):
     d = documents(spark, SF001)
     row = T.distinct_word_count(d, 4).collect()[0]
