@@ -9,20 +9,20 @@ weighting mixes all depths: ``Pw = (KT + product of the children's Pw) / 2``
 (``Pw = KT`` at full depth).  A decision's probability is the mixture of the KT
 predictions along its path with the weights that training has left there.
 
-A *part* is a set of texts of about ``PART_BYTES``.  N-grams travel packed: one row
-holds all n-grams of a part whose last three context bytes (the ``top``) are the
-same, as sorted byte planes.  Jobs: (1) the packed distinct n-grams and words of
-every part with their training counts; (2) summed per top, and bottom-up within
-it each node's counts and the sum of its children's log Pw - a top has at most
-``256 ** (depth - 2)`` n-grams, whatever the corpus; (3) the depths above as
-aggregates and joins; (4) top-down within each top, the mixture so far and the
-weight left for deeper nodes, and per n-gram the log-probability of its last
-byte; (5) every part's packed rows get their values; (6) each part scores its texts
-against them.  Nothing that grows with the corpus is broadcast or collected: the
-dictionary a task holds is that of one part.  With many parts a top's rows are
-merged and answered under several salts.  N-grams of texts outside training take
-part with count 0, which changes no probability and leaves their unseen contexts
-at one half.
+A *part* is a set of texts of about ``PART_BYTES``, a *bucket* all contexts whose
+last three bytes hash alike.  N-grams travel packed: one row holds a part's n-grams
+of one bucket as sorted byte planes.  Jobs: (1) the packed distinct n-grams and
+words of every part with their training counts; (2) summed per bucket, and
+bottom-up within it each node's counts and the sum of its children's log Pw;
+(3) the depths above as aggregates and joins; (4) top-down within each bucket, the
+mixture so far and the weight left for deeper nodes, and per n-gram the
+log-probability of its last byte; (5) every part's packed rows get their values;
+(6) each part scores its texts against them.  Nothing that grows with the corpus is
+broadcast or collected: the dictionary a task holds is that of one part, the
+buckets' number follows the corpus, and no context of three bytes has more than
+``256 ** (depth - 2)`` n-grams.  With many parts a bucket's rows are merged and
+answered under several salts.  N-grams of texts outside training take part with
+count 0, which changes no probability and leaves their unseen contexts at one half.
 
 Words are known by a 64-bit hash.
 
@@ -46,9 +46,11 @@ DEPTH = 5
 END = 0xFF
 WORD, GRAM = 0, 1
 SLICE = 1 << 20  # a slice takes some hundred times its bytes while it is worked on
-PART_BYTES = 16 << 20
+PART_BYTES = 32 << 20
+BUCKETS = 256  # of n-grams; one more set of them for every ``BUCKET_BYTES`` of text
+BUCKET_BYTES = 16 << 30
 HELD_KEYS = 3 << 20  # keys that a task counts before it hands them on
-MERGED_PARTS = 4096  # a top takes one more salt for every so many parts
+MERGED_PARTS = 4096  # a bucket takes one more salt for every so many parts
 
 
 class Lookup:
@@ -154,50 +156,48 @@ def word_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return K.span_hashes(low, starts, ends), row
 
 
-class Tops:
-    """How keys are dealt into tops: an n-gram's top is its last ``t`` context bytes,
-    a word's a part of its hash behind them."""
+class Buckets:
+    """How keys are dealt: an n-gram by its last ``t`` context bytes, a word by its
+    hash into buckets behind those of the n-grams."""
 
-    def __init__(self, depth: int):
-        self.depth, self.t = depth, min(3, depth)
-        self.words = 1 << (8 * self.t)  # the first word top
-        self.widths = {GRAM: depth - self.t + 1, WORD: 8}
+    def __init__(self, depth: int, grams: int = BUCKETS):
+        self.depth, self.t, self.grams = depth, min(3, depth), grams
+        self.words = max(1, grams // 4)
+        self.widths = {GRAM: depth + 1, WORD: 8}
 
-    def kind(self, top: int) -> int:
-        return WORD if top >= self.words else GRAM
+    def kind(self, bucket: int) -> int:
+        return GRAM if bucket < self.grams else WORD
 
-    def split(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Top and rest of every key."""
+    def of(self, kind: int, keys: np.ndarray) -> np.ndarray:
         if kind == WORD:
-            return (keys >> np.uint64(52)).astype(np.int64) + self.words, keys
-        top = keys >> np.uint64(8) & np.uint64(self.words - 1)
-        rest = keys >> np.uint64(8 * self.t + 8) << np.uint64(8) | keys & np.uint64(255)
-        return top.astype(np.int64), rest
+            return (keys % np.uint64(self.words)).astype(np.int64) + self.grams
+        top = keys >> np.uint64(8) & np.uint64((1 << 8 * self.t) - 1)
+        return (K.mix(top + np.uint64(1)) % np.uint64(self.grams)).astype(np.int64)
 
-    def join(self, top: int, rest: np.ndarray) -> np.ndarray:
-        """The keys of a top."""
-        if self.kind(top) == WORD:
-            return rest
-        high = rest >> np.uint64(8) << np.uint64(8 * self.t + 8)
-        return high | np.uint64(top << 8) | rest & np.uint64(255)
+    def values(self, kind: int, values: np.ndarray) -> np.ndarray:
+        """Values as 48-bit numbers: counts, or doubles less their 16 lowest bits."""
+        return values.astype(np.uint64) if kind == WORD else values.view(np.uint64) >> np.uint64(16)
 
+    def numbers(self, kind: int, packed: np.ndarray) -> np.ndarray:
+        return packed.astype(float) if kind == WORD else (packed << np.uint64(16)).view(np.float64)
 
-def _distinct(docs: DataFrame, tops: Tops) -> DataFrame:
-    """``part, top, keys, n``: the packed keys of each part with their training
+
+def _distinct(docs: DataFrame, buckets: Buckets) -> DataFrame:
+    """``part, bucket, keys, n``: the packed keys of each part with their training
     counts.  A part may come in several pieces."""
 
     def emit(held):
         for (part, kind), c in held.items():
             c.merge()
-            top, rest = tops.split(kind, c.keys)
-            order = np.lexsort((rest, top))
-            top, rest, n = top[order], rest[order], c.n[order].astype(np.uint64)
-            edge = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1]])) if len(top) else np.zeros(0, int)
+            bucket = buckets.of(kind, c.keys)
+            order = np.argsort(bucket, kind="stable")  # keys stay sorted within it
+            bucket, keys, n = bucket[order], c.keys[order], c.n[order].astype(np.uint64)
+            edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
             if len(edge):
-                end = np.append(edge[1:], len(top))
+                end = np.append(edge[1:], len(bucket))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(edge), part, np.int64)), pa.array(top[edge].astype(np.int32)),
-                     pack(rest, edge, end, tops.widths[kind]), pack(n, edge, end, 8)], ["part", "top", "keys", "n"])
+                    [pa.array(np.full(len(edge), part, np.int64)), pa.array(bucket[edge].astype(np.int32)),
+                     pack(keys, edge, end, buckets.widths[kind]), pack(n, edge, end, 6)], ["part", "bucket", "keys", "n"])
 
     def count(batches):
         held: dict[tuple[int, int], Counts] = {}
@@ -205,7 +205,7 @@ def _distinct(docs: DataFrame, tops: Tops) -> DataFrame:
             train = batch.column("train").to_numpy(zero_copy_only=False)
             part = batch.column("part").to_numpy()
             for i, j, data, offsets in K.text_slices(batch.column("text"), SLICE):
-                for kind, (key, row) in ((WORD, word_keys(data, offsets)), (GRAM, grams(data, offsets, tops.depth))):
+                for kind, (key, row) in ((WORD, word_keys(data, offsets)), (GRAM, grams(data, offsets, buckets.depth))):
                     own_part, own_train = part[i:j][row], train[i:j][row]
                     for p in np.unique(part[i:j]).tolist():
                         mine = own_part == p
@@ -215,7 +215,7 @@ def _distinct(docs: DataFrame, tops: Tops) -> DataFrame:
                     held = {}
         yield from emit(held)
 
-    return docs.select("part", "train", "text").mapInArrow(count, "part long, top int, keys binary, n binary")
+    return docs.select("part", "train", "text").mapInArrow(count, "part long, bucket int, keys binary, n binary")
 
 
 def _sql_lgamma(x: str) -> str:
@@ -246,8 +246,8 @@ def _kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _subtree(keys: np.ndarray, c: np.ndarray, depth: int, t: int) -> dict:
-    """Bottom-up over the n-grams of one top of ``t`` bytes: per depth the sorted
-    node names (context and node), ``a``, ``b`` and ``below``, the sum of the
+    """Bottom-up over the n-grams of some contexts of ``t`` bytes: per depth the
+    sorted node names (context and node), ``a``, ``b`` and ``below``, the sum of the
     children's log Pw."""
     i = np.arange(8)
     byte = (keys & np.uint64(255)).astype(np.int64)[:, None]
@@ -279,48 +279,42 @@ def _by(batches, *names: str):
             yield tuple(row[i] for i in at), row
 
 
-def _packed(top: int, rest: np.ndarray, width: int) -> bytes:
-    """One top's values as byte planes."""
-    return pack(rest, np.array([0]), np.array([len(rest)]), width)[0].as_py()
+def _packed(values: np.ndarray, width: int) -> bytes:
+    """One bucket's values as byte planes."""
+    return pack(values, np.array([0]), np.array([len(values)]), width)[0].as_py()
 
 
-def _merged(tops: Tops, nodes: bool):
-    """Sum the packed rows ``top, keys, n`` of each group of rows that lie together
-    by ``group``; with ``nodes`` also what the depths above need of the top."""
-    names = ["top", "keys", "n", *(["node", "a", "b", "below", "total", "known"] if nodes else [])]
+def _merged(buckets: Buckets, nodes: bool):
+    """Sum the packed rows ``bucket, salt, keys, n`` of each bucket and salt, which lie
+    together; with ``nodes`` also what the depths above need of the bucket."""
+    names = ["bucket", "keys", "n", *(["ctx", "node", "a", "b", "below", "total", "known"] if nodes else [])]
 
-    def close(top, c):
+    def close(bucket, c):
         c.merge()
-        row = {"top": top, "keys": _packed(top, c.keys, tops.widths[tops.kind(top)]),
-               "n": _packed(top, c.n.astype(np.uint64), 8)}
-        if nodes and tops.kind(top) == GRAM:
-            level = _subtree(tops.join(top, c.keys), c.n.astype(float), tops.depth, tops.t)[tops.t]
-            row |= {"node": (level["name"] & 255).tolist(), "a": level["a"].astype(np.int64).tolist(),
-                    "b": level["b"].astype(np.int64).tolist(), "below": level["below"].tolist()}
+        kind = buckets.kind(bucket)
+        row = {"bucket": bucket, "keys": _packed(c.keys, buckets.widths[kind]), "n": _packed(c.n.astype(np.uint64), 6)}
+        if nodes and kind == GRAM:
+            level = _subtree(c.keys, c.n.astype(float), buckets.depth, buckets.t)[buckets.t]
+            row |= {"ctx": level["name"] >> 8, "node": (level["name"] & 255).astype(np.int32),
+                    "a": level["a"].astype(np.int64), "b": level["b"].astype(np.int64), "below": level["below"]}
         elif nodes:
             row |= {"total": int(c.n.sum()), "known": int((c.n > 0).sum())}
-        return row
+        return pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in schema], schema=schema)
 
     def run(batches):
-        current, counts, out, size = None, None, [], 0
-        for (group, top), row in _by(batches, "salt", "top"):
-            if (group, top) != current:
+        current, counts = None, None
+        for (salt, bucket), row in _by(batches, "salt", "bucket"):
+            if (salt, bucket) != current:
                 if current is not None:
-                    out.append(close(current[1], counts))
-                    size += len(out[-1]["keys"])
-                    if size > 4 << 20 or len(out) >= 4096:
-                        yield pa.RecordBatch.from_pylist(out, schema)
-                        out, size = [], 0
-                current, counts = (group, top), Counts()
-            counts.put(unpack(row[2], tops.widths[tops.kind(top)]), unpack(row[3], 8).astype(np.int64))
+                    yield close(current[1], counts)
+                current, counts = (salt, bucket), Counts()
+            counts.put(unpack(row[2], buckets.widths[buckets.kind(bucket)]), unpack(row[3], 6).astype(np.int64))
         if current is not None:
-            out.append(close(current[1], counts))
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema)
+            yield close(current[1], counts)
 
-    kinds = {"top": pa.int32(), "keys": pa.binary(), "n": pa.binary(), "node": pa.list_(pa.int32()),
-             "a": pa.list_(pa.int64()), "b": pa.list_(pa.int64()), "below": pa.list_(pa.float64()),
-             "total": pa.int64(), "known": pa.int64()}
+    kinds = {"bucket": pa.int32(), "keys": pa.binary(), "n": pa.binary(), "ctx": pa.list_(pa.int64()),
+             "node": pa.list_(pa.int32()), "a": pa.list_(pa.int64()), "b": pa.list_(pa.int64()),
+             "below": pa.list_(pa.float64()), "total": pa.int64(), "known": pa.int64()}
     schema = pa.schema([(n, kinds[n]) for n in names])
     return run
 
@@ -351,61 +345,63 @@ def _upward(nodes: DataFrame, depth: int, t: int, work: Work) -> dict[int, DataF
     return levels
 
 
-def _valued(tops: Tops):
-    """The value of every key of a top: a word's training count, an n-gram's log10
-    probability.  Rows: ``top, keys, n, state``, the top's nodes from above."""
+def _valued(buckets: Buckets):
+    """The value of every key of a bucket: a word's training count, an n-gram's log10
+    probability.  Rows: ``bucket, keys, n, state``, the bucket's nodes from above."""
 
-    def logs(top, keys, n, state):
-        levels = _subtree(tops.join(top, keys), n.astype(float), tops.depth, tops.t)
-        done, left = (np.array([s[x] for s in sorted(state, key=lambda s: s["node"])]) for x in ("done", "left"))
-        for d in range(tops.t, tops.depth + 1):
+    def logs(keys, n, state):
+        levels = _subtree(keys, n.astype(float), buckets.depth, buckets.t)
+        ctx, node, done, left = (state.field(x).to_numpy() for x in ("ctx", "node", "done", "left"))
+        order = np.lexsort((node, ctx))  # as the names of the level are sorted
+        done, left = done[order], left[order]
+        for d in range(buckets.t, buckets.depth + 1):
             level = levels[d]
-            if d > tops.t:
+            if d > buckets.t:
                 done, left = done[level["up"]], left[level["up"]]
             with np.errstate(over="ignore"):
-                here = 1.0 if d == tops.depth else 1 / (1 + np.exp(level["below"] - _kt(level["a"], level["b"])))
+                here = 1.0 if d == buckets.depth else 1 / (1 + np.exp(level["below"] - _kt(level["a"], level["b"])))
             done = done + left * here * (level["b"] + 0.5) / (level["a"] + level["b"] + 1)
             left = left * (1 - here)
-        leaf = levels[tops.depth]
+        leaf = levels[buckets.depth]
         p = done[leaf["at"]]
         return np.log10(np.where(leaf["bit"] == 1, p, 1 - p)).reshape(-1, 8).sum(axis=1)
 
     def run(batches):
         for batch in batches:
             for i in range(len(batch)):
-                top, keys, n, state = (batch.column(c)[i].as_py() for c in ("top", "keys", "n", "state"))
-                n = unpack(n, 8).astype(np.int64)
-                value = n.astype(float) if tops.kind(top) == WORD else logs(
-                    top, unpack(keys, tops.widths[GRAM]), n, state)
+                bucket, keys, n = (batch.column(c)[i].as_py() for c in ("bucket", "keys", "n"))
+                kind, n = buckets.kind(bucket), unpack(n, 6).astype(np.int64)
+                value = n if kind == WORD else logs(
+                    unpack(keys, buckets.widths[GRAM]), n, batch.column("state")[i].values)
                 yield pa.RecordBatch.from_pydict({
-                    "top": pa.array([top], pa.int32()), "keys": pa.array([keys], pa.binary()),
-                    "value": pa.array([_packed(top, value.view(np.uint64), 8)], pa.binary())})
+                    "bucket": pa.array([bucket], pa.int32()), "keys": pa.array([keys], pa.binary()),
+                    "value": pa.array([_packed(buckets.values(kind, value), 6)], pa.binary())})
 
     return run
 
 
-def _answered(tops: Tops):
+def _answered(buckets: Buckets):
     """Give each part's packed row the values of its keys; a group's first row has
-    the values of the whole top.  Rows: ``top, salt, part, keys, value``."""
+    the values of the whole bucket.  Rows: ``bucket, salt, part, keys, value``."""
 
     def run(batches):
         current, all_keys, all_values, out, size = None, None, None, [], 0
-        for (top, salt), (_, _, part, keys, value) in _by(batches, "top", "salt"):
-            width = tops.widths[tops.kind(top)]
-            if (top, salt) != current:  # nulls sort first: the row of the whole top
-                current = (top, salt)
-                all_keys, all_values = unpack(keys, width), unpack(value, 8)
+        for (bucket, salt), (_, _, part, keys, value) in _by(batches, "bucket", "salt"):
+            width = buckets.widths[buckets.kind(bucket)]
+            if (bucket, salt) != current:  # nulls sort first: the row of the whole bucket
+                current = (bucket, salt)
+                all_keys, all_values = unpack(keys, width), unpack(value, 6)
                 continue
             own = all_values[np.searchsorted(all_keys, unpack(keys, width))]
-            out.append({"part": part, "top": top, "keys": keys, "value": _packed(top, own, 8)})
-            size += len(keys) + 8 * len(own)
+            out.append({"part": part, "bucket": bucket, "keys": keys, "value": _packed(own, 6)})
+            size += len(keys) + 6 * len(own)
             if size > 4 << 20:
                 yield pa.RecordBatch.from_pylist(out, schema)
                 out, size = [], 0
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    schema = pa.schema([("part", pa.int64()), ("top", pa.int32()), ("keys", pa.binary()), ("value", pa.binary())])
+    schema = pa.schema([("part", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("value", pa.binary())])
     return run
 
 
@@ -435,53 +431,54 @@ def score(docs: DataFrame, train: Column, part: Column | None = None, id_col: st
     if not 2 <= depth <= 6:
         raise ValueError("depth must be 2..6: a context and its node are one 64-bit name")
     work = Work(docs.sparkSession, "ctw")
-    tops = Tops(depth)
     text = F.col(text_col).cast("string")
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     if part is None:
-        total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
         part = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 + total // PART_BYTES))
+    buckets = Buckets(depth, BUCKETS * (1 + total // BUCKET_BYTES))
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"),
                        part.cast("long").alias("part"), F.coalesce(train, F.lit(False)).alias("train"))
-    packed = work.cut(_distinct(rows, tops), "packed")
+    packed = work.cut(_distinct(rows, buckets), "packed")
     salts = 1 + packed.select("part").distinct().count() // MERGED_PARTS
     salt = F.pmod(F.xxhash64("part"), F.lit(salts)).cast("int").alias("salt")
 
     def summed(of: DataFrame, nodes: bool, schema: str) -> DataFrame:
-        return of.repartition("salt", "top").sortWithinPartitions("salt", "top").mapInArrow(_merged(tops, nodes), schema)
+        return of.repartition("salt", "bucket").sortWithinPartitions("salt", "bucket").mapInArrow(
+            _merged(buckets, nodes), schema)
 
-    each = packed.select("top", salt, "keys", "n")
+    each = packed.select("bucket", salt, "keys", "n")
     if salts > 1:
-        each = summed(each, False, "top int, keys binary, n binary").select("top", F.lit(0).alias("salt"), "keys", "n")
-    whole = work.cut(summed(each, True, "top int, keys binary, n binary, node array<int>, a array<long>, b array<long>, "
-                            "below array<double>, total long, known long"), "tops")
+        each = summed(each, False, "bucket int, keys binary, n binary").select("bucket", F.lit(0).alias("salt"), "keys", "n")
+    whole = work.cut(summed(each, True, "bucket int, keys binary, n binary, ctx array<long>, node array<int>, a array<long>, "
+                            "b array<long>, below array<double>, total long, known long"), "buckets")
     ends = rows.where("train").count()
     n, v = whole.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     n, v = n + ends, v + (ends > 0)
 
-    nodes = whole.where(F.col("top") < tops.words).select(
-        F.col("top").cast("long").alias("ctx"), F.explode(F.arrays_zip("node", "a", "b", "below")).alias("x")).select("ctx", "x.*")
-    above = _mix(_upward(nodes, depth, tops.t, work), depth, tops.t).withColumnRenamed("ctx", "up")
-    state = nodes.select("ctx", "node", F.expr(f"ctx & {(1 << 8 * (tops.t - 1)) - 1}L").alias("up")).join(above, ["up", "node"]).groupBy(
-        F.col("ctx").cast("int").alias("top")).agg(F.collect_list(F.struct("node", "done", "left")).alias("state"))
-    values = whole.select("top", "keys", "n").join(state, "top", "left").select("top", "keys", "n", "state").mapInArrow(
-        _valued(tops), "top int, keys binary, value binary")
-    asked = values.select("top", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+    nodes = whole.where(F.col("bucket") < buckets.grams).select(
+        "bucket", F.explode(F.arrays_zip("ctx", "node", "a", "b", "below")).alias("x")).select("bucket", "x.*")
+    above = _mix(_upward(nodes.drop("bucket"), depth, buckets.t, work), depth, buckets.t).withColumnRenamed("ctx", "up")
+    state = nodes.select("bucket", "ctx", "node", F.expr(f"ctx & {(1 << 8 * (buckets.t - 1)) - 1}L").alias("up")).join(
+        above, ["up", "node"]).groupBy("bucket").agg(F.collect_list(F.struct("ctx", "node", "done", "left")).alias("state"))
+    values = whole.select("bucket", "keys", "n").join(state, "bucket", "left").select("bucket", "keys", "n", "state").mapInArrow(
+        _valued(buckets), "bucket int, keys binary, value binary")
+    asked = values.select("bucket", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
                           F.lit(None).cast("long").alias("part"), "keys", "value").unionByName(
-        packed.select("top", salt, "part", "keys", F.lit(None).cast("binary").alias("value")))
-    answered = asked.repartition("top", "salt").sortWithinPartitions("top", "salt", "part").mapInArrow(
-        _answered(tops), "part long, top int, keys binary, value binary")
-    texts = rows.select("part", F.lit(None).cast("int").alias("top"), F.lit(None).cast("binary").alias("keys"),
+        packed.select("bucket", salt, "part", "keys", F.lit(None).cast("binary").alias("value")))
+    answered = asked.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "part").mapInArrow(
+        _answered(buckets), "part long, bucket int, keys binary, value binary")
+    texts = rows.select("part", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("keys"),
                         F.lit(None).cast("binary").alias("value"), "id", F.coalesce("text", F.lit("")).alias("text"))
     together = answered.select("*", F.lit(None).cast(id_type).alias("id"), F.lit(None).cast("string").alias("text")).unionByName(
-        texts).repartition("part").sortWithinPartitions("part", F.col("top").asc_nulls_last())
+        texts).repartition("part").sortWithinPartitions("part", F.col("bucket").asc_nulls_last())
     denominator, end_log, end_known = np.log10(n + v + 1), np.log10(ends + 1), int(ends > 0)
 
     def apply(batches):
         current, held, find = None, {}, None
         for batch in batches:
             part_of = batch.column("part").to_numpy()
-            is_text = batch.column("top").is_null().to_numpy(zero_copy_only=False)
+            is_text = batch.column("bucket").is_null().to_numpy(zero_copy_only=False)
             edges = np.flatnonzero((part_of[1:] != part_of[:-1]) | (is_text[1:] != is_text[:-1])) + 1
             bounds = [0, *edges.tolist(), len(part_of)]
             for a, b in zip(bounds[:-1], bounds[1:]):
@@ -490,9 +487,10 @@ def score(docs: DataFrame, train: Column, part: Column | None = None, id_col: st
                 if part_of[a] != current:
                     current, held, find = part_of[a], {WORD: [], GRAM: []}, None
                 if not is_text[a]:
-                    for top, keys, value in zip(*(batch.column(c).slice(a, b - a).to_pylist() for c in ("top", "keys", "value"))):
-                        kind = tops.kind(top)
-                        held[kind].append((tops.join(top, unpack(keys, tops.widths[kind])), unpack(value, 8).view(np.float64)))
+                    for bucket, keys, value in zip(*(batch.column(c).slice(a, b - a).to_pylist()
+                                                     for c in ("bucket", "keys", "value"))):
+                        kind = buckets.kind(bucket)
+                        held[kind].append((unpack(keys, buckets.widths[kind]), buckets.numbers(kind, unpack(value, 6))))
                     continue
                 if find is None:  # all values of a part come before its texts
                     find = {k: Lookup(np.concatenate([x[0] for x in xs] or [np.zeros(0, np.uint64)]),
