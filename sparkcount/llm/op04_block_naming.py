@@ -125,14 +125,17 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     work = Work(docs.sparkSession, "block-naming")
     kept = work.cut(exact_dedup(docs, id_col, text_col).groupBy("doc_id", "text_sha256").agg(
         F.max("kept").alias("kept"), F.count("*").alias("copies")).where("kept").select(
-        F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"), "copies"), "kept")
-    sha = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+        F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_sha"), "copies"), "kept")
+    # all columns in one struct, so that none of their names can clash
+    packed = docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"))
+    row = F.col("row")
+    sha = F.unhex(F.sha2(F.coalesce(row.getField(text_col), F.lit("")).cast("binary"), 256))
 
     def rows(of: DataFrame, how: str) -> DataFrame:
-        return docs.join(of, docs[id_col].eqNullSafe(of["__id"]) & (sha == of["__sha"]), how)
+        return packed.join(of, row.getField(id_col).eqNullSafe(F.col("kept_id")) & (sha == F.col("kept_sha")), how)
 
-    out = rows(kept.where("copies = 1"), "left_semi").select(*docs.columns)
+    out = rows(kept.where("copies = 1"), "left_semi").select("row")
     repeated = kept.where("copies > 1")
     if not repeated.isEmpty():  # rows repeated with the same id and text: one stays
-        out = out.unionByName(rows(repeated, "inner").dropDuplicates(["__id", "__sha"]).select(*docs.columns))
-    return out
+        out = out.unionByName(rows(repeated, "inner").dropDuplicates(["kept_id", "kept_sha"]).select("row"))
+    return out.select("row.*")

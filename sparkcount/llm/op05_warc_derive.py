@@ -13,9 +13,13 @@ digests of their own block; the metadata record also names the conversion's id.
 Ids are derived from the record they refer to, so a task that runs again makes
 the same records.  Digests are ``sha1:`` in base 32.
 
-Plain text: comments, scripts, styles, templates and the head go; block
-elements end a line; other tags go; character references are resolved; white
-space is folded and empty lines go.
+Plain text: comments, scripts, styles, templates, ``noscript`` and the head go;
+block elements end a line; other tags go; character references are resolved;
+white space is folded and empty lines go.  The head ends at ``</head>`` or, where
+that is left out, at the first element that cannot stand in one.  A comment or one
+of the other elements that is never closed goes to the page's end.  A tag ends at
+the first ``>``.  The page is scanned once, in time linear in its length.  Title
+and links are those of elements outside comments and scripts.
 
 Defined cases: a null page is an empty body, a null URL no target URI; control
 characters and spaces in a URL are percent-encoded; records of other types and
@@ -43,12 +47,15 @@ VERSION = "WARC/1.1"
 CRLF = b"\r\n"
 RECORDS = "page_id {id}, type string, record_id string, refers_to string, record binary"
 
-_GONE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figcaption|figure|footer|form|h[1-6]|"
-                    r"header|hr|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*>", re.I)
-_TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# Element names of HTML.
+_DROPPED = {"script", "style", "template", "noscript"}
+_IN_HEAD = _DROPPED | {"html", "head", "title", "meta", "link", "base"}
+_BLOCK = set("address article aside blockquote br dd div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
+             "li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
+# Searched only where a later '>' exists, so no attempt runs to the page's end.
+_TOKEN = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*>)")
+_HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in (*_DROPPED, "title")}
 
 
 def digest(block: bytes) -> str:
@@ -95,12 +102,71 @@ def response(page_id, url: str | None, body: str | None, date: str) -> tuple[str
     return f"<urn:uuid:{name}>", build(fields, block)
 
 
-def plain_text(page: str) -> str:
-    text = _TAG.sub("", _BLOCK.sub("\n", _GONE.sub("", page)))
+def scan(page: str) -> tuple[str, str | None, list[str]]:
+    """Raw text (tags gone, block elements as line ends), title and links of a page."""
+    out, links, title = [], [], None
+    pos, end, in_head, closable = 0, page.rfind(">") + 1, False, True
+    while True:
+        m = _TOKEN.search(page, pos, end)
+        if m is None:
+            break
+        if not in_head:
+            out.append(page[pos:m.start()])
+        pos = m.end()
+        if m[1]:
+            close = page.find("-->", m.end())
+            if close < 0:
+                return "".join(out), title, links
+            pos = close + 3
+            continue
+        if m[3] is None:
+            continue
+        name, closing = m[3].lower(), m[2] == "/"
+        if in_head:
+            in_head = name in _IN_HEAD and not (closing and name == "head")
+            if closing and name == "head":
+                continue
+        elif name == "head" and not closing:
+            in_head = True
+            continue
+        if not closing and name in _DROPPED:
+            close = _CLOSE[name].search(page, pos, end)
+            if close is None:
+                return "".join(out), title, links
+            pos = close.end()
+        elif name == "title" and not closing and closable:
+            close = _CLOSE["title"].search(page, pos, end)
+            closable = close is not None
+            if close is not None:
+                if title is None:
+                    title = page[pos:close.start()]
+                if not in_head:
+                    out.append(page[pos:close.start()])
+                pos = close.end()
+        elif name == "a" and not closing:
+            href = _HREF.search(m[4])
+            value = href and (href[1] or href[2] or href[3])
+            if value:
+                links.append(value)
+        elif name in _BLOCK:
+            out.append("\n")
+    rest = page[pos:]
+    comment = rest.find("<!--")
+    if not in_head:
+        out.append(rest if comment < 0 else rest[:comment])
+    return "".join(out), title, links
+
+
+def folded(text: str) -> str:
+    """Plain text of ``scan``'s raw text."""
     lines = (" ".join(x.split()) for x in html.unescape(text).split("\n"))
     return "\n".join(x for x in lines if x)
 
 
+def plain_text(page: str) -> str:
+    return folded(scan(page)[0])
+
+
 def _derived_id(source: str, kind: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source} {kind}')}>"
 
@@ -120,17 +186,17 @@ def derive(record: bytes) -> list[tuple[str, str, str, bytes]]:
     kept = [(k, field(fields, k)) for k in ("WARC-Target-URI", "WARC-Date")]
     kept = [(k, v) for k, v in kept if v is not None]
     names = {kind: _derived_id(source, kind) for kind in ("metadata", "conversion")}
-    title = _TITLE.search(page)
+    text, title, links = scan(page)
     meta = json.dumps({
         "warc": [list(x) for x in fields], "status": status,
         "http": [[k.strip(), v.strip()] for k, c, v in (x.partition(":") for x in headers) if c],
         "payload-digest": field(fields, "WARC-Payload-Digest"), "computed-payload-digest": digest(payload),
-        "title": " ".join(html.unescape(title[1]).split()) if title else None,
-        "links": [html.unescape(next(x for x in m if x)) for m in _LINK.findall(page) if any(m)],
+        "title": " ".join(html.unescape(title).split()) if title is not None else None,
+        "links": [html.unescape(x) for x in links],
         "conversion": names["conversion"]}, ensure_ascii=False).encode()
     out = []
     for kind, mime, body in (("metadata", "application/json", meta),
-                             ("conversion", "text/plain; charset=utf-8", plain_text(page).encode())):
+                             ("conversion", "text/plain; charset=utf-8", folded(text).encode())):
         out.append((kind, names[kind], source, build(
             [("WARC-Type", kind), ("WARC-Record-ID", names[kind]), *kept, ("WARC-Refers-To", source),
              ("Content-Type", mime), ("WARC-Block-Digest", digest(body))], body)))
@@ -193,6 +259,41 @@ def read_back(records: DataFrame) -> DataFrame:
         run, f"page_id {id_type}, " + ", ".join(f"{n} string" for n in names) + ", digest_ok boolean, block string")
 
 
+def write_files(records: DataFrame, path: str, per_file: int = 4096) -> None:
+    """WARC files of at most ``per_file`` records each, one record after another."""
+    body = F.expr("substring(record, 1, octet_length(record) - 4)").cast("string")
+    records.where("record is not null").select(body.alias("value")).write.option(
+        "lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_file).text(path)
+
+
+def split_records(data: bytes) -> list[bytes]:
+    """The records of a WARC file, cut by their ``Content-Length``."""
+    out, at = [], 0
+    while at < len(data):
+        head = data.find(CRLF * 2, at)
+        length = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", data[at:head].replace(CRLF, b"\n")) if head >= 0 else None
+        if length is None:
+            raise ValueError(f"no WARC record at byte {at}")
+        end = head + 4 + int(length[1]) + 4
+        out.append(data[at:end])
+        at = end
+    return out
+
+
+def read_files(spark, path: str) -> DataFrame:
+    """``page_id`` (null: files do not have it) and ``record`` of the WARC files below ``path``."""
+    Work(spark, "warc")
+
+    def run(batches):
+        for batch in batches:
+            for data in batch.column(0):
+                records = split_records(data.as_py())
+                yield pa.RecordBatch.from_pydict({"page_id": pa.nulls(len(records), pa.int64()),
+                                                  "record": pa.array(records, pa.binary())})
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "page_id long, record binary")
+
+
 def summary(pages: DataFrame, **columns) -> DataFrame:
     """One row per page, read back from its derived records."""
     read = read_back(derivatives(responses(pages, **columns)))

@@ -6,7 +6,13 @@ For a text, each word's scripts narrow the candidate languages; the word's score
 for a candidate is the sum of its features' log-probabilities.  Viterbi with a
 penalty per language switch then labels all words, giving spans of one language
 each.  The text's language is the one with most letters; its score is that
-language's share of the letters.
+language's share of the letters, where letters of words in a script that no
+language was learned in belong to none.
+
+The model also holds a background, the frequency of single bytes in all learned
+text.  A text's margin is the mean log-ratio per byte of its labelled words
+between their language and the background: text put together from letters alone
+has none.  The margin decides only in ``keep_identified``.
 
 The model is fitted on at most about ``max_docs`` labelled documents per
 language (a hash sample; the bound is a parameter).  It is a few hundred
@@ -18,8 +24,9 @@ any entry state, a second pass runs with the true entry scores.  The result is
 that of one document after another; a very long text costs no longer loop.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0
-and no spans, and so is every text when nothing was learned; words without
-letters go with their neighbours; ties go to the language that sorts first;
+and no spans, and so is every text when nothing was learned; a text whose letters
+are all in scripts that nothing was learned in has score 0 and the language that
+sorts first; words without letters go with their neighbours; ties go to the language that sorts first;
 repeated rows get a row each; an empty table gives no rows; languages to learn
 from are non-null ``lang`` values; other columns are ignored.
 """
@@ -28,6 +35,7 @@ from __future__ import annotations
 
 import unicodedata
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -65,6 +73,26 @@ def held_out(id_col: Column, parts: int, rest: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % parts == rest
 
 
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Which code points are letters (none lies behind the third plane)."""
+    return np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x40000)])
+
+
+def letter_starts(data: np.ndarray) -> np.ndarray:
+    """Whether a letter of any script starts at each byte."""
+    n = len(data)
+    tail = np.zeros((3, n), np.int64)
+    for k in (1, 2, 3):
+        tail[k - 1, :max(n - k, 0)] = data[k:] & 63
+    d = data.astype(np.int64)
+    cp = np.where(d < 0x80, d, np.where(
+        d < 0xE0, (d & 31) << 6 | tail[0], np.where(
+            d < 0xF0, (d & 15) << 12 | tail[0] << 6 | tail[1], (d & 7) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2])))
+    lead = (d < 0x80) | (d >= 0xC2)
+    return lead & _letters()[np.minimum(cp, 0x3FFFF)]
+
+
 def script_bits(data: np.ndarray) -> np.ndarray:
     """Script bit of the letter that starts at each byte, 0 where none does."""
     cp = data.astype(np.int64)
@@ -110,6 +138,7 @@ class Model:
     tri: np.ndarray     # (FEATURES + 1, languages), the last row zero
     words: np.ndarray   # (FEATURES, languages)
     scripts: np.ndarray  # bit set per language
+    ground: np.ndarray  # log-probability of a trigram's share of each byte value
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -121,7 +150,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
-        return Model([], np.zeros((FEATURES + 1, 0)), np.zeros((FEATURES, 0)), np.zeros(0, np.int64))
+        return Model([], np.zeros((FEATURES + 1, 0)), np.zeros((FEATURES, 0)), np.zeros(0, np.int64), np.zeros(256))
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(max_docs / sizes[k]))])
     sample = rows.where(F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
     width, bits = 2 * FEATURES, len(_NAMES)
@@ -136,11 +165,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 byte_row = np.repeat(np.arange(j - i), np.diff(offsets))
                 for lang in set(of[i:j]):
                     own = of[i:j] == lang
-                    c = held.setdefault(lang, np.zeros(width + bits, np.int64))
+                    c = held.setdefault(lang, np.zeros(width + bits + 256, np.int64))
                     c[:FEATURES] += np.bincount(tri[own[byte_row]], minlength=FEATURES + 1)[:FEATURES]
                     c[FEATURES:width] += np.bincount(words[own[row]], minlength=FEATURES)
                     s = script[own[byte_row]]
-                    c[width:] += np.array([((s >> b) & 1).sum() for b in range(bits)])
+                    c[width:width + bits] += np.array([((s >> b) & 1).sum() for b in range(bits)])
+                    c[width + bits:] += np.bincount(_lower(data[own[byte_row]]), minlength=256)
         if held:
             yield pa.RecordBatch.from_pydict({"lang": pa.array(list(held)),
                                               "c": pa.array([x.tobytes() for x in held.values()], pa.binary())})
@@ -163,9 +193,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     for k, lang in enumerate(langs):
         c = counts[lang]
         tri[:FEATURES, k], words[:, k] = logs(c[:FEATURES]), logs(c[FEATURES:width])
-        seen = c[width:]
+        seen = c[width:width + bits]
         scripts[k] = sum(1 << b for b in range(bits) if seen[b] >= 0.02 * max(1, seen.sum()))
-    return Model(langs, tri, words, scripts)
+    total = sum(counts[lang][width + bits:] for lang in langs)
+    return Model(langs, tri, words, scripts, logs(total))
 
 
 def viterbi(score: np.ndarray, begins: np.ndarray, switch: float, steps: int = 256) -> np.ndarray:
@@ -217,20 +248,21 @@ def viterbi(score: np.ndarray, begins: np.ndarray, switch: float, steps: int = 2
 
 
 def label_slice(model: Model, data: np.ndarray, offsets: np.ndarray, switch: float = SWITCH):
-    """Per row: language number (-1: none) and score; per span: row, first word
-    in its row, number of words, language number."""
+    """Per row: language number (-1: none), score and margin; per span: row, first
+    word in its row, number of words, language number."""
     rows, L = len(offsets) - 1, len(model.langs)
-    lang, share = np.full(rows, -1), np.zeros(rows)
+    lang, share, margin = np.full(rows, -1), np.zeros(rows), np.zeros(rows)
     none = np.zeros(0, np.int64)
     if not L or not len(data):
-        return lang, share, (none, none, none, none)
+        return lang, share, margin, (none, none, none, none)
     tri, words, starts, ends, row = features(data, offsets)
     if not len(starts):
-        return lang, share, (none, none, none, none)
+        return lang, share, margin, (none, none, none, none)
     bits = script_bits(data)
     scripts = np.bitwise_or.reduceat(bits, starts)
-    letters = np.add.reduceat((bits > 0).astype(np.int64), starts)
-    score = np.add.reduceat(model.tri[tri], starts, axis=0) + model.words[words]
+    letters = np.add.reduceat(letter_starts(data).astype(np.int64), starts)
+    trigrams = np.add.reduceat(model.tri[tri], starts, axis=0)
+    score = trigrams + model.words[words]
     fits = (scripts[:, None] & model.scripts[None, :]) != 0
     narrowed = fits.any(axis=1)
     score[~narrowed] = 0  # no letters, or a script that no language was learned in
@@ -239,18 +271,25 @@ def label_slice(model: Model, data: np.ndarray, offsets: np.ndarray, switch: flo
     begins = np.ones(len(row), bool)
     begins[1:] = row[1:] != row[:-1]
     label = viterbi(score, begins, switch)
-    weight = np.bincount(row * L + label, weights=letters, minlength=rows * L).reshape(rows, L)
+    weight = np.bincount(row * L + label, weights=letters * narrowed, minlength=rows * L).reshape(rows, L)
     total = np.bincount(row, weights=letters, minlength=rows)
     seen = total > 0
     lang[seen] = weight[seen].argmax(axis=1)
     share[seen] = weight[seen].max(axis=1) / total[seen]
+    # each byte is in three trigrams, but for those at a word's border, which has a blank's instead
+    ground = np.add.reduceat(np.where(tri == FEATURES, 0, 3 * model.ground[_lower(data)]), starts)
+    low = _lower(data)
+    ground += 2 * model.ground[32] - model.ground[low[starts]] - model.ground[low[ends - 1]]
+    gain = np.where(narrowed, trigrams[np.arange(len(row)), label] - ground, 0)
+    size = np.bincount(row, weights=np.where(narrowed, ends - starts, 0), minlength=rows)
+    margin = np.bincount(row, weights=gain, minlength=rows) / np.maximum(size, 1)
     edge = begins.copy()
     edge[1:] |= label[1:] != label[:-1]
     at = np.flatnonzero(edge)
     n = np.diff(np.append(at, len(label)))
     first_word = np.flatnonzero(begins)
     start = at - first_word[np.searchsorted(first_word, at, side="right") - 1]
-    return lang, share, (row[at], start, n, label[at])
+    return lang, share, margin, (row[at], start, n, label[at])
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -265,13 +304,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         for batch in batches:
             texts = batch.column("text")
             for i, j, data, offsets in K.text_slices(texts, room):
-                lang, share, (row, start, n, label) = label_slice(model, data, offsets, switch)
-                # letters outside the script ranges
-                for r in np.flatnonzero(lang < 0).tolist():
-                    raw = data[offsets[r]:offsets[r + 1]]
-                    if model.langs and (raw > 127).any() and any(
-                            unicodedata.category(ch)[0] == "L" for ch in raw.tobytes().decode("utf-8", "replace")):
-                        lang[r] = 0
+                lang, share, _, (row, start, n, label) = label_slice(model, data, offsets, switch)
                 known = lang[row] >= 0
                 row, start, n, label = row[known], start[known], n[known], label[known]
                 ends = np.searchsorted(row, np.arange(j - i + 1))
@@ -295,9 +328,11 @@ def predict_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", tex
 
 
 def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_col: str = "text",
-                    switch: float = SWITCH) -> DataFrame:
-    """``docs`` with all its columns, without the rows that have no letter or no
-    language with ``min_score`` of the letters."""
+                    switch: float = SWITCH, min_margin: float = 0.0) -> DataFrame:
+    """``docs`` with all its columns, without the rows that have no letter, no
+    language with ``min_score`` of the letters, or a margin below ``min_margin``:
+    text in other scripts, mixtures of everything, and rows of letters that the
+    learned languages explain no better than their bytes alone."""
     Work(docs.sparkSession, "language")
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
     room = max(1 << 16, K.SLICE_BYTES * 4 // max(4, len(model.langs)))
@@ -306,7 +341,8 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             for i, j, data, offsets in K.text_slices(texts, room):
-                lang, share, _ = label_slice(model, data, offsets, switch)
-                yield batch.slice(i, j - i).filter(pa.array((lang >= 0) & (share >= min_score)))
+                lang, share, margin, _ = label_slice(model, data, offsets, switch)
+                yield batch.slice(i, j - i).filter(pa.array(
+                    (lang >= 0) & (share >= min_score) & (margin >= min_margin)))
 
     return docs.mapInArrow(keep, fields)

@@ -9,7 +9,9 @@ groups, so the work and the resulting plan do not grow with the number of
 documents: each length adds at most a few groups (see ``plan``).  The plan says
 which sequence takes the k-th piece of a length; every piece's k comes from its
 rank in a hash bucket and the buckets' counts, so no length, however common,
-meets in one task.  The result is that of packing the pieces one by one.
+meets in one task; the number of buckets follows the number of pieces.  A piece
+of full length needs no rank: it is a sequence of its own, numbered below 0.  The
+result is that of packing the pieces one by one.
 
 Longer documents are cut into pieces of ``capacity``; the first is the shorter.
 
@@ -31,7 +33,8 @@ from sparkcount.llm.storage import Work
 from sparkcount.llm.tokens import Encoder
 
 CAPACITY = 1024
-BUCKETS = 256
+BUCKETS = 256  # at least, and one for every BUCKET_ROWS pieces
+BUCKET_ROWS = 1 << 19
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -134,14 +137,19 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAP
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) -> DataFrame:
-    """Adds ``sequence_id, offset`` to written pieces (they are read twice)."""
+    """Adds ``sequence_id, offset`` to written pieces (they are read several times)."""
     own = parts.columns
-    dealt = parts.withColumn("__b", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)))
-    sizes = dealt.groupBy("length", "__b").agg(F.count("*").alias("n"))
     # at most one row per length: bounded by the capacity
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if counts and max(counts) > capacity:
         raise ValueError("a piece is longer than the capacity")
+    full = parts.where(F.col("length") == capacity).select(
+        *own, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    counts.pop(capacity, None)
+    buckets = max(buckets, sum(counts.values()) // BUCKET_ROWS)
+    dealt = parts.where(F.col("length") < capacity).withColumn(
+        "__b", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)))
+    sizes = dealt.groupBy("length", "__b").agg(F.count("*").alias("n"))
     runs = plan({k: v for k, v in counts.items() if k > 0}, capacity)
     table = np.array(runs, np.int64).reshape(-1, 5)
     keys = table[:, 0] << 44 | table[:, 1]
@@ -167,7 +175,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) ->
                 [*own, "sequence_id", "offset"])
 
     schema = parts.schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.select(*own, "__k").mapInArrow(place, schema)
+    return ranked.select(*own, "__k").mapInArrow(place, schema).unionByName(full)
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPACITY,

@@ -11,10 +11,16 @@ several cells counts in the lowest of them only.  A block pair returns, per
 vector, its number of links and the smallest vector it hangs together with;
 pairs of vectors never leave the task.
 
-Bounds: at most ``max_centroids`` centroids in all (16 MB of 64-dimensional
-floats), hence at most half as many labels with cells are known to the driver;
-training reads about ``16`` vectors per centroid.  Cells only steer the search:
-a link is a cosine of double precision at or above the threshold.
+Bounds: centroids of at most ``max_bytes`` in all, the only thing every task
+gets, hence at most that many labels with cells are known to the driver; training
+reads about ``16`` vectors per centroid, and no product of vectors held at once
+passes ``STRIP`` rows.  A link is a cosine of double precision at or above the
+threshold.
+
+Exact or not: a label of fewer than ``2 * cell_size`` different vectors is
+compared whole.  In larger ones a link can be missed whose two vectors share no
+cell within ``margin``; ``cell_size`` above the largest label makes every label
+exact, by blocks of all its vectors, at quadratic cost.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components, or has a null label, links with nothing and is its own component;
@@ -36,10 +42,11 @@ from sparkcount.llm.storage import Work
 
 THRESHOLD = 0.93
 CELL_SIZE = 1000
-BLOCK = 1024
+BLOCK = 4096
 MARGIN = 0.08
-MAX_CENTROIDS = 65536
+MAX_BYTES = 32 << 20
 MAX_CELLS = 4096
+STRIP = 1024
 ROUNDS = 6
 
 
@@ -55,7 +62,7 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     """Spherical k-means from evenly spread seeds; an empty cell keeps its centroid."""
     c = x[np.linspace(0, len(x) - 1, min(k, len(x))).astype(int)].copy()
     for _ in range(rounds):
-        near = np.argmax(x @ c.T, axis=1)
+        near = np.concatenate([np.argmax(x[i:i + STRIP] @ c.T, axis=1) for i in range(0, len(x), STRIP)])
         total = np.zeros_like(c)
         np.add.at(total, near, x)
         norm = np.linalg.norm(total, axis=1, keepdims=True)
@@ -63,12 +70,12 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
-def _train(reps: DataFrame, cell_size: int, max_centroids: int, max_cells: int) -> dict:
+def _train(reps: DataFrame, cell_size: int, max_bytes: int, max_cells: int) -> dict:
     """``(label, dim) -> centroids`` for the labels large enough to have cells."""
     sizes = reps.groupBy("label", "dim").agg(F.count("*").alias("n")).where(
         F.col("n") >= 2 * cell_size)
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    share = min(1 / cell_size, max_centroids / 2 / max(total, 1))
+    numbers = sizes.agg(F.coalesce(F.sum(F.col("n") * F.col("dim")), F.lit(0)).alias("n")).first()["n"]
+    share = min(1 / cell_size, max_bytes / 8 / max(numbers, 1))
     cells = {(r["label"], r["dim"]): int(min(max_cells, r["n"] * share))
              for r in sizes.where(F.col("n") * share >= 2).collect()}
     if not cells:
@@ -110,12 +117,14 @@ def _assigned(reps: DataFrame, centroids: dict, margin: float) -> DataFrame:
             for k, at in groups.items():
                 x = _unit(np.stack([flat[first[i]:first[i + 1]] for i in at]))
                 if k not in centroids:
-                    near = np.ones((len(at), 1), bool)
+                    near = [np.zeros(1, np.int32)] * len(at)
                 else:
-                    s = x @ centroids[k].T
-                    near = s >= s.max(axis=1, keepdims=True) - margin
+                    near = []
+                    for a in range(0, len(x), STRIP):
+                        s = x[a:a + STRIP] @ centroids[k].T
+                        near += list(map(np.flatnonzero, s >= s.max(axis=1, keepdims=True) - margin))
                 for n, i in enumerate(at):
-                    own = np.flatnonzero(near[n]).astype(np.int32)
+                    own = near[n].astype(np.int32)
                     raw = x[n].tobytes()
                     for c in own.tolist():
                         rows.append(i)
@@ -183,7 +192,7 @@ def _block_links(threshold: float):
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id",
                     vector_col: str = "embedding", label_col: str = "label",
                     cell_size: int = CELL_SIZE, block: int = BLOCK, margin: float = MARGIN,
-                    max_centroids: int = MAX_CENTROIDS, max_cells: int = MAX_CELLS) -> DataFrame:
+                    max_bytes: int = MAX_BYTES, max_cells: int = MAX_CELLS) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row."""
     work = Work(vectors.sparkSession, "spherical")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"),
@@ -198,7 +207,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
         F.count("*").alias("w"), F.min("vec_id").alias("least_id")).select(
         F.monotonically_increasing_id().alias("uid"), "label", F.size("emb").alias("dim"),
         "emb", "w", "least_id"), "reps")
-    cells = work.cut(_assigned(reps, _train(reps, cell_size, max_centroids, max_cells), margin), "cells")
+    cells = work.cut(_assigned(reps, _train(reps, cell_size, max_bytes, max_cells), margin), "cells")
     key = ["label", "dim", "cell"]
     blocks = cells.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(
         *key, F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks"))
