@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sparkcount.llm import kernels as K
 from sparkcount.llm.components import connected_components
@@ -604,7 +605,7 @@ def _with_node(docs: DataFrame, text_col: str, k: int, salt: int) -> DataFrame:
     """``row`` (all of ``docs`` as one struct), the name ``node`` and the size ``n`` of each row's set."""
     packed = docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"),
                          F.col(text_col).cast("string").alias("text"))
-    kind = packed.schema["row"].dataType.simpleString()
+    schema = StructType([packed.schema["row"], StructField("node", LongType()), StructField("n", LongType())])
 
     def read(batches):
         for batch in batches:
@@ -618,7 +619,7 @@ def _with_node(docs: DataFrame, text_col: str, k: int, salt: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(node.view(np.int64)), pa.array(n)], ["row", "node", "n"])
 
-    return packed.mapInArrow(read, f"row {kind}, node bigint, n bigint")
+    return packed.mapInArrow(read, schema)
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,

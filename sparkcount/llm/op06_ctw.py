@@ -46,10 +46,10 @@ DEPTH = 5
 END = 0xFF
 WORD, GRAM = 0, 1
 SLICE = 1 << 20  # a slice takes some hundred times its bytes while it is worked on
-PART_BYTES = 32 << 20
+PART_BYTES = 48 << 20
 BUCKETS = 256  # of n-grams; one more set of them for every ``BUCKET_BYTES`` of text
 BUCKET_BYTES = 16 << 30
-HELD_KEYS = 3 << 20  # keys that a task counts before it hands them on
+HELD_KEYS = 6 << 20  # keys that a task counts before it hands them on
 MERGED_PARTS = 4096  # a bucket takes one more salt for every so many parts
 
 
@@ -211,8 +211,11 @@ def _distinct(docs: DataFrame, buckets: Buckets) -> DataFrame:
                         mine = own_part == p
                         held.setdefault((p, kind), Counts()).add(key[mine], own_train[mine])
                 if sum(len(c.keys) + c.held for c in held.values()) > HELD_KEYS:
-                    yield from emit(held)
-                    held = {}
+                    for c in held.values():
+                        c.merge()
+                    if sum(len(c.keys) for c in held.values()) > HELD_KEYS:
+                        yield from emit(held)
+                        held = {}
         yield from emit(held)
 
     return docs.select("part", "train", "text").mapInArrow(count, "part long, bucket int, keys binary, n binary")
@@ -381,23 +384,37 @@ def _valued(buckets: Buckets):
 
 
 def _answered(buckets: Buckets):
-    """Give each part's packed row the values of its keys; a group's first row has
-    the values of the whole bucket.  Rows: ``bucket, salt, part, keys, value``."""
+    """Give each part the values of its keys in a bucket, one row for all its pieces;
+    a group's first row has the values of the whole bucket.  Rows: ``bucket, salt,
+    part, keys, value``."""
 
     def run(batches):
-        current, all_keys, all_values, out, size = None, None, None, [], 0
-        for (bucket, salt), (_, _, part, keys, value) in _by(batches, "bucket", "salt"):
-            width = buckets.widths[buckets.kind(bucket)]
-            if (bucket, salt) != current:  # nulls sort first: the row of the whole bucket
-                current = (bucket, salt)
-                all_keys, all_values = unpack(keys, width), unpack(value, 6)
-                continue
-            own = all_values[np.searchsorted(all_keys, unpack(keys, width))]
-            out.append({"part": part, "bucket": bucket, "keys": keys, "value": _packed(own, 6)})
-            size += len(keys) + 6 * len(own)
-            if size > 4 << 20:
-                yield pa.RecordBatch.from_pylist(out, schema)
-                out, size = [], 0
+        current, part, held, out, size = None, None, [], [], 0
+        all_keys = all_values = None
+
+        def answer():
+            bucket = current[0]
+            keys = held[0] if len(held) == 1 else np.unique(np.concatenate(held))
+            own = all_values[np.searchsorted(all_keys, keys)]
+            return {"part": part, "bucket": bucket, "keys": _packed(keys, buckets.widths[buckets.kind(bucket)]),
+                    "value": _packed(own, 6)}
+
+        for group, (_, _, whose, keys, value) in _by(batches, "bucket", "salt"):
+            if held and (group != current or whose != part):
+                out.append(answer())
+                size += len(out[-1]["keys"]) + len(out[-1]["value"])
+                held = []
+                if size > 4 << 20:
+                    yield pa.RecordBatch.from_pylist(out, schema)
+                    out, size = [], 0
+            keys = unpack(keys, buckets.widths[buckets.kind(group[0])])
+            if group != current:  # nulls sort first: the row of the whole bucket
+                current, all_keys, all_values = group, keys, unpack(value, 6)
+            else:
+                part = whose
+                held.append(keys)
+        if held:
+            out.append(answer())
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
 

@@ -9,10 +9,11 @@ each.  The text's language is the one with most letters; its score is that
 language's share of the letters, where letters of words in a script that no
 language was learned in belong to none.
 
-The model also holds a background, the frequency of single bytes in all learned
-text.  A text's margin is the mean log-ratio per byte of its labelled words
-between their language and the background: text put together from letters alone
-has none.  The margin decides only in ``keep_identified``.
+The model also holds the trigrams' counts and a background, the frequency of single
+bytes in all learned text.  A text's margin is the mean log-ratio per byte of its
+labelled words between their language's trigrams (smoothed towards the background
+by ``PRIOR`` trigrams) and the background: text put together from letters alone has
+none.  The margin decides only in ``keep_identified``.
 
 The model is fitted on at most about ``max_docs`` labelled documents per
 language (a hash sample; the bound is a parameter).  It is a few hundred
@@ -49,6 +50,8 @@ from sparkcount.llm.storage import Work
 MAX_DOCS = 5000
 SWITCH = 16.0
 FEATURES = 1 << 16
+PRIOR = 256.0
+MIN_MARGIN = -2.0  # short clean texts come down to -1, letters at random lie at -4 and below
 UND = "und"
 
 # Ranges of Unicode letters by script (first and last code point).
@@ -138,7 +141,8 @@ class Model:
     tri: np.ndarray     # (FEATURES + 1, languages), the last row zero
     words: np.ndarray   # (FEATURES, languages)
     scripts: np.ndarray  # bit set per language
-    ground: np.ndarray  # log-probability of a trigram's share of each byte value
+    counts: np.ndarray  # trigram counts, as tri
+    ground: np.ndarray  # log-frequency of each byte value
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -150,7 +154,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
-        return Model([], np.zeros((FEATURES + 1, 0)), np.zeros((FEATURES, 0)), np.zeros(0, np.int64), np.zeros(256))
+        return Model([], np.zeros((FEATURES + 1, 0)), np.zeros((FEATURES, 0)), np.zeros(0, np.int64), np.zeros((FEATURES + 1, 0)),
+                     np.zeros(256))
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(max_docs / sizes[k]))])
     sample = rows.where(F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
     width, bits = 2 * FEATURES, len(_NAMES)
@@ -189,14 +194,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     tri = np.zeros((FEATURES + 1, len(langs)), np.float32)
     words = np.zeros((FEATURES, len(langs)), np.float32)
+    seen_tri = np.zeros((FEATURES + 1, len(langs)), np.float32)
     scripts = np.zeros(len(langs), np.int64)
     for k, lang in enumerate(langs):
         c = counts[lang]
+        seen_tri[:FEATURES, k] = c[:FEATURES]
         tri[:FEATURES, k], words[:, k] = logs(c[:FEATURES]), logs(c[FEATURES:width])
         seen = c[width:width + bits]
         scripts[k] = sum(1 << b for b in range(bits) if seen[b] >= 0.02 * max(1, seen.sum()))
     total = sum(counts[lang][width + bits:] for lang in langs)
-    return Model(langs, tri, words, scripts, logs(total))
+    return Model(langs, tri, words, scripts, seen_tri, logs(total))
 
 
 def viterbi(score: np.ndarray, begins: np.ndarray, switch: float, steps: int = 256) -> np.ndarray:
@@ -247,22 +254,38 @@ def viterbi(score: np.ndarray, begins: np.ndarray, switch: float, steps: int = 2
     return out.reshape(-1)[:n]
 
 
-def label_slice(model: Model, data: np.ndarray, offsets: np.ndarray, switch: float = SWITCH):
-    """Per row: language number (-1: none), score and margin; per span: row, first
-    word in its row, number of words, language number."""
+def _margins(model: Model, data: np.ndarray, tri, starts, ends, row, label, counted, rows: int) -> np.ndarray:
+    """Mean log-ratio per byte between the words' languages and the background."""
+    ground = model.ground[_lower(data)]
+    before, after = np.empty_like(ground), np.empty_like(ground)
+    before[1:], after[:-1] = ground[:-1], ground[1:]
+    before[starts], after[ends - 1] = model.ground[32], model.ground[32]
+    at = K.ragged(starts, ends - starts)
+    own = np.repeat(label, ends - starts)
+    size = model.counts.sum(axis=0)[own]
+    ratio = np.log((model.counts[tri[at], own] / np.exp(ground + before + after)[at] + PRIOR) / (size + PRIOR))
+    use = np.repeat(counted, ends - starts)
+    byte_row = np.repeat(row, ends - starts)
+    return np.bincount(byte_row, weights=ratio * use, minlength=rows) / np.maximum(
+        np.bincount(byte_row, weights=use, minlength=rows), 1)
+
+
+def label_slice(model: Model, data: np.ndarray, offsets: np.ndarray, switch: float = SWITCH, margin: bool = False):
+    """Per row: language number (-1: none) and score; per span: row, first word
+    in its row, number of words, language number.  With ``margin`` also the rows' margins."""
     rows, L = len(offsets) - 1, len(model.langs)
-    lang, share, margin = np.full(rows, -1), np.zeros(rows), np.zeros(rows)
+    lang, share = np.full(rows, -1), np.zeros(rows)
     none = np.zeros(0, np.int64)
+    empty = lang, share, (none, none, none, none), *([np.zeros(rows)] if margin else [])
     if not L or not len(data):
-        return lang, share, margin, (none, none, none, none)
+        return empty
     tri, words, starts, ends, row = features(data, offsets)
     if not len(starts):
-        return lang, share, margin, (none, none, none, none)
+        return empty
     bits = script_bits(data)
     scripts = np.bitwise_or.reduceat(bits, starts)
     letters = np.add.reduceat(letter_starts(data).astype(np.int64), starts)
-    trigrams = np.add.reduceat(model.tri[tri], starts, axis=0)
-    score = trigrams + model.words[words]
+    score = np.add.reduceat(model.tri[tri], starts, axis=0) + model.words[words]
     fits = (scripts[:, None] & model.scripts[None, :]) != 0
     narrowed = fits.any(axis=1)
     score[~narrowed] = 0  # no letters, or a script that no language was learned in
@@ -276,20 +299,14 @@ def label_slice(model: Model, data: np.ndarray, offsets: np.ndarray, switch: flo
     seen = total > 0
     lang[seen] = weight[seen].argmax(axis=1)
     share[seen] = weight[seen].max(axis=1) / total[seen]
-    # each byte is in three trigrams, but for those at a word's border, which has a blank's instead
-    ground = np.add.reduceat(np.where(tri == FEATURES, 0, 3 * model.ground[_lower(data)]), starts)
-    low = _lower(data)
-    ground += 2 * model.ground[32] - model.ground[low[starts]] - model.ground[low[ends - 1]]
-    gain = np.where(narrowed, trigrams[np.arange(len(row)), label] - ground, 0)
-    size = np.bincount(row, weights=np.where(narrowed, ends - starts, 0), minlength=rows)
-    margin = np.bincount(row, weights=gain, minlength=rows) / np.maximum(size, 1)
     edge = begins.copy()
     edge[1:] |= label[1:] != label[:-1]
     at = np.flatnonzero(edge)
     n = np.diff(np.append(at, len(label)))
     first_word = np.flatnonzero(begins)
     start = at - first_word[np.searchsorted(first_word, at, side="right") - 1]
-    return lang, share, margin, (row[at], start, n, label[at])
+    more = [_margins(model, data, tri, starts, ends, row, label, narrowed, rows)] if margin else []
+    return lang, share, (row[at], start, n, label[at]), *more
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -304,7 +321,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         for batch in batches:
             texts = batch.column("text")
             for i, j, data, offsets in K.text_slices(texts, room):
-                lang, share, _, (row, start, n, label) = label_slice(model, data, offsets, switch)
+                lang, share, (row, start, n, label) = label_slice(model, data, offsets, switch)
                 known = lang[row] >= 0
                 row, start, n, label = row[known], start[known], n[known], label[known]
                 ends = np.searchsorted(row, np.arange(j - i + 1))
@@ -328,7 +345,7 @@ def predict_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", tex
 
 
 def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_col: str = "text",
-                    switch: float = SWITCH, min_margin: float = 0.0) -> DataFrame:
+                    switch: float = SWITCH, min_margin: float = MIN_MARGIN) -> DataFrame:
     """``docs`` with all its columns, without the rows that have no letter, no
     language with ``min_score`` of the letters, or a margin below ``min_margin``:
     text in other scripts, mixtures of everything, and rows of letters that the
@@ -341,7 +358,7 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             for i, j, data, offsets in K.text_slices(texts, room):
-                lang, share, margin, _ = label_slice(model, data, offsets, switch)
+                lang, share, _, margin = label_slice(model, data, offsets, switch, margin=True)
                 yield batch.slice(i, j - i).filter(pa.array(
                     (lang >= 0) & (share >= min_score) & (margin >= min_margin)))
 

@@ -60,3 +60,12 @@ def test_query_matches_oracle_without_python(spark):
     assert r["hash_ok"] and r["cols_ok"], r
     plan = Q.op4_exact_dedup(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_deduplicated_with_clashing_columns(spark):
+    schema = "doc_id long, text string, copies int, __id long, __sha string, kept_id int, row string, `x.y` int"
+    rows = [(1, "a", 1, 2, "s", 3, "r", 4), (1, "a", 1, 2, "s", 3, "r", 4), (2, "a", 1, 2, "s", 3, "r", 4), (3, None, 1, 2, "s", 3, "r", 4),
+            (3, None, 9, 2, "s", 3, "r", 4), (None, "b", 1, 2, "s", 3, "r", 4)]
+    out = op.deduplicated(spark.createDataFrame(rows, schema))
+    assert out.columns == ["doc_id", "text", "copies", "__id", "__sha", "kept_id", "row", "x.y"]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(2, "a"), (3, None), (None, "b")], key=str)

@@ -190,3 +190,78 @@ def test_kernels():
     h = K.span_hashes(data, starts, ends)
     assert len(set(h.tolist())) == 6
     assert [(a, b) for a, b, _, _ in K.text_slices(pa.array(texts, pa.string()), 3)] == [(0, 3), (3, 4), (4, 5)]
+
+
+def test_scores_of_one_long_text_and_one_hot_context(spark):
+    """A text of 5 MB beside short ones, nearly all of it one context; parts from one
+    text to the whole table give the same scores."""
+    rows = [(1, "ab" * 2_500_000, None), (2, "abababab ab", None), (3, "the cat", None), (4, None, None)]
+    df = table(spark, rows)
+    got = [sorted(tuple(r) for r in ctw.score(df, F.col("doc_id") != 3, F.expr(part), depth=5).collect())
+           for part in ("doc_id", "0", "doc_id % 2")]
+    assert got[0][0][-1] == 5_000_001 and got[0][0][5] > -50  # a few digits for five million bytes
+    for other in got[1:]:
+        for r, w in zip(got[0], other):
+            assert r[:4] == w[:4] and r[4:] == pytest.approx(w[4:], rel=1e-9)
+
+
+def test_parts_follow_bytes(spark, scratch):
+    texts = ["x" * 100] * 3000 + ["y" * 100_000] * 30
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(f"{scratch}/d")
+    docs = spark.read.parquet(f"{scratch}/d")
+    small = ctw.PART_BYTES
+    try:
+        ctw.PART_BYTES = 100_000
+        part = docs.select(ctw.parts(docs).alias("p"), F.length("text").alias("n")).groupBy("p").agg(F.sum("n").alias("n"))
+        sizes = [r.n for r in part.collect()]
+    finally:
+        ctw.PART_BYTES = small
+    assert max(sizes) <= 800_000 and len(sizes) < 100
+
+
+def test_packed_spans():
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 1 << 40, 50, dtype=np.uint64)
+    starts, ends = np.array([0, 7, 7, 20]), np.array([7, 7, 20, 50])
+    got = ctw.pack(values, starts, ends, 5).to_pylist()
+    assert [ctw.unpack(b, 5).tolist() for b in got] == [values[a:b].tolist() for a, b in zip(starts, ends)]
+
+
+def test_word_scores_against_plain_counts(spark):
+    """Trigram and word scores of every word, counted in dictionaries instead of buckets."""
+    model = lang.fit(table(spark, ROWS))
+    text = "the катze dog und собака dogs нет zz"
+    data = np.frombuffer(text.encode(), np.uint8)
+    tri, word, starts, ends, _ = lang.features(data, np.array([0, len(data)]))
+    got = np.add.reduceat(model.tri[tri], starts, axis=0) + model.words[word]
+    for k, name in enumerate(model.langs):
+        grams, whole = Counter(), Counter()
+        for _, t, own in ROWS:
+            if own == name:
+                for w in t.encode().split():
+                    whole[w] += 1
+                    grams.update((b" " + w + b" ")[i:i + 3] for i in range(len(w)))
+        log = lambda c, x: math.log((c[x] + .5) / (sum(c.values()) + .5 * lang.FEATURES))
+        want = [sum(log(grams, (b" " + w + b" ")[i:i + 3]) for i in range(len(w))) + log(whole, w) for w in text.encode().split()]
+        assert got[:, k] == pytest.approx(want, rel=1e-4)
+
+
+def test_foreign_scripts_and_gibberish(spark):
+    rng = random.Random(2)
+    noise = " ".join("".join(rng.choice("qxzjkvwf") for _ in range(rng.randint(2, 9))) for _ in range(80))
+    odd = [(300, "ሰላም ለዓለም ይህ ጽሑፍ ነው", None), (301, "สวัสดีชาวโลก นี่คือข้อความ", None), (302, noise, None),
+           (303, "the dog went ሰላም", None), (304, "𐐀𐐁 𐐂", None), (305, "the cat and the thing", None)]
+    docs = table(spark, [(i, " ".join([t] * 20), k) for i, t, k in ROWS] + odd)
+    model = lang.fit(docs)
+    got = {r.doc_id: r for r in lang.identify(docs, model).collect()}
+    for i in (300, 301, 304):
+        assert got[i].score == 0 and got[i].lang_pred in model.langs
+    assert got[302].score == 1 and 0.7 < got[303].score < 0.8 and got[305].score == 1
+    kept = {r.doc_id for r in lang.keep_identified(docs, model, 1 / 3).collect()}
+    assert {i for i, _, _ in ROWS} | {303, 305} == kept
+
+
+def test_letters_of_all_planes():
+    text = "aZ1é-Ж語ሰ𐐀😀٣ª​한"
+    data = np.frombuffer(text.encode(), np.uint8)
+    assert int(lang.letter_starts(data).sum()) == sum(ch.isalpha() for ch in text)

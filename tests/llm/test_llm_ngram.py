@@ -162,3 +162,95 @@ def test_an_id_with_two_texts_compares_each_text(spark):
         # one id, so the classes show it by their roots
         assert len({r.root for r in op.classes(docs(spark, rows)).collect()}) == 3
         assert op.representatives(docs(spark, rows)).count() == 3
+
+
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_slices_of_few_words(k):
+    for n in range(7):
+        words = [f"w{i}" for i in range(n)]
+        for texts in ([" ".join(words)], words, ["", " ".join(words), " "]):
+            raw = [t.encode() for t in texts]
+            h, row = op.shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(b) for b in raw]), k)
+            assert np.bincount(row, minlength=len(texts)).tolist() == [len(shingles(t, k)) for t in texts]
+
+
+def test_one_row_to_a_partition(spark):
+    rows = [(i, " ".join(["x", "y", "z", "u", "v", "w"][:i % 7])) for i in range(21)]
+    got = op.classes(docs(spark, rows).repartition(30)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)[0]
+    assert op.representatives(docs(spark, rows[1:4]).repartition(3)).count() == 3
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    a, b = near_copies()
+    schema = "doc_id long, text string, rows long, copies int, __id long, __node long, __n int, kept_id long, `a.b` int"
+    rows = [(i, t, 1, 2, 3, 4, 5, 6, 7) for i, t in ((4, a), (4, a), (9, b), (5, "other words that stand alone here"), (6, None))]
+    out = op.representatives(spark.createDataFrame(rows, schema))
+    assert out.columns == ["doc_id", "text", "rows", "copies", "__id", "__node", "__n", "kept_id", "a.b"]
+    assert sorted(r.doc_id for r in out.collect()) == [4, 5, 6]
+
+
+def test_very_long_and_very_common_texts(spark):
+    """One text of 3 MB and its near copy, and a group of near copies that all share
+    most of their shingles, in blocks smaller than the group."""
+    rng = random.Random(8)
+    long = [f"l{rng.randrange(10 ** 6)}" for _ in range(400_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:-5000] + ["z"] * 5000))]
+    base = [f"c{i}" for i in range(60)]
+    for i in range(120):
+        copy = list(base)
+        copy[rng.randrange(60)] = f"x{i}"
+        rows.append((100 + i, " ".join(copy)))
+    got = {r.doc_id: r.component_id for r in op.classes(docs(spark, rows).repartition(4), block=16).collect()}
+    assert got[2] == 1
+    want = {i: c for i, _, c in brute(rows[2:])[0]}
+    assert {i: got[i] for i in want} == want
+
+
+def test_place_and_size_filter_keeps_every_linked_pair():
+    """Of the groups by common prefix shingle, the filter leaves each linked pair at
+    least the group of the first shingle that both share."""
+    rng = np.random.default_rng(4)
+    num, den = 80, 100
+    for _ in range(30):
+        base = rng.choice(4000, rng.integers(1, 120), replace=False)
+        sets = []
+        for _ in range(rng.integers(2, 60)):
+            keep = rng.random(len(base)) < rng.choice([.8, .95, 1.0])
+            extra = rng.choice(4000, rng.integers(0, 1 + len(base) // 5), replace=False)
+            s = sorted(set(base[keep].tolist()) | set(extra.tolist()))
+            if s:
+                sets.append(s)
+        post = {}
+        for i, s in enumerate(sets):
+            for place in range(len(s) - -(-num * len(s) // den) + 1):
+                post.setdefault(s[place], []).append((i, len(s), len(s) - place))
+        together = set()
+        for rows in post.values():
+            rows.sort(key=lambda r: r[1])
+            node, n, left = (np.array([r[c] for r in rows], np.int64) for c in range(3))
+            alive = op._matched(np.zeros(len(rows), np.int64), n, left, num, den)
+            together |= {frozenset(p) for p in combinations(node[alive].tolist(), 2)}
+        for i, j in combinations(range(len(sets)), 2):
+            a, b = set(sets[i]), set(sets[j])
+            if a != b and den * len(a & b) >= num * len(a | b):
+                assert frozenset((i, j)) in together
+
+
+def test_names_that_clash_get_another_salt(spark, monkeypatch):
+    plain = op.set_names
+    monkeypatch.setattr(op, "ship", None, raising=False)
+    seen = []
+
+    def sets(rows, k, salt):
+        seen.append(salt)
+        if salt:
+            return real(rows, k, salt)
+        return real(rows, k, salt).withColumn("node", op.F.when(op.F.col("n") > 0, op.F.lit(1)).otherwise(op.F.col("node")))
+
+    real = op._sets
+    monkeypatch.setattr(op, "_sets", sets)
+    rows = corpus(5, 40)
+    got = op.classes(docs(spark, rows)).collect()
+    assert seen == [0, 1] and plain is op.set_names
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)[0]

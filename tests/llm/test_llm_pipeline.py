@@ -45,6 +45,6 @@ def test_registered():
     names = [n for n, _ in C.STAGES]
     assert names == ["language_id", "exact_dedup", "near_dedup", "pack"]
     q = E.queries()
-    assert "pipeline" in q and sum(n.startswith("op") for n in q) == 10
-    assert {n.split("_")[0] for n in q if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in q and sum(n.startswith("op") for n in q) == 13
+    assert {n.split("_")[0] for n in q if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "sparkcount.llm.queries" in sys.modules

@@ -166,3 +166,12 @@ def test_added_tokens_in_codes(spark):
     want = {i: [*x, 0] for i, x in enumerate(fresh(ADDED))}
     assert {r.doc_id: r.ids_crc32 for r in got} == {i: zlib.crc32(np.array(x, np.uint32).tobytes()) for i, x in want.items()}
     assert {r.doc_id: r.n_tokens for r in got} == {i: len(x) for i, x in want.items()}
+
+
+def test_full_pieces_are_sequences_of_their_own(spark):
+    rows = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate([8] * 40 + [5, 3, 3, 2, 8, 1])], fit.PIECES)
+    got = fit.pack(rows, 8, buckets=2).collect()
+    full = [r for r in got if r.length == 8]
+    assert len(got) == 46 and len({r.sequence_id for r in full}) == len(full) == 41
+    assert all(r.offset == 0 and r.sequence_id < 0 for r in full)
+    assert len({r.sequence_id for r in got if r.length < 8}) == 2 and min(r.sequence_id for r in got if r.length < 8) >= 0

@@ -92,3 +92,29 @@ def test_components_of_chains_stars_and_loops(spark):
         spark.createDataFrame(edges, "a long, b long"), Work(spark, "test")).collect()}
     assert got == {**{i: 1 for i in range(2, 41)}, **{x: 100 for x in range(101, 130)}, 210: 209}
     assert connected_components(spark.createDataFrame([], "a long, b long"), Work(spark, "test")).count() == 0
+
+
+def test_recall_at_the_threshold_with_many_cells(spark):
+    """64 dimensions, one label of 6,000 vectors in about 60 cells, pairs from 0.90 to 1."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for _ in range(2000):
+        base = rng.normal(size=64)
+        for _ in range(3):
+            rows.append((len(rows), (base + rng.normal(size=64) * rng.uniform(.05, .33)).tolist(), 1))
+    unit = np.array([np.float32(v) for _, v, _ in rows], np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    want = near.sum(1) - 1
+    got = {r.vec_id: r.n_links for r in op.near_duplicates(table(spark, rows), cell_size=100).collect()}
+    assert all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.98 * want.sum() > 0
+
+
+def test_centroids_are_bounded_by_bytes(spark):
+    rows = vectors(5, 600)
+    reps = table(spark, rows).selectExpr("vec_id AS uid", "label", "size(embedding) AS dim", "embedding AS emb")
+    cells = op._train(reps, 10, 4096, 4096)
+    assert cells and sum(c.nbytes for c in cells.values()) <= 4096
+    got = op.near_duplicates(table(spark, rows), cell_size=1 << 40).collect()  # the exact way
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows, 0.93)

@@ -1,5 +1,7 @@
 import hashlib
 import json
+import time
+from html.parser import HTMLParser
 
 from conftest import SF001
 from sparkcount.llm import op05_warc_derive as op
@@ -61,3 +63,91 @@ def test_query_covers_all_pages(spark):
     got = [r for r in Q.op5_warc_derive(spark, SF001).collect() if r.type == "conversion"]
     assert {r.page_id: r.text_sha256 for r in got} == {
         i: hashlib.sha256(op.plain_text(h or "").encode()).hexdigest() for i, h in pages.items()}
+
+
+BLOCKS = set("address article aside blockquote br dd div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
+             "li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
+
+
+class Reader(HTMLParser):
+    """The same rules on the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.title, self.links, self.skip, self.in_title = [], None, [], [], False
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "template", "noscript", "head"):
+            self.skip.append(tag)
+        elif self.skip and self.skip[-1] == "head" and tag not in ("title", "meta", "link", "base"):
+            self.skip.pop()
+        if tag == "title":
+            self.in_title, self.title = True, self.title if self.title is not None else ""
+        if not self.skip:
+            if tag in BLOCKS:
+                self.out.append("\n")
+            self.links += [v for k, v in attrs if k == "href" and v] if tag == "a" else []
+
+    def handle_endtag(self, tag):
+        if self.skip and self.skip[-1] == tag:
+            self.skip.pop()
+        if tag == "title":
+            self.in_title = False
+        if not self.skip and tag in BLOCKS:
+            self.out.append("\n")
+
+    def handle_data(self, data):
+        if self.in_title:
+            self.title += data
+        if not self.skip:
+            self.out.append(data)
+
+
+def read(page):
+    r = Reader()
+    r.feed(page)
+    r.close()
+    lines = (" ".join(x.split()) for x in "".join(r.out).split("\n"))
+    return "\n".join(x for x in lines if x), r.title and " ".join(r.title.split()), r.links
+
+
+def test_pages_against_the_standard_parser(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SF001}/pages.parquet").collect() if r.html]
+    pages += [PAGE.replace("1 < 2", "1 2"), "<html><head><title>t</title><body><p>all of the page</p>",
+              "<head><meta charset=x><link href=y><div>in</div> out <a href=z>q</a>", "<p>a<br/>b<hr>c</p><ul><li>x<li>y</ul>",
+              "<title>only</title>", "<div><noscript><p>no</p></noscript>yes</div>"]
+    for page in pages:
+        text, title, links = op.scan(page)
+        want = read(page)
+        assert op.folded(text) == want[0], page[:300]
+        assert (title and " ".join(op.html.unescape(title).split())) == want[1]
+        assert [op.html.unescape(x) for x in links] == want[2]
+
+
+def test_unclosed_elements():
+    assert op.plain_text("<html><head><title>t</title><body><p>all of the page</p>") == "all of the page"
+    assert op.plain_text("<head><style>x</style><h1>a</h1>b") == "a\nb"
+    assert op.plain_text("a<!-- never <p>b</p>") == "a" and op.plain_text("a<p>b <c") == "a\nb <c"
+    assert op.plain_text("x<script>var a = '<p>'") == "x" and op.plain_text("<title>open <p>x") == "open\nx"
+    assert op.scan("<!-- <title>no</title> <a href=n> --><title>yes</title>")[1:] == ("yes", [])
+
+
+def test_hostile_pages_take_linear_time():
+    for piece in ("<a ", "<title>", "<!--", "<p ", "<script>", "</script ", "<head>", "<a href=", "<", "&", "<head><title>",
+                  "<noscript>x</noscript", "href=", "<a href='", "<p><title>"):
+        for page in (piece * (1_000_000 // len(piece)), piece * (1_000_000 // len(piece)) + ">"):
+            t = time.perf_counter()
+            op.folded(op.scan(page)[0])
+            assert time.perf_counter() - t < 3, piece
+
+
+def test_records_through_warc_files(spark, scratch):
+    rows = [(1, "http://a", PAGE), (2, None, None), (3, "u", "\r\n\r\nWARC/1.1\r\n\r\n"), (4, "é", "é" * 5000)] * 3
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    made = op.responses(pages)
+    records = made.unionByName(op.derivatives(made))
+    op.write_files(records, f"{scratch}/warc", per_file=5)
+    back = op.read_files(spark, f"{scratch}/warc")
+    want = sorted(bytes(r.record) for r in records.collect())
+    assert sorted(bytes(r.record) for r in back.collect()) == want and len(want) == 36
+    assert all(r.digest_ok for r in op.read_back(back).collect())
