@@ -84,6 +84,15 @@ def _state_run(spark, path, name=None, **kw):
     return run
 
 
+def _from_lines(spark, d):
+    """The items as text, one integer to a line, read back as a stream of lines."""
+    path = f"{shared_dir(spark).rstrip('/')}/arrivals/{uuid.uuid4().hex}"
+    spool(_arriving(spark, d).select("arrival", F.col("item").cast("string").alias("line")), path, fmt="text")
+    run = ItemStreamRun(spark, f"runs/{uuid.uuid4().hex}")
+    run.run(read_items(spark, "text", path, {"maxFilesPerTrigger": 4}), trigger={"availableNow": True})
+    return run
+
+
 def _two_runs(spark, d):
     """One half of the arrival files, then the other, by two runs over one checkpoint."""
     path, name = f"{shared_dir(spark).rstrip('/')}/arrivals/{uuid.uuid4().hex}", f"runs/{uuid.uuid4().hex}"
@@ -174,6 +183,7 @@ def stream_queries() -> dict[str, Query]:
         # a streaming read of ``events`` to its end: its items, and what the
         # micro-batch ledger says about them
         "stream_source": lambda s, d: _streamed(s, d).frequencies(),
+        "stream_lines": lambda s, d: _from_lines(s, d).frequencies(),
         "stream_batches": lambda s, d: _streamed(s, d).ledger_totals(),
         "stream_run_report": lambda s, d: _streamed(
             s, d, prm=prm, left=P.LEFT, right=P.RIGHT).report(Kt),

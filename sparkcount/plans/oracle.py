@@ -379,6 +379,7 @@ def stream_sql() -> dict[str, str]:
     prm, K = P.SKETCH, P.K_TOP
     return {
         "stream_source": f"SELECT item, count(*) AS freq FROM ({ITEMS}) GROUP BY item",
+        "stream_lines": f"SELECT item, count(*) AS freq FROM ({ITEMS}) GROUP BY item",
         "stream_batches": f"SELECT count(*) AS n_items, count(*) AS n_kept FROM ({ITEMS})",
         "stream_run_report": _report(prm, K, "value", P.LEFT, P.RIGHT),
         "stream_run_distinct": _distinct(ITEMS),

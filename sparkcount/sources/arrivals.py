@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 _FIRST_MS = 1_700_000_000_000
 
 
-def spool(items: DataFrame, path: str, batch: str = "arrival") -> None:
+def spool(items: DataFrame, path: str, batch: str = "arrival", fmt: str = "parquet") -> None:
     """Append ``items`` to the arrival files below ``path``: one folder with one
     file per value of the non-negative long column ``batch``.  Values must grow
-    from call to call; the driver touches one entry per file."""
+    from call to call; the driver touches one entry per file.  As ``text`` the one
+    other column, a string, is written a line to a row."""
     spark = items.sparkSession
-    items.repartition(batch).write.mode("append").partitionBy(batch).parquet(path)
+    items.repartition(batch).write.mode("append").partitionBy(batch).format(fmt).save(path)
     top = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
     for folder in fs.listStatus(top):

@@ -1,5 +1,8 @@
 """Streams of many micro-batches whose memory is streaming state."""
 
+import glob
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +10,8 @@ from sparkcount.operators import items as I
 from sparkcount.operators import sketch as S
 from sparkcount.operators import stats as K
 from sparkcount.sources.arrivals import read_arrivals, spool
+from sparkcount.sources.stream import read_items
+from sparkcount.streaming.runner import ItemStreamRun
 from sparkcount.streaming.state import StateItemRun, run_distinct, settings, state_settings
 
 PRM = S.SketchParams.draw(3, 10, 7)
@@ -177,3 +182,31 @@ def test_polynomial_family(spark):
     for x in xs:
         own = sorted(cells[j, value(h, x % p) % prm.W] * (value(g, x % p) % 2 * 2 - 1) for j, (h, g) in enumerate(prm.rows))
         assert est[x] == own[1]
+
+
+# ---- a stream of lines ----
+
+@pytest.mark.parametrize("bad", ["", "1_0", "x", "1.5", "9223372036854775808"])
+def test_a_bad_line_fails_the_batch_and_a_mended_file_is_replayed(spark, scratch, bad):
+    lines = spark.createDataFrame([(0, "1"), (0, " +2 "), (1, "3"), (1, bad), (2, "-4")], "arrival BIGINT, line STRING")
+    path = f"{scratch}/lines"
+    spool(lines, path, fmt="text")
+
+    def run():
+        out = ItemStreamRun(spark, "line-run", root=scratch)
+        out.run(read_items(spark, "text", path, {"maxFilesPerTrigger": 1}), trigger={"availableNow": True}, poll=0.1)
+        return out
+
+    with pytest.raises(RuntimeError):
+        run()
+    before = ItemStreamRun(spark, "line-run", root=scratch)
+    assert {r.item: r.freq for r in before.frequencies().collect()} == {1: 1, 2: 1}
+    # the checkpoint still asks for the same file: mended in place, the batch runs again
+    [file] = glob.glob(f"{path}/arrival=1/*.txt")
+    with open(file, "w") as f:
+        f.write("3\n5\n")
+    [crc] = glob.glob(f"{path}/arrival=1/.*.crc")
+    os.remove(crc)
+    after = run()
+    assert {r.item: r.freq for r in after.frequencies().collect()} == {1: 1, 2: 1, 3: 1, 5: 1, -4: 1}
+    assert after.stream_length().first()[0] == 5
