@@ -11,7 +11,7 @@ predictions along its path with the weights that training has left there.
 
 A *part* is a set of texts of about ``PART_BYTES``, a *bucket* all contexts whose
 last three bytes hash alike.  N-grams travel packed: one row holds a part's n-grams
-of one bucket as sorted byte planes.  Jobs: (1) the packed distinct n-grams and
+of one bucket as sorted, compressed byte planes.  Jobs: (1) the packed distinct n-grams and
 words of every part with their training counts; (2) summed per bucket, and
 bottom-up within it each node's counts and the sum of its children's log Pw;
 (3) the depths above as aggregates and joins; (4) top-down within each bucket, the
@@ -113,21 +113,15 @@ class Counts:
             self.parts, self.held = [], 0
 
 
-def pack(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int) -> pa.Array:
-    """Each span of 64-bit values as ``width`` byte planes, lowest first."""
-    size = ends - starts
-    out = np.empty(width * len(values), np.uint8)
-    first = np.repeat(width * starts, size) + np.arange(len(values)) - np.repeat(starts, size)
-    step = np.repeat(size, size)
-    octets = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)
-    for plane in range(width):
-        out[first + plane * step] = octets[:, plane]
-    bounds = np.append(width * starts, width * len(values)).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(out)])
+def pack(values: np.ndarray, width: int) -> bytes:
+    """64-bit values as ``width`` byte planes, lowest first, compressed; the raw size leads."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def unpack(data: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), np.uint8).reshape(width, -1)
     octets = np.zeros((planes.shape[1], 8), np.uint8)
     octets[:, :width] = planes.T
     return octets.view(np.uint64).ravel()
@@ -193,11 +187,12 @@ def _distinct(docs: DataFrame, buckets: Buckets) -> DataFrame:
             order = np.argsort(bucket, kind="stable")  # keys stay sorted within it
             bucket, keys, n = bucket[order], c.keys[order], c.n[order].astype(np.uint64)
             edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, int)
-            if len(edge):
-                end = np.append(edge[1:], len(bucket))
+            spans = list(zip(edge.tolist(), [*edge[1:].tolist(), len(bucket)]))
+            if spans:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(edge), part, np.int64)), pa.array(bucket[edge].astype(np.int32)),
-                     pack(keys, edge, end, buckets.widths[kind]), pack(n, edge, end, 6)], ["part", "bucket", "keys", "n"])
+                     pa.array([pack(keys[a:z], buckets.widths[kind]) for a, z in spans], pa.binary()),
+                     pa.array([pack(n[a:z], 6) for a, z in spans], pa.binary())], ["part", "bucket", "keys", "n"])
 
     def count(batches):
         held: dict[tuple[int, int], Counts] = {}
@@ -282,11 +277,6 @@ def _by(batches, *names: str):
             yield tuple(row[i] for i in at), row
 
 
-def _packed(values: np.ndarray, width: int) -> bytes:
-    """One bucket's values as byte planes."""
-    return pack(values, np.array([0]), np.array([len(values)]), width)[0].as_py()
-
-
 def _merged(buckets: Buckets, nodes: bool):
     """Sum the packed rows ``bucket, salt, keys, n`` of each bucket and salt, which lie
     together; with ``nodes`` also what the depths above need of the bucket."""
@@ -295,7 +285,7 @@ def _merged(buckets: Buckets, nodes: bool):
     def close(bucket, c):
         c.merge()
         kind = buckets.kind(bucket)
-        row = {"bucket": bucket, "keys": _packed(c.keys, buckets.widths[kind]), "n": _packed(c.n.astype(np.uint64), 6)}
+        row = {"bucket": bucket, "keys": pack(c.keys, buckets.widths[kind]), "n": pack(c.n.astype(np.uint64), 6)}
         if nodes and kind == GRAM:
             level = _subtree(c.keys, c.n.astype(float), buckets.depth, buckets.t)[buckets.t]
             row |= {"ctx": level["name"] >> 8, "node": (level["name"] & 255).astype(np.int32),
@@ -378,7 +368,7 @@ def _valued(buckets: Buckets):
                     unpack(keys, buckets.widths[GRAM]), n, batch.column("state")[i].values)
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array([bucket], pa.int32()), "keys": pa.array([keys], pa.binary()),
-                    "value": pa.array([_packed(buckets.values(kind, value), 6)], pa.binary())})
+                    "value": pa.array([pack(buckets.values(kind, value), 6)], pa.binary())})
 
     return run
 
@@ -396,8 +386,8 @@ def _answered(buckets: Buckets):
             bucket = current[0]
             keys = held[0] if len(held) == 1 else np.unique(np.concatenate(held))
             own = all_values[np.searchsorted(all_keys, keys)]
-            return {"part": part, "bucket": bucket, "keys": _packed(keys, buckets.widths[buckets.kind(bucket)]),
-                    "value": _packed(own, 6)}
+            return {"part": part, "bucket": bucket, "keys": pack(keys, buckets.widths[buckets.kind(bucket)]),
+                    "value": pack(own, 6)}
 
         for group, (_, _, whose, keys, value) in _by(batches, "bucket", "salt"):
             if held and (group != current or whose != part):
