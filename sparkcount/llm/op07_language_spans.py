@@ -352,7 +352,7 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_
     learned languages explain no better than their bytes alone."""
     Work(docs.sparkSession, "language")
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    room = max(1 << 16, K.SLICE_BYTES * 4 // max(4, len(model.langs)))
+    room = max(1 << 16, K.SLICE_BYTES * 2 // max(4, len(model.langs)))  # margins take as much again
 
     def keep(batches):
         for batch in batches:
