@@ -74,6 +74,19 @@ def text_slices(col, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, n
         i = j
 
 
+def byte_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20):
+    """``batch`` in slices of at most ``max_bytes`` of a text or binary column; a
+    single longer value is a slice of its own."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    end = np.cumsum(size, dtype=np.int64)
+    i = 0
+    while i < len(batch):
+        before = int(end[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(end, before + max_bytes, side="right")))
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of every ``data[start:end]``; equal bytes, equal hash."""
     return value_hashes(_BYTE[data], starts, ends)

@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkcount.llm import kernels as K
 from sparkcount.llm.storage import Work
 
 VERSION = "WARC/1.1"
@@ -210,7 +211,7 @@ def responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", id_col: str
     id_type = pages.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in K.byte_slices(whole, "html")):
             made = [response(*x, date) for x in zip(*(c.to_pylist() for c in batch.columns))]
             yield pa.RecordBatch.from_pydict({
                 "page_id": batch.column(0), "type": pa.array(["response"] * len(made), pa.string()),
@@ -227,7 +228,7 @@ def derivatives(records: DataFrame) -> DataFrame:
     id_type = records.schema["page_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in K.byte_slices(whole, "record")):
             rows = [(i, *x) for i, r in enumerate(batch.column("record").to_pylist()) if r is not None
                     for x in derive(r)]
             cols = list(zip(*rows)) or [()] * 5
@@ -247,7 +248,7 @@ def read_back(records: DataFrame) -> DataFrame:
              "target_uri": "WARC-Target-URI", "warc_date": "WARC-Date", "block_digest": "WARC-Block-Digest"}
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in K.byte_slices(whole, "record")):
             rows = [parse(r) or ([], b"") for r in batch.column("record").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "page_id": batch.column("page_id"),

@@ -3,7 +3,10 @@ import json
 import time
 from html.parser import HTMLParser
 
+import pyarrow as pa
+
 from conftest import SF001
+from sparkcount.llm import kernels as K
 from sparkcount.llm import op05_warc_derive as op
 from sparkcount.llm import queries as Q
 
@@ -151,3 +154,11 @@ def test_records_through_warc_files(spark, scratch):
     want = sorted(bytes(r.record) for r in records.collect())
     assert sorted(bytes(r.record) for r in back.collect()) == want and len(want) == 36
     assert all(r.digest_ok for r in op.read_back(back).collect())
+
+
+def test_pages_go_in_slices_of_bytes():
+    batch = pa.RecordBatch.from_pydict({"html": pa.array(["a" * 10, None, "", "b" * 500, "c", None, "d" * 99, "e"]), "n": list(range(8))})
+    parts = [p.column("n").to_pylist() for p in K.byte_slices(batch, "html", 100)]
+    assert parts == [[0, 1, 2], [3], [4, 5, 6], [7]]
+    assert list(K.byte_slices(batch.slice(0, 0), "html")) == []
+    assert [p.column("n").to_pylist() for p in K.byte_slices(batch.slice(3, 2), "html", 100)] == [[3], [4]]
