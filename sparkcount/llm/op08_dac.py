@@ -18,8 +18,12 @@ written by Spark's own commit protocol: a lost executor leaves no partial file,
 and any store that Spark reaches can hold them.  ``(part, seg)`` is ascending
 document order.
 
+``token_at`` looks ids up in the files: it reads the headers of segments to find
+where a document begins and takes each id by its ranks, without decoding others.
+
 Defined cases: a null text is empty (its end id only); null document ids come
-first; repeated rows are encoded each; a document is never split over segments;
+first; rows of one id go by their texts' first 32 characters, then a hash of the
+text; repeated rows are encoded each; a document is never split over segments;
 an empty table gives an empty file set; other columns are ignored.
 """
 
@@ -122,8 +126,12 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0,
                    text_col: str = "text", segment_ids: int = SEGMENT_IDS) -> None:
     """Encode whole texts and write their segments below ``path`` in ascending id order."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    ranged = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(
-        F.col("id").asc_nulls_first(), "text")
+    # rows of one id may be a third of all: the head of the text, its hash and, for
+    # equal rows, the place in the input let ranges end among them
+    order = [F.col("id").asc_nulls_first(), F.col("head"), F.col("hash"), F.col("row")]
+    ranged = rows.select("id", "text", F.substring("text", 1, 32).alias("head"), F.xxhash64("text").alias("hash"),
+                         F.monotonically_increasing_id().alias("row")).repartitionByRange(
+        *order).sortWithinPartitions(*order).select("id", "text")
 
     def encode(batches):
         coder, part, seg = Encoder(tokenizer), TaskContext.get().partitionId(), 0
@@ -200,3 +208,46 @@ def document_index(spark: SparkSession, path: str) -> DataFrame:
         - F.col("n_tokens")).alias("base"))
     return docs.join(base, ["part", "seg"]).select(
         "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", "part", "seg")
+
+
+LOOKUPS = 1 << 16  # places of a segment that one task looks up at once
+
+
+def token_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """``doc_id, i, token`` for the rows ``doc_id, i`` of ``wanted``: id number ``i``
+    of the document, from the segments below ``path``.
+
+    A document or place that does not exist gives a null token, an id that several
+    documents have a row for each; rows of ``wanted`` that repeat are answered each."""
+
+    def heads(batches):
+        for batch in batches:
+            for part, seg, payload in zip(*(batch.column(c) for c in ("part", "seg", "payload"))):
+                s = Segment(payload.as_buffer())
+                yield pa.RecordBatch.from_pydict({
+                    "d": pa.array(s.doc_ids, pa.int64(), mask=s.valid == 0),
+                    "part": pa.array(np.full(s.n_docs, part.as_py()), pa.int32()),
+                    "seg": pa.array(np.full(s.n_docs, seg.as_py()), pa.int32()),
+                    "inside": pa.array(s.first[:-1], pa.int64()), "n": pa.array(np.diff(s.first), pa.int64())})
+
+    def look(batches):
+        for batch in batches:
+            for part, seg, payload, places in zip(*(batch.column(c) for c in ("part", "seg", "payload", "places"))):
+                s, at = Segment(payload.as_buffer()), places.values.to_pylist()
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array(np.full(len(at), part.as_py()), pa.int32()),
+                    "seg": pa.array(np.full(len(at), seg.as_py()), pa.int32()),
+                    "place": pa.array(at, pa.int64()), "token": pa.array([s[k] for k in at], pa.int64())})
+
+    files = read_segments(spark, path).select("part", "seg", "payload")
+    docs = files.mapInArrow(heads, "d long, part int, seg int, inside long, n long")
+    asked = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("i").cast("long").alias("i"))
+    found = asked.join(docs, F.col("doc_id").eqNullSafe(F.col("d")), "left").select(
+        "doc_id", "i", "part", "seg",
+        F.when((F.col("i") >= 0) & (F.col("i") < F.col("n")), F.col("inside") + F.col("i")).alias("place"))
+    places = (found.where("place is not null").select("part", "seg", "place").distinct()
+              .groupBy("part", "seg", F.expr(f"place div {LOOKUPS}").alias("block"))
+              .agg(F.collect_list("place").alias("places")))
+    tokens = files.join(places, ["part", "seg"]).select("part", "seg", "payload", "places").mapInArrow(
+        look, "part int, seg int, place long, token long")
+    return found.join(tokens, ["part", "seg", "place"], "left").select("doc_id", "i", "token")

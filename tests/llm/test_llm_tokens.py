@@ -67,6 +67,48 @@ def test_codes_read_back(spark):
     assert dac.read_segments(spark, path).count() > 1
 
 
+def test_token_lookup_from_the_files(spark, monkeypatch):
+    monkeypatch.setattr(dac, "LOOKUPS", 64)
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, "again"), (None, "no id"), (-5, "first of all " * 900)]
+    path = f"{Work(spark, 'test').root}/codes"
+    dac.write_segments(docs(spark, rows), path, PATH, end_id=0, segment_ids=300)
+    want, asked = Counter(), []
+    for d, t in rows:
+        ids = [*plain([t])[0], 0]
+        for i in range(len(ids)):
+            if d != 3:
+                asked.append((d, i, "x"))
+                want[d, i, ids[i]] += 1
+    both = [[*plain([t])[0], 0] for d, t in rows if d == 3]
+    for i in (0, 1):  # an id of two documents
+        asked.append((3, i, "x"))
+        want.update((3, i, ids[i]) if i < len(ids) else (3, i, None) for ids in both)
+    for row in [(0, 10 ** 6), (0, -1), (0, None), (77, 0)]:
+        asked.append((*row, "x"))
+        want[(*row, None)] += 1
+    asked.append((-5, 7, "x"))  # asked twice, answered twice
+    want[-5, 7, plain([rows[-1][1]])[0][7]] += 1
+    got = dac.token_at(spark, path, spark.createDataFrame(asked, "doc_id long, i long, part string")).collect()
+    assert Counter((r.doc_id, r.i, r.token) for r in got) == want
+    assert dac.token_at(spark, path, spark.createDataFrame([], "doc_id long, i long")).count() == 0
+
+
+def test_rows_of_one_id_lie_in_many_ranges(spark):
+    """A hot id is dealt over ranges, equal rows too, and the order does not depend on the layout."""
+    rows = [(1, f"text {i % 40} of one id") for i in range(2000)] + [(None, "same")] * 1000
+    found = []
+    for n in (1, 7):
+        path = f"{Work(spark, 'test').root}/hot"
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        dac.write_segments(docs(spark, rows).repartition(n), path, PATH)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        sizes = [r.n_docs for r in dac.read_segments(spark, path).collect()]
+        assert len(sizes) > 4 and max(sizes) < 1000
+        found.append([tuple(r) for r in dac.document_index(spark, path).select(
+            "doc_id", "start", "ids_crc32").orderBy("start").collect()])
+    assert found[0] == found[1] and len(found[0]) == 3000
+
+
 def test_codes_of_an_empty_table(spark):
     path = f"{Work(spark, 'test').root}/codes"
     dac.write_segments(docs(spark, []), path, PATH)
