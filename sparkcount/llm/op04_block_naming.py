@@ -1,14 +1,15 @@
 """Exact dedup by deterministic block naming (DataFrame functions only).
 
-Every text is cut into fixed-size byte blocks.  The distinct blocks are sorted
-and numbered, so equal blocks, and only those, share an integer name.  Adjacent
+Every text is cut into fixed-size byte blocks.  The distinct blocks are sorted by
+a 128-bit route and numbered, so equal blocks, and only those, share an integer name.  Adjacent
 names are paired, distinct pairs are sorted and numbered in turn, and so on
 until a document has one name: ``(level, name)`` is its identity.  Two documents
 have the same identity exactly when their bytes are equal; no digest decides.
 
 Block contents cross the network once, after map-side distinct.  Rows find
-their block's name through a 128-bit route; the names table records whether
-two different blocks share a route, and those blocks are matched by content.
+their block's name through its route; the names table records whether two
+different blocks share a route, and those are sorted and matched by content.
+Names do not depend on how the tables are partitioned.
 
 Defined cases: a null text counts as empty (one empty block); null ids are one
 id of their own and lose to any other; rows repeated with the same id and text
@@ -18,7 +19,7 @@ an empty result; other columns of the input are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkcount.llm.storage import Work
@@ -34,10 +35,19 @@ def _route(block: Column, bits: int) -> list[Column]:
     return [one.alias("r1"), two.alias("r2")]
 
 
-def _numbered(distinct: DataFrame, *order: str) -> DataFrame:
-    """Names for distinct rows: sorted in each hash partition and numbered there."""
-    return distinct.sortWithinPartitions(*order).withColumn(
-        "name", F.monotonically_increasing_id())
+def _numbered(distinct: DataFrame, work: Work, tag: str, by: list[str], order: list[str]) -> DataFrame:
+    """A written table of distinct rows with their ``name``, 0 and up in ``order``.
+
+    Ranges of ``by``, the first columns of ``order``, are sorted and numbered apart
+    and begin where the ranges before them end (one count per range), so a row's
+    name follows from the rows alone, however they are partitioned."""
+    here = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = work.cut(distinct.repartitionByRange(*by).sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("range"), here.alias("at")), tag)
+    ranges = placed.groupBy("range").agg(F.count("*").alias("n"))
+    first = ranges.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("first"))
+    return placed.join(F.broadcast(first), "range").select(
+        *distinct.columns, (F.col("first") + F.col("at")).alias("name"))
 
 
 def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -55,12 +65,10 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "id", "sha", "n", "idx",
         F.expr(f"substring(b, idx * {int(block_bytes)} + 1, {int(block_bytes)})").alias("block"))
 
-    distinct = blocks.select("block").distinct()
-    named = _numbered(distinct, "block").select(*_route(F.col("block"), route_bits), "name")
     # how many blocks share a route: one, but for collisions
-    names = work.cut(named, "block-names")
-    shared = work.cut(names.groupBy("r1", "r2").agg(
-        F.min("name").alias("name"), F.count("*").alias("blocks")), "routes")
+    routes = work.cut(blocks.select("block").distinct().select(*_route(F.col("block"), route_bits))
+                      .groupBy("r1", "r2").agg(F.count("*").alias("blocks")), "routes")
+    shared = _numbered(routes, work, "block-names", ["r1", "r2"], ["r1", "r2"])
     routed = blocks.select("id", "sha", "n", "idx", *_route(F.col("block"), route_bits))
     clash = shared.where("blocks > 1")
     if clash.isEmpty():
@@ -68,11 +76,10 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         alone = routed.join(shared.where("blocks = 1").select("r1", "r2", "name"), ["r1", "r2"])
         content = (blocks.select("*", *_route(F.col("block"), route_bits))
-                   .join(clash.select("r1", "r2"), ["r1", "r2"], "left_semi")
-                   .drop("r1", "r2"))
+                   .join(clash.select("r1", "r2"), ["r1", "r2"], "left_semi"))
         content = work.cut(content, "shared-route")
-        by_content = work.cut(_numbered(content.select("block").distinct(), "block")
-                              .withColumn("name", -F.col("name") - 1), "content-names")
+        by_content = _numbered(content.select("r1", "r2", "block").distinct(), work, "content-names",
+                               ["r1", "r2"], ["r1", "r2", "block"]).select("block", (-F.col("name") - 1).alias("name"))
         level = alone.select("id", "sha", "n", "idx", "name").unionByName(
             content.join(by_content, "block").select("id", "sha", "n", "idx", "name"))
     # repeated rows (same id and text) fold into one row with their number
@@ -90,7 +97,7 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.max("copies").alias("copies"), F.expr("int((max(n) + 1) div 2)").alias("n"),
             F.max(F.when(F.expr("idx % 2 = 0"), F.col("name"))).alias("l"),
             F.max(F.when(F.expr("idx % 2 = 1"), F.col("name"))).alias("r")), f"pairs{k + 1}")
-        named = work.cut(_numbered(pairs.select("l", "r").distinct(), "l", "r"), f"names{k + 1}")
+        named = _numbered(pairs.select("l", "r").distinct(), work, f"names{k + 1}", ["l", "r"], ["l", "r"])
         p, q = pairs.alias("p"), named.alias("q")
         # an odd last name has no right neighbour: null equals null here
         level = work.cut(p.join(q, (F.col("p.l") == F.col("q.l")) & F.col("p.r").eqNullSafe(F.col("q.r")))

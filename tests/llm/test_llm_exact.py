@@ -69,3 +69,17 @@ def test_deduplicated_with_clashing_columns(spark):
     out = op.deduplicated(spark.createDataFrame(rows, schema))
     assert out.columns == ["doc_id", "text", "copies", "__id", "__sha", "kept_id", "row", "x.y"]
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(2, "a"), (3, None), (None, "b")], key=str)
+
+
+@pytest.mark.parametrize("route_bits", [64, 2])
+def test_names_do_not_follow_the_partitioning(spark, route_bits):
+    docs = spark.createDataFrame([(i, "ab" * (i % 23) + str(i % 7)) for i in range(300)], "doc_id long, text string")
+    found = []
+    for n in (1, 13):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n + 2))
+        found.append({(r.id, r.level, r.name) for r in op.identities(
+            docs.repartition(n), block_bytes=4, route_bits=route_bits).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1] and len(found[0]) == 300
+    alone = [name for _, level, name in found[0] if level == 0]
+    assert len(set(alone)) == len({r.text for r in docs.collect() if len(r.text) <= 4})
