@@ -189,7 +189,7 @@ def _triple_query(edges: DataFrame, C: int, h: H.Affine, method: str, wrap: str)
         lo, hi = f"least(tag, {cx}, {cy})", f"greatest(tag, {cx}, {cy})"
         grouped = f"SELECT {lo} AS c1, tag + {cx} + {cy} - {lo} - {hi} AS c2, {hi} AS c3, sum(c) AS n FROM closed GROUP BY 1, 2, 3"
     elif method == "replicate":
-        grouped = f"SELECT g div {C * C} AS c1, g div {C} % {C} AS c2, g % {C} AS c3, n FROM per_group"
+        grouped = "SELECT c1, c2, c3, n FROM per_group"
     else:
         raise ValueError(f"unknown method {method!r}")
     tail = wrap.format(per=f"""

@@ -79,6 +79,25 @@ o AS (
 )"""
 
 
+def _closing(keys: Sequence[str], carried: str = "") -> str:
+    """CTEs ``met, pairs``: of every row sent to ``n``, the ids ``w`` that are out-neighbours of ``n``.
+
+    ``outs`` are the arrays ``n`` sent itself (one, or one a chunk).  The view is
+    OUTER because Catalyst would otherwise intersect once more, to drop rows
+    with nothing left; they come out as ``w IS NULL``."""
+    k = "".join(f"{c}, " for c in keys)
+    return f"""
+met AS (
+  SELECT {k}n, salt{carried}, array_intersect(ws, flatten(outs)) AS ws FROM (
+    SELECT {k}n, salt, own, ws{carried}, collect_list(IF(own, ws, NULL)) OVER (PARTITION BY {k}n, salt) AS outs
+    FROM sent)
+  WHERE NOT own
+),
+pairs AS (
+  SELECT {k}n, salt{carried}, w FROM met LATERAL VIEW OUTER explode(ws) q AS w
+)"""
+
+
 def _ctes(keys: Sequence[str], parts: int, split_above: int, salt_above: int, tag: str | None) -> str:
     k = "".join(f"{c}, " for c in keys)
     # rows of the same (t, w): its own array's, and the others by tag
@@ -135,6 +154,12 @@ pairs AS (
 """
 
 
+def _salts(salt_above: int) -> str:
+    """Salts a row for ``n`` of degree ``dn`` goes under: its own array under each, another under one."""
+    return (f"IF(own, sequence(0, CAST(dn div {salt_above} AS INT)), "
+            f"array(CAST(pmod(xxhash64(s), dn div {salt_above} + 1) AS INT)))")
+
+
 # Column names the plan uses internally; key columns must not reuse them.
 _RESERVED = {"u", "v", "n", "d", "du", "dv", "fwd", "s", "t", "ds", "dt", "dn", "x", "y", "w", "ws", "ts", "dts", "outs",
              "heads", "dheads", "tails", "own", "salt", "h", "i", "j", "o", "c", "tag", "edge", "triangles"}
@@ -182,55 +207,59 @@ def count_triangles(edges: DataFrame, keys: Sequence[str] = (),
                 f"SELECT {k}, sum(c) AS triangles FROM closed GROUP BY {k}", salt_above=salt_above)
 
 
-def count_by_group(edges: DataFrame, C: int, color: str, tail: str, **frames: DataFrame) -> DataFrame:
+def count_by_group(edges: DataFrame, C: int, color: str, tail: str, salt_above: int = SALT_ABOVE,
+                   **frames: DataFrame) -> DataFrame:
     """The copy-per-group plan: every oriented edge goes to ``C`` groups of colours.
 
     ``color`` is the SQL colour of a node, with ``{{n}}`` for its name.  Edges are
-    oriented once, before they are copied; a copy of ``s -> t`` for colour ``i``
-    goes to the group of the sorted colours of ``s``, ``t`` and ``i``, numbered
-    ``g = (c1 * C + c2) * C + c3``, and waits there for third nodes of colour
-    ``i``.  One exchange places the copies by ``g``; the arrays, their way to
-    ``t`` and the closing aggregate all keep that placement.  ``tail`` reads
-    ``per_group (g, n)``: triangles whose own colours are the group's."""
+    oriented and packed into one array a source before they are copied; a copy of
+    ``s -> t`` for colour ``i`` goes to the group of the sorted colours of ``s``,
+    ``t`` and ``i``, numbered ``g = (c1 * C + c2) * C + c3``, and waits there for
+    third nodes of colour ``i``.  A source's copies for one group stay one array.
+    One exchange deals the group's rows by ``(g, t, salt)``, and a group's triangles
+    close there as in the plan without copies; only counts leave it.  ``tail`` reads
+    ``per_group (c1, c2, c3, n)``: triangles whose own colours are the group's."""
     spark = edges.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lo, hi = "least(cs, ct, i)", "greatest(cs, ct, i)"
+    lo, hi = "least(cs, i, j)", "greatest(cs, i, j)"
     return spark.sql(_oriented(()) + f""",
-copies AS (
-  SELECT /*+ REPARTITION({parts}, g) */ g, s, t, dt, ct, i FROM (
-    SELECT ({lo} * {C} + cs + ct + i - {lo} - {hi}) * {C} + {hi} AS g, s, t, dt, ct, i
-    FROM (SELECT s, t, dt, {color.format(n='s')} AS cs, {color.format(n='t')} AS ct FROM o)
-    LATERAL VIEW explode(sequence(0L, {C - 1}L)) q AS i)
+lists AS (
+  SELECT /*+ REPARTITION({parts}, s, ds) */ s, ds, {color.format(n='s')} AS cs,
+         transform(outs, o -> named_struct('t', o.t, 'd', o.dt, 'c', {color.format(n='o.t')})) AS outs
+  FROM (SELECT s, max(ds) AS ds, sort_array(collect_list(named_struct('dt', dt, 't', t))) AS outs FROM o GROUP BY s)
 ),
-sorted AS (
-  SELECT g, s, transform(sort_array(collect_list(named_struct('dt', dt, 't', t, 'f', IF(ct = i, 0, IF(ct < i, 1, 2))))),
-                         (o, p) -> named_struct('t', o.t, 'f', o.f, 'p', p)) AS outs
-  FROM copies GROUP BY g, s
+copies AS (
+  SELECT ({lo} * {C} + cs + i + j - {lo} - {hi}) * {C} + {hi} AS g, s, ds,
+         transform(filter(outs, o -> o.c = i OR o.c = j),
+                   (o, p) -> named_struct('t', o.t, 'd', o.d, 'f', IF(i = j, 0, IF(o.c = i, 1, 2)), 'p', p)) AS outs
+  FROM lists LATERAL VIEW explode(sequence(0L, {C - 1}L)) p AS i LATERAL VIEW explode(sequence(i, {C - 1}L)) q AS j
+  WHERE exists(outs, o -> o.c = i OR o.c = j)
 ),
-lists AS (
+waiting AS (
   -- of a source's group: both ends of the one colour left (f = 0), or of either of two
-  SELECT g, s, outs.t AS every, filter(outs, o -> o.f = 0) AS f0,
+  SELECT g, s, ds, outs.t AS every, filter(outs, o -> o.f = 0) AS f0,
          filter(outs, o -> o.f = 1) AS f1, filter(outs, o -> o.f = 2) AS f2
-  FROM sorted
+  FROM copies
 ),
 sent AS (
-  -- skip: how many of the ids waited for do not lie behind the head
-  SELECT g, h.n, h.f < 0 AS own, CASE h.f WHEN 0 THEN slice(t0, h.skip + 1, size(t0) - h.skip)
-         WHEN 1 THEN slice(t2, h.skip + 1, size(t2) - h.skip) WHEN 2 THEN slice(t1, h.skip + 1, size(t1) - h.skip)
-         ELSE every END AS ws
-  FROM (SELECT g, every, f0.t AS t0, f1.t AS t1, f2.t AS t2,
-          concat(array(named_struct('n', s, 'f', -1, 'skip', 0)),
-                 transform(f0, (o, r) -> named_struct('n', o.t, 'f', 0, 'skip', r + 1)),
-                 transform(f1, (o, r) -> named_struct('n', o.t, 'f', 1, 'skip', o.p - r)),
-                 transform(f2, (o, r) -> named_struct('n', o.t, 'f', 2, 'skip', o.p - r))) AS heads FROM lists)
-  LATERAL VIEW explode(heads) q AS h
-),
-pairs AS (
-  SELECT g, n, own, w FROM sent LATERAL VIEW explode(ws) q AS w
-),
+  SELECT /*+ REPARTITION({parts}, g, n, salt) */ g, n, salt, own, ws FROM (
+    -- skip: how many of the ids waited for do not lie behind the head
+    SELECT g, s, h.n, h.d AS dn, h.f < 0 AS own, CASE h.f WHEN 0 THEN slice(t0, h.skip + 1, size(t0) - h.skip)
+           WHEN 1 THEN slice(t2, h.skip + 1, size(t2) - h.skip) WHEN 2 THEN slice(t1, h.skip + 1, size(t1) - h.skip)
+           ELSE every END AS ws
+    FROM (SELECT g, s, every, f0.t AS t0, f1.t AS t1, f2.t AS t2,
+            concat(array(named_struct('n', s, 'd', ds, 'f', -1, 'skip', 0)),
+                   filter(transform(f0, (o, r) -> named_struct('n', o.t, 'd', o.d, 'f', 0, 'skip', r + 1)), o -> o.skip < size(f0)),
+                   filter(transform(f1, (o, r) -> named_struct('n', o.t, 'd', o.d, 'f', 1, 'skip', o.p - r)), o -> o.skip < size(f2)),
+                   filter(transform(f2, (o, r) -> named_struct('n', o.t, 'd', o.d, 'f', 2, 'skip', o.p - r)), o -> o.skip < size(f1))
+                  ) AS heads FROM waiting)
+    -- heads are never empty; OUTER keeps Catalyst from making them twice to see it
+    LATERAL VIEW OUTER explode(heads) q AS h)
+  LATERAL VIEW explode({_salts(salt_above)}) r AS salt
+),{_closing(["g"])},
 per_group AS (
-  SELECT g, sum(c) AS n FROM (
-    SELECT g, n, w, max(own) AS edge, count(IF(own, NULL, 1)) AS c FROM pairs GROUP BY g, n, w)
-  WHERE edge GROUP BY g
+  SELECT c1, c2, c3, count(1) AS n
+  FROM (SELECT g div {C * C} AS c1, g div {C} % {C} AS c2, g % {C} AS c3 FROM pairs WHERE w IS NOT NULL)
+  GROUP BY c1, c2, c3
 )
 """ + tail, edges=edges, **frames)

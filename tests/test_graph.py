@@ -290,3 +290,23 @@ def test_reserved_key_names_are_refused(spark):
     und = G.undirected(edges(spark, TRI)).withColumn("s", F.lit(1))
     with pytest.raises(ValueError):
         count_triangles(und, ["s"])
+
+
+@pytest.mark.parametrize("salt_above", [1, 3])
+def test_salted_groups_match_brute_force(spark, salt_above):
+    from sparkcount.functions.hashing import sql_color
+    from sparkcount.operators.triangles import count_by_group
+    rng = random.Random(salt_above)
+    pairs = [(a, b) for a in range(14) for b in range(a + 1, 14) if rng.random() < 0.6]
+    pairs += [(100, n) for n in range(40)] + [(n, n + 1) for n in range(39)]
+    per = count_by_group(G.undirected(edges(spark, pairs)), 3, sql_color("{n}", 101, 7, 3),
+                         "SELECT CAST(sum(n) AS BIGINT) AS triangles FROM per_group", salt_above=salt_above)
+    assert one(per) == brute(pairs)
+
+
+@pytest.mark.parametrize("method", ["direct", "replicate"])
+def test_wedges_without_triangles(spark, method):
+    # every pair of a left node's neighbours is a wedge; one edge closes eight of them
+    pairs = [(a, b) for a in range(8) for b in range(100, 160)] + [(100, 101)]
+    per = G.triangles_per_color_triple(edges(spark, pairs), 4, Affine(4321, 777), method).collect()
+    assert sum(r.triangles for r in per) == 8 == brute(pairs)

@@ -1,5 +1,7 @@
 """Plan shapes that the scale design relies on (physical plans, before AQE)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -115,3 +117,23 @@ def test_building_queries_leaves_no_temp_views(spark):
         if not name.endswith("_state") and not name.startswith("stream_"):  # those run a stream
             f(spark, SF001)
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+COPIED = ["exact_triangles_color_replicated", "triangles_per_color_triple_replicated"]
+
+
+def closing(p: str) -> str:
+    """What happens between the exchange to ``t`` and the exploded arrays."""
+    above, below = p.split("Generate explode(ws")
+    return below.split("Exchange")[0]
+
+
+@pytest.mark.parametrize("name", COPIED)
+def test_copied_groups_close_without_a_row_per_wedge(spark, name):
+    p = plan(QUERIES[name](spark, SF001))
+    # what is exploded are ids that the node's own array holds too: triangles
+    assert "array_intersect(ws" in closing(p) and "Window" in closing(p)
+    first = p.split("Generate explode(ws")[1].split("Exchange")[1]
+    # a group is dealt over tasks, and arrays are copied, not edges
+    assert re.match(r" hashpartitioning\(g#\d+L?, n#\d+L?, salt#", first)
+    assert "collect_list" not in first
