@@ -137,3 +137,9 @@ def test_copied_groups_close_without_a_row_per_wedge(spark, name):
     # a group is dealt over tasks, and arrays are copied, not edges
     assert re.match(r" hashpartitioning\(g#\d+L?, n#\d+L?, salt#", first)
     assert "collect_list" not in first
+
+
+@pytest.mark.parametrize("name", [*TRIANGLES, "triangles_per_color_triple", "triangle_report_exact"])
+def test_triangles_close_without_a_row_per_wedge(spark, name):
+    p = plan(QUERIES[name](spark, SF001))
+    assert "array_intersect(ws" in closing(p) and "Window" in closing(p)
